@@ -1,0 +1,42 @@
+"""Broadcast guard: hint a broadcast only for a side whose size is checked.
+
+The check reads Catalyst's size estimate of the optimized plan (no job is
+run). Estimates for scans come from file sizes and only shrink through
+filters/aggregates in the CBO, so they are upper bounds in practice. When the
+estimate is over the limit the join is left to the planner and AQE, which
+re-plans from the *measured* shuffle size at runtime (and splits skewed
+partitions of sort-merge joins).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+DEFAULT_LIMIT = 64 * 1024 * 1024
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    try:
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # Spark Connect or an exotic plan: treat as large
+        return 1 << 62
+
+
+def broadcast_limit(df: DataFrame) -> int:
+    conf = df.sparkSession.conf
+    raw = conf.get("spark.sql.autoBroadcastJoinThreshold", str(DEFAULT_LIMIT))
+    try:
+        lim = int(str(raw).lower().rstrip("b").rstrip("m")) if raw else DEFAULT_LIMIT
+        if str(raw).lower().endswith(("m", "mb")):
+            lim *= 1024 * 1024
+    except ValueError:
+        lim = DEFAULT_LIMIT
+    return DEFAULT_LIMIT if lim <= 0 else max(lim, 10 * 1024 * 1024)
+
+
+def small_side(df: DataFrame, limit: int | None = None) -> DataFrame:
+    """Return ``broadcast(df)`` if its estimated size is within ``limit``,
+    else ``df`` unchanged (the join then shuffles, AQE may still broadcast)."""
+    lim = limit if limit is not None else broadcast_limit(df)
+    return F.broadcast(df) if estimated_bytes(df) <= lim else df
