@@ -1,0 +1,12 @@
+-- Calendar spanning the transaction ledger, days without activity included.
+SELECT d AS date_key,
+       CAST(year(d) AS BIGINT) AS year,
+       CAST(quarter(d) AS BIGINT) AS quarter,
+       CAST(month(d) AS BIGINT) AS month,
+       date_format(d, 'MMMM') AS month_name,
+       CAST(day(d) AS BIGINT) AS day,
+       CAST(extract(DAYOFWEEK_ISO FROM d) AS BIGINT) AS iso_weekday,
+       date_format(d, 'EEEE') AS weekday_name,
+       extract(DAYOFWEEK_ISO FROM d) IN (6, 7) AS is_weekend
+FROM (SELECT explode(sequence(MIN(event_date), MAX(event_date), INTERVAL 1 DAY)) AS d
+      FROM silver_transactions)

@@ -1,0 +1,17 @@
+-- Daily KPIs over the silver ledger; the quarantine share is a scalar subquery.
+SELECT t.event_date,
+       COUNT(*) AS txn_count,
+       CAST(ROUND(SUM(CAST(t.amount_bob AS DECIMAL(20,6))), 2) AS DOUBLE) AS volume_bob,
+       CAST(ROUND(AVG(CAST(t.amount_bob AS DECIMAL(20,6))), 2) AS DOUBLE) AS avg_txn_bob,
+       COUNT(DISTINCT t.account_id) AS active_accounts,
+       CAST(ROUND(100.0 * count_if(t.is_flagged) / COUNT(*), 2) AS DOUBLE) AS fraud_flag_rate_pct,
+       count_if(t.is_late) AS late_txns,
+       count_if(t.channel = 'ATM') AS atm_txns,
+       count_if(t.channel = 'POS') AS pos_txns,
+       count_if(t.channel = 'web') AS web_txns,
+       count_if(t.channel = 'branch') AS branch_txns,
+       CAST(ROUND(100.0 * (SELECT COUNT(*) FROM quarantine_transactions)
+             / ((SELECT COUNT(*) FROM quarantine_transactions) + (SELECT COUNT(*) FROM silver_transactions)), 2)
+            AS DOUBLE) AS quarantine_rate_pct
+FROM silver_transactions t
+GROUP BY t.event_date
