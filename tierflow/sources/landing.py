@@ -16,27 +16,57 @@ from pyspark.sql import functions as F
 FORMATS = {".csv": "csv", ".jsonl": "ndjson", ".ndjson": "ndjson", ".json": "json"}
 
 
+PARTITION_COL = "landing"
+
+
+def landing_name(path: Column) -> Column:
+    """Name of the landing object holding ``path``: the file name, or for a
+    drop written by Spark (a folder ``landing=<name>`` of part files) the
+    folder's name."""
+    folder = F.regexp_extract(path, r"/landing=([^/]+)/[^/]*$", 1)
+    return F.when(folder != "", folder).otherwise(F.element_at(F.split(path, "/"), -1))
+
+
+def landing_object(path: str) -> str:
+    """Python form of :func:`landing_name` for one path."""
+    parts = path.rstrip("/").split("/")
+    for seg in reversed(parts):
+        if seg.startswith(f"{PARTITION_COL}="):
+            return seg[len(PARTITION_COL) + 1:]
+    return parts[-1]
+
+
 def list_landing_files(spark: SparkSession, landing_dir: str, stamp: str | None = None) -> DataFrame:
-    """Regular files of the landing folder (path, file_name, length), sorted by
-    path, optionally only names containing ``stamp``. The ``binaryFile``
-    source lists files without reading their content (the content column is
-    pruned)."""
-    reader = spark.read.format("binaryFile")
-    if stamp:
-        reader = reader.option("pathGlobFilter", f"*{stamp}*")
+    """Data files of the landing folder: (path, landing object name, length),
+    sorted by path, optionally only objects whose name contains ``stamp``.
+    ``binaryFile`` lists without reading content (the column is pruned)."""
     try:
-        df = reader.load(landing_dir)
+        df = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
+              .option("pathGlobFilter", "[!_.]*").load(landing_dir))
     except Exception as ex:  # empty or missing folder
         if "PATH_NOT_FOUND" in str(ex) or "UNABLE_TO_INFER_SCHEMA" in str(ex) or "does not exist" in str(ex):
             return spark.createDataFrame([], "path string, file_name string, length long")
         raise
-    return (df.select("path", F.element_at(F.split("path", "/"), -1).alias("file_name"), "length")
-              .orderBy("path"))
+    out = df.select("path", landing_name(F.col("path")).alias("file_name"), "length")
+    if stamp:
+        out = out.where(F.col("file_name").contains(stamp))
+    return out.orderBy("path")
+
+
+def list_landing_objects(spark: SparkSession, landing_dir: str, stamp: str | None = None) -> list[str]:
+    """Distinct landing objects (folder or file paths) in name order; one
+    listing job, only object names reach the driver."""
+    files = list_landing_files(spark, landing_dir, stamp)
+    rows = files.select(F.regexp_replace("path", r"/[^/]*$", "").alias("dir"), "path", "file_name") \
+        .select(F.when(F.col("dir").endswith(F.concat(F.lit(f"{PARTITION_COL}="), F.col("file_name"))),
+                       F.col("dir")).otherwise(F.col("path")).alias("obj"), "file_name") \
+        .distinct().orderBy("file_name").collect()
+    return [r["obj"] for r in rows]
 
 
 def source_of(name: str, sources: Sequence[str]) -> str:
     """``customers_20260701.csv`` -> ``customers``; unknown names raise."""
-    base = name.rsplit("/", 1)[-1]
+    base = landing_object(name)
     for s in sorted(sources, key=len, reverse=True):
         if base.startswith(f"{s}_"):
             return s
@@ -52,14 +82,21 @@ def source_col(file_name: Column, sources: Sequence[str]) -> Column:
 
 
 def format_of(name: str) -> str:
+    base = landing_object(name)
     for suffix, fmt in FORMATS.items():
-        if name.endswith(suffix):
+        if base.endswith(suffix):
             return fmt
-    raise ValueError(f"unsupported landing format: {name.rsplit('/', 1)[-1]}")
+    raise ValueError(f"unsupported landing format: {base}")
 
 
 def file_name_col() -> Column:
-    return F.col("_metadata.file_name")
+    return landing_name(F.col("_metadata.file_path"))
+
+
+def _strings(df: DataFrame) -> DataFrame:
+    cols = [c for c in df.columns if c != PARTITION_COL]
+    return df.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in cols],
+                     file_name_col().alias("_source_file"))
 
 
 def read_csv(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
@@ -69,8 +106,7 @@ def read_csv(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     (see :func:`read_csv_grouped` for mixed headers)."""
     df = (spark.read.option("header", True).option("inferSchema", False)
           .option("mode", "FAILFAST").csv(list(paths) if not isinstance(paths, str) else paths))
-    return df.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in df.columns],
-                     file_name_col().alias("_source_file"))
+    return _strings(df)
 
 
 def csv_header(spark: SparkSession, path: str) -> list[str]:
@@ -108,8 +144,7 @@ def read_ndjson(spark: SparkSession, paths: str | Sequence[str], schema=None) ->
     if schema is not None:
         r = r.schema(schema)
     df = r.json(list(paths) if not isinstance(paths, str) else paths)
-    return df.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in df.columns],
-                     file_name_col().alias("_source_file"))
+    return _strings(df)
 
 
 def read_json_map(spark: SparkSession, paths: str | Sequence[str], *, date_field: str = "date",
