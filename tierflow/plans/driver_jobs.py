@@ -72,8 +72,7 @@ def tpch_landing(spark: SparkSession, sf: str, root: str) -> str:
     return root
 
 
-def _build_customer(s: TableStore) -> DataFrame:
-    b = s.read("bronze", "customer")
+def _build_customer(s: TableStore, b: DataFrame) -> DataFrame:
     t = b.select(F.col("c_custkey").try_cast("bigint").alias("c_custkey"), "c_name",
                  F.col("c_nationkey").try_cast("int").alias("c_nationkey"),
                  safe_to_double("c_acctbal").alias("c_acctbal"), "c_mktsegment", "_ingested_at", "_source_file",
@@ -82,8 +81,7 @@ def _build_customer(s: TableStore) -> DataFrame:
         .drop("_ingested_at", "_source_file")
 
 
-def _build_orders(s: TableStore) -> DataFrame:
-    b = s.read("bronze", "orders")
+def _build_orders(s: TableStore, b: DataFrame) -> DataFrame:
     t = b.select(F.col("o_orderkey").try_cast("bigint").alias("o_orderkey"),
                  F.col("o_custkey").try_cast("bigint").alias("o_custkey"), "o_orderstatus",
                  safe_to_double("o_totalprice").alias("o_totalprice"),
@@ -93,8 +91,7 @@ def _build_orders(s: TableStore) -> DataFrame:
         .drop("_ingested_at", "_source_file")
 
 
-def _build_lineitem(s: TableStore) -> DataFrame:
-    b = s.read("bronze", "lineitem")
+def _build_lineitem(s: TableStore, b: DataFrame) -> DataFrame:
     t = b.select(F.col("l_orderkey").try_cast("bigint").alias("l_orderkey"),
                  F.col("l_partkey").try_cast("bigint").alias("l_partkey"),
                  F.col("l_suppkey").try_cast("bigint").alias("l_suppkey"),

@@ -46,7 +46,11 @@ def kpi_daily(tx: DataFrame, *, quarantined: DataFrame | None, date_col: str = "
     q = (quarantined.agg(F.count(F.lit(1))).scalar() if quarantined is not None
          else F.lit(0).cast("long"))
     total = tx.agg(F.count(F.lit(1))).scalar()
-    return daily.withColumn("quarantine_rate_pct", pct(q, q + total))
+    # bind each scalar subquery to a column once: the rate expression uses
+    # them several times and must not re-run a subquery per reference
+    return (daily.withColumns({"__q": q, "__n": total})
+            .withColumn("quarantine_rate_pct", pct(F.col("__q"), F.col("__q") + F.col("__n")))
+            .drop("__q", "__n"))
 
 
 def dim_date(dates: DataFrame, date_col: str = "event_date") -> DataFrame:
