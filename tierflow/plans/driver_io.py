@@ -162,6 +162,23 @@ def merge_upsert(spark: SparkSession, sf: str) -> DataFrame:
     return store.read("silver", "orders")
 
 
+def merge_upsert_partitioned(spark: SparkSession, sf: str) -> DataFrame:
+    """The same two deliveries into a table partitioned by order status: the
+    second delivery moves keys from partition O to F, so old copies must be
+    removed from partitions the source does not write."""
+    o = load(spark, sf, "orders")
+    day1 = o.where(F.col("o_orderdate") < F.lit(DAY1_BEFORE).cast("timestamp_ntz")) \
+        .withColumn("_run_id", F.lit("run-1"))
+    day2 = (o.where(F.col("o_orderdate") >= F.lit(DAY2_FROM).cast("timestamp_ntz"))
+            .withColumn("o_orderstatus", F.when(F.col("o_orderstatus") == "O", F.lit("F"))
+                        .otherwise(F.col("o_orderstatus")))
+            .withColumn("_run_id", F.lit("run-2")))
+    store = TableStore(spark, work_dir(spark, "lake"))
+    store.merge("silver", "orders", day1, key="o_orderkey", partition_by="o_orderstatus")
+    store.merge("silver", "orders", day2, key="o_orderkey", partition_by="o_orderstatus")
+    return store.read("silver", "orders")
+
+
 def snapshot_overwrite(spark: SparkSession, sf: str) -> DataFrame:
     store = TableStore(spark, work_dir(spark, "lake"))
     store.write("silver", "orders", load(spark, sf, "orders"), mode="overwrite")
@@ -280,6 +297,7 @@ IO_QUERIES = {
     "bronze_lineage": bronze_lineage,
     "sql_views": sql_views,
     "merge_upsert": merge_upsert,
+    "merge_upsert_partitioned": merge_upsert_partitioned,
     "snapshot_overwrite": snapshot_overwrite,
     "silver_customers": silver_customers,
     "silver_accounts": silver_accounts,

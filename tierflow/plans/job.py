@@ -23,7 +23,7 @@ from tierflow.operators.quarantine import ACTIONS, QualityBlocked, quarantine_ru
 from tierflow.operators.rules import Spec, compile_rules, load_spec, report
 from tierflow.plans import gold, silver
 from tierflow.plans.bronze import ingest_source
-from tierflow.sinks.store import TableStore, upsert
+from tierflow.sinks.store import TableStore, _in, upsert
 from tierflow.sources.contracts import BANK_CONTRACTS, IngestResult
 from tierflow.sources.landing import list_landing_objects, source_of
 
@@ -41,6 +41,7 @@ class SilverStep:
     key: list[str] | None
     build: Callable[[TableStore, DataFrame], DataFrame]
     source: str | None = None
+    partition_by: str | None = None   # e.g. event_date: upserts touch only affected partitions
 
 
 @dataclass
@@ -103,7 +104,7 @@ def decide_rows(report_rows, policy: Mapping[str, str] | None, default: str = "q
 
 def apply_quality(store: TableStore, table: str, spec: Spec, summary: RunSummary,
                   policy: Mapping[str, str] | None = None, rule_ids: Sequence[str] | None = None,
-                  release_passing: bool = False) -> int:
+                  release_passing: bool = False, partition_by: str | None = None) -> int:
     """Evaluate ``spec`` on ``silver.<table>``, apply the policy, move rows.
 
     Returns rows quarantined. Any failed rule whose action is ``block``
@@ -147,7 +148,18 @@ def apply_quality(store: TableStore, table: str, spec: Spec, summary: RunSummary
             else:
                 store.write("quarantine", table, bad, mode="append")
             moved = int(o.get["n"])
-            store.write("silver", table, good, mode="overwrite")
+            if partition_by:
+                # rewrite only the partitions that lost rows (in place); a
+                # partition whose rows were all quarantined is removed
+                p = F.col(partition_by)
+                bad_parts = {r[0] for r in frame.where(flag).select(p).distinct().collect()}
+                if bad_parts:
+                    keep = frame.where(~flag & _in(p, bad_parts)).select(*data)
+                    kept = {r[0] for r in keep.select(p).distinct().collect()}
+                    store.replace_partitions(store.current("silver", table), keep, partition_by,
+                                             bad_parts - kept)
+            else:
+                store.write("silver", table, good, mode="overwrite")
         else:
             ensure_quarantine(store, table)
         summary.log("quality", table, "ok", rows_in=rows[0]["total_rows"] if rows else 0,
@@ -195,14 +207,15 @@ def run_daily(spark: SparkSession, config: JobConfig, landing_dir: str, lake_roo
             o = Observation(f"s_{step.table}_{uuid.uuid4().hex[:6]}")
             built = built.observe(o, F.count(F.lit(1)).alias("n"))
             if step.key:
-                store.merge("silver", step.table, built, key=step.key)
+                store.merge("silver", step.table, built, key=step.key, partition_by=step.partition_by)
             else:
-                store.write("silver", step.table, built, mode="overwrite")
+                store.write("silver", step.table, built, mode="overwrite",
+                            partition_by=[step.partition_by] if step.partition_by else None)
             summary.log("silver", step.table, "ok", rows_out=int(o.get["n"]))
             spec = config.specs.get(step.table)
             if spec and spec.rules:
                 apply_quality(store, step.table, spec, summary, policy=policy,
-                              release_passing=release_passing)
+                              release_passing=release_passing, partition_by=step.partition_by)
         for name, df in sorted(config.gold_models(store).items()):
             o = Observation(f"g_{name}_{uuid.uuid4().hex[:6]}")
             store.write("gold", name, df.observe(o, F.count(F.lit(1)).alias("n")), mode="overwrite")
@@ -264,6 +277,6 @@ def bank_config(fx_fallback: str | None = "last_row") -> JobConfig:
             SilverStep("customers", ["customer_id"], lambda s, b: silver.build_customers(b)),
             SilverStep("accounts", ["account_id"], lambda s, b: silver.build_accounts(b)),
             SilverStep("transactions", ["txn_id"], lambda s, b: silver.build_transactions(
-                b, s.read("silver", "fx_rates"), fx_fallback)),
+                b, s.read("silver", "fx_rates"), fx_fallback), partition_by="event_date"),
         ],
         specs=specs, gold_models=bank_gold, checks=bank_checks)

@@ -202,6 +202,7 @@ IO_ORACLES = {
     "bronze_lineage": BRONZE_LINEAGE,
     "sql_views": SQL_VIEWS,
     "merge_upsert": MERGE_UPSERT,
+    "merge_upsert_partitioned": MERGE_UPSERT,
     "snapshot_overwrite": SNAPSHOT_OVERWRITE,
     "silver_customers": SILVER_CUSTOMERS,
     "silver_accounts": SILVER_ACCOUNTS,
