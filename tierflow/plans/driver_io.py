@@ -236,7 +236,7 @@ def silver_transactions(spark: SparkSession, sf: str) -> DataFrame:
 LI_KEY = ["l_orderkey", "l_linenumber"]
 
 
-def tpch_pipeline(spark: SparkSession, sf: str):
+def cascade_state(spark: SparkSession, sf: str):
     raw = {t: load(spark, sf, t) for t in ("customer", "orders", "lineitem")}
     li = latest_per_key(raw["lineitem"], LI_KEY, ["l_shipdate", "l_partkey", "l_suppkey", "l_extendedprice"])
     frames = {"customer": raw["customer"], "orders": raw["orders"], "lineitem": li}
@@ -256,17 +256,17 @@ def _row_checks(raw, out):
 
 
 def recon_rows(spark: SparkSession, sf: str) -> DataFrame:
-    raw, out, _ = tpch_pipeline(spark, sf)
+    raw, out, _ = cascade_state(spark, sf)
     return rc.combine(_row_checks(raw, out))
 
 
 def recon_amount(spark: SparkSession, sf: str) -> DataFrame:
-    _, out, fact = tpch_pipeline(spark, sf)
+    _, out, fact = cascade_state(spark, sf)
     return rc.amount_conservation("fact", out["lineitem"][0], fact, "l_extendedprice", "amount_orig")
 
 
 def recon_orphans(spark: SparkSession, sf: str) -> DataFrame:
-    _, _, fact = tpch_pipeline(spark, sf)
+    _, _, fact = cascade_state(spark, sf)
     return rc.no_orphans("fact", fact, "customer_id")
 
 
@@ -275,7 +275,7 @@ def recon_baseline(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def recon_report(spark: SparkSession, sf: str) -> DataFrame:
-    raw, out, fact = tpch_pipeline(spark, sf)
+    raw, out, fact = cascade_state(spark, sf)
     return rc.combine([*_row_checks(raw, out),
                        rc.amount_conservation("fact", out["lineitem"][0], fact, "l_extendedprice", "amount_orig"),
                        rc.no_orphans("fact", fact, "customer_id"),

@@ -54,7 +54,7 @@ def stream_upsert(spark: SparkSession, sf: str) -> DataFrame:
     base = work_dir(spark, "stream")
     store = TableStore(spark, f"{base}/lake")
     _stream_upsert(spark, root, store, "events", f"{base}/_checkpoints/events_upsert", EVENT_CONTRACT,
-                   ["event_id"], transform=_typed, max_files_per_trigger=16)
+                   ["event_id"], transform=_typed, max_files_per_trigger=16, partition_by="event_type")
     return store.read("silver", "events").select("event_id", "ts", "user_id", "event_type", "value", "props",
                                                   "_source_file")
 

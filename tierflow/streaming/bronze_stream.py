@@ -54,9 +54,12 @@ def stream_bronze(spark: SparkSession, landing_dir: str, bronze_path: str, check
 
 def stream_upsert(spark: SparkSession, landing_dir: str, store: TableStore, table: str,
                   checkpoint: str, contract: Sequence[str], key: Sequence[str],
-                  transform=None, fmt: str = "ndjson", max_files_per_trigger: int | None = 1) -> int:
+                  transform=None, fmt: str = "ndjson", max_files_per_trigger: int | None = 1,
+                  partition_by: str | None = None) -> int:
     """Micro-batches: latest row per key (by ingest time, then source file),
-    optional typing ``transform``, then upsert into ``silver.<table>``."""
+    optional typing ``transform``, then upsert into ``silver.<table>``
+    (partition-scoped when ``partition_by`` is given, so a micro-batch only
+    rewrites the partitions it touches)."""
     src = read_stream(spark, landing_dir, contract, fmt, max_files_per_trigger=max_files_per_trigger)
     src = src.withColumn("_ingested_at", F.localtimestamp())
 
@@ -65,7 +68,7 @@ def stream_upsert(spark: SparkSession, landing_dir: str, store: TableStore, tabl
                                                    *[c for c in contract if c not in key]])
         out = transform(latest) if transform else latest
         out = out.withColumn("_batch_id", F.lit(batch_id).cast("long"))
-        store.merge("silver", table, out, key=list(key))
+        store.merge("silver", table, out, key=list(key), partition_by=partition_by)
 
     q = (src.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
