@@ -13,8 +13,8 @@ Semantics (rate table keyed by (date, currency)):
 Scale: instead of a window partitioned by currency (a handful of currencies
 would put whole currencies into single tasks), the fallback is one grouped
 aggregate (``max_by`` with map-side partial aggregation) producing one row per
-currency, which is joined back as a broadcast — its size is bounded by the
-number of currencies, not by the data.
+currency with a usable rate, which is joined back as a broadcast — its size is
+bounded by the rate table's currencies, not by the data.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tierflow.functions.columns import money_mul_round
-from tierflow.operators.sizing import small_side
+from tierflow.operators.sizing import broadcast_limit, estimated_bytes, small_side
 
 
 def attach_rates(tx: DataFrame, rates: DataFrame, *, date_col: str = "event_date",
@@ -44,8 +44,14 @@ def attach_rates(tx: DataFrame, rates: DataFrame, *, date_col: str = "event_date
             F.max_by(F.col("__rate"), F.col(date_col)).alias("__fallback"))
     else:
         raise ValueError(f"unknown fallback {fallback!r}")
-    # one row per currency: bounded by the currency domain, safe to broadcast
-    out = joined.join(F.broadcast(per_ccy), joined[currency_col].eqNullSafe(per_ccy["__fccy"]), "left")
+    # Only currencies with a non-null fallback matter, and those all come from
+    # the rate table, so this side is never larger than the rate table's
+    # currency set: broadcast it when the rate table passes the size check,
+    # else let the planner/AQE choose (and split a hot currency's partition).
+    per_ccy = per_ccy.where(F.col("__fallback").isNotNull())
+    if estimated_bytes(rates) <= broadcast_limit(rates):
+        per_ccy = F.broadcast(per_ccy)
+    out = joined.join(per_ccy, joined[currency_col].eqNullSafe(per_ccy["__fccy"]), "left")
     return out.withColumn(rate_col, F.coalesce(F.col("__rate"), F.col("__fallback"))) \
               .drop("__rate", "__fallback", "__fccy")
 

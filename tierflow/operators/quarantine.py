@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tierflow.operators.rules import Compiled, Rule, compile_rules
+from tierflow.operators.sizing import small_side
 
 ACTIONS = ("quarantine", "warn_and_keep", "block")
 DRIFT_ACTIONS = ("skip_file", "ingest_aligned", "abort")
@@ -68,9 +69,10 @@ def decide(report_df: DataFrame, policy: Mapping[str, str] | DataFrame | None,
         pairs = [F.struct(F.lit(k).alias("p_rule_id"), F.lit(v).alias("p_action")) for k, v in policy.items()]
         pol = report_df.sparkSession.range(1).select(F.explode(F.array(*pairs)).alias("p")).select("p.*") \
             if pairs else report_df.sparkSession.createDataFrame([], "p_rule_id string, p_action string")
+        pol = F.broadcast(pol)  # one row per listed rule: bounded by the mapping itself
     else:
-        pol = policy.select(F.col("rule_id").alias("p_rule_id"), F.col("action").alias("p_action"))
-    return (findings.join(F.broadcast(pol), findings["rule_id"] == pol["p_rule_id"], "left")
+        pol = small_side(policy.select(F.col("rule_id").alias("p_rule_id"), F.col("action").alias("p_action")))
+    return (findings.join(pol, findings["rule_id"] == pol["p_rule_id"], "left")
             .withColumn("action", F.coalesce(F.col("p_action"), F.lit(default)))
             .drop("p_rule_id", "p_action"))
 
