@@ -57,3 +57,23 @@ def test_cascade_orphans_children(spark):
                                     "ref": "parents", "ref_column": "pid"}])])
     assert out["parents"][1].count() == 1
     assert [r["kid"] for r in out["kids"][1].collect()] == [3]
+
+
+def test_report_passed_and_keyless_quarantine_appends(spark, tmp_root):
+    from tierflow.operators.rules import Spec, passed, report
+    store = TableStore(spark, tmp_root)
+    df = spark.createDataFrame([(1, 5.0), (2, -1.0), (3, None)], "id long, v double")
+    store.write("silver", "nums", df, mode="overwrite")
+    spec = Spec.from_dict({"rules": [{"id": "v_positive", "type": "fail_when", "expr": "v <= 0"},
+                                     {"id": "v_present", "type": "not_null", "column": "v", "severity": "warn"}]})
+    rep = report(compile_rules(df, spec.rules), "silver.nums")
+    assert rep.agg(passed(rep).alias("p")).first()["p"] is False
+    ok = report(compile_rules(df, spec.select(severity="warn")), "silver.nums")
+    assert ok.agg(passed(ok).alias("p")).first()["p"] is True
+    summary = RunSummary("r", dt.date(2026, 7, 1))
+    assert apply_quality(store, "nums", spec, summary) == 1
+    assert apply_quality(store, "nums", spec, summary) == 0          # already clean
+    store.write("silver", "nums", df, mode="overwrite")
+    apply_quality(store, "nums", spec, summary)                      # no key: appended again
+    assert store.read("quarantine", "nums").count() == 2
+    assert sorted(r["id"] for r in store.read("silver", "nums").collect()) == [1, 3]

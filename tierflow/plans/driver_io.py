@@ -121,13 +121,13 @@ def bronze_json(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def bronze_lineage(spark: SparkSession, sf: str) -> DataFrame:
-    from tierflow.plans.bronze import ingest_file
+    """All orders drops of the folder appended in one job; lineage per row."""
+    from tierflow.plans.bronze import ingest_source
     from tierflow.sources.landing import list_landing_objects
     land = _orders_landing(spark, sf, work_dir(spark, "landing"))
     store = TableStore(spark, work_dir(spark, "lake"))
-    contracts = {"orders": load(spark, sf, "orders").columns}
-    for obj in list_landing_objects(spark, land):
-        ingest_file(store, obj, RUN_ID, contracts, ingested_at=LOAD_TS)
+    ingest_source(store, "orders", list_landing_objects(spark, land), RUN_ID, load(spark, sf, "orders").columns,
+                  ingested_at=LOAD_TS)
     b = store.read("bronze", "orders")
     return b.groupBy("_source_file", "_run_id", "_ingested_at").agg(F.count(F.lit(1)).alias("rows"))
 
