@@ -49,7 +49,8 @@ def attach_rates(tx: DataFrame, rates: DataFrame, *, date_col: str = "event_date
     # currency set: broadcast it when the rate table passes the size check,
     # else let the planner/AQE choose (and split a hot currency's partition).
     per_ccy = per_ccy.where(F.col("__fallback").isNotNull())
-    if estimated_bytes(rates) <= broadcast_limit(rates):
+    lim = broadcast_limit(rates)
+    if lim > 0 and estimated_bytes(rates) <= lim:
         per_ccy = F.broadcast(per_ccy)
     out = joined.join(per_ccy, joined[currency_col].eqNullSafe(per_ccy["__fccy"]), "left")
     return out.withColumn(rate_col, F.coalesce(F.col("__rate"), F.col("__fallback"))) \

@@ -23,20 +23,32 @@ def estimated_bytes(df: DataFrame) -> int:
         return 1 << 62
 
 
-def broadcast_limit(df: DataFrame) -> int:
-    conf = df.sparkSession.conf
-    raw = conf.get("spark.sql.autoBroadcastJoinThreshold", str(DEFAULT_LIMIT))
+_UNITS = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30}
+
+
+def parse_bytes(raw: str | None, default: int = DEFAULT_LIMIT) -> int:
+    """'10485760b' / '64MB' / '-1' -> bytes (negative means disabled)."""
+    if raw is None or str(raw).strip() == "":
+        return default
+    s = str(raw).strip().lower()
+    num = s.rstrip("kmgb")
+    unit = s[len(num):] or "b"
     try:
-        lim = int(str(raw).lower().rstrip("b").rstrip("m")) if raw else DEFAULT_LIMIT
-        if str(raw).lower().endswith(("m", "mb")):
-            lim *= 1024 * 1024
+        return int(float(num) * _UNITS.get(unit, 1))
     except ValueError:
-        lim = DEFAULT_LIMIT
-    return DEFAULT_LIMIT if lim <= 0 else max(lim, 10 * 1024 * 1024)
+        return default
+
+
+def broadcast_limit(df: DataFrame) -> int:
+    """The session's broadcast threshold in bytes; 0 when broadcasts are
+    disabled (``spark.sql.autoBroadcastJoinThreshold=-1``)."""
+    lim = parse_bytes(df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", None),
+                      10 * 1024 * 1024)
+    return max(lim, 0)
 
 
 def small_side(df: DataFrame, limit: int | None = None) -> DataFrame:
     """Return ``broadcast(df)`` if its estimated size is within ``limit``,
     else ``df`` unchanged (the join then shuffles, AQE may still broadcast)."""
     lim = limit if limit is not None else broadcast_limit(df)
-    return F.broadcast(df) if estimated_bytes(df) <= lim else df
+    return F.broadcast(df) if lim > 0 and estimated_bytes(df) <= lim else df
