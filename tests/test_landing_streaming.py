@@ -76,3 +76,37 @@ def test_stream_bronze_restart_adds_nothing(spark, tmp_root):
     stream_bronze(spark, d, bronze, ck, ["txn_id", "amount"], "r2")
     b = spark.read.parquet(bronze)
     assert b.count() == 10 and b.select(F.countDistinct("_run_id")).first()[0] == 1
+
+
+def test_inspect_file_reports_drift(spark, tmp_root):
+    from tierflow.plans.bronze import inspect_file
+    from tierflow.sinks.store import TableStore
+    d = tempfile.mkdtemp(prefix="tierflow-insp-")
+    p = os.path.join(d, "transactions_20260701.jsonl")
+    with open(p, "w") as fh:
+        fh.write('{"txn_id": "TXN-X", "amt": "12.5"}\n{"txn_id": "TXN-Y", "amt": "1"}\n')
+    r = inspect_file(TableStore(spark, tmp_root), p, ct.BANK_CONTRACTS)
+    assert r.rows == 2 and r.table == "transactions" and r.has_drift
+    assert "amount" in r.missing_columns and r.unexpected_columns == ["amt"]
+
+
+def test_ingest_source_mixed_headers_counts_per_file(spark, tmp_root):
+    from tierflow.plans.bronze import ingest_source
+    from tierflow.sinks.store import TableStore
+    d = tempfile.mkdtemp(prefix="tierflow-src-")
+    open(os.path.join(d, "accounts_20260701.csv"), "w").write(
+        "account_id,customer_id,account_type,currency,opened_at,status\nA1,C1,checking,BOB,2021-01-01,active\n"
+        "A2,C1,savings,USD,2021-01-02,closed\n")
+    open(os.path.join(d, "accounts_20260702.csv"), "w").write(
+        "status,account_id,customer_id,currency,opened_at,acct_type\ndormant,A3,C2,BOB,2021-01-03,credit\n")
+    store = TableStore(spark, tmp_root)
+    paths = [os.path.join(d, f) for f in sorted(os.listdir(d))]
+    with pytest.raises(ct.SchemaDriftError):
+        ingest_source(store, "accounts", paths, "r1", ct.BANK_CONTRACTS["accounts"])
+    assert not store.exists("bronze", "accounts")            # strict: nothing written
+    res = ingest_source(store, "accounts", paths, "r1", ct.BANK_CONTRACTS["accounts"], on_drift="ingest_aligned")
+    assert [(r.file, r.rows, r.action) for r in res] == [
+        ("accounts_20260701.csv", 2, "ingested"), ("accounts_20260702.csv", 1, "ingested_aligned")]
+    b = {r["account_id"]: r for r in store.read("bronze", "accounts").collect()}
+    assert b["A3"]["status"] == "dormant" and b["A3"]["account_type"] is None   # bound by name, not position
+    assert b["A3"]["_source_file"] == "accounts_20260702.csv"
