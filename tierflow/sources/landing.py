@@ -54,14 +54,29 @@ def list_landing_files(spark: SparkSession, landing_dir: str, stamp: str | None
 
 
 def list_landing_objects(spark: SparkSession, landing_dir: str, stamp: str | None = None) -> list[str]:
-    """Distinct landing objects (folder or file paths) in name order; one
-    listing job, only object names reach the driver."""
-    files = list_landing_files(spark, landing_dir, stamp)
-    rows = files.select(F.regexp_replace("path", r"/[^/]*$", "").alias("dir"), "path", "file_name") \
-        .select(F.when(F.col("dir").endswith(F.concat(F.lit(f"{PARTITION_COL}="), F.col("file_name"))),
-                       F.col("dir")).otherwise(F.col("path")).alias("obj"), "file_name") \
-        .distinct().orderBy("file_name").collect()
-    return [r["obj"] for r in rows]
+    """Landing objects (file paths, or ``landing=<name>`` folders of part
+    files) directly under ``landing_dir``, in name order, optionally only
+    names containing ``stamp``. A metadata-only listing through the Hadoop
+    FileSystem (what a file source does itself); no data is read."""
+    jvm = spark._jvm
+    root = jvm.org.apache.hadoop.fs.Path(landing_dir)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return []
+    found = []
+    for st in fs.listStatus(root):
+        raw = st.getPath().getName()
+        if raw.startswith(("_", ".")):
+            continue
+        if st.isDirectory():
+            if not raw.startswith(f"{PARTITION_COL}="):
+                continue
+            name = landing_object(st.getPath().toString())
+        else:
+            name = raw
+        if stamp is None or stamp in name:
+            found.append((name, st.getPath().toString()))
+    return [p for _, p in sorted(found)]
 
 
 def source_of(name: str, sources: Sequence[str]) -> str:
