@@ -23,7 +23,7 @@ from tierflow.operators.quarantine import ACTIONS, QualityBlocked, quarantine_ru
 from tierflow.operators.rules import Spec, compile_rules, load_spec, report
 from tierflow.plans import gold, silver
 from tierflow.plans.bronze import ingest_source
-from tierflow.sinks.store import TableStore, _in, upsert
+from tierflow.sinks.store import TableStore, isin_values, upsert
 from tierflow.sources.contracts import BANK_CONTRACTS, IngestResult
 from tierflow.sources.landing import list_landing_objects, source_of
 
@@ -154,7 +154,7 @@ def apply_quality(store: TableStore, table: str, spec: Spec, summary: RunSummary
                 p = F.col(partition_by)
                 bad_parts = {r[0] for r in frame.where(flag).select(p).distinct().collect()}
                 if bad_parts:
-                    keep = frame.where(~flag & _in(p, bad_parts)).select(*data)
+                    keep = frame.where(~flag & isin_values(p, bad_parts)).select(*data)
                     kept = {r[0] for r in keep.select(p).distinct().collect()}
                     store.replace_partitions(store.current("silver", table), keep, partition_by,
                                              bad_parts - kept)
