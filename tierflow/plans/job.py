@@ -162,6 +162,14 @@ def apply_quality(store: TableStore, table: str, spec: Spec, summary: RunSummary
                 store.write("silver", table, good, mode="overwrite")
         else:
             ensure_quarantine(store, table)
+            if release_passing and spec.key and store.exists("quarantine", table):
+                # nothing failed: every key now in silver passes, so its old
+                # quarantined copy is released (only rewritten if one exists)
+                q = store.read("quarantine", table)
+                held = q.join(frame.select(*spec.key), spec.key, "left_semi")
+                if held.limit(1).count():
+                    store.write("quarantine", table, q.join(frame.select(*spec.key), spec.key, "left_anti"),
+                                mode="overwrite")
         summary.log("quality", table, "ok", rows_in=rows[0]["total_rows"] if rows else 0,
                     rows_out=(rows[0]["total_rows"] - moved) if rows else 0, quarantined=moved,
                     detail=";".join(f"{r['rule_id']}={r['failed_rows']}" for r in rows if r["failed"]))
