@@ -178,6 +178,22 @@ def apply_quality(store: TableStore, table: str, spec: Spec, summary: RunSummary
         frame.unpersist()
 
 
+def evaluate_table(store: TableStore, layer: str, table: str, spec: Spec) -> DataFrame:
+    """The rule report of ``<layer>.<table>`` (nothing moved); foreign keys
+    resolve against the store's tables."""
+    return report(compile_rules(store.read(layer, table), spec.rules, resolver(store)), f"{layer}.{table}")
+
+
+def quarantine_failures(store: TableStore, layer: str, table: str, spec: Spec, *,
+                        rule_ids: Sequence[str] | None = None, partition_by: str | None = None) -> int:
+    """Move rows violating error rules (optionally only ``rule_ids``) from
+    ``<layer>.<table>`` to ``quarantine.<table>``; returns rows moved."""
+    if layer != "silver":
+        raise ValueError("quarantine moves rows out of silver tables")
+    summary = RunSummary(run_id="adhoc", run_date=dt.date.today())
+    return apply_quality(store, table, spec, summary, rule_ids=rule_ids, partition_by=partition_by)
+
+
 def run_daily(spark: SparkSession, config: JobConfig, landing_dir: str, lake_root: str,
               run_date: dt.date, *, run_id: str | None = None, on_drift: str = "raise",
               policy: Mapping[str, str] | None = None, ingested_at=None,
