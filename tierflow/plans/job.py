@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import datetime as dt
 import os
+import time
 import uuid
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
@@ -29,7 +30,7 @@ from tierflow.sources.landing import list_landing_objects, source_of
 
 RULES_DIR = os.path.join(os.path.dirname(__file__), "rules")
 LEDGER_SCHEMA = ("run_id string, run_date date, seq int, step string, table_name string, status string, "
-                 "rows_in long, rows_out long, quarantined long, detail string")
+                 "rows_in long, rows_out long, quarantined long, detail string, elapsed_s double")
 
 
 @dataclass
@@ -63,10 +64,14 @@ class RunSummary:
     gold_rows: dict[str, int] = field(default_factory=dict)
     checks: list[tuple] = field(default_factory=list)
     verdict: str | None = None
+    _mark: float = field(default_factory=time.monotonic, repr=False)
 
     def log(self, step, table, status, rows_in=None, rows_out=None, quarantined=None, detail=None):
+        """Append a ledger row; ``elapsed_s`` is the wall time since the previous row."""
+        now = time.monotonic()
         self.ledger.append((self.run_id, self.run_date, len(self.ledger), step, table, status,
-                            rows_in, rows_out, quarantined, detail))
+                            rows_in, rows_out, quarantined, detail, round(now - self._mark, 3)))
+        self._mark = now
 
 
 def new_run_id(run_date: dt.date) -> str:
