@@ -202,9 +202,14 @@ def quarantine_failures(store: TableStore, layer: str, table: str, spec: Spec, *
 def run_daily(spark: SparkSession, config: JobConfig, landing_dir: str, lake_root: str,
               run_date: dt.date, *, run_id: str | None = None, on_drift: str = "raise",
               policy: Mapping[str, str] | None = None, ingested_at=None,
-              release_passing: bool = False, ledger: bool = True, incremental: bool = True) -> RunSummary:
+              release_passing: bool = False, ledger: bool = True, incremental: bool = True,
+              keep_versions: int | None = 2) -> RunSummary:
     """Run one business date end to end.
 
+    After a successful run, snapshots older than the newest
+    ``keep_versions`` are removed from silver, quarantine and gold
+    (``None`` keeps every version; bronze is append-only and never pruned).
+
     ``incremental`` (default) builds keyed silver tables from this run's
     bronze rows only and upserts them, which yields the same silver state as
     rebuilding from all bronze (later loads always win) at a cost that grows
@@ -256,6 +261,11 @@ def run_daily(spark: SparkSession, config: JobConfig, landing_dir: str, lake_roo
         summary.verdict = rc.verdict(spark.createDataFrame(rows, rc.CHECK_SCHEMA)).first()["verdict"]
         summary.log("validate", None, summary.verdict,
                     detail="; ".join(f"{n}={'ok' if ok else 'MISMATCH'}" for n, ok, _ in summary.checks))
+        if keep_versions:
+            # old full snapshots of rewritten tables are not kept forever
+            for layer in ("silver", "quarantine", "gold"):
+                for t in store.list_tables(layer):
+                    store.vacuum(layer, t, keep=keep_versions)
     except Exception as ex:
         summary.log("failure", None, "aborted", detail=f"{type(ex).__name__}: {ex}"[:500])
         raise
