@@ -41,6 +41,19 @@ def stream_bronze(spark: SparkSession, sf: str) -> DataFrame:
     return _typed(spark.read.parquet(bronze), "_run_id")
 
 
+def stream_dedupe(spark: SparkSession, sf: str) -> DataFrame:
+    """Every ``error`` event is delivered twice (a second drop re-sends them
+    unchanged); the stream keeps one copy per event id within the watermark."""
+    root = events_landing(spark, sf, work_dir(spark, "landing"), drift=False)
+    ev = load(spark, sf, "events")
+    write_landing(ev.where(F.col("event_type") == "error"), root, F.lit("events_resent.jsonl"), "ndjson")
+    base = work_dir(spark, "stream")
+    bronze = f"{base}/bronze/events"
+    _stream_bronze(spark, root, bronze, f"{base}/_checkpoints/events", EVENT_CONTRACT, RUN_ID,
+                   dedupe_keys=["event_id"], event_time="ts", watermark="31 days")
+    return _typed(spark.read.parquet(bronze)).drop("_source_file")
+
+
 # The corrections drop re-delivers every ``error`` event with
 # its value raised by one; its name sorts after the daily objects.
 CORRECTIONS = "events_corrections.jsonl"
@@ -190,6 +203,7 @@ def run_ledger(spark: SparkSession, sf: str) -> DataFrame:
 JOB_QUERIES = {
     "stream_bronze": stream_bronze,
     "stream_upsert": stream_upsert,
+    "stream_dedupe": stream_dedupe,
     "run_summary": run_summary,
     "run_ledger": run_ledger,
 }

@@ -16,6 +16,10 @@ SELECT event_id, ts, user_id, event_type,
 FROM events
 """
 
+STREAM_DEDUPE = """
+SELECT event_id, ts, user_id, event_type, value, props FROM events
+"""
+
 # customer -> orders -> lineitem after one run of the daily job
 JOB_STATE = """
 li AS (SELECT * FROM lineitem
@@ -71,6 +75,7 @@ UNION ALL SELECT 'gold.dim_date', days FROM k
 JOB_ORACLES = {
     "stream_bronze": STREAM_BRONZE,
     "stream_upsert": STREAM_UPSERT,
+    "stream_dedupe": STREAM_DEDUPE,
     "run_summary": RUN_SUMMARY,
     "run_ledger": RUN_LEDGER,
 }

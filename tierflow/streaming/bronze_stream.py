@@ -41,11 +41,26 @@ def read_stream(spark: SparkSession, landing_dir: str, contract: Sequence[str],
 
 
 def stream_bronze(spark: SparkSession, landing_dir: str, bronze_path: str, checkpoint: str,
-                  contract: Sequence[str], run_id: str, fmt: str = "ndjson") -> int:
+                  contract: Sequence[str], run_id: str, fmt: str = "ndjson", *,
+                  dedupe_keys: Sequence[str] | None = None, event_time: str | None = None,
+                  watermark: str = "2 days") -> int:
     """Run the incremental bronze load to completion; returns rows committed
-    by this run (0 when there was nothing new)."""
-    df = read_stream(spark, landing_dir, contract, fmt).withColumns({
-        "_ingested_at": F.localtimestamp(), "_run_id": F.lit(run_id)})
+    by this run (0 when there was nothing new).
+
+    With ``dedupe_keys`` and ``event_time`` (a contract column holding a
+    timestamp text), re-deliveries of the same key are dropped with
+    ``dropDuplicatesWithinWatermark``: the state keeps each key only until the
+    watermark (max event time seen minus ``watermark``) passes it, so state
+    stays bounded however long the stream runs."""
+    df = read_stream(spark, landing_dir, contract, fmt)
+    if dedupe_keys:
+        if not event_time:
+            raise ValueError("dedupe_keys needs an event_time column for the watermark")
+        df = (df.withColumn("__event_ts", F.col(event_time).try_cast("timestamp"))
+                .withWatermark("__event_ts", watermark)
+                .dropDuplicatesWithinWatermark(list(dedupe_keys))
+                .drop("__event_ts"))
+    df = df.withColumns({"_ingested_at": F.localtimestamp(), "_run_id": F.lit(run_id)})
     q = (df.writeStream.format("parquet").option("path", bronze_path)
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
