@@ -1,0 +1,19 @@
+"""Design rules checked on the physical plans of every registered query:
+no cartesian or nested-loop joins (no cross joins), no Python UDF
+evaluation (everything stays in JVM built-ins)."""
+
+import pytest
+
+import __spark_entry__ as entry
+
+SF = "/root/testdata/sf0.001"
+FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
+             "PythonUDF", "MapInPandas", "FlatMapGroupsInPandas")
+
+
+@pytest.mark.parametrize("name", sorted(entry.queries()))
+def test_plan_has_no_cross_join_or_python(spark, name):
+    df = entry.queries()[name](spark, SF)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    bad = [f for f in FORBIDDEN if f in plan]
+    assert not bad, f"{name}: {bad}"
