@@ -60,8 +60,6 @@ def dim_date(spark: SparkSession, sf: str) -> DataFrame:
     return gold.dim_date(load(spark, sf, "events").select(F.to_date("ts").alias("event_date")))
 
 
-
-
 # -- bronze-shaped views of the driver tables ----------------------------------
 # The load metadata stamped on bronze copies of the driver tables.
 LOAD_TS = "2024-02-01 06:00:00"
