@@ -88,7 +88,7 @@ def silver_orders(spark: SparkSession, sf: str) -> DataFrame:
         F.col("o_orderkey").try_cast("bigint").alias("account_id"),
         F.col("o_custkey").try_cast("bigint").alias("customer_id"),
         F.lower("o_orderpriority").alias("account_type"),
-        safe_to_date(F.substring("o_orderdate", 1, 10)).alias("opened_at"),
+        safe_to_date("o_orderdate", "yyyy-MM-dd HH:mm:ss").alias("opened_at"),
         F.lower("o_orderstatus").alias("status"),
         safe_to_double("o_totalprice").alias("balance"), F.col("_run_id"))
 
@@ -128,10 +128,10 @@ def safe_cast(spark: SparkSession, sf: str) -> DataFrame:
     b = bronze_of(load(spark, sf, "orders"), "orders_20240201.csv")
     return b.select(
         F.col("o_orderkey").try_cast("bigint").alias("o_orderkey"),
-        safe_to_double(F.substring("o_orderpriority", 1, 1)).alias("priority_num"),
+        safe_to_double(F.regexp_extract("o_orderpriority", r"^(\d+)-", 1)).alias("priority_num"),
         safe_to_double("o_orderpriority").alias("priority_as_double"),
         safe_to_double("o_totalprice").alias("totalprice"),
-        safe_to_date(F.substring("o_orderdate", 1, 10)).alias("order_date"),
+        safe_to_date("o_orderdate", "yyyy-MM-dd HH:mm:ss").alias("order_date"),
         safe_to_date("o_orderdate").alias("order_date_strict"),
         safe_to_timestamp("o_orderdate").alias("order_ts"),
         safe_to_date("o_orderstatus").alias("status_as_date"))
