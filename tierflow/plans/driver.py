@@ -44,12 +44,14 @@ def silver_events(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def kpi_daily(spark: SparkSession, sf: str) -> DataFrame:
+    """Rules -> quarantine split -> daily KPI mart over events."""
     comp = compile_rules(silver_events(spark, sf), EVENT_RULES)
     good, bad = split(comp)
     return gold.kpi_daily(good, quarantined=bad, amount_col="amount", channels=EVENT_CHANNELS)
 
 
 def channel_mix(spark: SparkSession, sf: str) -> DataFrame:
+    """A3: COUNT(*) FILTER per event type for each user."""
     ev = load(spark, sf, "events")
     return ev.groupBy("user_id").agg(
         F.count(F.lit(1)).alias("events"),
@@ -57,6 +59,7 @@ def channel_mix(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def dim_date(spark: SparkSession, sf: str) -> DataFrame:
+    """Calendar between the first and last event day."""
     return gold.dim_date(load(spark, sf, "events").select(F.to_date("ts").alias("event_date")))
 
 
@@ -73,6 +76,7 @@ def bronze_of(df: DataFrame, source_file: str) -> DataFrame:
 
 
 def silver_customer(spark: SparkSession, sf: str) -> DataFrame:
+    """M2: customer as bronze text -> latest per key -> conformed silver."""
     b = bronze_of(load(spark, sf, "customer"), "customer_20240201.csv")
     return latest(b, "c_custkey").select(
         F.col("c_custkey").try_cast("bigint").alias("customer_id"),
@@ -83,6 +87,7 @@ def silver_customer(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def silver_orders(spark: SparkSession, sf: str) -> DataFrame:
+    """M3: orders as bronze text -> latest per key -> conformed silver (accounts)."""
     b = bronze_of(load(spark, sf, "orders"), "orders_20240201.csv")
     return latest(b, "o_orderkey").select(
         F.col("o_orderkey").try_cast("bigint").alias("account_id"),
@@ -94,15 +99,18 @@ def silver_orders(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def dim_customer(spark: SparkSession, sf: str) -> DataFrame:
+    """M5: SCD1 customer dimension."""
     return gold.dim_customer(silver_customer(spark, sf))
 
 
 def dim_account(spark: SparkSession, sf: str) -> DataFrame:
+    """M6: account dimension."""
     return gold.dim_account(silver_orders(spark, sf),
                             ("account_id", "customer_id", "account_type", "opened_at", "status"))
 
 
 def fact_lookup(spark: SparkSession, sf: str) -> DataFrame:
+    """Fact rows resolve their customer through the account (left join)."""
     li = load(spark, sf, "lineitem")
     orders = load(spark, sf, "orders").select(F.col("o_orderkey").alias("account_id"),
                                               F.col("o_custkey").alias("customer_id"))
@@ -114,17 +122,20 @@ def fact_lookup(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def dedupe_latest(spark: SparkSession, sf: str) -> DataFrame:
+    """Latest row per (l_orderkey, l_linenumber)."""
     li = load(spark, sf, "lineitem")
     return latest_per_key(li, ["l_orderkey", "l_linenumber"],
                           ["l_shipdate", "l_partkey", "l_suppkey", "l_extendedprice"])
 
 
 def dedupe_composite(spark: SparkSession, sf: str) -> DataFrame:
+    """Latest event per (day, event_type)."""
     ev = load(spark, sf, "events").withColumn("event_date", F.to_date("ts"))
     return latest_per_key(ev, ["event_date", "event_type"], ["ts", "event_id"])
 
 
 def safe_cast(spark: SparkSession, sf: str) -> DataFrame:
+    """Bronze text to double/date/timestamp; bad text -> null."""
     b = bronze_of(load(spark, sf, "orders"), "orders_20240201.csv")
     return b.select(
         F.col("o_orderkey").try_cast("bigint").alias("o_orderkey"),
@@ -138,6 +149,7 @@ def safe_cast(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def conform_strings(spark: SparkSession, sf: str) -> DataFrame:
+    """Trim all whitespace, lower case, text -> boolean."""
     c = load(spark, sf, "customer")
     padded = F.concat(F.lit(" \t"), F.col("c_name"), F.lit("\n "))
     flag_text = F.when(F.col("c_acctbal") >= 0, F.lit("True")).otherwise(F.lit("FALSE"))
@@ -147,6 +159,7 @@ def conform_strings(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def late_flag(spark: SparkSession, sf: str) -> DataFrame:
+    """Date stamped in the delivering file name vs the event date."""
     li = load(spark, sf, "lineitem")
     o = load(spark, sf, "orders").select("o_orderkey", "o_orderdate")
     j = li.join(o, li["l_orderkey"] == o["o_orderkey"], "inner")
@@ -181,14 +194,17 @@ def _fx(spark: SparkSession, sf: str, fallback) -> DataFrame:
 
 
 def fx_convert(spark: SparkSession, sf: str) -> DataFrame:
+    """Direct rate join and decimal rounding."""
     return _fx(spark, sf, None)
 
 
 def fx_fallback(spark: SparkSession, sf: str) -> DataFrame:
+    """Fallback to the rate on the currency's last event day (reference code)."""
     return _fx(spark, sf, "last_row")
 
 
 def fx_fallback_known(spark: SparkSession, sf: str) -> DataFrame:
+    """W3 variant: fallback to the latest known rate (reference comment)."""
     return _fx(spark, sf, "last_known")
 
 
@@ -240,6 +256,7 @@ def _failing(comp, rule_id: str, cols) -> DataFrame:
 
 
 def lineitem_rules(spark: SparkSession, sf: str):
+    """The lineitem rule spec compiled over lineitem (FK to orders)."""
     from tierflow.operators.rules import Spec
     spec = Spec.from_dict(LINEITEM_SPEC)
     li = load(spark, sf, "lineitem")
@@ -247,6 +264,7 @@ def lineitem_rules(spark: SparkSession, sf: str):
 
 
 def dq_not_null(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents without a quality label."""
     docs = load(spark, sf, "documents").select("doc_id")
     labelled = docs.join(load(spark, sf, "labels").select("doc_id", "quality"), "doc_id", "left")
     comp = compile_rules(labelled, [{"id": "quality_not_null", "type": "not_null", "column": "quality"}])
@@ -254,24 +272,28 @@ def dq_not_null(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def dq_unique(spark: SparkSession, sf: str) -> DataFrame:
+    """Every copy of a duplicated (l_orderkey, l_linenumber)."""
     comp = compile_rules(load(spark, sf, "lineitem"),
                          [{"id": "line_unique", "type": "unique", "column": ["l_orderkey", "l_linenumber"]}])
     return _failing(comp, "line_unique", ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate"])
 
 
 def dq_allowed(spark: SparkSession, sf: str) -> DataFrame:
+    """D3: order status outside (F, O); nulls pass."""
     comp = compile_rules(load(spark, sf, "orders"), [
         {"id": "status_allowed", "type": "allowed_values", "column": "o_orderstatus", "values": ["F", "O"]}])
     return _failing(comp, "status_allowed", ["o_orderkey", "o_orderstatus"])
 
 
 def dq_range(spark: SparkSession, sf: str) -> DataFrame:
+    """Quantity outside [1, 45]; nulls pass."""
     comp = compile_rules(load(spark, sf, "lineitem"), [
         {"id": "quantity_range", "type": "range", "column": "l_quantity", "min": 1, "max": 45}])
     return _failing(comp, "quantity_range", ["l_orderkey", "l_linenumber", "l_quantity"])
 
 
 def dq_foreign_key(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders whose customer is not a solvent customer."""
     solvent = load(spark, sf, "customer").where(F.col("c_acctbal") >= 0)
     comp = compile_rules(load(spark, sf, "orders"), [
         {"id": "customer_exists", "type": "foreign_key", "column": "o_custkey", "ref": "customer",
@@ -280,6 +302,7 @@ def dq_foreign_key(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def dq_fail_when(spark: SparkSession, sf: str) -> DataFrame:
+    """SQL predicate rule over lineitem joined to orders."""
     li = load(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate")
     o = load(spark, sf, "orders").select("o_orderkey", "o_orderdate")
     j = li.join(o, li["l_orderkey"] == o["o_orderkey"], "left").drop("o_orderkey")
@@ -289,22 +312,26 @@ def dq_fail_when(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def dq_report(spark: SparkSession, sf: str) -> DataFrame:
+    """One row per rule with failed/total counts."""
     from tierflow.operators.rules import report
     return report(lineitem_rules(spark, sf), "silver.lineitem")
 
 
 def dq_samples(spark: SparkSession, sf: str) -> DataFrame:
+    """O2: first five failing rows per rule, ordered by key."""
     from tierflow.operators.rules import samples
     s = samples(lineitem_rules(spark, sf), LINEITEM_ORDER, n=5, columns=LINEITEM_OUT + ["l_shipdate", "l_extendedprice"])
     return s.select("rule_id", F.col("sample_rank").cast("long").alias("sample_rank"), *LINEITEM_OUT)
 
 
 def dq_findings(spark: SparkSession, sf: str) -> DataFrame:
+    """Failed rules only."""
     return dq_report(spark, sf).where("failed").select(
         "table", "rule_id", "rule_type", "column", "severity", "failed_rows", "total_rows")
 
 
 def dq_policy(spark: SparkSession, sf: str) -> DataFrame:
+    """Per-rule actions and the rows the policy moves."""
     from tierflow.operators.quarantine import decide
     from tierflow.operators.rules import report
     comp = lineitem_rules(spark, sf)
@@ -316,18 +343,21 @@ def dq_policy(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def reject_reason(spark: SparkSession, sf: str) -> DataFrame:
+    """Violated error rules joined by ';' in rule order."""
     comp = lineitem_rules(spark, sf)
     _, bad = split(comp, quarantined_at=F.lit(LOAD_TS))
     return bad.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "_reject_reason")
 
 
 def quarantine_split(spark: SparkSession, sf: str) -> DataFrame:
+    """Every row tagged silver or quarantine with its reason."""
     from tierflow.operators.quarantine import tag_layers
     t = tag_layers(lineitem_rules(spark, sf))
     return t.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "_layer", "_reject_reason")
 
 
 def quarantine_subset(spark: SparkSession, sf: str) -> DataFrame:
+    """The split limited to one rule id."""
     from tierflow.operators.quarantine import tag_layers
     t = tag_layers(lineitem_rules(spark, sf), rule_ids=["quantity_range"])
     return t.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "_layer", "_reject_reason")
@@ -343,11 +373,13 @@ CASCADE = [
 
 
 def cascade_frames(spark: SparkSession, sf: str):
+    """Customer -> orders -> lineitem cleaned parents first."""
     from tierflow.operators.quarantine import cascade
     return cascade([(name, load(spark, sf, name), rules) for name, rules in CASCADE])
 
 
 def fk_cascade(spark: SparkSession, sf: str) -> DataFrame:
+    """Silver and quarantine rows per table after the cascade."""
     out = cascade_frames(spark, sf)
     parts = [good.agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("silver_rows"))
              .withColumn("quarantine_rows", bad.agg(F.count(F.lit(1))).scalar())
