@@ -56,6 +56,7 @@ def _typed_events(df: DataFrame) -> DataFrame:
 
 
 def contract_drift(spark: SparkSession, sf: str) -> DataFrame:
+    """Per landing object, rows and sorted missing / unexpected names."""
     root = events_landing(spark, sf, work_dir(spark, "landing"), drift=True)
     rep = ct.inspect_ndjson(spark, root, EVENT_CONTRACT)
     return rep.select("file", "rows", F.array_join("missing", ",").alias("missing"),
@@ -63,18 +64,21 @@ def contract_drift(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def contract_align(spark: SparkSession, sf: str) -> DataFrame:
+    """Drifted objects aligned to the contract (missing -> null, extra dropped)."""
     root = events_landing(spark, sf, work_dir(spark, "landing"), drift=True)
     aligned = ct.align(read_ndjson(spark, root), EVENT_CONTRACT, keep=("_source_file",))
     return _typed_events(aligned)
 
 
 def rescued_columns(spark: SparkSession, sf: str) -> DataFrame:
+    """Unexpected keys kept as a JSON object in _rescued_data."""
     root = events_landing(spark, sf, work_dir(spark, "landing"), drift=True)
     r = ct.rescue(read_ndjson(spark, root), EVENT_CONTRACT, keep=("_source_file",))
     return r.select(F.col("event_id").try_cast("bigint").alias("event_id"), "_rescued_data", "_source_file")
 
 
 def json_map_explode(spark: SparkSession, sf: str) -> DataFrame:
+    """One {date, rates_to_bob} document per day -> one row per map entry."""
     rates = derived_rates(spark, sf)
     docs = rates.groupBy("rate_date").agg(
         F.map_from_entries(F.collect_list(F.struct("currency", "rate_to_bob"))).alias("rates_to_bob"))
@@ -89,6 +93,7 @@ def json_map_explode(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def landing_inventory(spark: SparkSession, sf: str) -> DataFrame:
+    """Landing objects with their source, date stamp and format."""
     root = events_landing(spark, sf, work_dir(spark, "landing"), drift=False)
     files = list_landing_files(spark, root)
     return files.select("file_name").distinct().select(
@@ -105,6 +110,7 @@ def _orders_landing(spark: SparkSession, sf: str, root: str) -> str:
 
 
 def bronze_csv(spark: SparkSession, sf: str) -> DataFrame:
+    """CSV objects with header read as verbatim text, typed back."""
     root = _orders_landing(spark, sf, work_dir(spark, "landing"))
     b = read_csv(spark, root)
     return b.select(F.col("o_orderkey").try_cast("bigint").alias("o_orderkey"),
@@ -115,6 +121,7 @@ def bronze_csv(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def bronze_json(spark: SparkSession, sf: str) -> DataFrame:
+    """NDJSON objects as verbatim text plus lineage columns."""
     root = events_landing(spark, sf, work_dir(spark, "landing"), drift=False)
     b = ct.align(read_ndjson(spark, root), EVENT_CONTRACT, keep=("_source_file",))
     return add_lineage(b, source_file=F.col("_source_file"), run_id=RUN_ID, ingested_at=LOAD_TS)
@@ -133,6 +140,7 @@ def bronze_lineage(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def sql_views(spark: SparkSession, sf: str) -> DataFrame:
+    """SQL over <layer>_<table> views of the snapshot store."""
     store = TableStore(spark, work_dir(spark, "lake"))
     store.write("silver", "customer", silver_customer(spark, sf), mode="overwrite")
     store.write("silver", "orders", silver_orders(spark, sf), mode="overwrite")
@@ -149,6 +157,7 @@ DAY2_FROM = "1997-01-01"
 
 
 def merge_upsert(spark: SparkSession, sf: str) -> DataFrame:
+    """Two overlapping deliveries upserted on the key."""
     o = load(spark, sf, "orders")
     day1 = o.where(F.col("o_orderdate") < F.lit(DAY1_BEFORE).cast("timestamp_ntz")) \
         .withColumn("_run_id", F.lit("run-1"))
@@ -180,6 +189,7 @@ def merge_upsert_partitioned(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def snapshot_overwrite(spark: SparkSession, sf: str) -> DataFrame:
+    """K3: overwrite of a table that is being read, as a new snapshot."""
     store = TableStore(spark, work_dir(spark, "lake"))
     store.write("silver", "orders", load(spark, sf, "orders"), mode="overwrite")
     v1 = store.read("silver", "orders")
@@ -196,6 +206,7 @@ RELOAD_TS = "2024-02-02 06:00:00"
 
 
 def silver_customers(spark: SparkSession, sf: str) -> DataFrame:
+    """Two loads; the later one wins per key, then conformed."""
     c = load(spark, sf, "customer")
     first = bronze_of(c, "customer_20240201.csv")
     again = c.where(F.col("c_mktsegment") == RELOAD_SEGMENT).withColumn(
@@ -210,6 +221,7 @@ def silver_customers(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def silver_accounts(spark: SparkSession, sf: str) -> DataFrame:
+    """M3: orders as the account silver table."""
     return silver_orders(spark, sf)
 
 
@@ -229,6 +241,7 @@ def bank_bronze_events(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def silver_transactions(spark: SparkSession, sf: str) -> DataFrame:
+    """M4: latest per key, casts, late flag and FX with fallback."""
     return sv.build_transactions(bank_bronze_events(spark, sf), derived_rates(spark, sf), "last_row")
 
 
@@ -256,25 +269,30 @@ def _row_checks(raw, out):
 
 
 def recon_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Distinct bronze keys = silver rows + quarantine rows, per table."""
     raw, out, _ = cascade_state(spark, sf)
     return rc.combine(_row_checks(raw, out))
 
 
 def recon_amount(spark: SparkSession, sf: str) -> DataFrame:
+    """Rounded amount equal in silver and the fact."""
     _, out, fact = cascade_state(spark, sf)
     return rc.amount_conservation("fact", out["lineitem"][0], fact, "l_extendedprice", "amount_orig")
 
 
 def recon_orphans(spark: SparkSession, sf: str) -> DataFrame:
+    """Facts without a customer."""
     _, _, fact = cascade_state(spark, sf)
     return rc.no_orphans("fact", fact, "customer_id")
 
 
 def recon_baseline(spark: SparkSession, sf: str) -> DataFrame:
+    """Worst daily flagged share against expected x tolerance."""
     return rc.kpi_baseline("fraud_rate", kpi_daily(spark, sf), "fraud_flag_rate_pct", 0.5, 3.0)
 
 
 def recon_report(spark: SparkSession, sf: str) -> DataFrame:
+    """All checks as (name, ok, detail) rows."""
     raw, out, fact = cascade_state(spark, sf)
     return rc.combine([*_row_checks(raw, out),
                        rc.amount_conservation("fact", out["lineitem"][0], fact, "l_extendedprice", "amount_orig"),
@@ -283,6 +301,7 @@ def recon_report(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def recon_verdict(spark: SparkSession, sf: str) -> DataFrame:
+    """Pass / pass_with_warnings / fail with the explanation."""
     return rc.verdict(recon_report(spark, sf))
 
 
