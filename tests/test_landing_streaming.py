@@ -110,3 +110,17 @@ def test_ingest_source_mixed_headers_counts_per_file(spark, tmp_root):
     b = {r["account_id"]: r for r in store.read("bronze", "accounts").collect()}
     assert b["A3"]["status"] == "dormant" and b["A3"]["account_type"] is None   # bound by name, not position
     assert b["A3"]["_source_file"] == "accounts_20260702.csv"
+
+
+def test_stream_bronze_csv(spark, tmp_root):
+    d = tempfile.mkdtemp(prefix="tierflow-stream-csv-")
+    with open(os.path.join(d, "accounts_20260701.csv"), "w") as fh:
+        fh.write("account_id,status\nA1,active\nA2,closed\n")
+    bronze, ck = f"{tmp_root}/bronze_csv", f"{tmp_root}/ck_csv"
+    stream_bronze(spark, d, bronze, ck, ["account_id", "status"], "r1", fmt="csv")
+    with open(os.path.join(d, "accounts_20260702.csv"), "w") as fh:
+        fh.write("account_id,status\nA3,dormant\n")
+    stream_bronze(spark, d, bronze, ck, ["account_id", "status"], "r2", fmt="csv")   # only the new file
+    b = {r["account_id"]: (r["status"], r["_run_id"], r["_source_file"]) for r in spark.read.parquet(bronze).collect()}
+    assert b == {"A1": ("active", "r1", "accounts_20260701.csv"), "A2": ("closed", "r1", "accounts_20260701.csv"),
+                 "A3": ("dormant", "r2", "accounts_20260702.csv")}
