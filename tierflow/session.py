@@ -52,9 +52,9 @@ def get_spark(master: str | None = None, app: str = "tierflow",
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
-    Only when the session has none (local tests) is a scratch folder created
-    and registered, so lineage cuts and written tables always land in a
-    location every executor can reach.
+    Only a session with a local master (tests) gets a scratch folder when none
+    is set; on a cluster a missing setting is an error, because a folder of the
+    driver's own disk could not be seen by the executors.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir()
@@ -62,6 +62,8 @@ def shared_dir(spark: SparkSession) -> str:
         d = sc.getConf().get("spark.checkpoint.dir", None)
         if d:
             sc.setCheckpointDir(d)
+    if not d and not sc.master.startswith("local["):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     if not d:
         d = tempfile.mkdtemp(prefix="tierflow-ckpt-")
         sc.setCheckpointDir(d)
