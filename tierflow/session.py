@@ -62,7 +62,7 @@ def shared_dir(spark: SparkSession) -> str:
         d = sc.getConf().get("spark.checkpoint.dir", None)
         if d:
             sc.setCheckpointDir(d)
-    if not d and not sc.master.startswith("local["):
+    if not d and sc.master != "local" and not sc.master.startswith("local["):
         raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     if not d:
         d = tempfile.mkdtemp(prefix="tierflow-ckpt-")
