@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tierflow.llm.pii import BASE_KINDS, pii_spans, span_digest, spans_of
 from tierflow.llm.runtime import prepare
 from tierflow.llm.simhash import simhash_dedup
 
@@ -21,8 +22,17 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "component_id")
 
 
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii_spans(_table(spark, sf_dir, "documents"))
+    counts = [F.size(spans_of(F.col("spans"), k)).cast("long").alias(f"n_{k}") for k in BASE_KINDS]
+    return found.select(F.col("id").alias("doc_id"), *counts,
+                        F.sha2(span_digest(spans_of(F.col("spans"), *BASE_KINDS)), 256).alias("base_sha256"),
+                        span_digest(F.col("spans")).alias("spans"))
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_simhash": op5_simhash,
+    "op10_pii": op10_pii,
 }
 
 
