@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tierflow.llm.pii import BASE_KINDS, pii_spans, span_digest, spans_of
 from tierflow.llm.runtime import prepare
 from tierflow.llm.simhash import simhash_dedup
+from tierflow.llm.tokens import write_tokens
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,6 +23,19 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "component_id")
 
 
+def token_rows(docs: DataFrame) -> DataFrame:
+    """Write the tokens of ``docs``, find every document through the index and
+    read it back."""
+    import public_tokenizers
+    made = write_tokens(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+    return made.read(made.locate(made.keys()), digest=True).select(
+        F.col("id").alias("doc_id"), "start", "n_tokens", "ids_crc32")
+
+
+def op9_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_rows(_table(spark, sf_dir, "documents"))
+
+
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii_spans(_table(spark, sf_dir, "documents"))
     counts = [F.size(spans_of(F.col("spans"), k)).cast("long").alias(f"n_{k}") for k in BASE_KINDS]
@@ -32,6 +46,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_simhash": op5_simhash,
+    "op9_tokens": op9_tokens,
     "op10_pii": op10_pii,
 }
 
