@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tierflow.llm.langid import fit_languages, identify
 from tierflow.llm.pii import BASE_KINDS, pii_spans, span_digest, spans_of
-from tierflow.llm.runtime import prepare
+from tierflow.llm.runtime import held_out, learnable, prepare
 from tierflow.llm.simhash import simhash_dedup
 from tierflow.llm.tokens import write_tokens
 
@@ -23,6 +24,14 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "component_id")
 
 
+def op8_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = fit_languages(docs.filter(learnable(F.col("doc_id"))))
+    return identify(docs, model).select(
+        F.col("id").alias("doc_id"), held_out(F.col("id")).alias("held_out"), F.col("lang").alias("lang_pred"),
+        "score", "rejected")
+
+
 def token_rows(docs: DataFrame) -> DataFrame:
     """Write the tokens of ``docs``, find every document through the index and
     read it back."""
@@ -46,6 +55,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_simhash": op5_simhash,
+    "op8_langid": op8_langid,
     "op9_tokens": op9_tokens,
     "op10_pii": op10_pii,
 }
