@@ -12,12 +12,20 @@ from tierflow.llm.pii import BASE_KINDS, pii_spans, span_digest, spans_of
 from tierflow.llm.runtime import held_out, learnable, prepare
 from tierflow.llm.simhash import simhash_dedup
 from tierflow.llm.tokens import write_tokens
+from tierflow.llm.toxicity import fit_chain, score_toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    labels = _table(spark, sf_dir, "labels").filter(learnable(F.col("doc_id")))
+    return score_toxicity(docs, fit_chain(docs, labels)).select(
+        F.col("id").alias("doc_id"), held_out(F.col("id")).alias("held_out"), "score", "toxic", "categories")
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = simhash_dedup(_table(spark, sf_dir, "documents"), shingle=4, max_bits=4)
     return out.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
@@ -54,6 +62,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_toxicity": op2_toxicity,
     "op5_simhash": op5_simhash,
     "op8_langid": op8_langid,
     "op9_tokens": op9_tokens,

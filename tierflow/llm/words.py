@@ -90,7 +90,7 @@ class Piece:
         p = powers(n)
         for k in range(n):
             h += (self.cp[self.start[at] + k].astype(np.uint64) + np.uint64(1)) * p[k]
-        return at, mix(h + np.uint64(n) * _BASE)
+        return at, mix(h + powers(2)[1] * np.uint64(1) ^ np.uint64(n))
 
     def words_per_doc(self) -> np.ndarray:
         return np.bincount(self.doc, minlength=self.n)
