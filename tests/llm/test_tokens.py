@@ -41,6 +41,18 @@ def test_encoder_any_text(text):
     assert ids(Encoder.of(PATH).encode([text])[0]) == plain(text)
 
 
+@settings(max_examples=500, deadline=None)
+@given(st.text(alphabet="abZÉñßİ\u0301.,!'`_<|>19 \n", max_size=30))
+def test_encoder_letters_and_punctuation(text):
+    assert ids(Encoder.of(PATH).encode([text])[0]) == plain(text)
+
+
+def test_encoder_every_simple_character():
+    for c in map(chr, range(1, 0x250)):
+        for text in (c, f"a{c}", f"{c}.", f"{c}b"):
+            assert ids(Encoder.of(PATH).encode([text])[0]) == plain(text), text
+
+
 def test_cache_starts_anew(monkeypatch):
     import tierflow.llm.tokens as t
     monkeypatch.setattr(t, "CACHE_WORDS", 5)

@@ -9,8 +9,10 @@ index probe and one ranged read.
 
 from __future__ import annotations
 
+import re
 import uuid
 import zlib
+from array import array
 from dataclasses import dataclass
 
 import numpy as np
@@ -38,18 +40,35 @@ def open_folder(uri: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(uri)
 
 
+# letters whose composed and lower-case forms are single letters, then punctuation without the apostrophe
+_SIMPLE = re.compile(r"([A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u012F\u0131-\u024F]*)([!-&(-/:-@\[-`{-~]*)")
+
+
+def _byte_letters() -> dict[int, int]:
+    """How a byte-level vocabulary spells bytes: printable ones as they are,
+    the others, in order, as the characters from 256 on."""
+    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    rest = (b for b in range(256) if b not in plain)
+    return {b: 256 + i for i, b in enumerate(rest)}
+
+
 class Encoder:
-    """Ids of whole texts by a public tokenizer file.
+    """Ids of whole texts by a public tokenizer file (lower-casing byte-level
+    BPE that drops white space).
 
-    The tokenizer turns white space into one space and drops it, so a text's
-    ids are those of its space-separated parts, one after another; parts seen
-    before are not encoded again.
+    A text's ids are those of its space-separated parts, one after another, and
+    parts seen before are not encoded again. Nor need the whole tokenizer run
+    for a part of letters and then punctuation: its pre-tokenizer cuts exactly
+    there, so the BPE model gets the two halves directly.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
+        self.letters = _byte_letters()
         self.known: dict[str, bytes] = {}
+        self.halves: dict[str, bytes] = {"": b""}
 
     @classmethod
     def of(cls, path: str) -> "Encoder":
@@ -59,17 +78,34 @@ class Encoder:
             _LOADED[path] = cls(path)
         return _LOADED[path]
 
+    def _half(self, piece: str) -> bytes:
+        got = self.halves.get(piece)
+        if got is None:
+            spelt = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.letters)
+            got = self.halves[piece] = array("I", [t.id for t in self.model.tokenize(spelt)]).tobytes()
+        return got
+
+    def _learn(self, new: list[str]) -> None:
+        odd = []
+        for w in new:
+            m = _SIMPLE.fullmatch(w)
+            if m:
+                self.known[w] = self._half(m[1].lower()) + self._half(m[2])
+            else:
+                odd.append(w)
+        for a in range(0, len(odd), 4096):
+            some = odd[a:a + 4096]
+            for w, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
+                self.known[w] = array("I", e.ids).tobytes()
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text, without special ids."""
         parts = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
-        new = list({w for p in parts for w in p} - self.known.keys())
+        new = {w for p in parts for w in p} - self.known.keys()
         if len(self.known) + len(new) > CACHE_WORDS:
-            self.known = {}
-            new = list({w for p in parts for w in p})
-        for a in range(0, len(new), 4096):
-            some = new[a:a + 4096]
-            for w, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
-                self.known[w] = np.array(e.ids, "<u4").tobytes()
+            self.known, self.halves = {}, {"": b""}
+            new = {w for p in parts for w in p}
+        self._learn(list(new))
         known = self.known
         return [b"".join([known[w] for w in p]) for p in parts]
 
