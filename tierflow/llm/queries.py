@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tierflow.llm.langid import fit_languages, identify
 from tierflow.llm.pii import BASE_KINDS, pii_spans, span_digest, spans_of
+from tierflow.llm.quality import fit_quality, score_quality
 from tierflow.llm.runtime import held_out, learnable, prepare
 from tierflow.llm.simhash import simhash_dedup
 from tierflow.llm.tokens import write_tokens
@@ -26,6 +27,14 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("id").alias("doc_id"), held_out(F.col("id")).alias("held_out"), "score", "toxic", "categories")
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    labels = _table(spark, sf_dir, "labels").filter(learnable(F.col("doc_id")))
+    return score_quality(docs, fit_quality(docs, labels)).select(
+        F.col("id").alias("doc_id"), held_out(F.col("id")).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"), "n_passages", "top_weight")
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = simhash_dedup(_table(spark, sf_dir, "documents"), shingle=4, max_bits=4)
     return out.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
@@ -63,6 +72,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_toxicity": op2_toxicity,
+    "op3_quality": op3_quality,
     "op5_simhash": op5_simhash,
     "op8_langid": op8_langid,
     "op9_tokens": op9_tokens,
