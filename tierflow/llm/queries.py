@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tierflow.llm.decontam import contaminated
 from tierflow.llm.langid import fit_languages, identify
 from tierflow.llm.pii import BASE_KINDS, pii_spans, span_digest, spans_of
 from tierflow.llm.quality import fit_quality, score_quality
@@ -41,6 +42,11 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "component_id")
 
 
+def op6_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.select(F.col("id").alias("doc_id"), F.explode("matches").alias("m")).select("doc_id", "m.*")
+
+
 def op8_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     model = fit_languages(docs.filter(learnable(F.col("doc_id"))))
@@ -74,6 +80,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_toxicity": op2_toxicity,
     "op3_quality": op3_quality,
     "op5_simhash": op5_simhash,
+    "op6_decontam": op6_decontam,
     "op8_langid": op8_langid,
     "op9_tokens": op9_tokens,
     "op10_pii": op10_pii,
