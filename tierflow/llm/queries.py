@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierflow.llm.decontam import contaminated
 from tierflow.llm.langid import fit_languages, identify
+from tierflow.llm.mixing import mix_sources
 from tierflow.llm.pii import BASE_KINDS, pii_spans, span_digest, spans_of
 from tierflow.llm.quality import fit_quality, score_quality
 from tierflow.llm.runtime import held_out, learnable, prepare
@@ -36,6 +37,26 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= 0.5).cast("int").alias("predicted"), "n_passages", "top_weight")
 
 
+#: Four fifths of the tokens there are; at each level small branches count more
+#: than in proportion; a document is read four times at most.
+MIX_FRACTION, MIX_ALPHA, MIX_EPOCHS = 0.8, 0.7, 4
+
+
+def mix_levels() -> dict[str, Column]:
+    """The tree over ``documents``: families of five sources, language, source."""
+    number = F.regexp_extract("source", "([0-9]+)$", 1).try_cast("int")
+    return {"domain": F.concat(F.lit("family"), F.floor(number / 5).cast("string")), "lang": F.col("lang"),
+            "source": F.col("source")}
+
+
+def mixed(docs: DataFrame) -> DataFrame:
+    return mix_sources(docs, mix_levels(), fraction=MIX_FRACTION, alpha=MIX_ALPHA, max_epochs=MIX_EPOCHS)
+
+
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixed(_table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = simhash_dedup(_table(spark, sf_dir, "documents"), shingle=4, max_bits=4)
     return out.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
@@ -79,6 +100,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_toxicity": op2_toxicity,
     "op3_quality": op3_quality,
+    "op4_mixing": op4_mixing,
     "op5_simhash": op5_simhash,
     "op6_decontam": op6_decontam,
     "op8_langid": op8_langid,
