@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tierflow.llm.decontam import contaminated
 from tierflow.llm.langid import fit_languages, identify
+from tierflow.llm.lm_score import fit_pair, score_documents
 from tierflow.llm.mixing import mix_sources
 from tierflow.llm.pii import BASE_KINDS, pii_spans, span_digest, spans_of
 from tierflow.llm.quality import fit_quality, score_quality
@@ -22,6 +23,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    target = _table(spark, sf_dir, "labels").filter("quality = 1 and toxic = 0")
+    return score_documents(docs, fit_pair(docs, target)).withColumnRenamed("id", "doc_id")
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     labels = _table(spark, sf_dir, "labels").filter(learnable(F.col("doc_id")))
@@ -98,6 +105,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_lm_score": op1_lm_score,
     "op2_toxicity": op2_toxicity,
     "op3_quality": op3_quality,
     "op4_mixing": op4_mixing,
