@@ -11,6 +11,7 @@ from tierflow.llm.decontam import contaminated
 from tierflow.llm.langid import fit_languages, identify
 from tierflow.llm.lm_score import fit_pair, score_documents
 from tierflow.llm.mixing import mix_sources
+from tierflow.llm.multi_index import near_vectors
 from tierflow.llm.pii import BASE_KINDS, pii_spans, span_digest, spans_of
 from tierflow.llm.quality import fit_quality, score_quality
 from tierflow.llm.runtime import held_out, learnable, prepare
@@ -75,6 +76,10 @@ def op6_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), F.explode("matches").alias("m")).select("doc_id", "m.*")
 
 
+def op7_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(_table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
+
+
 def op8_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     model = fit_languages(docs.filter(learnable(F.col("doc_id"))))
@@ -111,6 +116,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_mixing": op4_mixing,
     "op5_simhash": op5_simhash,
     "op6_decontam": op6_decontam,
+    "op7_multi_index": op7_multi_index,
     "op8_langid": op8_langid,
     "op9_tokens": op9_tokens,
     "op10_pii": op10_pii,
