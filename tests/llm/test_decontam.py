@@ -118,6 +118,9 @@ def test_odd_rows(spark, monkeypatch):
     assert run() == want
     kept = keep_uncontaminated(df, items)
     assert kept.columns == df.columns and sorted(x.doc_id for x in kept.collect()) == [2, 3, 6, 7]
+    clean_null = df.unionByName(df.filter("doc_id = 6").withColumn("doc_id", F.lit(None).cast("bigint")))
+    assert sorted(str(x.doc_id) for x in keep_uncontaminated(clean_null, items).collect()) == ["2", "3", "6", "7", "None"]
     assert contaminated(df.limit(0), items).count() == 0 and contaminated(df, items.limit(0)).count() == 0
     monkeypatch.setattr(d, "ITEMS_A_PASS", 2)
     assert sorted((k, m) for k, ms in run() for m in ms if m) == sorted((k, m) for k, ms in want for m in ms if m)
+    assert sorted(x.doc_id for x in keep_uncontaminated(df, items).collect()) == [2, 3, 6, 7]

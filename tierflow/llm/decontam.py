@@ -180,34 +180,37 @@ def _shingles_of(texts, cols):
     return {"h": np.concatenate(out) if out else []}
 
 
+def _passes(items: DataFrame, item_col: str, item_text_col: str) -> list:
+    """Broadcast indexes that hold all items, ``ITEMS_A_PASS`` or so each."""
+    spark = items.sparkSession
+    bench = items.select(F.col(item_col).alias("item_id"), F.col(item_text_col).alias("text")).filter(F.col("text").isNotNull())
+    n_items = bench.count()
+    shared = {r["h"] % (1 << 64): r["n"] for r in map_texts(bench.select("text"), _shingles_of, "h bigint").groupBy("h").agg(
+        F.count("*").alias("n")).filter("n > 1").collect()}
+    passes, out = max(1, -(-n_items // ITEMS_A_PASS)), []
+    for k in range(passes):
+        part = bench.filter(F.pmod(F.xxhash64("text", "item_id"), F.lit(passes)) == k)
+        got = sorted(part.collect(), key=lambda r: (r["item_id"] is not None, r["item_id"], r["text"]))
+        out.append(spark.sparkContext.broadcast(Benchmark([r["item_id"] for r in got], [r["text"] for r in got], shared, n_items)))
+    return out
+
+
 def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  item_col: str = "item_id", item_text_col: str = "text", similarity: float = SIMILARITY) -> DataFrame:
     """``(id, matches array<struct<item_id, similarity, first_word>>)``: the rows
     of ``docs`` that hold a window at least ``similarity`` similar to an item.
 
-    Every row of ``docs`` that matches gives one row (repeats repeat, null ids
-    stay); matches are ordered by item. Null and empty texts, and items without
+    Every row of ``docs`` that matches gives one row in each pass (repeats
+    repeat, null ids stay); matches are ordered by item. Null and empty texts, and items without
     a word, match nothing; repeated items match each under its id. Items are
     read in passes of ``ITEMS_A_PASS`` by a hash of their text, which bounds what
     is broadcast; an empty table on either side gives an empty result.
     """
-    spark = docs.sparkSession
     kind = docs.schema[id_col].dataType.simpleString()
-    item_kind = items.schema[item_col].dataType.simpleString()
-    bench = items.select(F.col(item_col).alias("item_id"), F.col(item_text_col).alias("text")).filter(F.col("text").isNotNull())
-    n_items = bench.count()
-    shared = {r["h"]: r["n"] for r in map_texts(bench.select("text"), _shingles_of, "h bigint").groupBy("h").agg(
-        F.count("*").alias("n")).filter("n > 1").collect()}
-    shared = {k % (1 << 64): v for k, v in shared.items()}
-    passes = max(1, -(-n_items // ITEMS_A_PASS))
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    match = f"array<struct<item_id:{item_kind},similarity:double,first_word:int>>"
+    match = f"array<struct<item_id:{items.schema[item_col].dataType.simpleString()},similarity:double,first_word:int>>"
     out = None
-    for k in range(passes):
-        part = bench.filter(F.pmod(F.xxhash64("text", "item_id"), F.lit(passes)) == k)
-        got = sorted(part.collect(), key=lambda r: (r["item_id"] is not None, r["item_id"], r["text"]))
-        index = spark.sparkContext.broadcast(Benchmark([r["item_id"] for r in got], [r["text"] for r in got], shared, n_items))
-
+    for index in _passes(items, item_col, item_text_col):
         def search(texts, cols, index=index):
             import pyarrow as pa
             b = index.value
@@ -223,9 +226,22 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
     return out
 
 
-def keep_uncontaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                        similarity: float = SIMILARITY) -> DataFrame:
-    """The rows of ``docs``, with all their columns, without the ids that
-    ``contaminated`` finds; rows with a null id go by their own text."""
-    hits = contaminated(docs, items, id_col, text_col, similarity=similarity)
-    return docs.join(hits.select(F.col("id").alias("__hit")).distinct(), F.col(id_col).eqNullSafe(F.col("__hit")), "left_anti")
+def keep_uncontaminated(docs: DataFrame, items: DataFrame, text_col: str = "text", item_col: str = "item_id",
+                        item_text_col: str = "text", similarity: float = SIMILARITY) -> DataFrame:
+    """The rows of ``docs``, with all their columns, whose own text holds no
+    window that ``contaminated`` would report."""
+    from pyspark.sql.functions import pandas_udf
+    out = docs
+    for index in _passes(items, item_col, item_text_col):
+        @pandas_udf("boolean")
+        def clean(texts, index=index):
+            import pandas as pd
+
+            from tierflow.llm.runtime import pieces
+            texts = [t or "" for t in texts]
+            ok = np.ones(len(texts), bool)
+            for a, z in pieces(texts):
+                ok[[a + doc for doc, *_ in index.value.find(texts[a:z], similarity)]] = False
+            return pd.Series(ok)
+        out = out.filter(clean(F.col(text_col)))
+    return out

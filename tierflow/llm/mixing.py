@@ -74,20 +74,10 @@ def epoch_order(seed: int, epoch, *columns) -> Column:
     return F.shiftrightunsigned(F.xxhash64(F.lit(seed), epoch, *columns), 1)
 
 
-def mix_sources(docs: DataFrame, levels: Mapping[str, Column], fraction: float | None = None, total: int | None = None,
+def _reads(docs: DataFrame, levels: Mapping[str, Column], fraction: float | None = None, total: int | None = None,
                 weights: Mapping[tuple[str, ...], float] | None = None, alpha: float = 1.0, max_epochs: int = 4,
                 seed: int = 17, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(id, <levels>, epoch, n_tokens)``: each document as often as it is read.
-
-    ``total`` tokens (or ``fraction`` of those there are) are budgeted over the
-    tree of ``levels``; a token is a run of other than white space. A leaf with
-    budget B reads B // tokens whole epochs, then of one more epoch, in its
-    order, every document that begins before the budget ends. Null levels are a
-    value of their own, ``(none)``; null and empty texts have no tokens and come
-    with whole epochs; rows with a null id, and repeated rows, count like any
-    other (rows that are alike in all have one place, in any order). An empty
-    table gives an empty result; more than ``MAX_LEAVES`` leaves are refused.
-    """
+    """What ``mix_sources`` reads, with levels as ``level0`` ... and ``tie``, a hash of the text."""
     spark = docs.sparkSession
     if (fraction is None) == (total is None):
         raise ValueError("give either a fraction or a total")
@@ -120,8 +110,41 @@ def mix_sources(docs: DataFrame, levels: Mapping[str, Column], fraction: float |
     inner = ended.filter("bucket < last")
     edge = ended.filter("bucket = last").withColumn("at", F.col("before") - F.col("n_tokens") + F.sum("n_tokens").over(
         Window.partitionBy(*keys).orderBy("place", "id", "tie").rowsBetween(Window.unboundedPreceding, 0)))
-    columns = ["id", *keys, F.col("whole").alias("epoch"), "n_tokens"]
+    columns = ["id", *keys, F.col("whole").alias("epoch"), "n_tokens", "tie"]
     partial = inner.select(*columns).unionByName(edge.filter("at < part").select(*columns))
-    again = placed.filter("whole > 0").select("id", *keys, F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("whole") - 1)).alias("epoch"), "n_tokens")
-    out = again.unionByName(partial)
-    return out.select(F.col("id").cast(kind), *[F.col(k).alias(n) for n, k in zip(names, keys)], F.col("epoch").cast("int"), "n_tokens")
+    again = placed.filter("whole > 0").select("id", *keys, F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("whole") - 1)).alias("epoch"), "n_tokens", "tie")
+    return again.unionByName(partial).withColumns({"id": F.col("id").cast(kind), "epoch": F.col("epoch").cast("int")})
+
+
+def mix_sources(docs: DataFrame, levels: Mapping[str, Column], **options) -> DataFrame:
+    """``(id, <levels>, epoch, n_tokens)``: each document as often as it is read.
+
+    Options: ``fraction`` or ``total``, ``weights``, ``alpha`` (of weights not
+    given), ``max_epochs``, ``seed``, ``id_col``, ``text_col``. ``total`` tokens (or ``fraction`` of those there are) are budgeted over the
+    tree of ``levels``; a token is a run of other than white space. A leaf with
+    budget B reads B // tokens whole epochs, then of one more epoch, in its
+    order, every document that begins before the budget ends. Null levels are a
+    value of their own, ``(none)``; null and empty texts have no tokens and come
+    with whole epochs; rows with a null id, and repeated rows, count like any
+    other (rows that are alike in all have one place, in any order). An empty
+    table gives an empty result; more than ``MAX_LEAVES`` leaves are refused.
+    """
+    reads = _reads(docs, levels, **options)
+    return reads.select("id", *[F.col(f"level{i}").alias(n) for i, n in enumerate(levels)], "epoch", "n_tokens")
+
+
+def take_mix(docs: DataFrame, levels: Mapping[str, Column], id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The rows of ``docs``, with all their columns, each as often as
+    ``mix_sources`` reads it. Rows alike in id, levels and text count as one
+    document that is read as often as all of them."""
+    reads = _reads(docs, levels, id_col=id_col, text_col=text_col, **options)
+    names = [f"level{i}" for i in range(len(levels))]
+    times = written(reads.groupBy("id", *names, "tie").agg(F.count("*").alias("times")), "reads")
+    lead = "__" + "_".join(docs.columns)
+    own = {f"{lead}_{n}": F.coalesce(c.cast("string"), F.lit(NONE)) for n, c in zip(names, levels.values())}
+    marked = docs.withColumns({**own, f"{lead}_tie": F.xxhash64(F.col(text_col))}).dropDuplicates([id_col, *own, f"{lead}_tie"])
+    same = marked[id_col].eqNullSafe(times.id) & (marked[f"{lead}_tie"] == times.tie)
+    for n in names:
+        same &= marked[f"{lead}_{n}"] == times[n]
+    joined = marked.join(times, same).select(*[marked[c] for c in docs.columns], times.times.alias(f"{lead}_times"))
+    return joined.withColumn(f"{lead}_nth", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col(f"{lead}_times")))).select(*docs.columns)

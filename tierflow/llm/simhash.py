@@ -48,15 +48,16 @@ def fingerprint(text: str, shingle: int = 4, seed: int = 42) -> int:
 
 
 def _fingerprints(texts, cols, shingle, seed):
-    return {"id": cols["id"], "fp": [fingerprint(t, shingle, seed) for t in texts]}
+    return {"id": cols["id"], "tie": cols["tie"], "fp": [fingerprint(t, shingle, seed) for t in texts]}
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  shingle: int = 4, seed: int = 42) -> DataFrame:
-    """``(id, fp bigint)`` per row; a null text counts as empty."""
+    """``(id, tie, fp bigint)`` per row; a null text counts as empty. ``tie`` is
+    a hash of the text as it is, to tell rows of one id apart."""
     kind = docs.schema[id_col].dataType.simpleString()
-    return map_texts(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")),
-                     _fingerprints, f"id {kind}, fp bigint", shingle=shingle, seed=seed)
+    return map_texts(docs.select(F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("tie"), F.col(text_col).alias("text")),
+                     _fingerprints, f"id {kind}, tie bigint, fp bigint", shingle=shingle, seed=seed)
 
 
 def _segment(x, segment: int) -> "F.Column":
@@ -105,7 +106,8 @@ def near_links(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
 
 def simhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4,
                   max_bits: int = MAX_BITS, seed: int = 42) -> DataFrame:
-    """``(id, fp bigint, component_id, kept)`` for every row of ``docs``.
+    """``(id, tie, fp bigint, root, component_id, kept)`` for every row of ``docs``;
+    ``root`` is the smallest fingerprint of the group.
 
     Rows with one fingerprint, or fingerprints at most ``max_bits`` apart, are
     linked; ``component_id`` is the smallest id that links reach and ``kept``
@@ -121,6 +123,20 @@ def simhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     rooted = distinct.join(roots, distinct.fp == roots.node, "left").select(
         "fp", F.coalesce("root", "fp").alias("root"), "low")
     lows = written(rooted.groupBy("root").agg(F.min("low").alias("component_id")), "lows")
-    classes = written(written(rooted, "rooted").join(lows, "root").select("fp", "component_id"), "classes")
+    classes = written(written(rooted, "rooted").join(lows, "root").select("fp", "root", "component_id"), "classes")
     return marked.join(classes, "fp").select(
-        "id", "fp", "component_id", F.coalesce(F.col("id") == F.col("component_id"), F.lit(False)).alias("kept"))
+        "id", "tie", "fp", "root", "component_id", F.coalesce(F.col("id") == F.col("component_id"), F.lit(False)).alias("kept"))
+
+
+def keep_one_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The rows of ``docs``, with all their columns, of which each group of
+    near-duplicates keeps one: a row with the group's smallest id (of several,
+    the one whose text hashes lowest; of rows alike in both, any). Rows with a
+    null id cannot stand for a group and are all kept. ``options`` go to
+    ``simhash_dedup``."""
+    key, tie = F.col(id_col), "__" + "_".join(docs.columns) + "_tie"
+    keep = simhash_dedup(docs, id_col, text_col, **options).filter("kept").groupBy("root", "id").agg(F.min("tie").alias("tie"))
+    keep = written(keep.select("id", "tie"), "keep")
+    marked = docs.withColumn(tie, F.xxhash64(F.col(text_col)))
+    kept = marked.join(keep, (key == keep.id) & (F.col(tie) == keep.tie), "left_semi").dropDuplicates([id_col, tie]).drop(tie)
+    return kept.unionByName(docs.filter(key.isNull()))
