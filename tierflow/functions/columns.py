@@ -48,18 +48,32 @@ def file_date(name_col, fmt: str = "yyyyMMdd") -> Column:
 
 
 def to_money(c) -> Column:
-    """Exact decimal view of a double amount (amounts carry 6 decimals at most)."""
-    return col_of(c).cast("decimal(20,6)")
+    """Exact decimal view of a double amount; null where six decimals and
+    fourteen digits before them do not hold it exactly (NaN included)."""
+    d = col_of(c).try_cast("decimal(20,6)")
+    return F.when(d.cast("double") == col_of(c).cast("double"), d)
 
 
 def money_mul_round(a, b, scale: int = 2) -> Column:
-    """round(a * b, scale) computed in decimal, returned as double."""
-    return F.round(to_money(a) * to_money(b), scale).cast("double")
+    """round(a * b, scale), computed in decimal where both hold exactly and as
+    doubles elsewhere: no amount, however large or odd, fails the job."""
+    x, y = to_money(a), to_money(b)
+    plain = F.round(col_of(a).cast("double") * col_of(b).cast("double"), scale)
+    return F.when(x.isNotNull() & y.isNotNull(), F.round(x * y, scale).cast("double")).otherwise(plain)
+
+
+def _inexact_sum(c) -> Column:
+    """Aggregate: double sum of the amounts that ``to_money`` does not hold;
+    null if there are none."""
+    return F.sum(F.when(to_money(c).isNull(), col_of(c).cast("double")))
 
 
 def money_sum_round(c, scale: int = 2) -> Column:
-    """Aggregate: ROUND(SUM(c), scale) exact in decimal, returned as double."""
-    return F.round(F.sum(to_money(c)), scale).cast("double")
+    """Aggregate: ROUND(SUM(c), scale) as double, exact in decimal for all
+    amounts that decimals hold; others are added as doubles."""
+    exact, rest = F.sum(to_money(c)), _inexact_sum(c)
+    mixed = F.round(F.coalesce(exact.cast("double"), F.lit(0.0)) + rest, scale)
+    return F.when(rest.isNull(), F.round(exact, scale).cast("double")).otherwise(mixed)
 
 
 def half_up_quotient(num: Column, den: Column) -> Column:
@@ -81,7 +95,9 @@ def pct(part: Column, whole: Column, scale: int = 2) -> Column:
 
 
 def money_avg_round(c, scale: int = 2) -> Column:
-    """Aggregate: ROUND(AVG(c), scale), exact half-up over the decimal sum."""
+    """Aggregate: ROUND(AVG(c), scale), exact half-up over the decimal sum
+    where decimals hold every amount, else the rounded double average."""
     micro = (F.sum(to_money(c)) * 1_000_000).cast("decimal(38,0)")  # exact: 6 decimals
     q = half_up_quotient(micro, F.count(col_of(c)) * (10 ** (6 - scale)))
-    return q.cast("double") / F.lit(float(10 ** scale))
+    exact = q.cast("double") / F.lit(float(10 ** scale))
+    return F.when(_inexact_sum(c).isNull(), exact).otherwise(F.round(F.avg(col_of(c).cast("double")), scale))

@@ -23,7 +23,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tierflow.functions.columns import money_mul_round
-from tierflow.operators.sizing import broadcast_limit, estimated_bytes, small_side
 
 
 def attach_rates(tx: DataFrame, rates: DataFrame, *, date_col: str = "event_date",
@@ -31,27 +30,24 @@ def attach_rates(tx: DataFrame, rates: DataFrame, *, date_col: str = "event_date
                  rate_col: str = "rate_to_bob", fallback: str | None = "last_row") -> DataFrame:
     r = rates.select(F.col(rate_date_col).alias("__rdate"), F.col(currency_col).alias("__rccy"),
                      F.col(rate_col).alias("__rate"))
-    joined = tx.join(small_side(r), (tx[date_col] == r["__rdate"]) & (tx[currency_col] == r["__rccy"]),
+    joined = tx.join(r, (tx[date_col] == r["__rdate"]) & (tx[currency_col] == r["__rccy"]),
                      "left").drop("__rdate", "__rccy")
     if fallback is None:
         return joined.withColumnRenamed("__rate", rate_col)
+    # the fallback needs only which days each currency has: a narrow distinct
+    # set, joined to its rates apart from the wide rows
+    days = tx.select(F.col(currency_col).alias("__fccy"), F.col(date_col).alias("__fday")).distinct()
+    days = days.join(r, (days["__fday"] == r["__rdate"]) & (days["__fccy"] == r["__rccy"]), "left")
     if fallback == "last_row":
-        per_ccy = joined.groupBy(F.col(currency_col).alias("__fccy")).agg(
-            F.max_by(F.col("__rate"), F.col(date_col)).alias("__fallback"))
+        usable = days
     elif fallback == "last_known":
-        per_ccy = joined.where(F.col("__rate").isNotNull()).groupBy(
-            F.col(currency_col).alias("__fccy")).agg(
-            F.max_by(F.col("__rate"), F.col(date_col)).alias("__fallback"))
+        usable = days.where(F.col("__rate").isNotNull())
     else:
         raise ValueError(f"unknown fallback {fallback!r}")
-    # Only currencies with a non-null fallback matter, and those all come from
-    # the rate table, so this side is never larger than the rate table's
-    # currency set: broadcast it when the rate table passes the size check,
-    # else let the planner/AQE choose (and split a hot currency's partition).
+    per_ccy = usable.groupBy("__fccy").agg(F.max_by("__rate", "__fday").alias("__fallback"))
+    # only currencies with a usable fallback are joined; Spark picks the join
+    # from sizes it measures, and AQE splits a hot currency's partition
     per_ccy = per_ccy.where(F.col("__fallback").isNotNull())
-    lim = broadcast_limit(rates)
-    if lim > 0 and estimated_bytes(rates) <= lim:
-        per_ccy = F.broadcast(per_ccy)
     out = joined.join(per_ccy, joined[currency_col].eqNullSafe(per_ccy["__fccy"]), "left")
     return out.withColumn(rate_col, F.coalesce(F.col("__rate"), F.col("__fallback"))) \
               .drop("__rate", "__fallback", "__fccy")

@@ -28,7 +28,6 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tierflow.operators.sizing import small_side
 
 RULE_TYPES = ("not_null", "unique", "allowed_values", "range", "foreign_key", "fail_when")
 SEVERITIES = ("error", "warn")
@@ -199,7 +198,7 @@ def compile_rules(df: DataFrame, rules: Sequence[Rule | Mapping], refs: RefResol
         for k, a in zip(key, aliases):
             e = frame[k].eqNullSafe(dups[a])
             cond = e if cond is None else cond & e
-        frame = frame.join(small_side(dups), cond, "left").drop(*aliases)
+        frame = frame.join(dups, cond, "left").drop(*aliases)
 
     # foreign_key: left join to the parent's distinct non-null keys
     for j, r in enumerate(x for x in rules if x.type == "foreign_key"):
@@ -209,7 +208,7 @@ def compile_rules(df: DataFrame, rules: Sequence[Rule | Mapping], refs: RefResol
         marker = f"__fk_{j}"
         keys = (parent.select(F.col(r.ref_column).alias(pk)).where(F.col(pk).isNotNull())
                 .distinct().withColumn(marker, F.lit(True)))
-        frame = frame.join(small_side(keys), frame[r.columns[0]] == keys[pk], "left").drop(pk)
+        frame = frame.join(keys, frame[r.columns[0]] == keys[pk], "left").drop(pk)
         masks[r.id] = F.col(r.columns[0]).isNotNull() & F.col(marker).isNull()
 
     for r in rules:

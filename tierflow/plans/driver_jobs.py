@@ -185,7 +185,64 @@ def _run(spark: SparkSession, sf: str, runs: int) -> TableStore:
 
 def run_summary(spark: SparkSession, sf: str) -> DataFrame:
     store = _run(spark, sf, 1)
-    return store.read("gold", "run_ledger").select(*LEDGER_COLS)
+    steps = ("ingest", "silver", "quality", "gold", "validate")
+    return store.read("gold", "run_ledger").where(F.col("step").isin(*steps)).select(*LEDGER_COLS)
+
+
+def run_rules(spark: SparkSession, sf: str) -> DataFrame:
+    """Every rule's outcome and the action taken, as ledger rows."""
+    store = _run(spark, sf, 1)
+    return store.read("gold", "run_ledger").where("step = 'rule'").select(
+        "table_name", F.regexp_extract("detail", "^[a-z_]+", 0).alias("rule_id"), "status", "rows_in", "quarantined")
+
+
+def _late_orders(spark: SparkSession, sf: str, crash: bool, incremental: bool) -> TableStore:
+    """Two deliveries: on day one customers with an odd key are missing, so
+    their orders are orphans; day two brings them. With ``crash`` the first run
+    fails in its gold step, after ingest and silver."""
+    land, root = work_dir(spark, "landing"), work_dir(spark, "lake")
+    days = [TPCH_RUN_DATE, TPCH_RUN_DATE + dt.timedelta(days=1)]
+    c = load(spark, sf, "customer")
+    write_landing(c.where("c_custkey % 2 = 0"), land, F.lit(f"customer_{days[0]:%Y%m%d}.csv"), "csv")
+    write_landing(load(spark, sf, "orders"), land, F.lit(f"orders_{days[0]:%Y%m%d}.csv"), "csv")
+    write_landing(load(spark, sf, "lineitem"), land, F.lit(f"lineitem_{days[0]:%Y%m%d}.jsonl"), "ndjson")
+    write_landing(c.where("c_custkey % 2 <> 0"), land, F.lit(f"customer_{days[1]:%Y%m%d}.csv"), "csv")
+    config = tpch_config()
+    for i, day in enumerate(days):
+        broken = crash and i == 0
+
+        def fail(store: TableStore) -> dict[str, DataFrame]:
+            raise RuntimeError("the first run is lost here")
+        cfg = JobConfig(config.contracts, config.steps, config.specs, fail if broken else config.gold_models, config.checks)
+        try:
+            run_daily(spark, cfg, land, root, day, run_id=f"run-{i + 1}", incremental=incremental,
+                      ingested_at=f"2024-02-0{i + 1} 06:00:00")
+        except RuntimeError:
+            if not broken:
+                raise
+    return TableStore(spark, root)
+
+
+def _state(store: TableStore) -> DataFrame:
+    """Keys, layer and reason of all three tables."""
+    out = []
+    for t, key in (("customer", ["c_custkey"]), ("orders", ["o_orderkey"]), ("lineitem", LI_KEY)):
+        k = F.concat_ws("/", *[F.col(x).cast("string") for x in key]).alias("key")
+        out.append(store.read("silver", t).select(F.lit(t).alias("table_name"), k, F.lit("silver").alias("layer"),
+                                                  F.lit(None).cast("string").alias("reason")))
+        out.append(store.read("quarantine", t).select(F.lit(t).alias("table_name"), k, F.lit("quarantine").alias("layer"),
+                                                      F.col("_reject_reason").alias("reason")))
+    return rc.combine(out)
+
+
+def run_late_parent(spark: SparkSession, sf: str) -> DataFrame:
+    """Orphans of day one whose parents come on day two leave quarantine."""
+    return _state(_late_orders(spark, sf, crash=False, incremental=True))
+
+
+def run_recovery(spark: SparkSession, sf: str) -> DataFrame:
+    """What a failed run had ingested is carried on by the next one."""
+    return _state(_late_orders(spark, sf, crash=True, incremental=True))
 
 
 def run_ledger(spark: SparkSession, sf: str) -> DataFrame:
@@ -206,4 +263,7 @@ JOB_QUERIES = {
     "stream_dedupe": stream_dedupe,
     "run_summary": run_summary,
     "run_ledger": run_ledger,
+    "run_rules": run_rules,
+    "run_late_parent": run_late_parent,
+    "run_recovery": run_recovery,
 }

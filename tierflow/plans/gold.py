@@ -1,20 +1,16 @@
 """Gold layer: star-schema dimensions, the transaction fact and the daily KPI
 mart, as parameterised DataFrame builders (the same builders serve the
-banking pipeline and the driver tables), plus the SQL-model runner.
+banking pipeline and the driver tables), and the runner of named models.
 """
 
 from __future__ import annotations
 
-import os
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tierflow.functions.columns import money_avg_round, money_sum_round, pct
-from tierflow.operators.sizing import small_side
-
-SQL_DIR = os.path.join(os.path.dirname(__file__), "sql")
 
 # Banking channels counted by the KPI mart (output column -> channel).
 BANK_CHANNELS = {"atm_txns": "ATM", "pos_txns": "POS", "web_txns": "web", "branch_txns": "branch"}
@@ -90,7 +86,10 @@ def fact_transactions(tx: DataFrame, accounts: DataFrame, *, key: str = "account
     broadcasts them only when the estimate says they fit, otherwise the join
     is a shuffle on the account key (AQE splits skewed partitions)."""
     acc = accounts.select(F.col(key).alias("__acc"), F.col(customer_col).alias(customer_col))
-    joined = tx.join(small_side(acc), tx[key] == acc["__acc"], "left").drop("__acc")
+    joined = tx.where(F.col(key).isNotNull()).join(acc, F.col(key) == acc["__acc"], "left").drop("__acc")
+    # rows without an account need no join, so they are never dealt to one task
+    joined = joined.unionByName(tx.where(F.col(key).isNull()).withColumn(customer_col, F.lit(None).cast(
+        accounts.schema[customer_col].dataType)))
     if select is None:
         select = [F.col("txn_id"), F.col("event_date").alias("date_key"), F.col("account_id"),
                   F.col(customer_col), F.col("amount").alias("amount_orig"), F.col("currency"),
@@ -99,19 +98,30 @@ def fact_transactions(tx: DataFrame, accounts: DataFrame, *, key: str = "account
     return joined.select(*select)
 
 
-def available_models(sql_dir: str = SQL_DIR) -> list[str]:
-    return sorted(f[:-4] for f in os.listdir(sql_dir) if f.endswith(".sql"))
+def _kpi(store) -> DataFrame:
+    q = store.read("quarantine", "transactions") if store.exists("quarantine", "transactions") else None
+    return kpi_daily(store.read("silver", "transactions"), quarantined=q)
+
+
+#: The gold models of the banking lake by name.
+BANK_MODELS = {
+    "dim_account": lambda s: dim_account(s.read("silver", "accounts")),
+    "dim_customer": lambda s: dim_customer(s.read("silver", "customers")),
+    "dim_date": lambda s: dim_date(s.read("silver", "transactions")),
+    "fact_transactions": lambda s: fact_transactions(s.read("silver", "transactions"), s.read("silver", "accounts")),
+    "kpi_daily": _kpi,
+}
+
+
+def available_models() -> list[str]:
+    return sorted(BANK_MODELS)
 
 
-def run_model(store, name: str, sql_dir: str = SQL_DIR) -> DataFrame:
-    """Run ``<name>.sql`` over the store's ``<layer>_<table>`` views and write
-    the result as ``gold.<name>`` (overwrite = new snapshot). Returns the
-    written snapshot."""
-    path = os.path.join(sql_dir, f"{name}.sql")
-    if not os.path.exists(path):
-        raise ValueError(f"unknown gold model {name!r}; available: {available_models(sql_dir)}")
-    with open(path, encoding="utf-8") as fh:
-        text = fh.read()
-    result = store.sql(text)
-    store.write("gold", name, result, mode="overwrite")
+def run_model(store, name: str, models: Mapping | None = None) -> DataFrame:
+    """Build one named model from the store's tables, write it as
+    ``gold.<name>`` (a new snapshot) and return what was written."""
+    models = BANK_MODELS if models is None else models
+    if name not in models:
+        raise ValueError(f"unknown gold model {name!r}; there are {', '.join(sorted(models))}")
+    store.write("gold", name, models[name](store), mode="overwrite")
     return store.read("gold", name)

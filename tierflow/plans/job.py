@@ -24,11 +24,14 @@ from tierflow.operators.quarantine import ACTIONS, QualityBlocked, quarantine_ru
 from tierflow.operators.rules import Spec, compile_rules, load_spec, report
 from tierflow.plans import gold, silver
 from tierflow.plans.bronze import ingest_source
+from tierflow.session import work_dir
 from tierflow.sinks.store import TableStore, isin_values, upsert
 from tierflow.sources.contracts import BANK_CONTRACTS, IngestResult
 from tierflow.sources.landing import list_landing_objects, source_of
 
 RULES_DIR = os.path.join(os.path.dirname(__file__), "rules")
+#: Which bronze rows completed runs have carried into silver.
+PROGRESS_SCHEMA = "run_id string, table_name string, bronze_run string, n_rows long, last_ingested timestamp_ntz"
 LEDGER_SCHEMA = ("run_id string, run_date date, seq int, step string, table_name string, status string, "
                  "rows_in long, rows_out long, quarantined long, detail string, elapsed_s double")
 
@@ -43,6 +46,7 @@ class SilverStep:
     build: Callable[[TableStore, DataFrame], DataFrame]
     source: str | None = None
     partition_by: str | None = None   # e.g. event_date: upserts touch only affected partitions
+    whole: bool = False               # a row depends on rows of other keys: always build from all of bronze
 
 
 @dataclass
@@ -61,6 +65,7 @@ class RunSummary:
     ingested: list[IngestResult] = field(default_factory=list)
     ledger: list[tuple] = field(default_factory=list)
     reports: dict[str, list] = field(default_factory=dict)
+    rules: list[tuple] = field(default_factory=list)
     gold_rows: dict[str, int] = field(default_factory=dict)
     checks: list[tuple] = field(default_factory=list)
     verdict: str | None = None
@@ -73,9 +78,64 @@ class RunSummary:
                             rows_in, rows_out, quarantined, detail, round(now - self._mark, 3)))
         self._mark = now
 
+    def note_rules(self, table: str, report_rows, decisions) -> None:
+        """Keep every rule's outcome, and the action taken, for the ledger."""
+        actions = {d["rule_id"]: d["action"] for d in decisions}
+        for r in report_rows:
+            self.rules.append((table, r["rule_id"], actions.get(r["rule_id"], "warn" if r["failed"] else "ok"),
+                               r["total_rows"], r["failed_rows"], r["severity"]))
+
+    def rows(self) -> list[tuple]:
+        """The ledger: steps as they happened, then rules, drift and checks."""
+        more = [("rule", t, action, total, None, bad, f"{rule} ({severity})") for t, rule, action, total, bad, severity in self.rules]
+        more += [("drift", r.table, r.action, None, r.rows, None, f"{r.file}: missing {','.join(r.missing_columns) or '-'}; "
+                  f"unexpected {','.join(r.unexpected_columns) or '-'}") for r in self.ingested if r.has_drift]
+        more += [("check", None, "ok" if ok else "mismatch", None, None, None, f"{name}: {detail}") for name, ok, detail in self.checks]
+        n = len(self.ledger)
+        return self.ledger + [(self.run_id, self.run_date, n + i, *m, 0.0) for i, m in enumerate(more)]
+
 
 def new_run_id(run_date: dt.date) -> str:
-    return f"run-{run_date:%Y%m%d}-{uuid.uuid4().hex[:8]}"
+    """Sorts by business date, then by the moment the run began."""
+    return f"{run_date.isoformat()}.{time.time_ns():x}"
+
+
+def pending_bronze(store: TableStore, source: str, whole: bool = False) -> tuple[DataFrame, list[tuple]]:
+    """The rows of ``bronze.<source>`` that no completed run has carried on, and
+    what to record once they are: (bronze run, rows, last ingest) of all runs.
+
+    A bronze run is pending unless the progress table has it with as many rows
+    as there are now, whoever wrote it: a failed run, a stream, a single file.
+    If a pending row is not newer than all that was carried on, upserting it
+    alone could undo a later correction, so then all rows are returned, and with
+    ``whole`` always."""
+    bronze = store.read("bronze", source)
+    state = [tuple(r) for r in bronze.groupBy("_run_id").agg(
+        F.count(F.lit(1)), F.max("_ingested_at"), F.min("_ingested_at")).collect()]  # one row per run
+    now = [r[:3] for r in state]
+    if whole or not store.exists("gold", "run_progress"):
+        return bronze, now
+    carried = {}
+    for r in store.read("gold", "run_progress").where(F.col("table_name") == source).groupBy("bronze_run").agg(
+            F.max("n_rows").alias("n"), F.max("last_ingested").alias("last")).collect():
+        carried[r["bronze_run"]] = (r["n"], r["last"])
+    pending = [(run, first) for run, n, _, first in state if carried.get(run, (None,))[0] != n]
+    last = max((t for _, t in carried.values() if t is not None), default=None)
+    if last is not None and any(first is None or first <= last for _, first in pending):
+        return bronze, now
+    return bronze.where(isin_values(F.col("_run_id"), [run for run, _ in pending])), now
+
+
+def with_quarantined(store: TableStore, table: str, built: DataFrame, key: Sequence[str]) -> DataFrame:
+    """``built`` and the quarantined rows of ``table`` that it does not replace:
+    they are judged again, since a parent may have come meanwhile."""
+    if not store.exists("quarantine", table):
+        return built
+    held = store.read("quarantine", table)
+    if not set(built.columns) <= set(held.columns):
+        return built
+    again = held.select(*[F.col(f"`{c}`") for c in built.columns]).join(built.select(*key), list(key), "left_anti")
+    return built.unionByName(again.select(*[F.col(f"`{c}`") for c in built.columns]))
 
 
 def resolver(store: TableStore):
@@ -109,7 +169,7 @@ def decide_rows(report_rows, policy: Mapping[str, str] | None, default: str = "q
 
 def apply_quality(store: TableStore, table: str, spec: Spec, summary: RunSummary,
                   policy: Mapping[str, str] | None = None, rule_ids: Sequence[str] | None = None,
-                  release_passing: bool = False, partition_by: str | None = None) -> int:
+                  release_passing: bool = True, partition_by: str | None = None) -> int:
     """Evaluate ``spec`` on ``silver.<table>``, apply the policy, move rows.
 
     Returns rows quarantined. Any failed rule whose action is ``block``
@@ -124,9 +184,11 @@ def apply_quality(store: TableStore, table: str, spec: Spec, summary: RunSummary
         summary.reports[table] = [r.asDict() for r in rows]
         decisions = decide_rows(rows, policy)
         if any(d["action"] == "block" for d in decisions):
+            summary.note_rules(table, rows, decisions)
             summary.log("quality", table, "blocked", detail=",".join(
                 d["rule_id"] for d in decisions if d["action"] == "block"))
             raise QualityBlocked(f"quality policy blocked the run on silver.{table}")
+        summary.note_rules(table, rows, decisions)
         chosen = [d["rule_id"] for d in decisions if d["action"] == "quarantine"]
         if rule_ids is not None:
             chosen = [r for r in chosen if r in rule_ids]
@@ -154,15 +216,12 @@ def apply_quality(store: TableStore, table: str, spec: Spec, summary: RunSummary
                 store.write("quarantine", table, bad, mode="append")
             moved = int(o.get["n"])
             if partition_by:
-                # rewrite only the partitions that lost rows (in place); a
-                # partition whose rows were all quarantined is removed
+                # only the partitions that lost rows are written anew
                 p = F.col(partition_by)
                 bad_parts = {r[0] for r in frame.where(flag).select(p).distinct().collect()}
                 if bad_parts:
                     keep = frame.where(~flag & isin_values(p, bad_parts)).select(*data)
-                    kept = {r[0] for r in keep.select(p).distinct().collect()}
-                    store.replace_partitions(store.current("silver", table), keep, partition_by,
-                                             bad_parts - kept)
+                    store.replace_partitions("silver", table, keep, partition_by, bad_parts)
             else:
                 store.write("silver", table, good, mode="overwrite")
         else:
@@ -202,7 +261,7 @@ def quarantine_failures(store: TableStore, layer: str, table: str, spec: Spec, *
 def run_daily(spark: SparkSession, config: JobConfig, landing_dir: str, lake_root: str,
               run_date: dt.date, *, run_id: str | None = None, on_drift: str = "raise",
               policy: Mapping[str, str] | None = None, ingested_at=None,
-              release_passing: bool = False, ledger: bool = True, incremental: bool = True,
+              release_passing: bool = True, ledger: bool = True, incremental: bool = True,
               keep_versions: int | None = 2) -> RunSummary:
     """Run one business date end to end.
 
@@ -210,17 +269,20 @@ def run_daily(spark: SparkSession, config: JobConfig, landing_dir: str, lake_roo
     ``keep_versions`` are removed from silver, quarantine and gold
     (``None`` keeps every version; bronze is append-only and never pruned).
 
-    ``incremental`` (default) builds keyed silver tables from this run's
-    bronze rows only and upserts them, which yields the same silver state as
-    rebuilding from all bronze (later loads always win) at a cost that grows
-    with the day's data instead of the history; ``incremental=False``
-    rebuilds from the whole bronze table every run."""
+    ``incremental`` (default) builds a keyed silver table from the bronze rows
+    that no completed run has carried on (see :func:`pending_bronze`) and judges
+    its quarantined rows again with them, at a cost that grows with what is new;
+    ``incremental=False`` builds from all of bronze every run. Both end in the
+    same silver: steps whose rows depend on other rows (``whole``), and
+    deliveries that are not newer than what was carried on, use all of bronze
+    either way. A key that passes leaves quarantine unless ``release_passing``
+    is off."""
     store = TableStore(spark, lake_root)
     summary = RunSummary(run_id=run_id or new_run_id(run_date), run_date=run_date)
     stamp = f"{run_date:%Y%m%d}"
     files = list_landing_objects(spark, landing_dir, stamp)
     if not files:
-        raise FileNotFoundError(f"no landing files for {run_date} in {landing_dir}")
+        raise FileNotFoundError(f"{landing_dir} has nothing stamped {stamp}")
     try:
         by_source: dict[str, list[str]] = {}
         for path in files:  # name order; one ingest job per source
@@ -230,21 +292,23 @@ def run_daily(spark: SparkSession, config: JobConfig, landing_dir: str, lake_roo
                                      on_drift=on_drift, ingested_at=ingested_at):
                 summary.ingested.append(res)
                 summary.log("ingest", res.table, res.action, rows_out=res.rows, detail=res.file)
+        progress: list[tuple] = []
         for step in config.steps:
             source = step.source or step.table
-            bronze = store.read("bronze", source)
-            if incremental and step.key:
-                # only this run's deliveries: older bronze rows already won or
-                # lost in earlier runs, and the upsert below keeps their result
-                bronze = bronze.where(F.col("_run_id") == F.lit(summary.run_id))
-            built = step.build(store, bronze)
+            bronze, carried = pending_bronze(store, source, whole=step.whole or not (incremental and step.key))
+            progress += [(summary.run_id, source, *c) for c in carried]
+            # written once: the upsert reads it several times, and its lineage ends here
+            stage = work_dir(spark, f"stage-{step.table}")
             o = Observation(f"s_{step.table}_{uuid.uuid4().hex[:6]}")
-            built = built.observe(o, F.count(F.lit(1)).alias("n"))
+            step.build(store, bronze).observe(o, F.count(F.lit(1)).alias("n")).write.parquet(stage)
+            built = spark.read.parquet(stage)
             if step.key:
+                built = with_quarantined(store, step.table, built, step.key)
                 store.merge("silver", step.table, built, key=step.key, partition_by=step.partition_by)
             else:
                 store.write("silver", step.table, built, mode="overwrite",
                             partition_by=[step.partition_by] if step.partition_by else None)
+            store.remove(stage)
             summary.log("silver", step.table, "ok", rows_out=int(o.get["n"]))
             spec = config.specs.get(step.table)
             if spec and spec.rules:
@@ -261,6 +325,8 @@ def run_daily(spark: SparkSession, config: JobConfig, landing_dir: str, lake_roo
         summary.verdict = rc.verdict(spark.createDataFrame(rows, rc.CHECK_SCHEMA)).first()["verdict"]
         summary.log("validate", None, summary.verdict,
                     detail="; ".join(f"{n}={'ok' if ok else 'MISMATCH'}" for n, ok, _ in summary.checks))
+        if progress:
+            store.write("gold", "run_progress", spark.createDataFrame(progress, PROGRESS_SCHEMA).coalesce(1), mode="append")
         if keep_versions:
             # old full snapshots of rewritten tables are not kept forever
             for layer in ("silver", "quarantine", "gold"):
@@ -276,7 +342,7 @@ def run_daily(spark: SparkSession, config: JobConfig, landing_dir: str, lake_roo
 
 
 def write_ledger(store: TableStore, summary: RunSummary) -> None:
-    df = store.spark.createDataFrame(summary.ledger, LEDGER_SCHEMA)
+    df = store.spark.createDataFrame(summary.rows(), LEDGER_SCHEMA)
     store.write("gold", "run_ledger", df, mode="append")
 
 
@@ -288,8 +354,7 @@ def bank_specs() -> dict[str, Spec]:
 
 
 def bank_gold(store: TableStore) -> dict[str, DataFrame]:
-    return {name: store.sql(open(os.path.join(gold.SQL_DIR, f"{name}.sql"), encoding="utf-8").read())
-            for name in gold.available_models()}
+    return {name: build(store) for name, build in gold.BANK_MODELS.items()}
 
 
 # The KPI baseline of the banking checks (expected daily
@@ -322,6 +387,8 @@ def bank_config(fx_fallback: str | None = "last_row") -> JobConfig:
             SilverStep("customers", ["customer_id"], lambda s, b: silver.build_customers(b)),
             SilverStep("accounts", ["account_id"], lambda s, b: silver.build_accounts(b)),
             SilverStep("transactions", ["txn_id"], lambda s, b: silver.build_transactions(
-                b, s.read("silver", "fx_rates"), fx_fallback), partition_by="event_date"),
+                b, s.read("silver", "fx_rates"), fx_fallback), partition_by="event_date",
+                # a missing rate is filled from the currency's other rows
+                whole=fx_fallback is not None),
         ],
         specs=specs, gold_models=bank_gold, checks=bank_checks)

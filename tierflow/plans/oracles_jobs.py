@@ -72,10 +72,42 @@ UNION ALL SELECT 'gold.fact_lineitem', l_g FROM k
 UNION ALL SELECT 'gold.dim_date', days FROM k
 """
 
+RUN_RULES = f"""
+WITH {JOB_STATE},
+w AS (SELECT (SELECT COUNT(*) FROM customer WHERE c_mktsegment IS NULL) AS seg,
+             (SELECT COUNT(*) FROM orders WHERE o_orderstatus NOT IN ('F', 'O')) AS st,
+             (SELECT COUNT(*) FROM li WHERE l_quantity < 1 OR l_quantity > 45) AS qty)
+SELECT 'customer' AS table_name, 'balance_non_negative' AS rule_id,
+       CASE WHEN c_n > c_g THEN 'quarantine' ELSE 'ok' END AS status, c_n AS rows_in, c_n - c_g AS quarantined FROM k
+UNION ALL SELECT 'customer', 'segment_known', CASE WHEN seg > 0 THEN 'warn' ELSE 'ok' END, c_n, seg FROM k, w
+UNION ALL SELECT 'orders', 'customer_exists', CASE WHEN o_n > o_g THEN 'quarantine' ELSE 'ok' END, o_n, o_n - o_g FROM k
+UNION ALL SELECT 'orders', 'status_allowed', CASE WHEN st > 0 THEN 'warn' ELSE 'ok' END, o_n, st FROM k, w
+UNION ALL SELECT 'lineitem', 'order_exists', CASE WHEN l_n > l_g THEN 'quarantine' ELSE 'ok' END, l_n, l_n - l_g FROM k
+UNION ALL SELECT 'lineitem', 'quantity_range', CASE WHEN qty > 0 THEN 'warn' ELSE 'ok' END, l_n, qty FROM k, w
+"""
+
+# the whole input as one delivery: where every key must be in the end
+FINAL_STATE = f"""
+WITH {JOB_STATE}
+SELECT 'customer' AS table_name, CAST(c_custkey AS VARCHAR) AS key,
+       CASE WHEN c_acctbal < 0 THEN 'quarantine' ELSE 'silver' END AS layer,
+       CASE WHEN c_acctbal < 0 THEN 'balance_non_negative' END AS reason
+FROM customer
+UNION ALL SELECT 'orders', CAST(o_orderkey AS VARCHAR), CASE WHEN g.k IS NULL THEN 'quarantine' ELSE 'silver' END,
+       CASE WHEN g.k IS NULL THEN 'customer_exists' END
+FROM orders o LEFT JOIN (SELECT o_orderkey AS k FROM o_good) g ON g.k = o.o_orderkey
+UNION ALL SELECT 'lineitem', CAST(l_orderkey AS VARCHAR) || '/' || CAST(l_linenumber AS VARCHAR),
+       CASE WHEN g.k IS NULL THEN 'quarantine' ELSE 'silver' END, CASE WHEN g.k IS NULL THEN 'order_exists' END
+FROM li LEFT JOIN (SELECT DISTINCT o_orderkey AS k FROM o_good) g ON g.k = li.l_orderkey
+"""
+
 JOB_ORACLES = {
     "stream_bronze": STREAM_BRONZE,
     "stream_upsert": STREAM_UPSERT,
     "stream_dedupe": STREAM_DEDUPE,
     "run_summary": RUN_SUMMARY,
     "run_ledger": RUN_LEDGER,
+    "run_rules": RUN_RULES,
+    "run_late_parent": FINAL_STATE,
+    "run_recovery": FINAL_STATE,
 }
