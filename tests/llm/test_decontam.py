@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import tierflow.llm.decontam as d
-from tierflow.llm.decontam import Benchmark, _Class, _window_prints, contaminated, keep_uncontaminated, size_class
+from tierflow.llm.decontam import _Class, _running, _window_prints, contaminated, keep_uncontaminated, size_class
 from tierflow.llm.queries import LLM_QUERIES
 from tierflow.llm.runtime import prepare
 
@@ -48,7 +48,7 @@ def slow_matches(docs, items, least=0.8):
 def test_window_prints_match_a_plain_loop():
     h = np.random.default_rng(2).integers(0, 1 << 63, 400, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
     for k in (1, 2, 7, 300):
-        got = _window_prints(h, k)
+        got = _window_prints(_running(h, k), k)
         want = [sum(1 << b for b in range(64) if 2 * sum(int(x) >> b & 1 for x in h[i:i + k]) > k) for i in range(len(h) - k + 1)]
         assert got.tolist() == want
 

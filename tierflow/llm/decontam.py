@@ -27,7 +27,8 @@ BLOCK_BITS = (3, 3, 2, 2)
 RADIUS = sum(BLOCK_BITS) + len(BLOCK_BITS) - 1
 #: Items that one pass over the documents searches for; more take more passes.
 ITEMS_A_PASS = 2000
-_ROWS = 8192
+#: Windows that one step of the arithmetic takes: their counts stay in cache.
+_ROWS = 2048
 
 
 def size_class(n: int) -> int:
@@ -46,20 +47,37 @@ def shingles(words: np.ndarray) -> np.ndarray:
     return sequences(words, min(SHINGLE, len(words))) if len(words) else words
 
 
-def _window_prints(h: np.ndarray, k: int) -> np.ndarray:
-    """SimHash of every ``k`` consecutive shingle hashes: a bit is set where more
-    than half of them have it."""
-    n = len(h) - k + 1
+def _running(h: np.ndarray, most: int) -> np.ndarray:
+    """Per bit, how many of the hashes before each place have it: (places, 8)
+    words of eight counts each, or (places, 64) counts if a window may hold
+    more than 255 hashes.
+
+    Running words overflow from one count into the next, but subtraction undoes
+    that: the difference of two is the sum of the words between, and in a
+    window no count exceeds its eight bits.
+    """
+    bits = np.unpackbits(h.astype("<u8").view(np.uint8), bitorder="little")
+    step = bits.view("<u8").reshape(-1, 8) if most < 256 else bits.reshape(-1, 64).astype(np.uint32)
+    total = np.zeros((len(h) + 1, step.shape[1]), step.dtype)
+    np.cumsum(step, axis=0, dtype=step.dtype, out=total[1:])
+    return total
+
+
+def _window_prints(total: np.ndarray, k: int) -> np.ndarray:
+    """SimHash of every ``k`` consecutive shingle hashes, from their running
+    counts: a bit is set where more than half of them have it."""
+    n = len(total) - k
     if n <= 0:
         return np.zeros(0, np.uint64)
-    kind = np.uint8 if k < 256 else np.uint32  # differences of running counts may wrap around
-    bits = np.unpackbits(h.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-    total = np.zeros((len(h) + 1, 64), kind)
-    np.cumsum(bits, axis=0, dtype=kind, out=total[1:])
     out = np.empty((n, 8), np.uint8)
+    count, above = np.empty((min(n, _ROWS), total.shape[1]), total.dtype), np.empty((min(n, _ROWS), 64), bool)
     for a in range(0, n, _ROWS):
         z = min(n, a + _ROWS)
-        out[a:z] = np.packbits(total[a + k:z + k] - total[a:z] > k // 2, axis=1, bitorder="little")
+        c, b = count[:z - a], above[:z - a]
+        np.subtract(total[a + k:z + k], total[a:z], out=c)
+        c = c.view(np.uint8) if total.shape[1] == 8 else c
+        np.greater(c, c.dtype.type(k // 2), out=b)
+        out[a:z] = np.packbits(b.reshape(-1), bitorder="little").reshape(-1, 8)
     return out.view("<u8")[:, 0]
 
 
@@ -88,19 +106,18 @@ class _Class:
             entry = np.repeat(np.arange(len(parts), dtype=np.int32), len(near))
             order = np.argsort(value, kind="stable")
             count = np.bincount(value, minlength=1 << 16)
-            self.tables.append((np.concatenate([[0], np.cumsum(count)]).astype(np.int32), entry[order]))
+            self.tables.append((count > 0, np.concatenate([[0], np.cumsum(count)]).astype(np.int32), entry[order]))
 
     def search(self, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(row of ``prints``, entry) of all pairs within the radius."""
         parts = prints.view("<u2").reshape(-1, 4)
         rows, entries = [], []
-        for b, (at, entry) in enumerate(self.tables):
-            v = parts[:, b].astype(np.int64)
+        for b, (some, at, entry) in enumerate(self.tables):
+            hit = np.flatnonzero(some[parts[:, b]])
+            v = parts[hit, b].astype(np.int64)
             n = at[v + 1] - at[v]
-            hit = np.flatnonzero(n)
-            n = n[hit]
             row = np.repeat(hit, n)
-            first = np.repeat(at[v[hit]] - (np.cumsum(n) - n), n)
+            first = np.repeat(at[v] - (np.cumsum(n) - n), n)
             e = entry[first + np.arange(len(row))]
             ok = np.bitwise_count(prints[row] ^ self.prints[e]) <= RADIUS
             rows.append(row[ok])
@@ -126,7 +143,7 @@ class Benchmark:
                 size = size_class(len(w))
                 for offset in {0, len(w) - size}:
                     part = shingles(w[offset:offset + size])
-                    by.setdefault(size, []).append((_window_prints(part, len(part))[0], i, offset))
+                    by.setdefault(size, []).append((_window_prints(_running(part, len(part)), len(part))[0], i, offset))
         self.classes = []
         for size, rows in sorted(by.items()):
             c = _Class(size, np.array([r[0] for r in rows], "<u8"), np.array([r[1] for r in rows]), np.array([r[2] for r in rows]))
@@ -151,11 +168,12 @@ class Benchmark:
         h = p.hashes()
         ends = np.cumsum(p.words_per_doc())
         starts = ends - p.words_per_doc()
-        sequence = {n: sequences(h, n) for n in {min(SHINGLE, c.size) for c in self.classes}}
+        most = max((c.size for c in self.classes), default=0)
+        total = {n: _running(sequences(h, n), most) for n in {min(SHINGLE, c.size) for c in self.classes}}
         seen: set[tuple[int, int, int]] = set()
         for c in self.classes:
             n = min(SHINGLE, c.size)
-            prints = _window_prints(sequence[n], c.size - n + 1)
+            prints = _window_prints(total[n], c.size - n + 1)
             if not len(prints):
                 continue
             row, entry = c.search(prints)
