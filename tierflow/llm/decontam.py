@@ -2,7 +2,7 @@
 
 Words are runs of letters, digits and underscores, lower-cased; shingles are
 five words. Every benchmark item gives the fingerprints of its first and last
-window of a size class (about 0.85 of its own size, sizes a tenth apart). Every
+window of a size class (0.7 to 0.85 of its own size, sizes a fifth apart). Every
 window of that size in every document is fingerprinted too, and a multi-index
 over four 16-bit Hamming blocks finds all item windows at most 13 bits away: if
 the blocks differed in more than 3, 3, 2 and 2 bits it would be 14 or more.
@@ -32,11 +32,11 @@ _ROWS = 2048
 
 
 def size_class(n: int) -> int:
-    """The largest of the sizes 1, 2, ... 10, 11, 12, 13 ... (a tenth apart)
-    that is at most 0.85 of ``n``, rounded up."""
+    """The largest of the sizes 1, 2, ... 5, 6, 7, 8, 9, 10, 12 ... (a fifth
+    apart) that is at most 0.85 of ``n``, rounded up."""
     most, size = max(1, -(-n * 85 // 100)), 1
     while True:
-        after = max(size + 1, size * 11 // 10)
+        after = max(size + 1, size * 6 // 5)
         if after > most:
             return size
         size = after
