@@ -124,3 +124,67 @@ def test_stream_bronze_csv(spark, tmp_root):
     b = {r["account_id"]: (r["status"], r["_run_id"], r["_source_file"]) for r in spark.read.parquet(bronze).collect()}
     assert b == {"A1": ("active", "r1", "accounts_20260701.csv"), "A2": ("closed", "r1", "accounts_20260701.csv"),
                  "A3": ("dormant", "r2", "accounts_20260702.csv")}
+
+
+def _drop(**files):
+    d = tempfile.mkdtemp(prefix="tierflow-drop-")
+    for name, text in files.items():
+        path = os.path.join(d, name.replace("__", "/").replace("_dot_", "."))
+        os.makedirs(os.path.dirname(path), exist_ok=True)
+        with open(path, "w", encoding="utf-8", newline="") as fh:
+            fh.write(text)
+    return d
+
+
+def test_csv_quotes_commas_and_line_breaks(spark):
+    from tierflow.sources.landing import csv_header, read_csv
+    d = _drop(notes_1_dot_csv='id,"na,me"\n1,"a ""b"" c"\n2,"x ""y"", z"\n3,"two\nlines"\n4," kept "\n')
+    rows = sorted(tuple(r)[:2] for r in read_csv(spark, d).collect())
+    assert rows == [("1", 'a "b" c'), ("2", 'x "y", z'), ("3", "two\nlines"), ("4", " kept ")]
+    assert csv_header(spark, os.path.join(d, "notes_1.csv")) == ("id", "na,me")
+
+
+def test_rates_without_the_map_fail(spark):
+    for text in ('{"date": "2026-07-01", "rates": {"USD": 1}}', '{"rates_to_bob": {"USD": 1}}'):
+        with pytest.raises(Exception, match="no field"):
+            read_json_map(spark, _drop(fx_rates_20260701_dot_json=text)).collect()
+
+
+def test_one_source_in_two_formats_and_parts_with_other_headers(spark, tmp_root):
+    from tierflow.plans.bronze import ingest_source
+    from tierflow.sinks.store import TableStore
+    from tierflow.sources.landing import list_landing_objects
+    contract = ["account_id", "status"]
+    d = _drop(**{"accounts_1_dot_jsonl": '{"account_id": "A1", "status": "active"}\n',
+                 "accounts_2_dot_csv": "account_id,status\nA2,closed\n",
+                 "landing=accounts_3_dot_csv__part-0_dot_csv": "account_id,status\nA3,active\n",
+                 "landing=accounts_3_dot_csv__part-1_dot_csv": "status,account_id,extra\nactive,A4,x\n"})
+    store = TableStore(spark, tmp_root)
+    paths = list_landing_objects(spark, d)
+    with pytest.raises(ct.SchemaDriftError):
+        ingest_source(store, "accounts", paths, "r", contract)
+    assert not store.exists("bronze", "accounts")
+    res = {r.file: r for r in ingest_source(store, "accounts", paths, "r", contract, on_drift="ingest_aligned")}
+    got = sorted((r["account_id"], r["status"]) for r in store.read("bronze", "accounts").collect())
+    assert got == [("A1", "active"), ("A2", "closed"), ("A3", "active"), ("A4", "active")]
+    assert res["accounts_3.csv"].unexpected_columns == ["extra"] and res["accounts_3.csv"].rows == 2
+
+
+def test_stream_refuses_a_csv_whose_header_is_in_another_order(spark, tmp_root):
+    d = _drop(accounts_1_dot_csv="status,account_id\nactive,A1\n")
+    with pytest.raises(Exception):
+        stream_bronze(spark, d, f"{tmp_root}/b", f"{tmp_root}/c", ["account_id", "status"], "r", fmt="csv")
+
+
+def test_stream_rescues_and_lands_in_the_store(spark, tmp_root):
+    from tierflow.sinks.store import TableStore
+    from tierflow.streaming.bronze_stream import stream_to_store
+    store = TableStore(spark, f"{tmp_root}/lake")
+    d = _drop(tx_1_dot_jsonl='{"id": "1", "amt": 12.50, "more": "x"}\n{"id": 2, "amount": 1e3}\n')
+    assert stream_to_store(store, "tx", d, f"{tmp_root}/ck", ["id", "amount"], "r1", rescue=True) == 2
+    assert stream_to_store(store, "tx", d, f"{tmp_root}/ck", ["id", "amount"], "r2", rescue=True) == 0
+    rows = {r["id"]: r for r in store.read("bronze", "tx").collect()}
+    assert json.loads(rows["1"]["_rescued_data"]) == {"amt": "12.50", "more": "x"} and rows["1"]["amount"] is None
+    assert rows["2"]["_rescued_data"] is None and rows["2"]["amount"] == "1e3"
+    with pytest.raises(ValueError, match="fed by a stream"):
+        store.write("bronze", "tx", store.read("bronze", "tx"))

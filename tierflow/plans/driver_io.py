@@ -120,6 +120,14 @@ def bronze_csv(spark: SparkSession, sf: str) -> DataFrame:
                     "_source_file")
 
 
+def bronze_csv_quoted(spark: SparkSession, sf: str) -> DataFrame:
+    """S3: texts with quotes, commas and line breaks through CSV, unchanged."""
+    d = load(spark, sf, "documents")
+    name = F.concat(F.lit("documents_"), F.coalesce("source", F.lit("none")), F.lit(".csv"))
+    root = write_landing(d.select("doc_id", "text", "lang", "source"), work_dir(spark, "landing"), name, "csv")
+    return read_csv(spark, root).select(F.col("doc_id").try_cast("bigint").alias("doc_id"), "text", "lang", "_source_file")
+
+
 def bronze_json(spark: SparkSession, sf: str) -> DataFrame:
     """NDJSON objects as verbatim text plus lineage columns."""
     root = events_landing(spark, sf, work_dir(spark, "landing"), drift=False)
@@ -313,6 +321,7 @@ IO_QUERIES = {
     "landing_inventory": landing_inventory,
     "bronze_csv": bronze_csv,
     "bronze_json": bronze_json,
+    "bronze_csv_quoted": bronze_csv_quoted,
     "bronze_lineage": bronze_lineage,
     "sql_views": sql_views,
     "merge_upsert": merge_upsert,

@@ -22,6 +22,7 @@ from tierflow.sinks.landing_writer import write_landing
 from tierflow.sinks.store import TableStore
 from tierflow.sources.tables import load
 from tierflow.streaming.bronze_stream import stream_bronze as _stream_bronze
+from tierflow.streaming.bronze_stream import stream_to_store as _stream_to_store
 from tierflow.streaming.bronze_stream import stream_upsert as _stream_upsert
 
 
@@ -42,16 +43,30 @@ def stream_bronze(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stream_dedupe(spark: SparkSession, sf: str) -> DataFrame:
-    """Every ``error`` event is delivered twice (a second drop re-sends them
-    unchanged); the stream keeps one copy per event id within the watermark."""
+    """Two runs: the first has all events, the second re-delivers every
+    ``error`` event, however old by then. Bronze keeps both copies, and silver
+    the later one; ``copies`` shows that none was lost on the way."""
     root = events_landing(spark, sf, work_dir(spark, "landing"), drift=False)
+    base = work_dir(spark, "stream")
+    store = TableStore(spark, f"{base}/lake")
+    _stream_to_store(store, "events", root, f"{base}/_checkpoints/events", EVENT_CONTRACT, RUN_ID)
     ev = load(spark, sf, "events")
     write_landing(ev.where(F.col("event_type") == "error"), root, F.lit("events_resent.jsonl"), "ndjson")
+    _stream_to_store(store, "events", root, f"{base}/_checkpoints/events", EVENT_CONTRACT, "run-resent")
+    bronze = store.read("bronze", "events")
+    copies = bronze.groupBy(F.col("event_id").try_cast("bigint").alias("event_id")).agg(F.count(F.lit(1)).alias("copies"))
+    latest = latest_per_key(_typed(bronze, "_ingested_at", "_run_id"), "event_id", ["_ingested_at", "_source_file"])
+    return latest.drop("_ingested_at").join(copies, "event_id")
+
+
+def stream_rescue(spark: SparkSession, sf: str) -> DataFrame:
+    """The weekend producer's renamed field is kept by the stream as well."""
+    root = events_landing(spark, sf, work_dir(spark, "landing"), drift=True)
     base = work_dir(spark, "stream")
-    bronze = f"{base}/bronze/events"
-    _stream_bronze(spark, root, bronze, f"{base}/_checkpoints/events", EVENT_CONTRACT, RUN_ID,
-                   dedupe_keys=["event_id"], event_time="ts", watermark="31 days")
-    return _typed(spark.read.parquet(bronze)).drop("_source_file")
+    store = TableStore(spark, f"{base}/lake")
+    _stream_to_store(store, "events", root, f"{base}/_checkpoints/events", EVENT_CONTRACT, RUN_ID, rescue=True)
+    return store.read("bronze", "events").select(F.col("event_id").try_cast("bigint").alias("event_id"),
+                                                 "_rescued_data", "_source_file")
 
 
 # The corrections drop re-delivers every ``error`` event with
@@ -261,6 +276,7 @@ JOB_QUERIES = {
     "stream_bronze": stream_bronze,
     "stream_upsert": stream_upsert,
     "stream_dedupe": stream_dedupe,
+    "stream_rescue": stream_rescue,
     "run_summary": run_summary,
     "run_ledger": run_ledger,
     "run_rules": run_rules,

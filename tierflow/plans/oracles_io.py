@@ -191,7 +191,12 @@ SELECT CASE WHEN n_bad = 0 THEN 'pass' WHEN n_int > 0 THEN 'fail' ELSE 'pass_wit
 FROM a
 """
 
+BRONZE_CSV_QUOTED = """
+SELECT doc_id, text, lang, 'documents_' || COALESCE(source, 'none') || '.csv' AS _source_file FROM documents
+"""
+
 IO_ORACLES = {
+    "bronze_csv_quoted": BRONZE_CSV_QUOTED,
     "contract_drift": CONTRACT_DRIFT,
     "contract_align": CONTRACT_ALIGN,
     "rescued_columns": RESCUED_COLUMNS,

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tierflow.plans.oracles_io import EV_FILE
+from tierflow.plans.oracles_io import EV_FILE, IO_ORACLES
 
 STREAM_BRONZE = f"""
 SELECT event_id, ts, user_id, event_type, value, props, {EV_FILE} AS _source_file, 'run-20240201' AS _run_id
@@ -16,8 +16,12 @@ SELECT event_id, ts, user_id, event_type,
 FROM events
 """
 
-STREAM_DEDUPE = """
-SELECT event_id, ts, user_id, event_type, value, props FROM events
+STREAM_DEDUPE = f"""
+SELECT event_id, ts, user_id, event_type, value, props,
+       CASE WHEN event_type = 'error' THEN 'events_resent.jsonl' ELSE {EV_FILE} END AS _source_file,
+       CASE WHEN event_type = 'error' THEN 'run-resent' ELSE 'run-20240201' END AS _run_id,
+       CAST(CASE WHEN event_type = 'error' THEN 2 ELSE 1 END AS BIGINT) AS copies
+FROM events
 """
 
 # customer -> orders -> lineitem after one run of the daily job
@@ -105,6 +109,7 @@ JOB_ORACLES = {
     "stream_bronze": STREAM_BRONZE,
     "stream_upsert": STREAM_UPSERT,
     "stream_dedupe": STREAM_DEDUPE,
+    "stream_rescue": IO_ORACLES["rescued_columns"],
     "run_summary": RUN_SUMMARY,
     "run_ledger": RUN_LEDGER,
     "run_rules": RUN_RULES,

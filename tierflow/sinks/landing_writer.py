@@ -21,13 +21,13 @@ def write_landing(df: DataFrame, root: str, name: Column | str, fmt: str, *, mod
     many tasks in parallel."""
     name_col = F.col(name) if isinstance(name, str) else name
     out = df.withColumn(PARTITION_COL, name_col)
-    w =(out.write.mode(mode).partitionBy(PARTITION_COL)
+    w = (out.write.mode(mode).partitionBy(PARTITION_COL)
          .option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
          .option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"))
     if fmt == "csv":
-        w.option("header", True).csv(root)
+        w.option("header", True).option("quote", '"').option("escape", '"').csv(root)
     elif fmt in ("ndjson", "json"):
         w.json(root)
     else:
-        raise ValueError(f"unsupported landing format: {fmt}")
+        raise ValueError(f"cannot write landing objects as {fmt}")
     return root

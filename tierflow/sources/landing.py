@@ -8,7 +8,10 @@ exploded into one row per map entry.
 
 from __future__ import annotations
 
+import csv
+import io
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -85,7 +88,7 @@ def source_of(name: str, sources: Sequence[str]) -> str:
     for s in sorted(sources, key=len, reverse=True):
         if base.startswith(f"{s}_"):
             return s
-    raise ValueError(f"unrecognized landing file: {base}")
+    raise ValueError(f"{base}: no known source begins with this name")
 
 
 def source_col(file_name: Column, sources: Sequence[str]) -> Column:
@@ -93,7 +96,7 @@ def source_col(file_name: Column, sources: Sequence[str]) -> Column:
     alts = "|".join(sorted(sources, key=len, reverse=True))
     s = F.regexp_extract(file_name, f"^({alts})_", 1)
     return F.when(s != "", s).otherwise(
-        F.raise_error(F.concat(F.lit("unrecognized landing file: "), file_name)))
+        F.raise_error(F.concat(file_name, F.lit(": no known source begins with this name"))))
 
 
 def format_of(name: str) -> str:
@@ -101,7 +104,7 @@ def format_of(name: str) -> str:
     for suffix, fmt in FORMATS.items():
         if base.endswith(suffix):
             return fmt
-    raise ValueError(f"unsupported landing format: {base}")
+    raise ValueError(f"{base}: landing objects end in {', '.join(FORMATS)}")
 
 
 def file_name_col() -> Column:
@@ -119,22 +122,51 @@ def read_csv(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
 
     All ``paths`` must share one header: Spark binds CSV columns by position
     (see :func:`read_csv_grouped` for mixed headers)."""
-    df = (spark.read.option("header", True).option("inferSchema", False)
-          .option("mode", "FAILFAST").csv(list(paths) if not isinstance(paths, str) else paths))
+    df = csv_options(spark.read.option("inferSchema", False)).csv(list(paths) if not isinstance(paths, str) else paths)
     return _strings(df)
 
 
-def csv_header(spark: SparkSession, path: str) -> list[str]:
-    """First line of a CSV file via the Hadoop FileSystem (metadata-sized read)."""
+def csv_options(reader):
+    """CSV as producers write it: a header, quotes doubled inside quoted values,
+    values that hold line breaks, blanks kept, bad records refused."""
+    return (reader.option("header", True).option("mode", "FAILFAST").option("quote", '"').option("escape", '"')
+            .option("multiLine", True).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False))
+
+
+def data_files(spark: SparkSession, path: str) -> list[str]:
+    """The files of a landing object: itself, or a folder's parts in name order."""
+    jvm = spark._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.getFileStatus(p).isDirectory():
+        return [path]
+    return sorted(str(st.getPath().toString()) for st in fs.listStatus(p)
+                  if st.isFile() and not st.getPath().getName().startswith(("_", ".")))
+
+
+def csv_header(spark: SparkSession, path: str) -> tuple[str, ...]:
+    """Column names of a CSV file: its first record, read through the Hadoop
+    FileSystem (quoted names may hold commas and line breaks)."""
     jvm = spark._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
     reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(fs.open(p), "UTF-8"))
     try:
-        line = reader.readLine() or ""
+        text = (reader.readLine() or "").lstrip("\ufeff")
+        while text.count('"') % 2:
+            more = reader.readLine()
+            if more is None:
+                break
+            text += "\n" + more
     finally:
         reader.close()
-    return [h.strip().strip('"') for h in line.lstrip("﻿").split(",")] if line else []
+    return tuple(next(csv.reader(io.StringIO(text)), []))
+
+
+def csv_headers(spark: SparkSession, paths: Sequence[str]) -> dict[str, tuple[str, ...]]:
+    """Header of every file, some at a time (each is one small remote read)."""
+    with ThreadPoolExecutor(16) as pool:
+        return dict(zip(paths, pool.map(lambda p: csv_header(spark, p), paths)))
 
 
 def read_csv_grouped(spark: SparkSession, paths: Sequence[str], contract: Sequence[str]) -> DataFrame:
@@ -143,8 +175,8 @@ def read_csv_grouped(spark: SparkSession, paths: Sequence[str], contract: Sequen
     contract by name, then unioned."""
     from tierflow.sources.contracts import align
     groups: dict[tuple[str, ...], list[str]] = {}
-    for p in paths:
-        groups.setdefault(tuple(csv_header(spark, p)), []).append(p)
+    for f, header in csv_headers(spark, [f for p in paths for f in data_files(spark, p)]).items():
+        groups.setdefault(header, []).append(f)
     parts = [align(read_csv(spark, ps), contract, keep=("_source_file",)) for ps in groups.values()]
     out = parts[0]
     for p in parts[1:]:
@@ -165,13 +197,18 @@ def read_ndjson(spark: SparkSession, paths: str | Sequence[str], schema=None) ->
 def read_json_map(spark: SparkSession, paths: str | Sequence[str], *, date_field: str = "date",
                   map_field: str = "rates_to_bob", out: Mapping[str, str] | None = None) -> DataFrame:
     """A JSON document ``{date, <map>: {k: v}}`` -> one row per map entry,
-    the date repeated: (rate_date, currency, rate_to_bob) by default."""
+    the date repeated: (rate_date, currency, rate_to_bob) by default. A document
+    without the date or the map fails the read."""
     names = dict(out or {"date": "rate_date", "key": "currency", "value": "rate_to_bob"})
     schema = f"`{date_field}` string, `{map_field}` map<string,string>"
     df = spark.read.option("multiLine", True).option("mode", "FAILFAST").schema(schema).json(
         list(paths) if not isinstance(paths, str) else paths)
-    return df.select(F.col(date_field).alias(names["date"]),
-                     F.explode(map_field).alias(names["key"], names["value"]),
+    def needed(name: str) -> Column:
+        text = F.concat(F.lit(f"no field {name} in "), file_name_col())
+        return F.when(F.col(f"`{name}`").isNull(), F.raise_error(text)).otherwise(F.col(f"`{name}`"))
+
+    return df.select(needed(date_field).alias(names["date"]),
+                     F.explode(needed(map_field)).alias(names["key"], names["value"]),
                      file_name_col().alias("_source_file"))
 
 
