@@ -1,10 +1,10 @@
-"""Quarantine move (FIXTURES.md §4), split invariants and cascades."""
+"""Moves to quarantine and back, split invariants and cascades."""
 
 import datetime as dt
 
 from pyspark.sql import functions as F
 
-from tierflow.operators.quarantine import cascade, split, tag_layers
+from tierflow.operators.quarantine import bad_rows, cascade, split, tag_layers
 from tierflow.operators.rules import compile_rules
 from tierflow.plans.job import RunSummary, apply_quality, bank_specs
 from tierflow.sinks.store import TableStore
@@ -13,28 +13,33 @@ SCHEMA = ("customer_id string, full_name string, doc_id string, birth_date date,
           "segment string, risk_rating string, created_at date, _run_id string")
 
 
-def rows():
-    d = dt.date
-    return [("C1", "A", "1", d(1990, 1, 1), "x", "retail", "low", d(2020, 1, 1), "r"),
-            ("C2", "B", None, d(1991, 1, 1), "x", "retail", "low", d(2020, 1, 1), "r"),
-            ("C3", "C", "3", None, "x", "retail", "low", d(2020, 1, 1), "r")]
+def people():
+    """Four customers: one sound, one without a document, one without a birth
+    date, and one that lacks both."""
+    born, since = dt.date(1984, 2, 29), dt.date(2019, 11, 5)
+    return [("K-7", "Ana", "D7", born, "Sucre", "premium", "medium", since, "r"),
+            ("K-8", "Luz", None, born, "Sucre", "business", "high", since, "r"),
+            ("K-9", "Teo", "D9", None, "Potosi", "retail", "low", since, "r"),
+            ("K-10", "Eva", None, None, "Oruro", "retail", "low", since, "r")]
 
 
-def test_quarantine_moves_error_rows_with_reasons(spark, tmp_root):
+def test_failing_customers_leave_silver_and_return_when_mended(spark, tmp_root):
     store = TableStore(spark, tmp_root)
-    store.write("silver", "customers", spark.createDataFrame(rows(), SCHEMA), mode="overwrite")
+    store.write("silver", "customers", spark.createDataFrame(people(), SCHEMA), mode="overwrite")
     summary = RunSummary("r", dt.date(2026, 7, 1))
-    moved = apply_quality(store, "customers", bank_specs()["customers"], summary)
-    assert moved == 2
-    q = {r["customer_id"]: r["_reject_reason"] for r in store.read("quarantine", "customers").collect()}
-    assert q == {"C2": "doc_id_not_null", "C3": "birth_date_not_null"}
-    assert [r["customer_id"] for r in store.read("silver", "customers").collect()] == ["C1"]
+    assert apply_quality(store, "customers", bank_specs()["customers"], summary) == 3
+    held = {r["customer_id"]: r["_reject_reason"] for r in store.read("quarantine", "customers").collect()}
+    assert held == {"K-8": "doc_id_not_null", "K-9": "birth_date_not_null", "K-10": "doc_id_not_null;birth_date_not_null"}
+    assert [r["customer_id"] for r in store.read("silver", "customers").collect()] == ["K-7"]
 
-    # rerun: the bad row comes back into silver and is quarantined again -> still one copy
-    store.merge("silver", "customers", spark.createDataFrame(rows()[1:2], SCHEMA), key="customer_id")
-    apply_quality(store, "customers", bank_specs()["customers"], summary)
-    assert store.read("quarantine", "customers").count() == 2
-    assert store.read("silver", "customers").count() == 1
+    # the same faulty row again stays one copy; a mended one is released
+    again = [people()[1], (*people()[2][:3], dt.date(2001, 3, 4), *people()[2][4:])]
+    store.merge("silver", "customers", spark.createDataFrame(again, SCHEMA), key="customer_id")
+    assert apply_quality(store, "customers", bank_specs()["customers"], summary) == 1
+    assert sorted(r["customer_id"] for r in store.read("quarantine", "customers").collect()) == ["K-10", "K-8"]
+    assert sorted(r["customer_id"] for r in store.read("silver", "customers").collect()) == ["K-7", "K-9"]
+    rules = {(r[1], r[2]) for r in summary.rules}
+    assert ("doc_id_not_null", "quarantine") in rules and ("birth_date_not_null", "ok") in rules
 
 
 def test_split_is_a_partition_of_the_input(spark):
@@ -55,8 +60,8 @@ def test_cascade_orphans_children(spark):
     out = cascade([("parents", parents, [{"id": "bal_ok", "type": "fail_when", "expr": "bal < 0"}]),
                    ("kids", kids, [{"id": "parent_exists", "type": "foreign_key", "column": "pid",
                                     "ref": "parents", "ref_column": "pid"}])])
-    assert out["parents"][1].count() == 1
-    assert [r["kid"] for r in out["kids"][1].collect()] == [3]
+    assert bad_rows(out["parents"]).count() == 1
+    assert [r["kid"] for r in bad_rows(out["kids"]).collect()] == [3]
 
 
 def test_report_passed_and_keyless_quarantine_appends(spark, tmp_root):

@@ -75,20 +75,29 @@ def decide(report_df: DataFrame, policy: Mapping[str, str] | DataFrame | None,
             .drop("p_rule_id", "p_action"))
 
 
-def cascade(tables: Sequence[tuple[str, DataFrame, Sequence[Mapping]]], refs: dict | None = None
-            ) -> dict[str, tuple[DataFrame, DataFrame]]:
+def cascade(tables: Sequence[tuple[str, DataFrame, Sequence[Mapping]]], refs: dict | None = None,
+            stage=None) -> dict[str, DataFrame]:
     """Clean tables in dependency order (parents first).
 
     ``tables`` is a list of (name, frame, rules). Each table's rules may refer
     to earlier tables by name in ``foreign_key.ref``; they see the *cleaned*
     (good) parent, so quarantining a parent orphans its children. Returns
-    name -> (good, bad).
+    name -> every row once, with ``_layer`` and ``_reject_reason`` (see
+    :func:`tag_layers`). ``stage(name, frame)`` may write a tagged table and
+    read it back, so that no child computes its parent again.
     """
     resolved: dict[str, DataFrame] = dict(refs or {})
-    out: dict[str, tuple[DataFrame, DataFrame]] = {}
+    out: dict[str, DataFrame] = {}
     for name, df, rules in tables:
-        comp = compile_rules(df, rules, resolved)
-        good, bad = split(comp)
-        out[name] = (good, bad)
-        resolved[name] = good
+        tagged = tag_layers(compile_rules(df, rules, resolved))
+        out[name] = stage(name, tagged) if stage else tagged
+        resolved[name] = good_rows(out[name])
     return out
+
+
+def good_rows(tagged: DataFrame) -> DataFrame:
+    return tagged.where(F.col("_layer") == "silver").drop("_layer", "_reject_reason")
+
+
+def bad_rows(tagged: DataFrame) -> DataFrame:
+    return tagged.where(F.col("_layer") == "quarantine").drop("_layer")

@@ -177,11 +177,16 @@ FX_UNQUOTED = "error"
 FX_GAP = ("view", "2024-01-30")
 
 
-def derived_rates(spark: SparkSession, sf: str) -> DataFrame:
+def all_rates(spark: SparkSession, sf: str) -> DataFrame:
     """Daily 'rates' per event type = ROUND(AVG(value), 2) of that day."""
     ev = load(spark, sf, "events")
-    r = ev.groupBy(F.to_date("ts").alias("rate_date"), F.col("event_type").alias("currency")).agg(
+    return ev.groupBy(F.to_date("ts").alias("rate_date"), F.col("event_type").alias("currency")).agg(
         money_avg_round("value").alias("rate_to_bob"))
+
+
+def derived_rates(spark: SparkSession, sf: str) -> DataFrame:
+    """The daily rates with gaps, for the queries on missing rates."""
+    r = all_rates(spark, sf)
     return r.where((F.col("rate_date") >= F.lit(FX_FIRST_DAY).cast("date"))
                    & (F.col("currency") != FX_UNQUOTED)
                    & ~((F.col("currency") == FX_GAP[0]) & (F.col("rate_date") == F.lit(FX_GAP[1]).cast("date"))))
@@ -325,9 +330,14 @@ def dq_samples(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def dq_findings(spark: SparkSession, sf: str) -> DataFrame:
-    """Failed rules only."""
-    return dq_report(spark, sf).where("failed").select(
-        "table", "rule_id", "rule_type", "column", "severity", "failed_rows", "total_rows")
+    """Failed rules with the action the policy takes on them (warnings are
+    only reported)."""
+    from tierflow.operators.quarantine import decide
+    rep = dq_report(spark, sf)
+    actions = decide(rep, LINEITEM_POLICY).select(F.col("rule_id").alias("decided"), "action")
+    found = rep.where("failed").join(actions, F.col("rule_id") == F.col("decided"), "left")
+    return found.select("table", "rule_id", "rule_type", "column", "severity", "failed_rows", "total_rows",
+                        F.coalesce("action", F.lit("report")).alias("action"))
 
 
 def dq_policy(spark: SparkSession, sf: str) -> DataFrame:
@@ -379,14 +389,13 @@ def cascade_frames(spark: SparkSession, sf: str):
 
 
 def fk_cascade(spark: SparkSession, sf: str) -> DataFrame:
-    """Silver and quarantine rows per table after the cascade."""
-    out = cascade_frames(spark, sf)
-    parts = [good.agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("silver_rows"))
-             .withColumn("quarantine_rows", bad.agg(F.count(F.lit(1))).scalar())
-             for name, (good, bad) in out.items()]
-    res = parts[0]
-    for p in parts[1:]:
-        res = res.unionByName(p)
+    """Silver and quarantine rows per table after the cascade, both counted
+    in one pass over each table."""
+    res = None
+    for name, tagged in cascade_frames(spark, sf).items():
+        counts = tagged.agg(F.lit(name).alias("table_name"), F.count_if(F.col("_layer") == "silver").alias("silver_rows"),
+                            F.count_if(F.col("_layer") == "quarantine").alias("quarantine_rows"))
+        res = counts if res is None else res.unionByName(counts)
     return res
 
 

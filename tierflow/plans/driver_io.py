@@ -12,13 +12,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierflow.functions.columns import safe_to_date, safe_to_double, safe_to_timestamp, strip_all
+from tierflow.functions.columns import money_mul_round, safe_to_date, safe_to_double, safe_to_timestamp, strip_all
 from tierflow.operators import reconcile as rc
 from tierflow.operators.dedupe import latest_per_key
-from tierflow.operators.quarantine import cascade
+from tierflow.operators.quarantine import bad_rows, cascade, good_rows
 from tierflow.plans import gold
 from tierflow.plans import silver as sv
-from tierflow.plans.driver import (CASCADE, LOAD_TS, RUN_ID, bronze_of, derived_rates, kpi_daily,
+from tierflow.plans.driver import (CASCADE, LOAD_TS, RUN_ID, all_rates, bronze_of, derived_rates, kpi_daily,
                                    silver_customer, silver_orders)
 from tierflow.session import work_dir
 from tierflow.sinks.landing_writer import write_landing
@@ -79,7 +79,7 @@ def rescued_columns(spark: SparkSession, sf: str) -> DataFrame:
 
 def json_map_explode(spark: SparkSession, sf: str) -> DataFrame:
     """One {date, rates_to_bob} document per day -> one row per map entry."""
-    rates = derived_rates(spark, sf)
+    rates = all_rates(spark, sf)
     docs = rates.groupBy("rate_date").agg(
         F.map_from_entries(F.collect_list(F.struct("currency", "rate_to_bob"))).alias("rates_to_bob"))
     root = work_dir(spark, "fx")
@@ -257,23 +257,39 @@ def silver_transactions(spark: SparkSession, sf: str) -> DataFrame:
 LI_KEY = ["l_orderkey", "l_linenumber"]
 
 
+def _staged(spark: SparkSession):
+    """Writes a table and reads it back, as the layers of a lake are."""
+    base = work_dir(spark, "recon")
+
+    def stage(name: str, df: DataFrame) -> DataFrame:
+        df.write.parquet(f"{base}/{name}")
+        return spark.read.parquet(f"{base}/{name}")
+    return stage
+
+
 def cascade_state(spark: SparkSession, sf: str):
+    """Raw tables, the cleaned tables (each row once, tagged with its layer) and
+    the fact; every table is computed once and the checks read what was written."""
     raw = {t: load(spark, sf, t) for t in ("customer", "orders", "lineitem")}
     li = latest_per_key(raw["lineitem"], LI_KEY, ["l_shipdate", "l_partkey", "l_suppkey", "l_extendedprice"])
     frames = {"customer": raw["customer"], "orders": raw["orders"], "lineitem": li}
-    out = cascade([(name, frames[name], rules) for name, rules in CASCADE])
-    l_good = out["lineitem"][0]
-    o_good = out["orders"][0]
-    tx = l_good.select(*LI_KEY, F.col("l_orderkey").alias("account_id"),
-                       F.col("l_extendedprice").alias("amount_orig"))
-    acc = o_good.select(F.col("o_orderkey").alias("account_id"), F.col("o_custkey").alias("customer_id"))
-    fact = gold.fact_transactions(tx, acc, select=[*LI_KEY, "account_id", "customer_id", "amount_orig"])
+    stage = _staged(spark)
+    out = cascade([(name, frames[name], rules) for name, rules in CASCADE], stage=stage)
+    tx = good_rows(out["lineitem"]).select(*LI_KEY, F.col("l_orderkey").alias("account_id"),
+                                           F.col("l_extendedprice").alias("amount_orig"))
+    acc = good_rows(out["orders"]).select(F.col("o_orderkey").alias("account_id"), F.col("o_custkey").alias("customer_id"))
+    fact = stage("fact", gold.fact_transactions(tx, acc, select=[*LI_KEY, "account_id", "customer_id", "amount_orig"]))
     return raw, out, fact
 
 
 def _row_checks(raw, out):
     keys = {"customer": "c_custkey", "orders": "o_orderkey", "lineitem": LI_KEY}
-    return [rc.row_conservation(t, raw[t], out[t][0], out[t][1], keys[t]) for t in ("customer", "orders", "lineitem")]
+    return [rc.row_conservation(t, raw[t], good_rows(out[t]), bad_rows(out[t]), keys[t]) for t in keys]
+
+
+def _fact_checks(out, fact):
+    return [rc.amount_conservation("fact", good_rows(out["lineitem"]), fact, "l_extendedprice", "amount_orig"),
+            rc.no_orphans("fact", fact, "customer_id")]
 
 
 def recon_rows(spark: SparkSession, sf: str) -> DataFrame:
@@ -282,16 +298,25 @@ def recon_rows(spark: SparkSession, sf: str) -> DataFrame:
     return rc.combine(_row_checks(raw, out))
 
 
+def recon_lost_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """R1, R6 when they must fail: a silver layer that lost some keys and whose
+    fact lost amounts is caught, and the verdict says so."""
+    raw, out, fact = cascade_state(spark, sf)
+    lost = {t: f.where(F.col({"customer": "c_custkey", "orders": "o_orderkey", "lineitem": "l_orderkey"}[t]) % 100 != 7)
+            for t, f in out.items()}
+    return rc.verdict(rc.combine([*_row_checks(raw, lost), *_fact_checks(lost, fact)]))
+
+
 def recon_amount(spark: SparkSession, sf: str) -> DataFrame:
     """Rounded amount equal in silver and the fact."""
     _, out, fact = cascade_state(spark, sf)
-    return rc.amount_conservation("fact", out["lineitem"][0], fact, "l_extendedprice", "amount_orig")
+    return _fact_checks(out, fact)[0]
 
 
 def recon_orphans(spark: SparkSession, sf: str) -> DataFrame:
     """Facts without a customer."""
-    _, _, fact = cascade_state(spark, sf)
-    return rc.no_orphans("fact", fact, "customer_id")
+    _, out, fact = cascade_state(spark, sf)
+    return _fact_checks(out, fact)[1]
 
 
 def recon_baseline(spark: SparkSession, sf: str) -> DataFrame:
@@ -302,9 +327,7 @@ def recon_baseline(spark: SparkSession, sf: str) -> DataFrame:
 def recon_report(spark: SparkSession, sf: str) -> DataFrame:
     """All checks as (name, ok, detail) rows."""
     raw, out, fact = cascade_state(spark, sf)
-    return rc.combine([*_row_checks(raw, out),
-                       rc.amount_conservation("fact", out["lineitem"][0], fact, "l_extendedprice", "amount_orig"),
-                       rc.no_orphans("fact", fact, "customer_id"),
+    return rc.combine([*_row_checks(raw, out), *_fact_checks(out, fact),
                        rc.kpi_baseline("fraud_rate", kpi_daily(spark, sf), "fraud_flag_rate_pct", 0.5, 3.0)])
 
 
@@ -313,6 +336,61 @@ def recon_verdict(spark: SparkSession, sf: str) -> DataFrame:
     return rc.verdict(recon_report(spark, sf))
 
 
+def recon_overall(spark: SparkSession, sf: str) -> DataFrame:
+    """Whether all checks hold, and the names of those that do not."""
+    return rc.overall(recon_report(spark, sf))
+
+
+# -- the banking builders over driver tables in the shape of their landing contracts ----------
+def build_fx_rates(spark: SparkSession, sf: str) -> DataFrame:
+    """M1: daily rates as bronze text, delivered twice; the later load wins."""
+    r = all_rates(spark, sf).select(F.date_format("rate_date", "yyyy-MM-dd").alias("rate_date"), "currency", "rate_to_bob")
+    first = bronze_of(r.withColumn("rate_to_bob", F.col("rate_to_bob") + 1), "fx_rates_20240201.json")
+    again = add_lineage(r.select(*[F.col(c).cast("string").alias(c) for c in r.columns]), source_file="fx_rates_20240202.json",
+                        run_id="run-20240202", ingested_at=RELOAD_TS)
+    return sv.build_fx_rates(first.unionByName(again))
+
+
+def build_customers(spark: SparkSession, sf: str) -> DataFrame:
+    """M2: blanks around names, mixed case, dates that are none."""
+    c = load(spark, sf, "customer")
+    shaped = c.select(
+        F.col("c_custkey").alias("customer_id"), F.concat(F.lit(" \t"), "c_name", F.lit("\n ")).alias("full_name"),
+        F.concat(F.lit("D"), F.col("c_custkey").cast("string")).alias("doc_id"),
+        F.when(F.col("c_custkey") % 9 == 0, "not a date").otherwise(
+            F.date_format(F.date_add(F.lit("1950-01-01").cast("date"), (F.col("c_custkey") % 15000).cast("int")), "yyyy-MM-dd")).alias("birth_date"),
+        F.col("c_nationkey").cast("string").alias("city"), F.initcap("c_mktsegment").alias("segment"),
+        F.when(F.col("c_acctbal") < 0, "HIGH").otherwise("Low").alias("risk_rating"), F.lit("2020-02-30").alias("created_at"))
+    return sv.build_customers(bronze_of(shaped, "customers_20240201.csv"))
+
+
+def build_accounts(spark: SparkSession, sf: str) -> DataFrame:
+    """M3: orders in the shape of accounts."""
+    o = load(spark, sf, "orders")
+    shaped = o.select(F.col("o_orderkey").alias("account_id"), F.col("o_custkey").alias("customer_id"),
+                      F.col("o_orderpriority").alias("account_type"), F.lit("BOB").alias("currency"),
+                      F.date_format("o_orderdate", "yyyy-MM-dd").alias("opened_at"), F.col("o_orderstatus").alias("status"))
+    return sv.build_accounts(bronze_of(shaped, "accounts_20240201.csv"))
+
+
+def run_model(spark: SparkSession, sf: str) -> DataFrame:
+    """A named model built from the store's tables and written as gold."""
+    store = TableStore(spark, work_dir(spark, "lake"))
+    store.write("silver", "accounts", build_accounts(spark, sf), mode="overwrite")
+    return gold.run_model(store, "dim_account")
+
+
+def odd_amounts(spark: SparkSession, sf: str) -> DataFrame:
+    """Amounts beyond any decimal, with nine decimals, NaN and text, by
+    day: the job goes on, and exact ones stay exact."""
+    ev = load(spark, sf, "events")
+    text = (F.when(F.col("event_id") % 50 == 1, "1e14").when(F.col("event_id") % 50 == 2, "1e20")
+            .when(F.col("event_id") % 50 == 3, "0.123456789").when(F.col("event_id") % 50 == 4, "NaN")
+            .when(F.col("event_id") % 50 == 5, "n/a").otherwise(F.col("value").cast("string")))
+    a = ev.select("event_id", safe_to_double(text).alias("amount"))
+    return a.select("event_id", "amount", money_mul_round("amount", F.lit(2.0)).alias("doubled"))
+
+
 IO_QUERIES = {
     "contract_drift": contract_drift,
     "contract_align": contract_align,
@@ -336,6 +414,13 @@ IO_QUERIES = {
     "recon_baseline": recon_baseline,
     "recon_report": recon_report,
     "recon_verdict": recon_verdict,
+    "recon_overall": recon_overall,
+    "recon_lost_rows": recon_lost_rows,
+    "build_fx_rates": build_fx_rates,
+    "build_customers": build_customers,
+    "build_accounts": build_accounts,
+    "run_model": run_model,
+    "odd_amounts": odd_amounts,
 }
 
 __all__ = ["IO_QUERIES", "TABLES"]

@@ -70,15 +70,15 @@ SELECT user_id, COUNT(*) AS events,
 FROM events GROUP BY user_id
 """
 
+# every day between the first and the last event, from its number alone
 DIM_DATE = """
-SELECT CAST(d AS DATE) AS date_key,
-       EXTRACT(year FROM d) AS year, EXTRACT(quarter FROM d) AS quarter,
-       EXTRACT(month FROM d) AS month, strftime(d, '%B') AS month_name,
-       EXTRACT(day FROM d) AS day, EXTRACT(isodow FROM d) AS iso_weekday,
-       strftime(d, '%A') AS weekday_name, EXTRACT(isodow FROM d) IN (6, 7) AS is_weekend
-FROM generate_series((SELECT MIN(CAST(ts AS DATE))::TIMESTAMP FROM events),
-                     (SELECT MAX(CAST(ts AS DATE))::TIMESTAMP FROM events),
-                     INTERVAL 1 DAY) AS gs(d)
+WITH RECURSIVE span AS (SELECT MIN(CAST(ts AS DATE)) AS a, MAX(CAST(ts AS DATE)) AS z FROM events),
+days AS (SELECT a AS day, z FROM span WHERE a IS NOT NULL
+         UNION ALL SELECT CAST(day + INTERVAL 1 DAY AS DATE), z FROM days WHERE day < z),
+parts AS (SELECT day, year(day) AS y, month(day) AS m, dayofmonth(day) AS d, isodow(day) AS w FROM days)
+SELECT day AS date_key, y AS year, (m + 2) // 3 AS quarter, m AS month, monthname(day) AS month_name,
+       d AS day, w AS iso_weekday, dayname(day) AS weekday_name, w > 5 AS is_weekend
+FROM parts
 """
 
 
@@ -267,7 +267,9 @@ QUALIFY sample_rank <= 5
 """
 
 DQ_FINDINGS = f"""
-SELECT "table", rule_id, rule_type, "column", severity, failed_rows, total_rows
+SELECT "table", rule_id, rule_type, "column", severity, failed_rows, total_rows,
+       CASE WHEN severity <> 'error' THEN 'report' WHEN rule_id = 'line_unique' THEN 'warn_and_keep'
+            ELSE 'quarantine' END AS action
 FROM ({DQ_REPORT}) WHERE failed
 """
 

@@ -5,7 +5,7 @@ tables directly)."""
 
 from __future__ import annotations
 
-from tierflow.plans.oracles import KPI_DAILY, RATES, mul2, sum2
+from tierflow.plans.oracles import KPI_DAILY, RATES, avg2, mul2, sum2
 
 EV_FILE = "'events_' || strftime(ts, '%Y%m%d') || '.jsonl'"
 WEEKEND = "isodow(ts) IN (6, 7)"
@@ -32,7 +32,8 @@ FROM events
 
 JSON_MAP_EXPLODE = f"""
 SELECT rate_date, currency, rate_to_bob, 'fx_rates_' || strftime(rate_date, '%Y%m%d') || '.json' AS _source_file
-FROM ({RATES})
+FROM (SELECT CAST(ts AS DATE) AS rate_date, event_type AS currency, {avg2('value')} AS rate_to_bob
+      FROM events GROUP BY 1, 2)
 """
 
 LANDING_INVENTORY = f"""
@@ -191,6 +192,74 @@ SELECT CASE WHEN n_bad = 0 THEN 'pass' WHEN n_int > 0 THEN 'fail' ELSE 'pass_wit
 FROM a
 """
 
+RECON_OVERALL = f"""
+SELECT COALESCE(bool_and(ok), TRUE) AS ok, COUNT(*) FILTER (WHERE NOT ok) AS mismatches,
+       COALESCE(string_agg(CASE WHEN NOT ok THEN name END, ',' ORDER BY name), '') AS mismatch_names
+FROM ({RECON_REPORT})
+"""
+
+# what is left when every key that ends in 07 is lost from the layers, but not from the fact
+RECON_LOST_ROWS = f"""
+WITH {PIPE},
+k AS (SELECT (SELECT c_b FROM n) AS c_b, (SELECT o_b FROM n) AS o_b, (SELECT l_b FROM n) AS l_b,
+             (SELECT COUNT(*) FROM c_good WHERE c_custkey % 100 <> 7) AS c_s,
+             (SELECT COUNT(*) FROM customer WHERE c_custkey % 100 <> 7) AS c_n,
+             (SELECT COUNT(*) FROM o_good WHERE o_orderkey % 100 <> 7) AS o_s,
+             (SELECT COUNT(*) FROM orders WHERE o_orderkey % 100 <> 7) AS o_n,
+             (SELECT COUNT(*) FROM l_good WHERE l_orderkey % 100 <> 7) AS l_s,
+             (SELECT COUNT(*) FROM li WHERE l_orderkey % 100 <> 7) AS l_n,
+             (SELECT {sum2('l_extendedprice')} FROM l_good WHERE l_orderkey % 100 <> 7) AS a,
+             (SELECT {sum2('amount_orig')} FROM fact) AS b,
+             (SELECT COUNT(*) FROM fact WHERE customer_id IS NULL) AS orphans),
+rep AS (
+SELECT 'row_conservation_customer' AS name, c_b = c_n AS ok,
+       printf('bronze distinct c_custkey=%d vs silver=%d + quarantine=%d', c_b, c_s, c_n - c_s) AS detail FROM k
+UNION ALL SELECT 'row_conservation_orders', o_b = o_n,
+       printf('bronze distinct o_orderkey=%d vs silver=%d + quarantine=%d', o_b, o_s, o_n - o_s) FROM k
+UNION ALL SELECT 'row_conservation_lineitem', l_b = l_n,
+       printf('bronze distinct l_orderkey,l_linenumber=%d vs silver=%d + quarantine=%d', l_b, l_s, l_n - l_s) FROM k
+UNION ALL SELECT 'amount_conservation_fact', a IS NOT DISTINCT FROM b,
+       printf('left l_extendedprice=%.2f vs right amount_orig=%.2f', a, b) FROM k
+UNION ALL SELECT 'fact_no_orphans', orphans = 0, printf('%d rows without customer_id', orphans) FROM k)
+SELECT CASE WHEN COUNT(*) FILTER (WHERE NOT ok) > 0 THEN 'fail' ELSE 'pass' END AS verdict,
+       CASE WHEN COUNT(*) FILTER (WHERE NOT ok) > 0 THEN 'data-integrity checks failed: ' ||
+            string_agg(CASE WHEN NOT ok THEN detail END, '; ' ORDER BY name, detail)
+            ELSE 'all reconciliation checks green' END AS explanation,
+       COUNT(*) FILTER (WHERE NOT ok) AS mismatches
+FROM rep
+"""
+
+BUILD_FX_RATES = f"""
+SELECT CAST(ts AS DATE) AS rate_date, event_type AS currency, {avg2('value')} AS rate_to_bob
+FROM events GROUP BY 1, 2
+"""
+
+BUILD_CUSTOMERS = """
+SELECT CAST(c_custkey AS VARCHAR) AS customer_id, c_name AS full_name, 'D' || CAST(c_custkey AS VARCHAR) AS doc_id,
+       CASE WHEN c_custkey % 9 <> 0 THEN CAST(DATE '1950-01-01' + CAST(c_custkey % 15000 AS INTEGER) AS DATE) END AS birth_date,
+       CAST(c_nationkey AS VARCHAR) AS city, lower(c_mktsegment) AS segment,
+       CASE WHEN c_acctbal < 0 THEN 'high' ELSE 'low' END AS risk_rating, CAST(NULL AS DATE) AS created_at,
+       'run-20240201' AS _run_id
+FROM customer
+"""
+
+BUILD_ACCOUNTS = """
+SELECT CAST(o_orderkey AS VARCHAR) AS account_id, CAST(o_custkey AS VARCHAR) AS customer_id,
+       lower(o_orderpriority) AS account_type, 'BOB' AS currency, CAST(o_orderdate AS DATE) AS opened_at,
+       lower(o_orderstatus) AS status, 'run-20240201' AS _run_id
+FROM orders
+"""
+
+RUN_MODEL = f"SELECT account_id, customer_id, account_type, currency, opened_at, status FROM ({BUILD_ACCOUNTS})"
+
+ODD_AMOUNTS = """
+SELECT event_id, amount,
+       CASE WHEN event_id % 50 IN (1, 2, 4) THEN amount * 2
+            ELSE CAST(ROUND(CAST(amount AS DECIMAL(20,6)) * 2, 2) AS DOUBLE) END AS doubled
+FROM (SELECT event_id, CASE event_id % 50 WHEN 1 THEN 1e14 WHEN 2 THEN 1e20 WHEN 3 THEN 0.123456789
+             WHEN 4 THEN CAST('NaN' AS DOUBLE) WHEN 5 THEN NULL ELSE value END AS amount FROM events)
+"""
+
 BRONZE_CSV_QUOTED = """
 SELECT doc_id, text, lang, 'documents_' || COALESCE(source, 'none') || '.csv' AS _source_file FROM documents
 """
@@ -218,4 +287,11 @@ IO_ORACLES = {
     "recon_baseline": RECON_BASELINE,
     "recon_report": RECON_REPORT,
     "recon_verdict": RECON_VERDICT,
+    "recon_overall": RECON_OVERALL,
+    "recon_lost_rows": RECON_LOST_ROWS,
+    "build_fx_rates": BUILD_FX_RATES,
+    "build_customers": BUILD_CUSTOMERS,
+    "build_accounts": BUILD_ACCOUNTS,
+    "run_model": RUN_MODEL,
+    "odd_amounts": ODD_AMOUNTS,
 }
