@@ -87,10 +87,10 @@ def test_report_passed_and_keyless_quarantine_appends(spark, tmp_root):
 def test_evaluate_then_quarantine_subset(spark, tmp_root):
     from tierflow.plans.job import evaluate_table, quarantine_failures
     store = TableStore(spark, tmp_root)
-    store.write("silver", "customers", spark.createDataFrame(rows(), SCHEMA), mode="overwrite")
+    store.write("silver", "customers", spark.createDataFrame(people(), SCHEMA), mode="overwrite")
     spec = bank_specs()["customers"]
     rep = {r["rule_id"]: r["failed_rows"] for r in evaluate_table(store, "silver", "customers", spec).collect()}
-    assert rep["doc_id_not_null"] == 1 and rep["birth_date_not_null"] == 1
-    assert store.read("silver", "customers").count() == 3                   # evaluation moves nothing
-    assert quarantine_failures(store, "silver", "customers", spec, rule_ids=["doc_id_not_null"]) == 1
-    assert sorted(r["customer_id"] for r in store.read("silver", "customers").collect()) == ["C1", "C3"]
+    assert rep["doc_id_not_null"] == 2 and rep["birth_date_not_null"] == 2
+    assert store.read("silver", "customers").count() == 4                   # evaluation moves nothing
+    assert quarantine_failures(store, "silver", "customers", spec, rule_ids=["doc_id_not_null"]) == 2
+    assert sorted(r["customer_id"] for r in store.read("silver", "customers").collect()) == ["K-7", "K-9"]
