@@ -26,7 +26,7 @@ def slow_grams(text):
 
 
 def test_grams_match_a_plain_loop():
-    texts = ["", "!!", "Ab, c", "a", "Straße 12 naïve", "x-y  z" * 50, "日本 語"]
+    texts = ["", "!!", "Ab, c", "a", "Straße 12 naïve", "x-y  z" * 50, "日本 語", "😀 👍🏽", "𐐨𐐩 😀 a"]
     for t, (ids, counts) in zip(texts, gram_counts(texts)):
         assert dict(zip(ids.tolist(), counts.tolist())) == dict(slow_grams(t)), t
 
@@ -58,7 +58,7 @@ def test_odd_rows(spark):
                                    ("", "en"), (None, "de"), ("12", "xx")], "text string, lang string")
     model = fit_languages(learn)
     assert model.languages == ["de", "en"]
-    rows = [(1, "the mat"), (2, None), (3, "42 !"), (None, "auf der"), (1, "the mat"), (5, "the cat " * 50000), (6, "字字字字")]
+    rows = [(1, "the mat"), (2, None), (3, "42 ! 😀"), (None, "auf der"), (1, "the mat"), (5, "the cat " * 50000), (6, "字字字字")]
     df = spark.createDataFrame(rows, "doc_id bigint, text string").withColumns({"lang": F.lit("zz"), "score": F.lit("s")})
     got = sorted(((x.id, x.lang) for x in identify(df, model).collect()), key=str)
     want = [(1, "en"), (2, "und"), (3, "und"), (None, "de"), (1, "en"), (5, "en")]

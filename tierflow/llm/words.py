@@ -20,13 +20,14 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h
 
 
+_KINDS = {"word": lambda c: c.isalnum() or c == "_", "letter": str.isalpha, "upper": str.isupper,
+          "space": str.isspace, "digit": str.isdigit}
+
+
 def table(name: str) -> np.ndarray:
-    """Per code point (0 to 65535) whether ``str`` calls it ``isalnum`` ...;
-    later code points count as members."""
+    """Per code point (0 to 65535) whether it is a word character, letter ..."""
     if name not in _TABLES:
-        test = {"word": lambda c: c.isalnum() or c == "_", "letter": str.isalpha, "upper": str.isupper,
-                "space": str.isspace, "digit": str.isdigit}[name]
-        _TABLES[name] = np.array([test(chr(i)) for i in range(65536)])
+        _TABLES[name] = np.array([_KINDS[name](chr(i)) for i in range(65536)])
     return _TABLES[name]
 
 
@@ -60,10 +61,11 @@ class Piece:
         self.split(self.member("word"))
 
     def member(self, name: str) -> np.ndarray:
-        t = table(name)
-        out = t[np.minimum(self.cp, 65535)]
-        if name in ("word", "letter"):
-            out |= self.cp > 65535
+        out = table(name)[np.minimum(self.cp, 65535)]
+        far = np.flatnonzero(self.cp > 65535)  # few: asked one by one, each kind once
+        if len(far):
+            kinds, at = np.unique(self.cp[far], return_inverse=True)
+            out[far] = np.array([_KINDS[name](chr(c)) for c in kinds.tolist()])[at]
         return out
 
     def split(self, inside: np.ndarray) -> None:
