@@ -68,7 +68,7 @@ def test_recall_on_loose_pairs(spark):
     assert sum(got.values()) >= 0.95 * links
 
 
-@pytest.mark.parametrize("block", [256, 7])
+@pytest.mark.parametrize("block", [128, 7])
 def test_groups_of_near_copies(spark, monkeypatch, block):
     """Loose groups, wide enough to lie across cells, and blocks that cut them."""
     prepare(spark)

@@ -31,7 +31,7 @@ RECALL = 0.999
 CELL_VECTORS, CODEWORDS = 32, 256
 LEAST_CELLS = 4
 #: Vectors of one cell that are compared as one block with one other block.
-BLOCK = 256
+BLOCK = 128
 
 
 def unit(raw: list[bytes]) -> np.ndarray:
