@@ -203,11 +203,12 @@ def fit_pair(docs: DataFrame, target: DataFrame, id_col: str = "doc_id", text_co
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     cells = _Cells(vocabulary(rows, size), bits)
     marks = target.select(F.col(id_col).alias("id")).filter("id is not null").distinct().withColumn("target", F.lit(True))
-    marked = rows.join(marks, "id", "left").select("text", F.coalesce("target", F.lit(False)).alias("target"))
+    # dealt by id at every size: the list of targets grows with the corpus, so it is never broadcast
+    marked = rows.join(marks.hint("merge"), "id", "left").select("text", F.coalesce("target", F.lit(False)).alias("target"))
     counted = written(marked.mapInArrow(_count_cells(cells), "slice int, data binary"), "cells")
     summed = written(counted.repartition("slice").mapInArrow(_sum_slices, "slice int, data binary"), "sums")
     every, chosen = np.zeros(cells.total + _SLICE), np.zeros(cells.total + _SLICE)
-    for r in summed.toLocalIterator():  # a row for each slice: a number fixed by size and bits
+    for r in summed.coalesce(16).toLocalIterator():  # a row for each slice: a number fixed by size and bits
         at, counts = _unpack(bytes(r["data"]))
         every[r["slice"] * _SLICE + at.astype(np.int64)], chosen[r["slice"] * _SLICE + at.astype(np.int64)] = counts
     base = 1 << bits
