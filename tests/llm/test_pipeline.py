@@ -69,7 +69,7 @@ def test_one_of_each_group_stays(spark):
     prepare(spark)
     rows = [(1, "a b c d e"), (2, None), (3, ""), (None, "a b c d e"), (4, "A B c d e"), (1, "a b c d e"), (1, "a B c d e"),
             (1, "other words that are here alone"), (7, "more words in a row of one"), (None, None), (7, "more words in a row of one")]
-    df = spark.createDataFrame(rows, "doc_id bigint, text string").withColumns({"id": F.lit(1), "tie": F.lit("t"), "fp": F.lit(0)})
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").withColumns({"id": F.lit(1), "tie": F.lit("t"), "fp": F.lit(0), "a.b `c": F.lit(1), "__tie": F.lit(2)})
     kept = keep_one_each(df)
     assert kept.columns == df.columns
     got = sorted((str(x.doc_id), (x.text or "").lower()) for x in kept.collect())
@@ -81,7 +81,7 @@ def test_one_of_each_group_stays(spark):
 def test_mixed_rows_repeat(spark):
     prepare(spark)
     rows = [(1, "a b"), (1, "a b"), (None, "c d"), (None, "c e"), (2, None), (3, "f")]
-    df = spark.createDataFrame(rows, "doc_id bigint, text string").withColumns({"lang": F.lit("x"), "times": F.lit(9), "id": F.lit(0), "level0": F.lit("l")})
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").withColumns({"lang": F.lit("x"), "times": F.lit(9), "id": F.lit(0), "level0": F.lit("l"), "a.b `c": F.lit(1), "__tie": F.lit(2)})
     got = take_mix(df, {"lang": F.col("lang")}, total=18, max_epochs=2)
     assert got.columns == df.columns
     assert sorted(str(x.text) for x in got.collect()) == sorted(str(t) for _, t in rows * 2)

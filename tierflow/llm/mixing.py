@@ -16,7 +16,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tierflow.llm.runtime import written
+from tierflow.llm.runtime import columns_of, fresh, written
 
 #: Leaves that one tree may have; budgets are worked out on the driver.
 MAX_LEAVES = 20_000
@@ -139,12 +139,14 @@ def take_mix(docs: DataFrame, levels: Mapping[str, Column], id_col: str = "doc_i
     document that is read as often as all of them."""
     reads = _reads(docs, levels, id_col=id_col, text_col=text_col, **options)
     names = [f"level{i}" for i in range(len(levels))]
-    times = written(reads.groupBy("id", *names, "tie").agg(F.count("*").alias("times")), "reads")
-    lead = "__" + "_".join(docs.columns)
-    own = {f"{lead}_{n}": F.coalesce(c.cast("string"), F.lit(NONE)) for n, c in zip(names, levels.values())}
-    marked = docs.withColumns({**own, f"{lead}_tie": F.xxhash64(F.col(text_col))}).dropDuplicates([id_col, *own, f"{lead}_tie"])
-    same = marked[id_col].eqNullSafe(times.id) & (marked[f"{lead}_tie"] == times.tie)
-    for n in names:
-        same &= marked[f"{lead}_{n}"] == times[n]
-    joined = marked.join(times, same).select(*[marked[c] for c in docs.columns], times.times.alias(f"{lead}_times"))
-    return joined.withColumn(f"{lead}_nth", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col(f"{lead}_times")))).select(*docs.columns)
+    own = fresh(docs, *[f"__{n}" for n in names], "__tie")
+    read_id, *read_keys, count, nth = fresh(docs, *own, "__read_id", *[f"__read_{n}" for n in names], "__read_tie", "__times", "__nth")[len(own):]
+    times = reads.groupBy("id", *names, "tie").agg(F.count("*").alias("times")).toDF(read_id, *read_keys, count)
+    times = written(times, "reads")
+    values = [*[F.coalesce(c.cast("string"), F.lit(NONE)) for c in levels.values()], F.xxhash64(F.col(text_col))]
+    marked = docs.withColumns(dict(zip(own, values))).dropDuplicates([id_col, *own])
+    same = F.col(id_col).eqNullSafe(F.col(read_id))
+    for mine, read in zip(own, read_keys):
+        same &= F.col(mine) == F.col(read)
+    joined = marked.join(times, same).withColumn(nth, F.explode(F.sequence(F.lit(1).cast("bigint"), F.col(count))))
+    return joined.select(*columns_of(docs))

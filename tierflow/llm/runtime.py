@@ -97,6 +97,22 @@ def in_shared(spark: SparkSession, name: str) -> str:
     return work_dir(spark, name)
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """Column names like ``names`` that ``df`` does not have in any case."""
+    have, out = {c.lower() for c in df.columns}, []
+    for n in names:
+        while n.lower() in have:
+            n += "_"
+        have.add(n.lower())
+        out.append(n)
+    return out
+
+
+def columns_of(df: DataFrame) -> list:
+    """All columns of ``df``, whatever their names hold."""
+    return [F.col(f"`{c.replace('`', '``')}`") for c in df.columns]
+
+
 def held_out(key) -> "F.Column":
     """True for the third of the rows that no model may learn from."""
     return F.coalesce(F.crc32(key.cast("string").cast("binary")) % 3 == 1, F.lit(False))

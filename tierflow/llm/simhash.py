@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
 from tierflow.llm.components import connected_components
-from tierflow.llm.runtime import map_texts, written
+from tierflow.llm.runtime import fresh, map_texts, written
 
 _SEGMENTS = ((0, 22), (22, 21), (43, 21))
 MAX_BITS = 4
@@ -134,9 +134,10 @@ def keep_one_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     the one whose text hashes lowest; of rows alike in both, any). Rows with a
     null id cannot stand for a group and are all kept. ``options`` go to
     ``simhash_dedup``."""
-    key, tie = F.col(id_col), "__" + "_".join(docs.columns) + "_tie"
+    tie, kept_id, kept_tie = fresh(docs, "__tie", "__kept_id", "__kept_tie")
     keep = simhash_dedup(docs, id_col, text_col, **options).filter("kept").groupBy("root", "id").agg(F.min("tie").alias("tie"))
-    keep = written(keep.select("id", "tie"), "keep")
+    keep = written(keep.select(F.col("id").alias(kept_id), F.col("tie").alias(kept_tie)), "keep")
     marked = docs.withColumn(tie, F.xxhash64(F.col(text_col)))
-    kept = marked.join(keep, (key == keep.id) & (F.col(tie) == keep.tie), "left_semi").dropDuplicates([id_col, tie]).drop(tie)
-    return kept.unionByName(docs.filter(key.isNull()))
+    same = (F.col(id_col) == F.col(kept_id)) & (F.col(tie) == F.col(kept_tie))
+    kept = marked.join(keep, same, "left_semi").dropDuplicates([id_col, tie]).drop(tie)
+    return kept.unionByName(docs.filter(F.col(id_col).isNull()))
