@@ -94,3 +94,25 @@ def test_odd_rows(spark):
     none = fit_pair(df, target.limit(0), bits=16)
     assert all(x.score == 0 for x in score_documents(df, none).collect())
     assert all(x.score == 0 for x in score_documents(df, fit_pair(df.limit(0), target, bits=16)).collect())
+
+
+def test_every_word_and_bigram_has_its_own_count(spark):
+    """More words than the old vocabulary of 65,536, all of which it would have
+    taken as one unknown word, and bigrams that share no cell; over pieces and
+    ranges that cut the texts."""
+    import tierflow.llm.lm_score as lm
+    prepare(spark)
+    rows = [(k, " ".join(f"w{(k * 997 + 31 * i) % 90000}" for i in range(1500))) for k in range(80)]
+    rows += [(k, "alpha beta " * 5 + f"w{k} gamma{k}") for k in range(80, 120)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    vocab = {w for _, t in rows for w in words(t)}
+    assert len(vocab) > 65536
+    chosen = {k for k, _ in rows if k % 4 == 1}
+    old = lm.RANGE_CHARS, lm.SCORED_CHARS
+    lm.RANGE_CHARS, lm.SCORED_CHARS = 1 << 16, 1 << 15
+    try:
+        model = fit_pair(df, spark.createDataFrame([(k,) for k in chosen], "doc_id bigint"))
+        assert model.size == len(vocab) and model.counts.count() >= 8
+        compare(score_documents(df, model).collect(), rows, chosen, vocab)
+    finally:
+        lm.RANGE_CHARS, lm.SCORED_CHARS = old

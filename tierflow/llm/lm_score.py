@@ -1,17 +1,19 @@
 """Cross-entropy difference with matched bigram models.
 
-Both models share one vocabulary (the most frequent words of the whole corpus;
-all others are one unknown word), order and smoothing: a bigram estimate backed
-off to the unigram one, p(w|h) = (c(h,w) + K p(w)) / (c(h) + K) with p(w) =
-(c(w) + 1) / (N + V). The target model counts the target documents, the
-background model all documents, scaled to the target's number of words, which
-is what an equally large sample holds on average. A document's score is the
-mean over its words of target loss minus background loss: lower is closer to
-the target.
-
-Counts cover every word of every document. They live in a table of fixed size
-(bigrams by hash, so the broadcast has a bound whatever the corpus); a count is
-never taken larger than those of its two words.
+Both models share one vocabulary (every word of the corpus, or the most
+frequent ones if a size is given; all others are one unknown word), order and
+smoothing: a bigram estimate backed off to the unigram one,
+p(w|h) = (c(h,w) + K p(w)) / (c(h) + K) with p(w) = (c(w) + 1) / (N + V). The
+target model counts the target documents, the background model all documents,
+scaled to the target's number of words, which is what an equally large sample
+holds on average. A document's score is the mean over its words of target loss
+minus background loss: lower is closer to the target.
+
+Counts cover every word and every bigram, each under its own 63-bit hash, in a
+table that grows with the corpus and is never held in one place: it is cut into
+ranges of the hash, more of them the more text there is. Texts are scored a
+piece at a time: a piece asks every range for the counts of its distinct words
+and bigrams, so a hot word is asked for once a piece.
 """
 
 from __future__ import annotations
@@ -21,18 +23,20 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierflow.llm.runtime import map_texts, pieces, written
+from tierflow.llm.runtime import pieces, written
 from tierflow.llm.words import Piece, mix
 
-#: Words of the vocabulary at most, and bits of the bigram table.
-VOCABULARY = 1 << 16
-BITS = 22
 PRIOR = 5.0
-_SLICE = 1024
+#: Characters of text for each range of the count table, and for each piece.
+RANGE_CHARS, SCORED_CHARS = 1 << 25, 1 << 22
 _FLUSH = 1 << 20
+#: Stand for the unknown word and the beginning of a text.
+_UNKNOWN, _BEGIN = np.uint64(0), np.uint64(1)
+_COUNTS = "range int, n int, keys binary, every binary, target binary"
 
 
 def _batches(batches, *columns: str) -> Iterator[tuple]:
@@ -43,9 +47,14 @@ def _batches(batches, *columns: str) -> Iterator[tuple]:
             yield (texts[a:z], *[m.slice(a, z - a) for m in more])
 
 
-def _merged(parts: list) -> tuple[np.ndarray, np.ndarray]:
-    h, at = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
-    return h, np.bincount(at, weights=np.concatenate([p[1] for p in parts])).astype(np.int64)
+def _merged(parts: list) -> tuple[np.ndarray, ...]:
+    """Parts of (keys, counts, ...), summed by key."""
+    h = np.concatenate([p[0] for p in parts])
+    order = np.argsort(h)
+    h = h[order]
+    at = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]])) if len(h) else np.zeros(0, np.int64)
+    return h[at], *(np.add.reduceat(np.concatenate([p[k] for p in parts])[order], at) if len(h) else np.zeros(0, np.int64)
+                    for k in range(1, len(parts[0])))
 
 
 def _count_words(batches):
@@ -70,7 +79,7 @@ def _count_words(batches):
         yield from rows()
 
 
-def vocabulary(docs: DataFrame, size: int = VOCABULARY) -> np.ndarray:
+def vocabulary(docs: DataFrame, size: int) -> np.ndarray:
     """Sorted hashes of the most frequent words of ``docs(text)``, ``size`` at
     most: all whose count is on or above the lowest step (of a sixteenth of a
     power of two) that leaves so few."""
@@ -91,133 +100,266 @@ def vocabulary(docs: DataFrame, size: int = VOCABULARY) -> np.ndarray:
     return np.sort(np.array([r["word"] for r in got], np.int64).view(np.uint64))
 
 
-@dataclass
-class _Cells:
-    """Places of counts in one row of cells: bigrams, then words, then words as
-    history. Word 0 is unknown; ``size + 1`` begins a text."""
+def _narrow(a: np.ndarray) -> bytes:
+    """Whole numbers in as few bytes each as the largest needs, byte by byte of
+    all, so that bytes that are mostly zero compress."""
+    width = max(1, -(-int(a.max()).bit_length() // 8)) if len(a) else 0
+    return a.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes()
 
-    known: np.ndarray
-    bits: int
 
-    @property
-    def size(self) -> int:
-        return len(self.known)
+def _wide(data: bytes, n: int) -> np.ndarray:
+    out = np.zeros((n, 8), np.uint8)
+    if n:
+        out[:, :len(data) // n] = np.frombuffer(data, np.uint8).reshape(-1, n).T
+    return out.reshape(-1).view("<u8")
 
-    @property
-    def total(self) -> int:
-        return (1 << self.bits) + 2 * (self.size + 2)
 
-    def ids(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Text index, word and word before, of all words of whole texts."""
+@dataclass
+class _Words:
+    """Keys of the counts: an odd key is a word's, an even one that of a bigram
+    or of a word as history. ``known``: sorted hashes of the vocabulary, or None
+    for every word. ``bits``: the first bits of a key are its range."""
+
+    known: np.ndarray | None
+    bits: int
+
+    def keys(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Text index, and keys of bigram, word and history, of all words of
+        whole texts."""
         p = Piece(texts)
-        h = p.hashes()
-        if self.size:
-            at = np.minimum(np.searchsorted(self.known, h), self.size - 1)
-            word = np.where(self.known[at] == h, at + 1, 0)
-        else:
-            word = np.zeros(len(h), np.int64)
-        before = np.concatenate([[0], word[:-1]]) if len(word) else word
-        before[np.flatnonzero(np.diff(p.doc, prepend=-1))] = self.size + 1
-        return p.doc, word, before
-
-    def cells(self, word: np.ndarray, before: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        pair = mix(before.astype(np.uint64) << np.uint64(32) | word.astype(np.uint64)) >> np.uint64(64 - self.bits)
-        base = 1 << self.bits
-        return pair.astype(np.int64), base + word, base + self.size + 2 + before
-
-
-def _count_cells(cells: _Cells):
+        word = p.hashes()
+        if self.known is not None:
+            at = np.searchsorted(self.known, word)
+            word = np.where(np.append(self.known, _UNKNOWN)[at] == word, word, _UNKNOWN)
+        before = np.concatenate([[_BEGIN], word[:-1]]) if len(word) else word
+        before[np.flatnonzero(np.diff(p.doc, prepend=-1))] = _BEGIN
+        pair = mix(mix(before + np.uint64(0x632BE59BD9B4E019)) * np.uint64(0x9E3779B97F4A7C15) + word)
+        even = ~np.uint64(1)
+        return (p.doc, pair & even, mix(word ^ np.uint64(0xD1B54A32D192ED03)) | np.uint64(1),
+                mix(before ^ np.uint64(0x8CB92BA72F3D8DD7)) & even)
+
+    def cut(self, keys: np.ndarray) -> Iterator[tuple[int, int, int]]:
+        """Ranges that sorted keys lie in: (range, from, to)."""
+        of = (keys >> np.uint64(64 - self.bits)).astype(np.int64)
+        at = np.flatnonzero(np.diff(of, prepend=-1))
+        yield from zip(of[at].tolist(), at.tolist(), [*at[1:].tolist(), len(keys)])
+
+    def pack(self, r: int, keys: np.ndarray) -> bytes:
+        """Sorted keys of one range, as steps."""
+        return _narrow(np.diff(keys, prepend=np.uint64(r << (64 - self.bits))))
+
+    def unpack(self, r: int, n: int, data: bytes) -> np.ndarray:
+        return np.cumsum(_wide(data, n), dtype=np.uint64) + np.uint64(r << (64 - self.bits))
+
+    def batch(self, rows: list[tuple]) -> pa.RecordBatch:
+        """Rows (range, keys, every, target) as ``_COUNTS``."""
+        return pa.RecordBatch.from_arrays(
+            [pa.array([r for r, *_ in rows], pa.int32()), pa.array([len(h) for _, h, *_ in rows], pa.int32()),
+             pa.array([self.pack(r, h) for r, h, *_ in rows], pa.binary()),
+             *(pa.array([_narrow(x[k]) for x in rows], pa.binary()) for k in (2, 3))],
+            names=["range", "n", "keys", "every", "target"])
+
+
+def _columns(b: pa.RecordBatch, *names: str) -> Iterator[tuple]:
+    return zip(*(b.column(b.schema.get_field_index(c)).to_pylist() for c in names))
+
+
+def _count_keys(words: _Words):
+    """Rows (text, target) -> what one task counts, by range."""
     def run(batches):
-        every, target = np.zeros(cells.total, np.int64), np.zeros(cells.total, np.int64)
-        seen = False
+        parts: list = []
+        held = 0
+
+        def rows():
+            h, every, target = _merged(parts)
+            cuts = list(words.cut(h))
+            for a in range(0, len(cuts), 64):
+                yield words.batch([(r, h[i:j], every[i:j], target[i:j]) for r, i, j in cuts[a:a + 64]])
         for texts, marks in _batches(batches, "target"):
-            seen = True
-            doc, word, before = cells.ids(texts)
-            chosen = np.array(marks.to_pylist(), bool)[doc]
-            for c in cells.cells(word, before):
-                every += np.bincount(c, minlength=cells.total)
-                target += np.bincount(c[chosen], minlength=cells.total)
-        if seen:
-            full = np.flatnonzero(every)
-            ends = np.searchsorted(full, np.arange(0, cells.total + _SLICE, _SLICE))
-            ids, data = [], []
-            for k in np.flatnonzero(np.diff(ends)).tolist():
-                at = full[ends[k]:ends[k + 1]]
-                ids.append(k)
-                data.append((at - k * _SLICE).astype("<u2").tobytes() + every[at].astype("<i8").tobytes() + target[at].astype("<i8").tobytes())
-            for a in range(0, len(ids), 256):
-                yield pa.RecordBatch.from_arrays([pa.array(ids[a:a + 256], pa.int32()), pa.array(data[a:a + 256], pa.binary())], names=["slice", "data"])
+            doc, *keys = words.keys(texts)
+            chosen = np.array(marks.to_pylist(), np.int64)[doc]
+            one = np.ones(len(doc), np.int64)
+            parts.append(_merged([(k, one, chosen) for k in keys]))
+            held += len(parts[-1][0])
+            if held > 4 * _FLUSH:
+                parts = [_merged(parts)]
+                held = len(parts[0][0])
+                if held > 2 * _FLUSH:
+                    yield from rows()
+                    parts, held = [], 0
+        if parts:
+            yield from rows()
     return run
 
 
-def _unpack(data: bytes) -> tuple[np.ndarray, np.ndarray]:
-    n = len(data) // 18
-    return np.frombuffer(data, "<u2", n), np.frombuffer(data, "<i8", 2 * n, 2 * n).reshape(2, n)
-
-
-def _sum_slices(batches):
-    sums: dict[int, np.ndarray] = {}
-    for b in batches:
-        for k, data in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-            at, counts = _unpack(data)
-            sums.setdefault(k, np.zeros((2, _SLICE), np.int64))[:, at] += counts
-    for k, s in sums.items():
-        at = np.flatnonzero(s[0])
-        yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array(
-            [at.astype("<u2").tobytes() + s[:, at].astype("<i8").tobytes()], pa.binary())], names=["slice", "data"])
+def _sum_keys(words: _Words):
+    """Rows of ``_COUNTS`` of whole ranges -> one row for each range."""
+    def run(batches):
+        parts: dict[int, list] = {}
+        held: dict[int, int] = {}
+        for b in batches:
+            for r, n, keys, every, target in _columns(b, "range", "n", "keys", "every", "target"):
+                parts.setdefault(r, []).append((words.unpack(r, n, keys), _wide(every, n).astype(np.int64), _wide(target, n).astype(np.int64)))
+                held[r] = held.get(r, 0) + n
+                if held[r] > 2 * len(parts[r][0][0]) + _FLUSH:
+                    parts[r] = [_merged(parts[r])]
+                    held[r] = len(parts[r][0][0])
+        for r in list(parts):
+            h, every, target = _merged(parts.pop(r))
+            odd = (h & np.uint64(1)).astype(bool)
+            out = words.batch([(r, h, every, target)])
+            for k, v in (("words", odd.sum()), ("n_every", every[odd].sum()), ("n_target", target[odd].sum())):
+                out = out.append_column(k, pa.array([int(v)], pa.int64()))
+            yield out
+    return run
 
 
 @dataclass
 class BigramPair:
-    """Both models' counts, background scaled, as 32-bit floats by cell."""
-
-    cells: _Cells
-    target: np.ndarray
-    background: np.ndarray
+    """Both models' counts: ``counts`` holds a row for each range of the keys.
+    ``size``: words of the vocabulary; ``scale``: target words for each word."""
+
+    words: _Words
+    counts: DataFrame
+    size: int
+    n_target: float
+    scale: float
+    of_all: bool
     prior: float
 
-    def _loss(self, counts: np.ndarray, pair, word, before) -> np.ndarray:
-        base, v = 1 << self.cells.bits, self.cells.size + 2
-        words = counts[base:base + v]
-        unigram = (counts[word].astype(np.float64) + 1) / (words.sum(dtype=np.float64) + v)
-        history = counts[before].astype(np.float64)
-        both = np.minimum(np.minimum(counts[pair], counts[word]), counts[before])
-        return -np.log((both + self.prior * unigram) / (history + self.prior))
-
-    def score(self, texts: list[str]) -> dict[str, np.ndarray]:
-        doc, word, before = self.cells.ids(texts)
-        at = self.cells.cells(word, before)
-        n = np.bincount(doc, minlength=len(texts))
-        target, background = (np.bincount(doc, weights=self._loss(c, *at), minlength=len(texts)) / np.maximum(n, 1)
-                              for c in (self.target, self.background))
-        return {"n_words": n, "target_loss": target, "background_loss": background, "score": target - background}
-
 
 def fit_pair(docs: DataFrame, target: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-             size: int = VOCABULARY, bits: int = BITS, prior: float = PRIOR) -> BigramPair:
+             size: int | None = None, bits: int | None = None, prior: float = PRIOR) -> BigramPair:
     """Count all of ``docs``; ``target`` has the ids (column ``id_col``) of the
     target documents. Null ids and ids that no document has are ignored, an id
     listed twice counts once, a null text is empty. Without target documents
-    both models are the background."""
-    spark = docs.sparkSession
+    both models are the background. ``size`` bounds the vocabulary (none: every
+    word); the table is cut into ``2 ** bits`` ranges (none: by the text there
+    is; never more than by the text, so ``bits`` changes no result)."""
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    cells = _Cells(vocabulary(rows, size), bits)
+    chars = rows.agg(F.sum(F.length("text"))).first()[0] or 0
+    most = max(2, int(-(-chars // RANGE_CHARS)).bit_length())
+    words = _Words(None if size is None else vocabulary(rows, size), most if bits is None else max(1, min(bits, most)))
     marks = target.select(F.col(id_col).alias("id")).filter("id is not null").distinct().withColumn("target", F.lit(True))
     # dealt by id at every size: the list of targets grows with the corpus, so it is never broadcast
     marked = rows.join(marks.hint("merge"), "id", "left").select("text", F.coalesce("target", F.lit(False)).alias("target"))
-    counted = written(marked.mapInArrow(_count_cells(cells), "slice int, data binary"), "cells")
-    summed = written(counted.repartition("slice").mapInArrow(_sum_slices, "slice int, data binary"), "sums")
-    every, chosen = np.zeros(cells.total + _SLICE), np.zeros(cells.total + _SLICE)
-    for r in summed.coalesce(16).toLocalIterator():  # a row for each slice: a number fixed by size and bits
-        at, counts = _unpack(bytes(r["data"]))
-        every[r["slice"] * _SLICE + at.astype(np.int64)], chosen[r["slice"] * _SLICE + at.astype(np.int64)] = counts
-    base = 1 << bits
-    words = slice(base, base + cells.size + 2)
-    n_every, n_chosen = every[words].sum(), chosen[words].sum()
-    if not n_chosen:
-        chosen, n_chosen = every, n_every
-    scale = n_chosen / n_every if n_every else 1.0
-    return BigramPair(cells, chosen.astype(np.float32), (every * scale).astype(np.float32), prior)
+    counted = marked.mapInArrow(_count_keys(words), _COUNTS).repartition(1 << words.bits, "range")
+    counts = written(counted.mapInArrow(_sum_keys(words), f"{_COUNTS}, words bigint, n_every bigint, n_target bigint"), "counts")
+    total = counts.agg(*(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("words", "n_every", "n_target"))).first()
+    n_every, n_target = total["n_every"], total["n_target"]
+    vocab = total["words"] if size is None else len(words.known)
+    return BigramPair(words, counts, vocab, n_target or n_every, n_target / n_every if n_target else 1.0, not n_target, prior)
+
+
+def _deal(batches):
+    """Rows (id, text), numbered by piece."""
+    task, number, size = TaskContext.get().partitionId(), 0, 0
+    for b in batches:
+        at = []
+        for t in b.column(b.schema.get_field_index("text")).to_pylist():
+            if size and size + len(t or "") > SCORED_CHARS:
+                number, size = number + 1, 0
+            size += len(t or "") + 64  # a piece of empty texts has a bound too
+            at.append(task << 32 | number)
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), *b.columns], names=["piece", *b.schema.names])
+
+
+_ASKED = "range int, piece bigint, n int, keys binary"
+
+
+def _ask(words: _Words):
+    """Rows (piece, text) -> the distinct keys of each piece, by range."""
+    def run(batches):
+        held: list = []
+        now = None
+
+        def rows():
+            h = _merged(held)[0]
+            cuts = list(words.cut(h))
+            for a in range(0, len(cuts), 64):
+                part = cuts[a:a + 64]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([r for r, *_ in part], pa.int32()), pa.array([now] * len(part), pa.int64()),
+                     pa.array([j - i for _, i, j in part], pa.int32()),
+                     pa.array([words.pack(r, h[i:j]) for r, i, j in part], pa.binary())], names=["range", "piece", "n", "keys"])
+        for texts, at in _batches(batches, "piece"):
+            at = at.to_numpy()
+            ends = [*(np.flatnonzero(np.diff(at)) + 1).tolist(), len(at)]
+            for a, z in zip([0, *ends], ends):
+                if held and at[a] != now:
+                    yield from rows()
+                    held = []
+                now = int(at[a])
+                held.append((np.unique(np.concatenate(words.keys(texts[a:z])[1:])),))
+        if held:
+            yield from rows()
+    return run
+
+
+def _answer(words: _Words):
+    """Of one range, its counts and the keys that pieces ask for -> counts for
+    each piece, in the order of its keys; a key that is not there counts 0."""
+    def run(left, right):
+        own = None
+        for b in right:
+            for r, n, keys, every, target in _columns(b, "range", "n", "keys", "every", "target"):
+                own = words.unpack(r, n, keys), _wide(every, n), _wide(target, n)
+        for b in left:
+            rows = []
+            for r, piece, n, keys in _columns(b, "range", "piece", "n", "keys"):
+                if own is None:
+                    rows.append((r, piece, n, keys, _narrow(np.zeros(n, np.uint64)), _narrow(np.zeros(n, np.uint64))))
+                    continue
+                h = words.unpack(r, n, keys)
+                at = np.minimum(np.searchsorted(own[0], h), len(own[0]) - 1)
+                there = own[0][at] == h
+                rows.append((r, piece, n, keys, *(_narrow(np.where(there, c[at], np.uint64(0))) for c in own[1:])))
+            if rows:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), pa.int64(), pa.int32(), *[pa.binary()] * 3))],
+                    names=["range", "piece", "n", "keys", "every", "target"])
+    return run
+
+
+def _losses(words: _Words, size: int, n_target: float, scale: float, of_all: bool, prior: float):
+    """Of one piece, its texts and its counts -> scores."""
+    def run(left, right):
+        got = [(words.unpack(r, n, keys), _wide(every, n), _wide(target, n)) for b in right
+               for r, n, keys, every, target in _columns(b, "range", "n", "keys", "every", "target")]
+        if got:  # a piece that was cut between two tasks asks twice for some keys
+            known, at = np.unique(np.concatenate([g[0] for g in got]), return_index=True)
+            every = np.concatenate([g[1] for g in got])[at].astype(np.float64)
+            target = every if of_all else np.concatenate([g[2] for g in got])[at].astype(np.float64)
+
+        def loss(counts, pair, word, history):
+            unigram = (counts[word] + 1) / (n_target + size + 2)
+            return -np.log((counts[pair] + prior * unigram) / (counts[history] + prior))
+        for b in left:
+            ids = b.column(b.schema.get_field_index("id"))
+            texts = [t or "" for t in b.column(b.schema.get_field_index("text")).to_pylist()]
+            for a, z in pieces(texts):
+                doc, *keys = words.keys(texts[a:z])
+                n = np.bincount(doc, minlength=z - a)
+                out = []
+                for counts, by in ((target, 1.0), (every, scale)) if len(doc) else ():
+                    x = loss(counts * by, *(np.searchsorted(known, k) for k in keys))
+                    out.append(np.bincount(doc, weights=x, minlength=z - a) / np.maximum(n, 1))
+                t, e = out or (np.zeros(z - a), np.zeros(z - a))
+                yield pa.RecordBatch.from_arrays([ids.slice(a, z - a), pa.array(n, pa.int64()), pa.array(t), pa.array(e), pa.array(t - e)],
+                                                 names=["id", "n_words", "target_loss", "background_loss", "score"])
+    return run
+
+
+def _cogrouped(run, schema: str) -> tuple:
+    """``run`` over the batches of two groups, for ``applyInArrow``."""
+    from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql.types import _parse_datatype_string
+    arrow = to_arrow_schema(_parse_datatype_string(schema))
+
+    def tables(left: pa.Table, right: pa.Table) -> pa.Table:
+        return pa.Table.from_batches([pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(b.columns, arrow)], schema=arrow)
+                                      for b in run(left.to_batches(), right.to_batches())], arrow)
+    return tables, schema
 
 
 def score_documents(docs: DataFrame, model: BigramPair, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -225,10 +367,13 @@ def score_documents(docs: DataFrame, model: BigramPair, id_col: str = "doc_id",
     whole texts; a text without a word (null too) has losses and score 0.
     Repeated rows and null ids stay; no rows: no rows."""
     kind = docs.schema[id_col].dataType.simpleString()
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # 2 x 4 bytes x (2**bits + 2 words), plus the vocabulary
-
-    def predict(texts, cols):
-        return {"id": cols["id"], **shared.value.score(texts)}
-
-    return map_texts(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), predict,
-                     f"id {kind}, n_words bigint, target_loss double, background_loss double, score double")
+    words = model.words
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    # written, so that a piece is the same texts whenever it is read
+    dealt = written(rows.mapInArrow(_deal, f"piece bigint, id {kind}, text string"), "dealt")
+    asked = dealt.select("piece", "text").mapInArrow(_ask(words), _ASKED)
+    answers = asked.groupBy("range").cogroup(model.counts.groupBy("range")).applyInArrow(
+        *_cogrouped(_answer(words), f"{_ASKED}, every binary, target binary"))
+    return dealt.groupBy("piece").cogroup(answers.groupBy("piece")).applyInArrow(*_cogrouped(
+        _losses(words, model.size, model.n_target, model.scale, model.of_all, model.prior),
+        f"id {kind}, n_words bigint, target_loss double, background_loss double, score double"))
