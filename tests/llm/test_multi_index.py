@@ -103,3 +103,20 @@ def test_odd_rows(spark):
     assert got == sorted(want, key=str)
     assert near_vectors(df.limit(0)).count() == 0
     assert near_vectors(df.filter("vec_id = 5")).count() == 1
+
+
+def test_rare_loose_links_beside_a_large_group(spark, monkeypatch):
+    """Few pairs at the very cosine, which no sampled query has, and a group of
+    close copies that has nearly all links: the pairs must be found too."""
+    prepare(spark)
+    monkeypatch.setattr(mi, "QUERIES", 8)
+    monkeypatch.setattr(mi, "CELL_VECTORS", 2)
+    r = np.random.default_rng(11)
+    x = r.normal(size=(2400, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    pairs = mi.planted(x[:300], 0.931, 0, 64, seed=12)
+    close = x[-1] + r.normal(size=(300, 64)) * 0.002
+    df = spark.createDataFrame([(k, v.tolist(), 0) for k, v in enumerate([*x, *pairs, *close])], "vec_id bigint, embedding array<double>, label int")
+    got = {y.id: y.n_links for y in near_vectors(df).collect()}
+    assert sum(got[k] >= 1 for k in range(300)) >= 297
+    assert got[2399] >= 300 and not any(got[k] for k in range(300, 2399))

@@ -3,8 +3,12 @@
 Each half of a vector has its own codebook; a pair of codewords is a cell of
 the product grid, and every vector is listed in the cell of its two nearest
 codewords. A vector visits cells in the order of their distance (the sum over
-both halves), as many as the sample shows to reach the target recall, and is
-compared there exactly, in double precision. Only counts and spanning links
+both halves) and is compared there exactly, in double precision. It visits as
+many cells as reach the target recall on the loosest links there can be: sampled
+vectors with a partner planted at the very cosine that links, whose difference
+lies in both halves or in either one, so rare links and large groups of close
+copies do not change what is measured; more, if the loosest links of sampled
+vectors ask for more. Only counts and spanning links
 leave a comparison, never all pairs of a group.
 """
 
@@ -24,10 +28,12 @@ from tierflow.llm.sampling import at_most
 
 COSINE = 0.93
 #: Distinct vectors that codebooks are fitted on, and queries that measure how
-#: many cells a recall takes (both hash samples; every vector is indexed).
-SAMPLE, QUERIES = 8192, 256
+#: many cells a recall takes: by their own links, and by planted links of each
+#: kind (hash samples; every vector is indexed).
+SAMPLE, QUERIES, PLANTED = 8192, 256, 4096
 RECALL = 0.999
-#: Vectors for each cell of the grid, on average; codewords of a half at most.
+#: Vectors of the largest group for each cell of the grid, on average (groups
+#: share the grid, not the cells); codewords of a half at most.
 CELL_VECTORS, CODEWORDS = 32, 256
 LEAST_CELLS = 4
 #: Vectors of one cell that are compared as one block with one other block.
@@ -78,6 +84,20 @@ class Grid:
         i, j = cell // len(self.second), cell % len(self.second)
         return ((x[:, :self.half] - self.first[i]) ** 2).sum(axis=1) + ((x[:, self.half:] - self.second[j]) ** 2).sum(axis=1)
 
+    def rank(self, a: np.ndarray, b: np.ndarray, cell: np.ndarray) -> np.ndarray:
+        """Of each row, how many cells are nearer than one cell each."""
+        out = np.empty(len(a), np.int64)
+        for at in range(0, len(a), 64):  # 64 x CODEWORDS ** 2 distances at once
+            far = (a[at:at + 64, :, None] + b[at:at + 64, None]).reshape(len(a[at:at + 64]), -1)
+            out[at:at + 64] = (far < np.take_along_axis(far, cell[at:at + 64, None], 1)).sum(axis=1)
+        return out
+
+    def apart(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """How many cells lie before the one that a visit finds the other in,
+        from the side of each pair that needs fewer."""
+        (a, b), (c, d) = self.parts(x), self.parts(y)
+        return np.minimum(self.rank(a, b, self.own(c, d)), self.rank(c, d, self.own(a, b)))
+
     def traverse(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ``visits`` nearest cells of each row, nearest first, and the
         distance of the last one: cells that far away count as visited.
@@ -125,10 +145,11 @@ def _pack(width: int):
     return run
 
 
-def _rank_histogram(grid: Grid, queries: dict[str, list], cosine: float):
-    """How many cells lie before the one a linked vector is listed in."""
+def _loosest(grid: Grid, queries: dict[str, list], cosine: float):
+    """Of each query, the loosest link in this task: its cosine, and how many
+    cells lie before the one it is found in."""
     def run(batches):
-        counts: dict[int, float] = {}
+        least: dict[bytes, tuple] = {}
         for b in batches:
             rows: dict[str, list] = {}
             for d, g, v in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist()):
@@ -136,25 +157,44 @@ def _rank_histogram(grid: Grid, queries: dict[str, list], cosine: float):
                     rows.setdefault(g, []).append((d, v))
             for g, own in rows.items():
                 x = unit([v for _, v in own])
-                cell = grid.own(*grid.parts(x))
                 q = unit([v for _, v in queries[g]])
-                a, c = grid.parts(q)
                 for k, (d, _) in enumerate(queries[g]):
-                    hit = np.flatnonzero((x @ q[k] >= cosine) & np.array([e != d for e, _ in own]))
+                    cos = x @ q[k]
+                    hit = np.flatnonzero((cos >= cosine) & np.array([e != d for e, _ in own]))
                     if len(hit):
-                        far = (a[k][:, None] + c[k][None]).ravel()
-                        for r in np.searchsorted(np.sort(far), far[cell[hit]]).tolist():
-                            counts[r] = counts.get(r, 0) + 1
-        if counts:
-            yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.int64()), pa.array(list(counts.values()), pa.float64())], names=["rank", "n"])
+                        far = hit[np.argmin(cos[hit])]
+                        least[d] = min(least.get(d, (2.0, 0)), (float(cos[far]), int(grid.apart(q[k:k + 1], x[far:far + 1])[0])))
+        if least:
+            yield pa.RecordBatch.from_arrays([pa.array(list(least), pa.binary()), pa.array([c for c, _ in least.values()]),
+                                              pa.array([r for _, r in least.values()], pa.int64())], names=["digest", "cos", "rank"])
     return run
 
 
+def planted(x: np.ndarray, cosine: float, first: int, last: int, seed: int = 6) -> np.ndarray:
+    """A vector at ``cosine`` to each unit row, which differs from it in the
+    components ``first`` to ``last`` alone, but for its length."""
+    d = np.zeros_like(x)
+    d[:, first:last] = np.random.default_rng(seed).normal(size=(len(x), last - first))
+    part = x[:, first:last]
+    size = (part * part).sum(axis=1, keepdims=True)
+    d[:, first:last] -= part * np.divide((d[:, first:last] * part).sum(axis=1, keepdims=True), size, out=np.zeros_like(size), where=size > 0)
+    size = np.sqrt((d * d).sum(axis=1, keepdims=True))
+    d = np.divide(d, size, out=np.zeros_like(d), where=size > 1e-9)  # one component cannot turn: its partner is the row
+    y = cosine * x + np.sqrt(max(0.0, 1 - cosine * cosine)) * d
+    return y / np.sqrt((y * y).sum(axis=1, keepdims=True))
+
+
+def _needed(ranks: np.ndarray, recall: float) -> int:
+    """The fewest visits that find ``recall`` of the links."""
+    return int(np.sort(ranks)[max(0, int(np.ceil(recall * len(ranks))) - 1)]) + 1 if len(ranks) else 0
+
+
 def build_grid(distinct: DataFrame, cosine: float, recall: float = RECALL) -> Grid | None:
     """Codebooks from a bounded sample of ``distinct(digest, grp, vec)``, and
-    the number of cells to visit: the fewest in which a sample of queries,
-    searched against all vectors, finds ``recall`` of its true links."""
-    n = distinct.count()
+    the number of cells to visit: the fewest in which ``recall`` is reached on
+    planted links of every kind, and on the loosest link of each sampled vector
+    that has one (one vote each)."""
+    n = distinct.groupBy("grp").count().agg(F.max("count")).first()[0]
     if not n:
         return None
     got = sorted((bytes(r["digest"]), bytes(r["vec"])) for r in at_most(distinct, SAMPLE, "digest").collect())
@@ -165,14 +205,12 @@ def build_grid(distinct: DataFrame, cosine: float, recall: float = RECALL) -> Gr
     queries: dict[str, list] = {}
     for r in at_most(distinct, QUERIES, "digest", "grp").collect():
         queries.setdefault(r["grp"], []).append((bytes(r["digest"]), bytes(r["vec"])))
-    ranks = distinct.select("digest", "grp", "vec").mapInArrow(_rank_histogram(grid, queries, cosine), "rank bigint, n double")
-    found = sorted((r["rank"], r["n"]) for r in ranks.groupBy("rank").agg(F.sum("n").alias("n")).collect())
-    total, seen = sum(v for _, v in found), 0.0
-    for rank, v in found:
-        seen += v
-        grid.visits = max(LEAST_CELLS, rank + 1)
-        if seen >= recall * total:
-            break
+    own = distinct.select("digest", "grp", "vec").mapInArrow(_loosest(grid, queries, cosine), "digest binary, cos double, rank bigint")
+    own = own.groupBy("digest").agg(F.min_by("rank", "cos").alias("rank")).collect()  # a row for each query at most
+    # digests are in order of their hash, so the first ones are a sample too; a small table is planted on several times
+    q = np.resize(x[:PLANTED], (PLANTED, x.shape[1]))
+    kinds = [grid.apart(q, planted(q, cosine, a, z)) for a, z in ((0, x.shape[1]), (0, half), (half, x.shape[1]))]
+    grid.visits = max(LEAST_CELLS, _needed(np.array([r["rank"] for r in own], np.int64), recall), *(_needed(r, recall) for r in kinds))
     return grid
 
 
