@@ -125,3 +125,25 @@ def test_odd_rows(spark, monkeypatch):
     monkeypatch.setattr(d, "ITEMS_A_PASS", 2)
     assert sorted((k, m) for k, ms in run() for m in ms if m) == sorted((k, m) for k, ms in want for m in ms if m)
     assert sorted(x.doc_id for x in keep_uncontaminated(df, items).collect()) == [2, 3, 6, 7]
+
+
+def test_nothing_similar_is_missed(spark):
+    """Documents that are items cut short of their window, and items with one
+    word replaced, which lie outside the radius now and then: each is found."""
+    prepare(spark)
+    r = random.Random(8)
+    word = lambda: "".join(r.choice("abcdefghij") for _ in range(r.randrange(3, 9)))
+    items = {i: [word() for _ in range(n)] for i, n in enumerate([178, 149, 255, *[49, 50] * 20])}
+    docs = [items[i][:n] for i, n in ((0, 145), (0, 150), (1, 121), (1, 125), (2, 206), (2, 216))]
+    docs += [items[0][-146:], [*(word() for _ in range(40)), *items[1][:123]], [*items[2][-208:], *(word() for _ in range(90))]]
+    for i in range(3, len(items)):
+        docs.append([*(word() for _ in range(30)), *items[i][:24], word(), *items[i][25:], *(word() for _ in range(30))])
+    docs = {k: " ".join(w) for k, w in enumerate(docs)}
+    items = {i: " ".join(w) for i, w in items.items()}
+    want = slow_matches(docs, items)
+    got = {(x.id, m.item_id): m.similarity for x in contaminated(
+        spark.createDataFrame(list(docs.items()), "doc_id bigint, text string"),
+        spark.createDataFrame(list(items.items()), "item_id bigint, text string")).collect() for m in x.matches}
+    cut, replaced = ({k for k in want if (k[0] < 9) == short} for short in (True, False))
+    assert len(cut) == 9 and len(replaced) == 40
+    assert got == pytest.approx(want)

@@ -6,8 +6,12 @@ window of a size class (0.7 to 0.85 of its own size, sizes a fifth apart). Every
 window of that size in every document is fingerprinted too, and a multi-index
 over four 16-bit Hamming blocks finds all item windows at most 13 bits away: if
 the blocks differed in more than 3, 3, 2 and 2 bits it would be 14 or more.
-Each candidate is then aligned, and the document's window of the item's own
-size is compared by exact weighted-shingle (Jaccard) similarity.
+Similar windows may lie outside the radius, or be cut off by the document's
+edge, so documents that hold one of an item's rarest shingles are candidates
+too: the shingles taken weigh more than a fifth of the item, and a window that
+has none of them is less than 0.8 similar. Every window of the item's own size,
+clipped at the document's edges, is then compared by exact weighted-shingle
+(Jaccard) similarity, best bound first, so nothing similar is missed.
 """
 
 from __future__ import annotations
@@ -128,10 +132,13 @@ class _Class:
 
 class Benchmark:
     """Items to search for. ``weight(h)`` of a shingle: 1 + ln(items / items
-    that have it); one that no item has counts as if one had."""
+    that have it); one that no item has counts as if one had. ``least``: the
+    lowest similarity that ``find`` may be asked for."""
 
-    def __init__(self, ids: list, texts: list[str], shared: dict[int, int], n_items: int):
-        self.ids, self.shared, self.n_items = ids, shared, max(1, n_items)
+    def __init__(self, ids: list, texts: list[str], shared: dict[int, int], n_items: int, least: float = SIMILARITY):
+        self.ids, self.n_items, self.least = ids, max(1, n_items), least
+        known = np.array(sorted(shared), np.uint64)
+        self.shared = known, np.array([shared[x] for x in known.tolist()], float)
         p = Piece(texts)
         h = p.hashes()
         ends = np.cumsum(p.words_per_doc())
@@ -149,9 +156,31 @@ class Benchmark:
             c = _Class(size, np.array([r[0] for r in rows], "<u8"), np.array([r[1] for r in rows]), np.array([r[2] for r in rows]))
             c.index()
             self.classes.append(c)
+        self.distinct = [np.unique(x, return_counts=True) for x in self.shingles]
+        self.rare = {n: self._rare([i for i, w in enumerate(self.words) if min(SHINGLE, len(w)) == n])
+                     for n in {min(SHINGLE, len(w)) for w in self.words if len(w)}}
+
+    def _rare(self, items: list[int]) -> tuple[np.ndarray, np.ndarray]:
+        """Sorted shingles and their items: of each item its rarest ones, as many
+        as weigh more than a window can lack that is ``least`` similar."""
+        h, item = [], []
+        for i in items:
+            own, n = self.distinct[i]
+            w = self.weights(own) * n
+            order = np.argsort(-self.weights(own), kind="stable")
+            some = int(np.searchsorted(np.cumsum(w[order]), (1 - self.least) * w.sum() + 1e-9, side="right")) + 1
+            h.append(own[order[:some]])
+            item.append(np.full(len(h[-1]), i))
+        h, item = np.concatenate(h), np.concatenate(item)
+        order = np.argsort(h, kind="stable")
+        return h[order], item[order]
 
     def weights(self, h: np.ndarray) -> np.ndarray:
-        return 1 + np.log(self.n_items / np.array([self.shared.get(x, 1) for x in h.tolist()], float))
+        known, count = self.shared
+        if not len(known):
+            return np.full(len(h), 1 + np.log(self.n_items))
+        at = np.minimum(np.searchsorted(known, h), len(known) - 1)
+        return 1 + np.log(self.n_items / np.where(known[at] == h, count[at], 1.0))
 
     def similarity(self, item: int, window: np.ndarray) -> float:
         """Weighted Jaccard of two shingle multisets."""
@@ -161,16 +190,47 @@ class Benchmark:
         w = self.weights(both)
         return float((np.minimum(a, b) * w).sum() / (np.maximum(a, b) * w).sum())
 
+    def best(self, item: int, words: np.ndarray, least: float) -> tuple[float, int] | None:
+        """Similarity and first word of the window of ``words`` that is most
+        similar to the item, the first of several, if it reaches ``least`` (as
+        far as sums of doubles tell)."""
+        size = len(self.words[item])
+        n = min(SHINGLE, size)
+        h = sequences(words, n)
+        own, count = self.distinct[item]
+        weight = self.weights(own) * count
+        if weight[np.isin(own, h)].sum() < least * weight.sum() - 1e-9:
+            return None
+        running = np.zeros((2, len(h) + 1))  # of all shingles, and of those that the item has
+        running[0, 1:] = np.cumsum(w := self.weights(h))
+        running[1, 1:] = np.cumsum(w * np.isin(h, own))
+        begin = np.arange(n - size, len(words) - n + 1)
+        a, z = np.maximum(0, begin), np.minimum(len(words), begin + size) - n + 1
+        every, both = running[:, z] - running[:, a]
+        both = np.minimum(both, weight.sum())
+        bound = both / (weight.sum() + every - both)  # a shingle that repeats may count too often here
+        out = None
+        hit = np.flatnonzero(bound >= least - 1e-9)
+        for k in hit[np.argsort(-bound[hit], kind="stable")].tolist():
+            if out and bound[k] < out[0] - 1e-9:
+                break
+            s = self.similarity(item, h[a[k]:z[k]])
+            if s >= least - 1e-9 and (out is None or (s, -a[k]) > (out[0], -out[1])):
+                out = s, int(a[k])
+        return out
+
     def find(self, texts: list[str], least: float) -> list[tuple[int, int, float, int]]:
         """(text, item, similarity, first word) of the best window for each
         text and item that reaches ``least``."""
+        assert least >= self.least
         p = Piece(texts)
         h = p.hashes()
         ends = np.cumsum(p.words_per_doc())
         starts = ends - p.words_per_doc()
         most = max((c.size for c in self.classes), default=0)
-        total = {n: _running(sequences(h, n), most) for n in {min(SHINGLE, c.size) for c in self.classes}}
-        seen: set[tuple[int, int, int]] = set()
+        parts = {n: sequences(h, n) for n in {*(min(SHINGLE, c.size) for c in self.classes), *self.rare}}
+        total = {n: _running(parts[n], most) for n in {min(SHINGLE, c.size) for c in self.classes}}
+        seen: set[tuple[int, int]] = set()
         for c in self.classes:
             n = min(SHINGLE, c.size)
             prints = _window_prints(total[n], c.size - n + 1)
@@ -178,17 +238,16 @@ class Benchmark:
                 continue
             row, entry = c.search(prints)
             inside = p.doc[row] == p.doc[row + c.size - 1]  # windows do not reach over two texts
-            row, entry = row[inside], entry[inside]
-            doc = p.doc[row]
-            begin = row - c.offset[entry] - starts[doc]
-            seen.update(zip(doc.tolist(), c.item[entry].tolist(), begin.tolist()))
-        best: dict[tuple[int, int], tuple[float, int]] = {}
-        for doc, item, begin in sorted(seen):
-            a, z = max(0, begin), min(int(ends[doc] - starts[doc]), begin + len(self.words[item]))
-            s = self.similarity(item, shingles(h[starts[doc] + a:starts[doc] + z]))
-            if s >= least and s > best.get((doc, item), (0.0, 0))[0]:
-                best[doc, item] = (s, a)
-        return [(doc, item, s, a) for (doc, item), (s, a) in best.items()]
+            seen.update(zip(p.doc[row[inside]].tolist(), c.item[entry[inside]].tolist()))
+        for n, (rare, item) in self.rare.items():
+            row = np.flatnonzero(rare[np.minimum(np.searchsorted(rare, parts[n]), len(rare) - 1)] == parts[n])
+            row = row[p.doc[row] == p.doc[row + n - 1]]
+            first, last = np.searchsorted(rare, parts[n][row]), np.searchsorted(rare, parts[n][row], side="right")
+            count = last - first
+            at = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count) + np.repeat(first, count)
+            seen.update(zip(np.repeat(p.doc[row], count).tolist(), item[at].tolist()))
+        found = ((doc, item, self.best(item, h[starts[doc]:ends[doc]], least)) for doc, item in sorted(seen))
+        return [(doc, item, *best) for doc, item, best in found if best]
 
 
 def _shingles_of(texts, cols):
@@ -198,7 +257,7 @@ def _shingles_of(texts, cols):
     return {"h": np.concatenate(out) if out else []}
 
 
-def _passes(items: DataFrame, item_col: str, item_text_col: str) -> list:
+def _passes(items: DataFrame, item_col: str, item_text_col: str, least: float) -> list:
     """Broadcast indexes that hold all items, ``ITEMS_A_PASS`` or so each."""
     spark = items.sparkSession
     bench = items.select(F.col(item_col).alias("item_id"), F.col(item_text_col).alias("text")).filter(F.col("text").isNotNull())
@@ -209,7 +268,7 @@ def _passes(items: DataFrame, item_col: str, item_text_col: str) -> list:
     for k in range(passes):
         part = bench.filter(F.pmod(F.xxhash64("text", "item_id"), F.lit(passes)) == k)
         got = sorted(part.collect(), key=lambda r: (r["item_id"] is not None, r["item_id"], r["text"]))
-        out.append(spark.sparkContext.broadcast(Benchmark([r["item_id"] for r in got], [r["text"] for r in got], shared, n_items)))
+        out.append(spark.sparkContext.broadcast(Benchmark([r["item_id"] for r in got], [r["text"] for r in got], shared, n_items, least)))
     return out
 
 
@@ -228,7 +287,7 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     match = f"array<struct<item_id:{items.schema[item_col].dataType.simpleString()},similarity:double,first_word:int>>"
     out = None
-    for index in _passes(items, item_col, item_text_col):
+    for index in _passes(items, item_col, item_text_col, similarity):
         def search(texts, cols, index=index):
             import pyarrow as pa
             b = index.value
@@ -250,7 +309,7 @@ def keep_uncontaminated(docs: DataFrame, items: DataFrame, text_col: str = "text
     window that ``contaminated`` would report."""
     from pyspark.sql.functions import pandas_udf
     out = docs
-    for index in _passes(items, item_col, item_text_col):
+    for index in _passes(items, item_col, item_text_col, similarity):
         @pandas_udf("boolean")
         def clean(texts, index=index):
             import pandas as pd
