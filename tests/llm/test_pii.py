@@ -92,3 +92,13 @@ def test_odd_rows(spark):
     got = sorted(((x.id, len(x.spans)) for x in pii_spans(df.withColumn("spans", F.lit(0))).collect()), key=str)
     assert got == sorted([(1, 0), (None, 1), (2, 0), (2, 0)], key=str)
     assert pii_spans(df.limit(0)).count() == 0
+
+
+def test_ibans_of_all_registered_countries():
+    for code in ("HU42117730161111101800000000", "RO49AAAA1B31007593840000", "MT84MALT011000012345MTLCAST001S", "LT121000011101001000",
+                 "BR1800360305000010009795493C1", "SA0380000000608010167519", "TR330006100519786457841326", "LC55HEMM000100010012001200023015"):
+        spaced = " ".join(code[i:i + 4] for i in range(0, len(code), 4))
+        for text in (f"to {code}, please", f"to {spaced}, please"):
+            assert [text[a:z] for k, a, z, _ in find_spans(text) if k == "iban"] == [text[3:-8]]
+        wrong = f"to {code[:-1]}{'1' if code[-1] != '1' else '2'}, please"
+        assert not [x for x in find_spans(wrong) if x[0] == "iban"]
