@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tierflow.llm.bpe import build_lexicon, decode_ids, encode_texts
 from tierflow.llm.decontam import contaminated
 from tierflow.llm.langid import fit_languages, identify
 from tierflow.llm.lm_score import fit_pair, score_documents
@@ -109,6 +110,15 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
                         span_digest(F.col("spans")).alias("spans"))
 
 
+def op11_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    docs, path = _table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json")
+    decoded = decode_ids(encode_texts(docs, path, build_lexicon(docs, path)), path)
+    return decoded.select(F.col("id").alias("doc_id"), (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+                          F.sha2("ids", 256).alias("ids_sha256"),
+                          F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"))
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lm_score": op1_lm_score,
     "op2_toxicity": op2_toxicity,
@@ -120,6 +130,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_langid": op8_langid,
     "op9_tokens": op9_tokens,
     "op10_pii": op10_pii,
+    "op11_bpe": op11_bpe,
 }
 
 
