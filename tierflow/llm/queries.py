@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tierflow.llm.align import align_tokens
 from tierflow.llm.bpe import build_lexicon, decode_ids, encode_texts
 from tierflow.llm.decontam import contaminated
 from tierflow.llm.langid import fit_languages, identify
@@ -119,6 +120,13 @@ def op11_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                           F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"))
 
 
+def op13_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    _, documents = align_tokens(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                                public_tokenizers.path("piece_bpe_32k.model"))
+    return documents.withColumnRenamed("id", "doc_id")
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lm_score": op1_lm_score,
     "op2_toxicity": op2_toxicity,
@@ -131,6 +139,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_tokens": op9_tokens,
     "op10_pii": op10_pii,
     "op11_bpe": op11_bpe,
+    "op13_align": op13_align,
 }
 
 
