@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tierflow.llm.align import align_tokens
 from tierflow.llm.bpe import build_lexicon, decode_ids, encode_texts
 from tierflow.llm.decontam import contaminated
+from tierflow.llm.hard_negatives import hard_negatives
 from tierflow.llm.langid import fit_languages, identify
 from tierflow.llm.lm_score import fit_pair, score_documents
 from tierflow.llm.mixing import mix_sources
@@ -120,6 +121,12 @@ def op11_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                           F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"))
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key, label = F.col("vec_id"), F.col("label").cast("bigint")
+    moved = F.when(key % 7 == 0, (label + 1) % 10).otherwise(label)
+    return hard_negatives(_table(spark, sf_dir, "embeddings"), anchor=key % 100 == 0, label=moved)
+
+
 def op13_align(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
     _, documents = align_tokens(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
@@ -139,6 +146,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_tokens": op9_tokens,
     "op10_pii": op10_pii,
     "op11_bpe": op11_bpe,
+    "op12_hard_negatives": op12_hard_negatives,
     "op13_align": op13_align,
 }
 
@@ -152,4 +160,26 @@ def _prepared(fn: Callable) -> Callable:
 
 
 LLM_QUERIES = {k: _prepared(v) for k, v in _QUERIES.items()}
-LLM_ORACLES: dict[str, str] = {}
+
+_OP12_SQL = """
+WITH vectors AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND len(embedding) > 0
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+scored AS (
+  SELECT a.vec_id AS anchor_id, o.vec_id, a.label = o.label AS same, CAST(list_inner_product(a.v, o.v) AS BIGINT) AS score
+  FROM vectors a JOIN vectors o ON o.vec_id <> a.vec_id
+  WHERE a.vec_id % 100 = 0),
+positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT p.anchor_id, positive_id,
+       CAST(row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+       vec_id AS negative_id, positive_score, score AS negative_score
+FROM positives p JOIN scored s ON s.anchor_id = p.anchor_id AND NOT same
+  AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+QUALIFY row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, vec_id) <= 5
+"""
+LLM_ORACLES: dict[str, str] = {"op12_hard_negatives": _OP12_SQL}
