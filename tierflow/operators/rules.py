@@ -175,7 +175,10 @@ def _base_mask(rule: Rule) -> Column:
     raise ValueError(f"unknown rule type {rule.type!r} in rule {rule.id!r}")
 
 
-def compile_rules(df: DataFrame, rules: Sequence[Rule | Mapping], refs: RefResolver = None) -> Compiled:
+def compile_rules(df: DataFrame, rules: Sequence[Rule | Mapping], refs: RefResolver = None,
+                  universe: DataFrame | None = None) -> Compiled:
+    """Every rule as a mask column of ``df``. ``universe`` holds the rows among
+    which ``unique`` counts, if ``df`` is only a part of them."""
     rules = [r if isinstance(r, Rule) else Rule.from_dict(r) for r in rules]
     cols = list(df.columns)
     frame = df
@@ -190,7 +193,7 @@ def compile_rules(df: DataFrame, rules: Sequence[Rule | Mapping], refs: RefResol
         marker = f"__dup_{len(dup_marker)}"
         dup_marker[key] = marker
         aliases = [f"__dk_{len(dup_marker)}_{j}" for j in range(len(key))]
-        dups = (frame.groupBy(*[F.col(k).alias(a) for k, a in zip(key, aliases)])
+        dups = ((frame if universe is None else universe).groupBy(*[F.col(k).alias(a) for k, a in zip(key, aliases)])
                 .agg(F.count(F.lit(1)).alias("__n"))
                 .where(F.col("__n") > 1)
                 .select(*aliases, F.lit(True).alias(marker)))

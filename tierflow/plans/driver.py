@@ -19,8 +19,9 @@ from tierflow.operators.dedupe import latest_per_key
 from tierflow.operators.quarantine import split
 from tierflow.operators.rules import compile_rules
 from tierflow.plans import gold
+from tierflow.plans.incremental import fx_state, grow_converted
 from tierflow.plans.silver import latest
-from tierflow.sinks.store import add_lineage
+from tierflow.sinks.store import add_lineage, upsert
 from tierflow.sources.tables import events_as_transactions, load
 
 # The event types, used as the KPI "channels" (output -> type).
@@ -213,6 +214,26 @@ def fx_fallback_known(spark: SparkSession, sf: str) -> DataFrame:
     return _fx(spark, sf, "last_known")
 
 
+def fx_incremental(spark: SparkSession, sf: str) -> DataFrame:
+    """Two deliveries. The first has the days before the middle of the
+    month, a rate table without its last days, and every seventh amount wrong;
+    the second brings the rest and corrects these. Only rows whose rate changed
+    are converted again, and all end as if converted at once."""
+    tx = silver_events(spark, sf).select("txn_id", "event_date", "currency", "amount")
+    rates = derived_rates(spark, sf)
+    early = F.col("event_date") < F.lit(FX_SPLIT).cast("date")
+    first = tx.where(early).withColumn("amount", F.when(F.col("txn_id") % 7 == 0, F.col("amount") + 1).otherwise(F.col("amount")))
+    old_rates = rates.where(F.col("rate_date") < F.date_sub(F.lit(FX_SPLIT).cast("date"), 3))
+    then = fx.convert(first, old_rates, amount_col="amount", out_col="amount_bob", fallback="last_row")
+    state = fx_state(first, old_rates, "last_row")
+    new = tx.where(~early | (F.col("txn_id") % 7 == 0))
+    grown, _ = grow_converted(new, then, rates, state, ["txn_id"], "last_row")
+    return upsert(then, grown, ["txn_id"]).select("txn_id", "event_date", "currency", "amount", "amount_bob")
+
+
+# Fixed value: the day on which the second delivery of fx_incremental begins.
+FX_SPLIT = "2024-01-16"
+
 QUERIES = {
     "kpi_daily": kpi_daily,
     "channel_mix": channel_mix,
@@ -228,6 +249,7 @@ QUERIES = {
     "fx_convert": fx_convert,
     "fx_fallback": fx_fallback,
     "fx_fallback_known": fx_fallback_known,
+    "fx_incremental": fx_incremental,
 }
 
 

@@ -5,6 +5,8 @@ landing objects exported from the driver tables."""
 from __future__ import annotations
 
 import datetime as dt
+import os
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,10 +14,11 @@ from pyspark.sql import functions as F
 from tierflow.functions.columns import safe_to_double, safe_to_timestamp
 from tierflow.operators import reconcile as rc
 from tierflow.operators.dedupe import latest_per_key
-from tierflow.operators.rules import Spec
+from tierflow.operators.rules import Rule, Spec
 from tierflow.plans import gold
 from tierflow.plans.driver import RUN_ID
 from tierflow.plans.driver_io import EVENT_CONTRACT, events_landing
+from tierflow.plans.incremental import bronze_keys
 from tierflow.plans.job import JobConfig, SilverStep, run_daily
 from tierflow.session import work_dir
 from tierflow.sinks.landing_writer import write_landing
@@ -109,13 +112,13 @@ def _build_customer(s: TableStore, b: DataFrame) -> DataFrame:
         .drop("_ingested_at", "_source_file")
 
 
-def _build_orders(s: TableStore, b: DataFrame) -> DataFrame:
+def _build_orders(s: TableStore, b: DataFrame, key: Sequence[str] = ("o_orderkey",)) -> DataFrame:
     t = b.select(F.col("o_orderkey").try_cast("bigint").alias("o_orderkey"),
                  F.col("o_custkey").try_cast("bigint").alias("o_custkey"), "o_orderstatus",
                  safe_to_double("o_totalprice").alias("o_totalprice"),
                  safe_to_timestamp("o_orderdate").alias("o_orderdate"), "o_orderpriority",
                  "_ingested_at", "_source_file", "_run_id")
-    return latest_per_key(t, "o_orderkey", ["_ingested_at", "_source_file", "o_totalprice"]) \
+    return latest_per_key(t, list(key), ["_ingested_at", "_source_file", "o_totalprice"]) \
         .drop("_ingested_at", "_source_file")
 
 
@@ -164,8 +167,10 @@ def _tpch_gold(s: TableStore) -> dict[str, DataFrame]:
 
 def _tpch_checks(s: TableStore) -> DataFrame:
     keys = {"customer": "c_custkey", "orders": "o_orderkey", "lineitem": LI_KEY}
-    checks = [rc.row_conservation(t, s.read("bronze", t), s.read("silver", t), s.read("quarantine", t), k)
-              for t, k in keys.items()]
+    checks = []
+    for t, k in keys.items():
+        known, once = bronze_keys(s, t, k)
+        checks.append(rc.row_conservation(t, known, s.read("silver", t), s.read("quarantine", t), k, once=once))
     checks.append(rc.amount_conservation("fact", s.read("silver", "lineitem"), s.read("gold", "fact_lineitem"),
                                          "l_extendedprice", "amount_orig"))
     checks.append(rc.no_orphans("fact", s.read("gold", "fact_lineitem"), "customer_id"))
@@ -186,6 +191,76 @@ def tpch_config() -> JobConfig:
         specs=TPCH_SPECS, gold_models=_tpch_gold, checks=_tpch_checks)
 
 
+# -- customers and orders alone: null keys, SQL models ---------------------------------
+SQL_FOLDER = os.path.join(os.path.dirname(__file__), "sql")
+
+
+def small_config(gold_models, order_key=("o_orderkey",), rules=()) -> JobConfig:
+    """The customer and orders steps; ``rules`` are added to those of a table."""
+    config, more = tpch_config(), dict(rules)
+    keys = {"customer": ["c_custkey"], "orders": list(order_key)}
+    specs = {t: Spec(None, k, [*(Rule.from_dict(r) for r in more.get(t, ())), *TPCH_SPECS[t].rules]) for t, k in keys.items()}
+
+    def checks(s: TableStore) -> DataFrame:
+        out = []
+        for t, k in keys.items():
+            known, once = bronze_keys(s, t, k)
+            out.append(rc.row_conservation(t, known, s.read("silver", t), s.read("quarantine", t), k, once=once))
+        return rc.combine(out)
+    build = {"customer": _build_customer, "orders": lambda s, b: _build_orders(s, b, keys["orders"])}
+    return JobConfig(contracts={t: config.contracts[t] for t in keys}, steps=[SilverStep(t, k, build[t]) for t, k in keys.items()],
+                     specs=specs, gold_models=gold_models, checks=checks)
+
+
+def run_null_keys(spark: SparkSession, sf: str) -> DataFrame:
+    """Customers without a key, and orders whose composite key lacks
+    its date, delivered three times over: after each run, the rows of each layer
+    and the verdict."""
+    stamp, land, root = f"{TPCH_RUN_DATE:%Y%m%d}", work_dir(spark, "landing"), work_dir(spark, "lake")
+    c, o = load(spark, sf, "customer"), load(spark, sf, "orders")
+    write_landing(c.withColumn("c_custkey", F.when(F.col("c_custkey") % 10 != 0, F.col("c_custkey"))), land, F.lit(f"customer_{stamp}.csv"), "csv")
+    date = F.when(F.col("o_orderkey") % 9 == 0, F.lit("unknown")).otherwise(F.col("o_orderdate").cast("string"))
+    write_landing(o.withColumn("o_orderdate", date), land, F.lit(f"orders_{stamp}.csv"), "csv")
+    config = small_config(lambda s: {}, order_key=("o_orderkey", "o_orderdate"), rules={
+        "customer": [{"id": "custkey_not_null", "type": "not_null", "column": "c_custkey"}],
+        "orders": [{"id": "orderdate_not_null", "type": "not_null", "column": "o_orderdate"}]})
+    store, out = TableStore(spark, root), []
+    for i in range(3):
+        verdict = run_daily(spark, config, land, root, TPCH_RUN_DATE, run_id=f"run-{i + 1}", ingested_at=f"2024-02-01 0{6 + i}:00:00").verdict
+        for t in ("customer", "orders"):
+            out.append(_counted(store, t, i + 1, verdict))
+    return rc.combine(out)
+
+
+def _counted(store: TableStore, table: str, run: int, verdict: str) -> DataFrame:
+    """Rows of both layers as they are now, whatever is written later."""
+    n = {layer: store.read_at(store.current(layer, table)).count() for layer in ("silver", "quarantine")}
+    return store.spark.range(1).select(F.lit(run).alias("run"), F.lit(table).alias("table_name"), F.lit(n["silver"]).cast("long").alias("silver"),
+                                       F.lit(n["quarantine"]).cast("long").alias("quarantine"), F.lit(verdict).alias("verdict"))
+
+
+def _sql_models(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    """A daily run whose gold models are a folder of SQL files, which read
+    each other; one of them."""
+    stamp, land, root = f"{TPCH_RUN_DATE:%Y%m%d}", work_dir(spark, "landing"), work_dir(spark, "lake")
+    write_landing(load(spark, sf, "customer"), land, F.lit(f"customer_{stamp}.csv"), "csv")
+    write_landing(load(spark, sf, "orders"), land, F.lit(f"orders_{stamp}.csv"), "csv")
+    run_daily(spark, small_config(SQL_FOLDER), land, root, TPCH_RUN_DATE, run_id="run-1", ingested_at="2024-02-01 06:00:00")
+    return TableStore(spark, root).read("gold", name)
+
+
+def sql_model_customer_orders(spark: SparkSession, sf: str) -> DataFrame:
+    return _sql_models(spark, sf, "customer_orders")
+
+
+def sql_model_segment_value(spark: SparkSession, sf: str) -> DataFrame:
+    return _sql_models(spark, sf, "segment_value")
+
+
+def sql_model_best_segments(spark: SparkSession, sf: str) -> DataFrame:
+    return _sql_models(spark, sf, "best_segments")
+
+
 LEDGER_COLS = ["run_id", "seq", "step", "table_name", "status", "rows_in", "rows_out", "quarantined"]
 
 
@@ -255,6 +330,14 @@ def run_late_parent(spark: SparkSession, sf: str) -> DataFrame:
     return _state(_late_orders(spark, sf, crash=False, incremental=True))
 
 
+def run_evaluated(spark: SparkSession, sf: str) -> DataFrame:
+    """What the second delivery has judged: its own rows, and the rows
+    below parents that came with it."""
+    store = _late_orders(spark, sf, crash=False, incremental=True)
+    return store.read("gold", "run_ledger").where("run_id = 'run-2' AND step = 'quality'").select(
+        "table_name", "rows_in", "rows_out", "quarantined")
+
+
 def run_recovery(spark: SparkSession, sf: str) -> DataFrame:
     """What a failed run had ingested is carried on by the next one."""
     return _state(_late_orders(spark, sf, crash=True, incremental=True))
@@ -281,5 +364,10 @@ JOB_QUERIES = {
     "run_ledger": run_ledger,
     "run_rules": run_rules,
     "run_late_parent": run_late_parent,
+    "run_evaluated": run_evaluated,
+    "run_null_keys": run_null_keys,
+    "sql_model_customer_orders": sql_model_customer_orders,
+    "sql_model_segment_value": sql_model_segment_value,
+    "sql_model_best_segments": sql_model_best_segments,
     "run_recovery": run_recovery,
 }

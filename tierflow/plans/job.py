@@ -2,8 +2,9 @@
 reconcile, with an append-only run ledger.
 
 Each step ends in a snapshot write, so the next step scans files (short
-lineage, nothing recomputed after an executor loss). The driver only holds
-counts, the per-rule report (one row per rule) and check rows.
+lineage, nothing recomputed after an executor loss). Rules are evaluated before
+that write, on the rows that can have changed (``incremental.py``). The driver
+only holds counts, the per-rule report (one row per rule) and check rows.
 """
 
 from __future__ import annotations
@@ -22,10 +23,12 @@ from pyspark.sql import functions as F
 from tierflow.operators import reconcile as rc
 from tierflow.operators.quarantine import ACTIONS, QualityBlocked, quarantine_rules
 from tierflow.operators.rules import Spec, compile_rules, load_spec, report
-from tierflow.plans import gold, silver
+from tierflow.plans import gold, models, silver
+from tierflow.plans import incremental as inc
 from tierflow.plans.bronze import ingest_source
+from tierflow.plans.incremental import bronze_keys, grow_keys
 from tierflow.session import work_dir
-from tierflow.sinks.store import TableStore, isin_values, upsert
+from tierflow.sinks.store import TableStore, isin_values, same_key, upsert
 from tierflow.sources.contracts import BANK_CONTRACTS, IngestResult
 from tierflow.sources.landing import list_landing_objects, source_of
 
@@ -45,8 +48,14 @@ class SilverStep:
     key: list[str] | None
     build: Callable[[TableStore, DataFrame], DataFrame]
     source: str | None = None
-    partition_by: str | None = None   # e.g. event_date: upserts touch only affected partitions
-    whole: bool = False               # a row depends on rows of other keys: always build from all of bronze
+    partition_by: str | None = None   # e.g. event_date: readers of some days read only their folders
+    #: For rows that depend on rows of other keys (a fallback rate): ``state(store,
+    #: built)`` gives the tables to remember of a build from all of bronze, and
+    #: ``grow(store, bronze, present, state)`` the rows that new bronze rows add
+    #: or change, and the new state.
+    state: Callable[[TableStore, DataFrame], dict[str, DataFrame]] | None = None
+    grow: Callable[[TableStore, DataFrame, DataFrame, Mapping[str, DataFrame]], tuple[DataFrame, dict[str, DataFrame]]] | None = None
+    state_tables: Sequence[str] = ()
 
 
 @dataclass
@@ -54,7 +63,7 @@ class JobConfig:
     contracts: Mapping[str, Sequence[str]]
     steps: list[SilverStep]                         # parents first
     specs: Mapping[str, Spec]                        # silver table -> rules
-    gold_models: Callable[[TableStore], dict[str, DataFrame]]
+    gold_models: Callable[[TableStore], dict[str, DataFrame]] | str   # builders, or a folder of .sql models
     checks: Callable[[TableStore], DataFrame]
 
 
@@ -100,9 +109,10 @@ def new_run_id(run_date: dt.date) -> str:
     return f"{run_date.isoformat()}.{time.time_ns():x}"
 
 
-def pending_bronze(store: TableStore, source: str, whole: bool = False) -> tuple[DataFrame, list[tuple]]:
-    """The rows of ``bronze.<source>`` that no completed run has carried on, and
-    what to record once they are: (bronze run, rows, last ingest) of all runs.
+def pending_bronze(store: TableStore, source: str, whole: bool = False) -> tuple[DataFrame, list[tuple], bool]:
+    """The rows of ``bronze.<source>`` that no completed run has carried on, what
+    to record once they are: (bronze run, rows, last ingest) of all runs, and
+    whether these are all rows.
 
     A bronze run is pending unless the progress table has it with as many rows
     as there are now, whoever wrote it: a failed run, a stream, a single file.
@@ -114,7 +124,7 @@ def pending_bronze(store: TableStore, source: str, whole: bool = False) -> tuple
         F.count(F.lit(1)), F.max("_ingested_at"), F.min("_ingested_at")).collect()]  # one row per run
     now = [r[:3] for r in state]
     if whole or not store.exists("gold", "run_progress"):
-        return bronze, now
+        return bronze, now, True
     carried = {}
     for r in store.read("gold", "run_progress").where(F.col("table_name") == source).groupBy("bronze_run").agg(
             F.max("n_rows").alias("n"), F.max("last_ingested").alias("last")).collect():
@@ -122,20 +132,8 @@ def pending_bronze(store: TableStore, source: str, whole: bool = False) -> tuple
     pending = [(run, first) for run, n, _, first in state if carried.get(run, (None,))[0] != n]
     last = max((t for _, t in carried.values() if t is not None), default=None)
     if last is not None and any(first is None or first <= last for _, first in pending):
-        return bronze, now
-    return bronze.where(isin_values(F.col("_run_id"), [run for run, _ in pending])), now
-
-
-def with_quarantined(store: TableStore, table: str, built: DataFrame, key: Sequence[str]) -> DataFrame:
-    """``built`` and the quarantined rows of ``table`` that it does not replace:
-    they are judged again, since a parent may have come meanwhile."""
-    if not store.exists("quarantine", table):
-        return built
-    held = store.read("quarantine", table)
-    if not set(built.columns) <= set(held.columns):
-        return built
-    again = held.select(*[F.col(f"`{c}`") for c in built.columns]).join(built.select(*key), list(key), "left_anti")
-    return built.unionByName(again.select(*[F.col(f"`{c}`") for c in built.columns]))
+        return bronze, now, True
+    return bronze.where(isin_values(F.col("_run_id"), [run for run, _ in pending])), now, False
 
 
 def resolver(store: TableStore):
@@ -208,32 +206,22 @@ def apply_quality(store: TableStore, table: str, spec: Spec, summary: RunSummary
             if key and store.exists("quarantine", table):
                 target = store.read("quarantine", table)
                 if release_passing:
-                    target = target.join(good.select(*key), key, "left_anti")
-                store.write("quarantine", table, upsert(target, bad, key), mode="overwrite")
+                    target = same_key(target, good, key, "left_anti")
+                store.write("quarantine", table, upsert(target, bad, key, null_safe=True), mode="overwrite")
             elif key:
                 store.write("quarantine", table, bad, mode="overwrite")
             else:
                 store.write("quarantine", table, bad, mode="append")
             moved = int(o.get["n"])
-            if partition_by:
-                # only the partitions that lost rows are written anew
-                p = F.col(partition_by)
-                bad_parts = {r[0] for r in frame.where(flag).select(p).distinct().collect()}
-                if bad_parts:
-                    keep = frame.where(~flag & isin_values(p, bad_parts)).select(*data)
-                    store.replace_partitions("silver", table, keep, partition_by, bad_parts)
-            else:
-                store.write("silver", table, good, mode="overwrite")
+            store.write("silver", table, good, mode="overwrite", partition_by=[partition_by] if partition_by else None)
         else:
             ensure_quarantine(store, table)
             if release_passing and spec.key and store.exists("quarantine", table):
                 # nothing failed: every key now in silver passes, so its old
                 # quarantined copy is released (only rewritten if one exists)
                 q = store.read("quarantine", table)
-                held = q.join(frame.select(*spec.key), spec.key, "left_semi")
-                if held.limit(1).count():
-                    store.write("quarantine", table, q.join(frame.select(*spec.key), spec.key, "left_anti"),
-                                mode="overwrite")
+                if same_key(q, frame, spec.key, "left_semi").limit(1).count():
+                    store.write("quarantine", table, same_key(q, frame, spec.key, "left_anti"), mode="overwrite")
         summary.log("quality", table, "ok", rows_in=rows[0]["total_rows"] if rows else 0,
                     rows_out=(rows[0]["total_rows"] - moved) if rows else 0, quarantined=moved,
                     detail=";".join(f"{r['rule_id']}={r['failed_rows']}" for r in rows if r["failed"]))
@@ -258,6 +246,121 @@ def quarantine_failures(store: TableStore, layer: str, table: str, spec: Spec, *
     return apply_quality(store, table, spec, summary, rule_ids=rule_ids, partition_by=partition_by)
 
 
+class _Settling:
+    """The silver and quality steps of one run."""
+
+    def __init__(self, store: TableStore, config: JobConfig, summary: RunSummary, policy: Mapping[str, str] | None,
+                 release_passing: bool, incremental_run: bool):
+        self.store, self.config, self.summary, self.policy, self.release_passing = store, config, summary, policy, release_passing
+        self.rules = {s.table: repr((config.specs[s.table].rules if s.table in config.specs else [], sorted((policy or {}).items()), release_passing))
+                      for s in config.steps if s.key}
+        self.partly = incremental_run and inc.settled(store, self.rules)
+        self.changed: dict[tuple[str, str], DataFrame] = {}   # of parents: values that came or went
+        self.remember: dict[str, DataFrame] = {}
+        self.watched = {(r.ref, r.ref_column) for spec in config.specs.values() for r in spec.rules if r.type == "foreign_key"}
+
+    def staged(self, df: DataFrame, name: str) -> DataFrame:
+        path = work_dir(self.store.spark, f"stage-{name}")
+        df.write.parquet(path)
+        return self.store.spark.read.schema(df.schema).parquet(path)
+
+    def build(self, step: SilverStep, bronze: DataFrame, whole: bool) -> tuple[DataFrame, int]:
+        """The step's rows, written once (they are read several times, and their
+        lineage ends here), and how many there are."""
+        store, o = self.store, Observation(f"s_{step.table}_{uuid.uuid4().hex[:6]}")
+        grown = not whole and step.grow is not None
+        if grown:
+            cols = store.read("silver", step.table).columns
+            built, state = step.grow(store, bronze, inc.present_rows(store, step.table, cols, step.key),
+                                     {t: store.read("gold", t) for t in step.state_tables})
+        else:
+            built, state = step.build(store, bronze), {}
+        built = self.staged(built.observe(o, F.count(F.lit(1)).alias("n")), step.table)
+        if step.state is not None and not grown:
+            state = step.state(store, built)
+        self.remember |= {name: self.staged(df, name) for name, df in state.items()}
+        return built, int(o.get["n"])
+
+    def keyed(self, step: SilverStep, bronze: DataFrame, all_of_bronze: bool) -> None:
+        """Judge the step's rows and all that depend on them, and write both layers."""
+        store, t, key, spec = self.store, step.table, step.key, self.config.specs.get(step.table) or Spec(None, None, [])
+        remembered = all(store.exists("gold", name) for name in step.state_tables)
+        built, n = self.build(step, bronze, all_of_bronze or (step.grow is not None and not (self.partly and remembered)))
+        before = store.current("silver", t)
+        present = inc.present_rows(store, t, built.columns, key) if before and set(built.columns) <= set(store.read("silver", t).columns) else None
+        rest = None if present is None else same_key(present, built, key, "left_anti")
+        old = None if present is None else same_key(present, built, key, "left_semi")
+        parents = all((r.ref, r.ref_column) in self.changed for r in spec.rules if r.type == "foreign_key")
+        if rest is None:
+            judged = built
+        elif self.partly and parents:
+            more = inc.affected(rest, built, old, spec, key, self.changed)
+            judged = built if more is None else self.staged(built.unionByName(more), f"judged-{t}")
+        else:
+            judged = self.staged(built.unionByName(rest), f"judged-{t}")
+        self.summary.log("silver", t, "ok", rows_out=n)
+
+        universe = built if rest is None else rest.unionByName(built)
+        comp = compile_rules(judged, spec.rules, resolver(store), universe=universe)
+        comp.frame = frame = comp.frame.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            rows, chosen = self.decide(t, spec, comp)
+            rs = quarantine_rules(comp.rules, chosen) if chosen else []
+            flag, data = comp.any_failed(rs), [F.col(f"`{c}`") for c in comp.columns]
+            good = frame.where(~flag).select(*data)
+            bad = frame.where(flag).select(*data, comp.reason(rs).alias("_reject_reason"), F.localtimestamp().alias("_quarantined_at"))
+            moved = self.quarantine(t, key, judged, bad, bool(chosen))
+            target = None if before is None else same_key(store.read_at(before), judged, key, "left_anti")
+            new = good if target is None else target.unionByName(good, allowMissingColumns=True)
+            store.write("silver", t, new, mode="overwrite", partition_by=[step.partition_by] if step.partition_by else None)
+            if spec.rules:
+                total = rows[0]["total_rows"]
+                self.summary.log("quality", t, "ok", rows_in=total, rows_out=total - moved, quarantined=moved,
+                                 detail=";".join(f"{r['rule_id']}={r['failed_rows']}" for r in rows if r["failed"]))
+        finally:
+            frame.unpersist()
+        for ref, column in self.watched:
+            if ref == f"silver.{t}":
+                then = None if before is None else store.read_at(before)
+                self.changed[ref, column] = self.staged(inc.came_or_went(then, store.read("silver", t), judged, old, column), f"came-{t}")
+
+    def decide(self, t: str, spec: Spec, comp) -> tuple[list, list[str]]:
+        """The report of the judged rows, and the rules whose failures move."""
+        if not spec.rules:
+            return [], []
+        rows = report(comp, f"silver.{t}").collect()  # one row per rule
+        self.summary.reports[t] = [r.asDict() for r in rows]
+        decisions = decide_rows(rows, self.policy)
+        self.summary.note_rules(t, rows, decisions)
+        if any(d["action"] == "block" for d in decisions):
+            self.summary.log("quality", t, "blocked", detail=",".join(d["rule_id"] for d in decisions if d["action"] == "block"))
+            raise QualityBlocked(f"quality policy blocked the run on silver.{t}")
+        return rows, [d["rule_id"] for d in decisions if d["action"] == "quarantine"]
+
+    def quarantine(self, t: str, key: Sequence[str], judged: DataFrame, bad: DataFrame, some: bool) -> int:
+        """Write quarantine, before silver: a crash in between leaves a row in
+        both layers, and the next run, which then judges everything, settles it."""
+        store = self.store
+        if not store.exists("quarantine", t):
+            o = Observation(f"q_{t}_{uuid.uuid4().hex[:6]}")
+            store.write("quarantine", t, bad.observe(o, F.count(F.lit(1)).alias("n")), mode="overwrite")
+            return int(o.get["n"])
+        held = store.read("quarantine", t)
+        gone = judged if self.release_passing else bad
+        if not some and not same_key(held, gone, key, "left_semi").limit(1).count():
+            return 0
+        o = Observation(f"q_{t}_{uuid.uuid4().hex[:6]}")
+        bad = bad.observe(o, F.count(F.lit(1)).alias("n"))
+        store.write("quarantine", t, same_key(held, gone, key, "left_anti").unionByName(bad, allowMissingColumns=True), mode="overwrite")
+        return int(o.get["n"]) if some else 0
+
+    def done(self) -> None:
+        """Remember what this run ended with (it was completed)."""
+        for name, df in self.remember.items():
+            self.store.write("gold", name, df, mode="overwrite")
+        inc.write_state(self.store, self.rules)
+
+
 def run_daily(spark: SparkSession, config: JobConfig, landing_dir: str, lake_root: str,
               run_date: dt.date, *, run_id: str | None = None, on_drift: str = "raise",
               policy: Mapping[str, str] | None = None, ingested_at=None,
@@ -270,13 +373,15 @@ def run_daily(spark: SparkSession, config: JobConfig, landing_dir: str, lake_roo
     (``None`` keeps every version; bronze is append-only and never pruned).
 
     ``incremental`` (default) builds a keyed silver table from the bronze rows
-    that no completed run has carried on (see :func:`pending_bronze`) and judges
-    its quarantined rows again with them, at a cost that grows with what is new;
-    ``incremental=False`` builds from all of bronze every run. Both end in the
-    same silver: steps whose rows depend on other rows (``whole``), and
-    deliveries that are not newer than what was carried on, use all of bronze
-    either way. A key that passes leaves quarantine unless ``release_passing``
-    is off."""
+    that no completed run has carried on (see :func:`pending_bronze`), converts
+    and judges these rows and the ones that depend on them (see
+    ``incremental.py``), and counts bronze's distinct keys by those that are new;
+    rules then report the rows that were judged. ``incremental=False`` builds
+    from all of bronze and judges every row. Both end in the same silver and
+    quarantine: after a run that was not completed, after tables or rules were
+    changed otherwise, and for deliveries that are not newer than what was
+    carried on, everything is judged either way. Null is a key like any other.
+    A key that passes leaves quarantine unless ``release_passing`` is off."""
     store = TableStore(spark, lake_root)
     summary = RunSummary(run_id=run_id or new_run_id(run_date), run_date=run_date)
     stamp = f"{run_date:%Y%m%d}"
@@ -293,28 +398,25 @@ def run_daily(spark: SparkSession, config: JobConfig, landing_dir: str, lake_roo
                 summary.ingested.append(res)
                 summary.log("ingest", res.table, res.action, rows_out=res.rows, detail=res.file)
         progress: list[tuple] = []
+        settling = _Settling(store, config, summary, policy, release_passing, incremental)
         for step in config.steps:
             source = step.source or step.table
-            bronze, carried = pending_bronze(store, source, whole=step.whole or not (incremental and step.key))
+            bronze, carried, whole = pending_bronze(store, source, whole=not (incremental and step.key))
             progress += [(summary.run_id, source, *c) for c in carried]
-            # written once: the upsert reads it several times, and its lineage ends here
-            stage = work_dir(spark, f"stage-{step.table}")
-            o = Observation(f"s_{step.table}_{uuid.uuid4().hex[:6]}")
-            step.build(store, bronze).observe(o, F.count(F.lit(1)).alias("n")).write.parquet(stage)
-            built = spark.read.parquet(stage)
             if step.key:
-                built = with_quarantined(store, step.table, built, step.key)
-                store.merge("silver", step.table, built, key=step.key, partition_by=step.partition_by)
-            else:
-                store.write("silver", step.table, built, mode="overwrite",
-                            partition_by=[step.partition_by] if step.partition_by else None)
-            store.remove(stage)
-            summary.log("silver", step.table, "ok", rows_out=int(o.get["n"]))
+                settling.keyed(step, bronze, whole)
+                grow_keys(store, source, bronze, step.key)
+                continue
+            built, n = settling.build(step, bronze, True)
+            store.write("silver", step.table, built, mode="overwrite", partition_by=[step.partition_by] if step.partition_by else None)
+            summary.log("silver", step.table, "ok", rows_out=n)
             spec = config.specs.get(step.table)
             if spec and spec.rules:
                 apply_quality(store, step.table, spec, summary, policy=policy,
                               release_passing=release_passing, partition_by=step.partition_by)
-        for name, df in sorted(config.gold_models(store).items()):
+        gold_models = models.run_folder(store, config.gold_models) if isinstance(config.gold_models, str) \
+            else sorted(config.gold_models(store).items())
+        for name, df in gold_models:
             o = Observation(f"g_{name}_{uuid.uuid4().hex[:6]}")
             store.write("gold", name, df.observe(o, F.count(F.lit(1)).alias("n")), mode="overwrite")
             n = int(o.get["n"])
@@ -325,6 +427,7 @@ def run_daily(spark: SparkSession, config: JobConfig, landing_dir: str, lake_roo
         summary.verdict = rc.verdict(spark.createDataFrame(rows, rc.CHECK_SCHEMA)).first()["verdict"]
         summary.log("validate", None, summary.verdict,
                     detail="; ".join(f"{n}={'ok' if ok else 'MISMATCH'}" for n, ok, _ in summary.checks))
+        settling.done()
         if progress:
             store.write("gold", "run_progress", spark.createDataFrame(progress, PROGRESS_SCHEMA).coalesce(1), mode="append")
         if keep_versions:
@@ -368,8 +471,8 @@ def bank_checks(store: TableStore, expected_fraud_rate_pct: float = EXPECTED_FRA
     checks = []
     for table, key in (("customers", "customer_id"), ("accounts", "account_id"), ("transactions", "txn_id")):
         q = store.read("quarantine", table) if store.exists("quarantine", table) else None
-        checks.append(rc.row_conservation(table, store.read("bronze", table), store.read("silver", table),
-                                          q, key))
+        keys, once = bronze_keys(store, table, key)
+        checks.append(rc.row_conservation(table, keys, store.read("silver", table), q, key, once=once))
     checks.append(rc.amount_conservation("fact", store.read("silver", "transactions"),
                                          store.read("gold", "fact_transactions"), "amount_bob"))
     checks.append(rc.no_orphans("fact", store.read("gold", "fact_transactions"), "customer_id"))
@@ -378,6 +481,18 @@ def bank_checks(store: TableStore, expected_fraud_rate_pct: float = EXPECTED_FRA
     return rc.combine(checks)
 
 
+def transactions_step(fx_fallback: str | None) -> SilverStep:
+    """Transactions; a missing rate is filled from the currency's other rows."""
+    def rates(s: TableStore) -> DataFrame:
+        return s.read("silver", "fx_rates")
+
+    def grow(s: TableStore, b: DataFrame, present: DataFrame, state: Mapping[str, DataFrame]):
+        return inc.grow_converted(silver.type_transactions(b), present, rates(s), state, ["txn_id"], fx_fallback or "none")
+    return SilverStep("transactions", ["txn_id"], lambda s, b: silver.build_transactions(b, rates(s), fx_fallback), partition_by="event_date",
+                      state=lambda s, built: inc.fx_state(built, rates(s), fx_fallback or "none"), grow=grow,
+                      state_tables=inc.FX_STATE)
+
+
 def bank_config(fx_fallback: str | None = "last_row") -> JobConfig:
     specs = bank_specs()
     return JobConfig(
@@ -386,9 +501,6 @@ def bank_config(fx_fallback: str | None = "last_row") -> JobConfig:
             SilverStep("fx_rates", ["rate_date", "currency"], lambda s, b: silver.build_fx_rates(b)),
             SilverStep("customers", ["customer_id"], lambda s, b: silver.build_customers(b)),
             SilverStep("accounts", ["account_id"], lambda s, b: silver.build_accounts(b)),
-            SilverStep("transactions", ["txn_id"], lambda s, b: silver.build_transactions(
-                b, s.read("silver", "fx_rates"), fx_fallback), partition_by="event_date",
-                # a missing rate is filled from the currency's other rows
-                whole=fx_fallback is not None),
+            transactions_step(fx_fallback),
         ],
         specs=specs, gold_models=bank_gold, checks=bank_checks)

@@ -105,6 +105,43 @@ UNION ALL SELECT 'lineitem', CAST(l_orderkey AS VARCHAR) || '/' || CAST(l_linenu
 FROM li LEFT JOIN (SELECT DISTINCT o_orderkey AS k FROM o_good) g ON g.k = li.l_orderkey
 """
 
+RUN_EVALUATED = f"""
+WITH {JOB_STATE},
+o_came AS (SELECT * FROM orders WHERE o_custkey IN (SELECT c_custkey FROM c_good WHERE c_custkey % 2 <> 0)),
+l_came AS (SELECT * FROM li WHERE l_orderkey IN (SELECT o_orderkey FROM o_came))
+SELECT 'customer' AS table_name, COUNT(*) AS rows_in, COUNT(*) FILTER (NOT COALESCE(c_acctbal < 0, FALSE)) AS rows_out,
+       COUNT(*) FILTER (c_acctbal < 0) AS quarantined FROM customer WHERE c_custkey % 2 <> 0
+UNION ALL SELECT 'orders', COUNT(*), COUNT(*), 0 FROM o_came
+UNION ALL SELECT 'lineitem', COUNT(*), COUNT(*), 0 FROM l_came
+"""
+
+# keys that are null or half null: one row for each, in quarantine, after every run
+RUN_NULL_KEYS = """
+WITH c AS (SELECT c_custkey, c_acctbal FROM customer WHERE c_custkey % 10 <> 0),
+lost AS (SELECT COUNT(*) > 0 AS any_lost FROM customer WHERE c_custkey % 10 = 0),
+o AS (SELECT o_orderkey % 9 = 0 OR (o_custkey IS NOT NULL AND NOT EXISTS (
+        SELECT 1 FROM c WHERE c.c_custkey = o_custkey AND NOT COALESCE(c_acctbal < 0, FALSE))) AS bad FROM orders),
+n AS (SELECT 'customer' AS table_name, (SELECT COUNT(*) FROM c WHERE NOT COALESCE(c_acctbal < 0, FALSE)) AS silver,
+             (SELECT COUNT(*) FROM c WHERE c_acctbal < 0) + (SELECT CAST(any_lost AS BIGINT) FROM lost) AS quarantine
+      UNION ALL SELECT 'orders', (SELECT COUNT(*) FROM o WHERE NOT bad), (SELECT COUNT(*) FROM o WHERE bad))
+SELECT CAST(run AS INTEGER) AS run, table_name, silver, quarantine, 'pass' AS verdict
+FROM n, (VALUES (1), (2), (3)) runs(run)
+"""
+
+_ORDERS_OF = f"""
+WITH {JOB_STATE},
+co AS (SELECT o_custkey AS c_custkey, COUNT(*) AS n_orders, SUM(CAST(o_totalprice AS DECIMAL(15, 2))) AS order_value,
+              MAX(CAST(o_orderdate AS DATE)) AS last_order FROM o_good GROUP BY o_custkey),
+sv AS (SELECT c.c_mktsegment, COUNT(*) AS n_customers, CAST(SUM(COALESCE(order_value, 0)) AS DECIMAL(18, 2)) AS total_value
+       FROM c_good c LEFT JOIN co ON co.c_custkey = c.c_custkey GROUP BY c.c_mktsegment)
+"""
+
+SQL_MODEL_BEST_SEGMENTS = _ORDERS_OF + """
+SELECT c_mktsegment, n_customers, CAST(total_value AS DOUBLE) AS total_value,
+       CAST(CAST(ROUND(CAST(total_value AS DECIMAL(30, 10)) / n_customers, 2) AS DECIMAL(18, 2)) AS DOUBLE) AS value_per_customer
+FROM sv QUALIFY total_value * SUM(n_customers) OVER () > n_customers * SUM(total_value) OVER ()
+"""
+
 JOB_ORACLES = {
     "stream_bronze": STREAM_BRONZE,
     "stream_upsert": STREAM_UPSERT,
@@ -114,5 +151,10 @@ JOB_ORACLES = {
     "run_ledger": RUN_LEDGER,
     "run_rules": RUN_RULES,
     "run_late_parent": FINAL_STATE,
+    "run_evaluated": RUN_EVALUATED,
+    "run_null_keys": RUN_NULL_KEYS,
+    "sql_model_customer_orders": _ORDERS_OF + "SELECT * REPLACE (CAST(order_value AS DOUBLE) AS order_value) FROM co",
+    "sql_model_segment_value": _ORDERS_OF + "SELECT * REPLACE (CAST(total_value AS DOUBLE) AS total_value) FROM sv",
+    "sql_model_best_segments": SQL_MODEL_BEST_SEGMENTS,
     "run_recovery": FINAL_STATE,
 }
