@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 import tierflow.llm.mixing as m
 from tierflow.llm.mixing import budgets, epoch_order, mix_sources, share_out
-from tierflow.llm.queries import LLM_QUERIES, MIX_ALPHA, MIX_EPOCHS, MIX_FRACTION, mix_levels
+from tierflow.llm.queries import LLM_QUERIES, MIX_EPOCHS, MIX_FRACTION, mix_levels
 from tierflow.llm.runtime import prepare
 
 SF = "/root/testdata/sf0.01"
@@ -69,7 +69,13 @@ def test_query_matches_brute_force(spark):
     rows = [(x.doc_id, (x.a, x.b, x.c), x.text) for x in docs.select(
         "doc_id", "text", *[v.alias(k) for k, v in zip("abc", levels.values())]).collect()]
     total = int(MIX_FRACTION * sum(len(re.findall(r"\S+", r[2])) for r in rows))
-    want, given = slow(rows, list(levels), total, MIX_EPOCHS, MIX_ALPHA, 17, spark)
+    # target weights: a node's good labelled documents, and one
+    good = {x.doc_id for x in spark.read.parquet(f"{SF}/labels.parquet").collect() if x.quality == 1 and x.toxic == 0}
+    weights = {}
+    for key, path, _ in rows:
+        for k in (1, 2, 3):
+            weights[path[:k]] = weights.get(path[:k], 1.0) + (key in good)
+    want, given = slow(rows, list(levels), total, MIX_EPOCHS, 1.0, 17, spark, weights)
     got = sorted(map(tuple, LLM_QUERIES["op4_mixing"](spark, SF).collect()), key=str)
     assert got == want and len({x[4] for x in got}) > 1
     by = {}
@@ -94,6 +100,29 @@ def test_odd_rows(spark, monkeypatch):
     assert mix_sources(df.filter("text is null"), levels, fraction=0.5).count() == 0
     with pytest.raises(ValueError):
         mix_sources(df, levels)
-    monkeypatch.setattr(m, "MAX_LEAVES", 1)
-    with pytest.raises(ValueError):
-        mix_sources(df, levels, fraction=0.5)
+    # any size of bucket takes the same documents
+    for docs in (1, 7):
+        monkeypatch.setattr(m, "BUCKET_DOCS", docs)
+        assert sorted(map(tuple, mix_sources(df, levels, total=9000, max_epochs=3).collect()), key=str) == want
+
+
+def test_budgets_of_a_table_are_budgets_of_a_tree(spark):
+    """Random trees, weights (0 too), empty leaves and totals; more leaves than a
+    driver would list are but rows."""
+    r = random.Random(5)
+    for trial in range(6):
+        leaves = {(r.choice("ab"), r.choice("xyz"), f"s{i}"): r.choice([0, 1, 7, 100, 3000]) for i in range(60)}
+        nodes = sorted({p[:k] for p in leaves for k in (1, 2, 3)})
+        weights = {p: r.choice([0.0, 0.5, 1.0, 20.0]) for p in r.sample(nodes, 0 if trial == 0 else len(nodes) // 2)}
+        total, most = r.choice([0, 100, 5000, 10 ** 7]), r.choice([1, 4])
+        want = budgets(leaves, total, most, weights, 0.7)
+        table = spark.createDataFrame([(*p, n, 1) for p, n in leaves.items()], "level0 string, level1 string, level2 string, n bigint, rows bigint")
+        got = m.budget_table(table, 3, total, most, m.weight_table(spark, weights, ["a", "b", "c"]), 0.7)
+        assert {(x.level0, x.level1, x.level2): x.budget for x in got.collect()} == want
+        frame = spark.createDataFrame([(*p, *[None] * (3 - len(p)), w) for p, w in weights.items()], "c string, b string, a string, weight double") \
+            .toDF("a", "b", "c", "weight")
+        again = m.budget_table(table, 3, total, most, m.weight_table(spark, frame, ["a", "b", "c"]), 0.7)
+        assert {(x.level0, x.level1, x.level2): x.budget for x in again.collect()} == want
+    many = spark.range(50_000).selectExpr("concat('d', id % 3) AS level0", "'l' AS level1", "concat('s', id) AS level2", "id % 11 AS n", "1L AS rows")
+    got = m.budget_table(many, 3, 100_000, 4, m.weight_table(spark, None, ["a", "b", "c"]), 1.0)
+    assert got.count() == 50_000 and got.filter("budget > 4 * n").count() == 0

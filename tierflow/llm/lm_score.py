@@ -1,23 +1,28 @@
 """Cross-entropy difference with matched bigram models.
 
-Both models share one vocabulary (every word of the corpus, or the most
-frequent ones if a size is given; all others are one unknown word), order and
-smoothing: a bigram estimate backed off to the unigram one,
+Both models share one vocabulary (every word of either, or the most frequent
+words of the corpus if a size is given; all others are one unknown word), order
+and smoothing: a bigram estimate backed off to the unigram one,
 p(w|h) = (c(h,w) + K p(w)) / (c(h) + K) with p(w) = (c(w) + 1) / (N + V). The
-target model counts the target documents, the background model all documents,
-scaled to the target's number of words, which is what an equally large sample
-holds on average. A document's score is the mean over its words of target loss
-minus background loss: lower is closer to the target.
-
-Counts cover every word and every bigram, each under its own 63-bit hash, in a
-table that grows with the corpus and is never held in one place: it is cut into
+target model counts target documents, the background model as much text of
+other documents: the larger side is sampled, document by document, by a seeded
+hash. A document that a model counts is taken out of it (its own counts are
+subtracted) when it is scored, so a score tells how close a text is to the
+target, not whether it is part of it. The score is the mean over a document's
+words of target loss minus background loss: lower is closer to the target.
+
+Counts cover every word and every bigram of the counted documents, each under a
+hash that is twenty bits wider than the corpus has characters (63 bits at most),
+in a table that grows with them and is never held in one place: it is cut into
 ranges of the hash, more of them the more text there is. Texts are scored a
 piece at a time: a piece asks every range for the counts of its distinct words
-and bigrams, so a hot word is asked for once a piece.
+and bigrams, so a hot word is asked for once a piece; the answer is counts alone,
+in the order of the keys, which the piece works out again.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -36,7 +41,11 @@ RANGE_CHARS, SCORED_CHARS = 1 << 25, 1 << 22
 _FLUSH = 1 << 20
 #: Stand for the unknown word and the beginning of a text.
 _UNKNOWN, _BEGIN = np.uint64(0), np.uint64(1)
-_COUNTS = "range int, n int, keys binary, every binary, target binary"
+_COUNTS = "range int, n int, keys binary, target binary, background binary"
+#: Documents are sampled by buckets of a hash.
+SEED, BUCKETS = 11, 4096
+#: What a document is for the models.
+_NEITHER, _TARGET, _BACKGROUND = 0, 1, 2
 
 
 def _batches(batches, *columns: str) -> Iterator[tuple]:
@@ -118,10 +127,11 @@ def _wide(data: bytes, n: int) -> np.ndarray:
 class _Words:
     """Keys of the counts: an odd key is a word's, an even one that of a bigram
     or of a word as history. ``known``: sorted hashes of the vocabulary, or None
-    for every word. ``bits``: the first bits of a key are its range."""
+    for every word. ``width``: bits of a key; its first ``bits`` are its range."""
 
     known: np.ndarray | None
     bits: int
+    width: int
 
     def keys(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Text index, and keys of bigram, word and history, of all words of
@@ -134,30 +144,30 @@ class _Words:
         before = np.concatenate([[_BEGIN], word[:-1]]) if len(word) else word
         before[np.flatnonzero(np.diff(p.doc, prepend=-1))] = _BEGIN
         pair = mix(mix(before + np.uint64(0x632BE59BD9B4E019)) * np.uint64(0x9E3779B97F4A7C15) + word)
-        even = ~np.uint64(1)
-        return (p.doc, pair & even, mix(word ^ np.uint64(0xD1B54A32D192ED03)) | np.uint64(1),
-                mix(before ^ np.uint64(0x8CB92BA72F3D8DD7)) & even)
+        even, cut = ~np.uint64(1), np.uint64(64 - self.width)
+        return (p.doc, pair >> cut & even, mix(word ^ np.uint64(0xD1B54A32D192ED03)) >> cut | np.uint64(1),
+                mix(before ^ np.uint64(0x8CB92BA72F3D8DD7)) >> cut & even)
 
     def cut(self, keys: np.ndarray) -> Iterator[tuple[int, int, int]]:
         """Ranges that sorted keys lie in: (range, from, to)."""
-        of = (keys >> np.uint64(64 - self.bits)).astype(np.int64)
+        of = (keys >> np.uint64(self.width - self.bits)).astype(np.int64)
         at = np.flatnonzero(np.diff(of, prepend=-1))
         yield from zip(of[at].tolist(), at.tolist(), [*at[1:].tolist(), len(keys)])
 
     def pack(self, r: int, keys: np.ndarray) -> bytes:
         """Sorted keys of one range, as steps."""
-        return _narrow(np.diff(keys, prepend=np.uint64(r << (64 - self.bits))))
+        return _narrow(np.diff(keys, prepend=np.uint64(r << (self.width - self.bits))))
 
     def unpack(self, r: int, n: int, data: bytes) -> np.ndarray:
-        return np.cumsum(_wide(data, n), dtype=np.uint64) + np.uint64(r << (64 - self.bits))
+        return np.cumsum(_wide(data, n), dtype=np.uint64) + np.uint64(r << (self.width - self.bits))
 
     def batch(self, rows: list[tuple]) -> pa.RecordBatch:
-        """Rows (range, keys, every, target) as ``_COUNTS``."""
+        """Rows (range, keys, target, background) as ``_COUNTS``."""
         return pa.RecordBatch.from_arrays(
             [pa.array([r for r, *_ in rows], pa.int32()), pa.array([len(h) for _, h, *_ in rows], pa.int32()),
              pa.array([self.pack(r, h) for r, h, *_ in rows], pa.binary()),
              *(pa.array([_narrow(x[k]) for x in rows], pa.binary()) for k in (2, 3))],
-            names=["range", "n", "keys", "every", "target"])
+            names=["range", "n", "keys", "target", "background"])
 
 
 def _columns(b: pa.RecordBatch, *names: str) -> Iterator[tuple]:
@@ -165,21 +175,21 @@ def _columns(b: pa.RecordBatch, *names: str) -> Iterator[tuple]:
 
 
 def _count_keys(words: _Words):
-    """Rows (text, target) -> what one task counts, by range."""
+    """Rows (text, side) of counted documents -> what one task counts, by range."""
     def run(batches):
         parts: list = []
         held = 0
 
         def rows():
-            h, every, target = _merged(parts)
+            h, target, background = _merged(parts)
             cuts = list(words.cut(h))
             for a in range(0, len(cuts), 64):
-                yield words.batch([(r, h[i:j], every[i:j], target[i:j]) for r, i, j in cuts[a:a + 64]])
-        for texts, marks in _batches(batches, "target"):
+                yield words.batch([(r, h[i:j], target[i:j], background[i:j]) for r, i, j in cuts[a:a + 64]])
+        for texts, side in _batches(batches, "side"):
             doc, *keys = words.keys(texts)
-            chosen = np.array(marks.to_pylist(), np.int64)[doc]
-            one = np.ones(len(doc), np.int64)
-            parts.append(_merged([(k, one, chosen) for k in keys]))
+            side = np.array(side.to_pylist(), np.int64)[doc]
+            own = [(side == k).astype(np.int64) for k in (_TARGET, _BACKGROUND)]
+            parts.append(_merged([(k, *own) for k in keys]))
             held += len(parts[-1][0])
             if held > 4 * _FLUSH:
                 parts = [_merged(parts)]
@@ -198,17 +208,17 @@ def _sum_keys(words: _Words):
         parts: dict[int, list] = {}
         held: dict[int, int] = {}
         for b in batches:
-            for r, n, keys, every, target in _columns(b, "range", "n", "keys", "every", "target"):
-                parts.setdefault(r, []).append((words.unpack(r, n, keys), _wide(every, n).astype(np.int64), _wide(target, n).astype(np.int64)))
+            for r, n, keys, target, background in _columns(b, "range", "n", "keys", "target", "background"):
+                parts.setdefault(r, []).append((words.unpack(r, n, keys), *(_wide(c, n).astype(np.int64) for c in (target, background))))
                 held[r] = held.get(r, 0) + n
                 if held[r] > 2 * len(parts[r][0][0]) + _FLUSH:
                     parts[r] = [_merged(parts[r])]
                     held[r] = len(parts[r][0][0])
         for r in list(parts):
-            h, every, target = _merged(parts.pop(r))
+            h, target, background = _merged(parts.pop(r))
             odd = (h & np.uint64(1)).astype(bool)
-            out = words.batch([(r, h, every, target)])
-            for k, v in (("words", odd.sum()), ("n_every", every[odd].sum()), ("n_target", target[odd].sum())):
+            out = words.batch([(r, h, target, background)])
+            for k, v in (("words", odd.sum()), ("n_target", target[odd].sum()), ("n_background", background[odd].sum())):
                 out = out.append_column(k, pa.array([int(v)], pa.int64()))
             yield out
     return run
@@ -217,42 +227,56 @@ def _sum_keys(words: _Words):
 @dataclass
 class BigramPair:
     """Both models' counts: ``counts`` holds a row for each range of the keys.
-    ``size``: words of the vocabulary; ``scale``: target words for each word."""
+    ``marks`` has the target ids, ``buckets`` the sampled part of the target and
+    of the other documents. ``size``: words of the vocabulary; ``sizes``: words
+    that each model counts."""
 
     words: _Words
     counts: DataFrame
+    marks: DataFrame
+    buckets: tuple[frozenset, frozenset]
     size: int
-    n_target: float
-    scale: float
-    of_all: bool
+    sizes: tuple[int, int]
     prior: float
 
 
-def fit_pair(docs: DataFrame, target: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-             size: int | None = None, bits: int | None = None, prior: float = PRIOR) -> BigramPair:
-    """Count all of ``docs``; ``target`` has the ids (column ``id_col``) of the
-    target documents. Null ids and ids that no document has are ignored, an id
-    listed twice counts once, a null text is empty. Without target documents
-    both models are the background. ``size`` bounds the vocabulary (none: every
-    word); the table is cut into ``2 ** bits`` ranges (none: by the text there
-    is; never more than by the text, so ``bits`` changes no result)."""
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    chars = rows.agg(F.sum(F.length("text"))).first()[0] or 0
-    most = max(2, int(-(-chars // RANGE_CHARS)).bit_length())
-    words = _Words(None if size is None else vocabulary(rows, size), most if bits is None else max(1, min(bits, most)))
-    marks = target.select(F.col(id_col).alias("id")).filter("id is not null").distinct().withColumn("target", F.lit(True))
-    # dealt by id at every size: the list of targets grows with the corpus, so it is never broadcast
-    marked = rows.join(marks.hint("merge"), "id", "left").select("text", F.coalesce("target", F.lit(False)).alias("target"))
-    counted = marked.mapInArrow(_count_keys(words), _COUNTS).repartition(1 << words.bits, "range")
-    counts = written(counted.mapInArrow(_sum_keys(words), f"{_COUNTS}, words bigint, n_every bigint, n_target bigint"), "counts")
-    total = counts.agg(*(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("words", "n_every", "n_target"))).first()
-    n_every, n_target = total["n_every"], total["n_target"]
-    vocab = total["words"] if size is None else len(words.known)
-    return BigramPair(words, counts, vocab, n_target or n_every, n_target / n_every if n_target else 1.0, not n_target, prior)
+def bucket(id_col: str = "id", text_col: str = "text") -> "F.Column":
+    """The part of the corpus, from 0 to ``BUCKETS`` - 1, that a row is in."""
+    return F.pmod(F.xxhash64(F.lit(SEED), F.col(id_col), F.col(text_col)), F.lit(BUCKETS)).cast("int")
+
+
+def matched(chars: dict[tuple[bool, int], int]) -> tuple[frozenset, frozenset]:
+    """Buckets of target and of other documents to count, from the characters of
+    each (target, bucket): all of the smaller side, and of the larger one as
+    many, in order, as first have as much text."""
+    sides = [[chars.get((t, b), 0) for b in range(BUCKETS)] for t in (True, False)]
+    least, out = min(map(sum, sides)), []
+    for side in sides:
+        total, n = 0, 0
+        while n < BUCKETS and total < least:
+            total, n = total + side[n], n + 1
+        out.append(frozenset(range(BUCKETS if sum(side) <= least else n)))
+    return out[0], out[1]
+
+
+def _side(buckets: tuple[frozenset, frozenset], target) -> "F.Column":
+    def inside(chosen):
+        return F.lit(True) if len(chosen) == BUCKETS else F.col("bucket").isin(sorted(chosen))
+    return F.when(target, F.when(inside(buckets[0]), F.lit(_TARGET)).otherwise(F.lit(_NEITHER))).otherwise(
+        F.when(inside(buckets[1]), F.lit(_BACKGROUND)).otherwise(F.lit(_NEITHER)))
+
+
+def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).withColumn("bucket", bucket())
+
+
+def _marked(rows: DataFrame, marks: DataFrame) -> DataFrame:
+    """``rows`` with a column ``target``; whichever way Spark joins them by size."""
+    return rows.join(marks.withColumn("__target", F.lit(True)), "id", "left").withColumn("target", F.coalesce("__target", F.lit(False))).drop("__target")
 
 
 def _deal(batches):
-    """Rows (id, text), numbered by piece."""
+    """Rows (id, text, side), numbered by piece."""
     task, number, size = TaskContext.get().partitionId(), 0, 0
     for b in batches:
         at = []
@@ -264,6 +288,47 @@ def _deal(batches):
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), *b.columns], names=["piece", *b.schema.names])
 
 
+def _dealt(rows: DataFrame, marks: DataFrame, buckets: tuple[frozenset, frozenset]) -> DataFrame:
+    """``(piece, id, text, side)``, written, so that a piece is the same texts
+    whenever it is read."""
+    kind = rows.schema["id"].dataType.simpleString()
+    sided = _marked(rows, marks).select("id", "text", _side(buckets, F.col("target")).alias("side"))
+    return written(sided.mapInArrow(_deal, f"piece bigint, id {kind}, text string, side int"), "dealt")
+
+
+def _fit(docs: DataFrame, target: DataFrame, id_col: str, text_col: str, size: int | None, bits: int | None,
+         prior: float) -> tuple[BigramPair, DataFrame]:
+    rows = _rows(docs, id_col, text_col)
+    kind = docs.schema[id_col].dataType
+    marks = written(target.select(F.col(id_col).cast(kind).alias("id")).filter("id is not null").distinct(), "marks")
+    narrow = _marked(rows.select("id", "bucket", F.coalesce(F.length("text"), F.lit(0)).cast("bigint").alias("chars")), marks)
+    chars = {(r["target"], r["bucket"]): r["chars"] for r in narrow.groupBy("target", "bucket").agg(
+        F.sum("chars").alias("chars")).collect()}  # 2 x BUCKETS rows at most
+    buckets, total = matched(chars), sum(chars.values())
+    most = max(2, int(-(-total // RANGE_CHARS)).bit_length())
+    words = _Words(None if size is None else vocabulary(rows, size), most if bits is None else max(1, min(bits, most)),
+                   min(63, max(1, total).bit_length() + 20))
+    dealt = _dealt(rows, marks, buckets)
+    counted = dealt.filter(F.col("side") != _NEITHER).select("text", "side").mapInArrow(_count_keys(words), _COUNTS)
+    counts = written(counted.repartition(1 << words.bits, "range").mapInArrow(
+        _sum_keys(words), f"{_COUNTS}, words bigint, n_target bigint, n_background bigint"), "counts")
+    got = counts.agg(*(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("words", "n_target", "n_background"))).first()
+    vocab = got["words"] if size is None else len(words.known)
+    return BigramPair(words, counts, marks, buckets, vocab, (got["n_target"], got["n_background"]), prior), dealt
+
+
+def fit_pair(docs: DataFrame, target: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+             size: int | None = None, bits: int | None = None, prior: float = PRIOR) -> BigramPair:
+    """Count the documents of ``docs`` whose ids ``target`` lists (column
+    ``id_col``), and as much text of the others. Null ids and ids that no
+    document has are ignored, an id listed twice counts once, a null text is
+    empty. Without target documents, or without others, both models are empty
+    and every score is 0. ``size`` bounds the vocabulary (none: every word); the
+    table is cut into ``2 ** bits`` ranges (none: by the text there is; never
+    more than by the text, so ``bits`` changes no result)."""
+    return _fit(docs, target, id_col, text_col, size, bits, prior)[0]
+
+
 _ASKED = "range int, piece bigint, n int, keys binary"
 
 
@@ -302,51 +367,63 @@ def _answer(words: _Words):
     def run(left, right):
         own = None
         for b in right:
-            for r, n, keys, every, target in _columns(b, "range", "n", "keys", "every", "target"):
-                own = words.unpack(r, n, keys), _wide(every, n), _wide(target, n)
+            for r, n, keys, target, background in _columns(b, "range", "n", "keys", "target", "background"):
+                own = words.unpack(r, n, keys), _wide(target, n), _wide(background, n)
         for b in left:
             rows = []
             for r, piece, n, keys in _columns(b, "range", "piece", "n", "keys"):
-                if own is None:
-                    rows.append((r, piece, n, keys, _narrow(np.zeros(n, np.uint64)), _narrow(np.zeros(n, np.uint64))))
-                    continue
-                h = words.unpack(r, n, keys)
-                at = np.minimum(np.searchsorted(own[0], h), len(own[0]) - 1)
-                there = own[0][at] == h
-                rows.append((r, piece, n, keys, *(_narrow(np.where(there, c[at], np.uint64(0))) for c in own[1:])))
+                found = [np.zeros(n, np.uint64)] * 2
+                if own is not None:
+                    h = words.unpack(r, n, keys)
+                    at = np.minimum(np.searchsorted(own[0], h), len(own[0]) - 1)
+                    there = own[0][at] == h
+                    found = [np.where(there, c[at], np.uint64(0)) for c in own[1:]]
+                rows.append((r, piece, n, *(zlib.compress(_narrow(c), 1) for c in found)))
             if rows:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), pa.int64(), pa.int32(), *[pa.binary()] * 3))],
-                    names=["range", "piece", "n", "keys", "every", "target"])
+                    [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), pa.int64(), pa.int32(), *[pa.binary()] * 2))],
+                    names=["range", "piece", "n", "target", "background"])
     return run
 
 
-def _losses(words: _Words, size: int, n_target: float, scale: float, of_all: bool, prior: float):
+_ANSWERED = "range int, piece bigint, n int, target binary, background binary"
+
+
+def _own(doc: np.ndarray, key: np.ndarray, of: np.ndarray) -> np.ndarray:
+    """How often each word's text has its key itself (0 where ``of`` is false)."""
+    out, at = np.zeros(len(doc), np.float64), np.flatnonzero(of)
+    if len(at):
+        order = at[np.lexsort((key[at], doc[at]))]
+        first = np.flatnonzero(np.append(True, (doc[order][1:] != doc[order][:-1]) | (key[order][1:] != key[order][:-1])))
+        n = np.diff(np.append(first, len(order)))
+        out[order] = np.repeat(n, n)
+    return out
+
+
+def _losses(words: _Words, size: int, sizes: tuple[int, int], prior: float):
     """Of one piece, its texts and its counts -> scores."""
     def run(left, right):
-        got = [(words.unpack(r, n, keys), _wide(every, n), _wide(target, n)) for b in right
-               for r, n, keys, every, target in _columns(b, "range", "n", "keys", "every", "target")]
-        if got:  # a piece that was cut between two tasks asks twice for some keys
-            known, at = np.unique(np.concatenate([g[0] for g in got]), return_index=True)
-            every = np.concatenate([g[1] for g in got])[at].astype(np.float64)
-            target = every if of_all else np.concatenate([g[2] for g in got])[at].astype(np.float64)
-
-        def loss(counts, pair, word, history):
-            unigram = (counts[word] + 1) / (n_target + size + 2)
-            return -np.log((counts[pair] + prior * unigram) / (counts[history] + prior))
+        rows = sorted((x for b in right for x in _columns(b, "range", "n", "target", "background")), key=lambda x: x[0])
+        counts = [np.concatenate([np.zeros(0, np.uint64), *(_wide(zlib.decompress(x[k]), x[1]) for x in rows)]).astype(np.float64) for k in (2, 3)]
+        held = []
         for b in left:
-            ids = b.column(b.schema.get_field_index("id"))
             texts = [t or "" for t in b.column(b.schema.get_field_index("text")).to_pylist()]
-            for a, z in pieces(texts):
-                doc, *keys = words.keys(texts[a:z])
-                n = np.bincount(doc, minlength=z - a)
-                out = []
-                for counts, by in ((target, 1.0), (every, scale)) if len(doc) else ():
-                    x = loss(counts * by, *(np.searchsorted(known, k) for k in keys))
-                    out.append(np.bincount(doc, weights=x, minlength=z - a) / np.maximum(n, 1))
-                t, e = out or (np.zeros(z - a), np.zeros(z - a))
-                yield pa.RecordBatch.from_arrays([ids.slice(a, z - a), pa.array(n, pa.int64()), pa.array(t), pa.array(e), pa.array(t - e)],
-                                                 names=["id", "n_words", "target_loss", "background_loss", "score"])
+            held.append((b.column(b.schema.get_field_index("id")), np.array(b.column(b.schema.get_field_index("side")).to_pylist(), np.int64),
+                         words.keys(texts), len(texts)))
+        known = np.unique(np.concatenate([np.zeros(0, np.uint64), *(k for _, _, (_, *keys), _ in held for k in keys)]))
+        for ids, side, (doc, *keys), rows in held:
+            n = np.bincount(doc, minlength=rows)
+            at = [np.searchsorted(known, k) for k in keys]
+            out = []
+            for model, c, total in zip((_TARGET, _BACKGROUND), counts, sizes):
+                mine = (side == model)[doc]
+                pair, word, history = (np.maximum(c[i] - _own(doc, i, mine), 0) for i in at)
+                unigram = (word + 1) / (np.maximum(total - np.where(side == model, n, 0), 0)[doc] + size + 2)
+                x = -np.log((pair + prior * unigram) / (history + prior))
+                out.append(np.bincount(doc, weights=x, minlength=rows) / np.maximum(n, 1))
+            t, e = out
+            yield pa.RecordBatch.from_arrays([ids, pa.array(n, pa.int64()), pa.array(t), pa.array(e), pa.array(t - e)],
+                                             names=["id", "n_words", "target_loss", "background_loss", "score"])
     return run
 
 
@@ -362,18 +439,26 @@ def _cogrouped(run, schema: str) -> tuple:
     return tables, schema
 
 
-def score_documents(docs: DataFrame, model: BigramPair, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(id, n_words, target_loss, background_loss, score)`` for every row, of
-    whole texts; a text without a word (null too) has losses and score 0.
-    Repeated rows and null ids stay; no rows: no rows."""
-    kind = docs.schema[id_col].dataType.simpleString()
-    words = model.words
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    # written, so that a piece is the same texts whenever it is read
-    dealt = written(rows.mapInArrow(_deal, f"piece bigint, id {kind}, text string"), "dealt")
+def _score(dealt: DataFrame, model: BigramPair) -> DataFrame:
+    kind, words = dealt.schema["id"].dataType.simpleString(), model.words
     asked = dealt.select("piece", "text").mapInArrow(_ask(words), _ASKED)
-    answers = asked.groupBy("range").cogroup(model.counts.groupBy("range")).applyInArrow(
-        *_cogrouped(_answer(words), f"{_ASKED}, every binary, target binary"))
-    return dealt.groupBy("piece").cogroup(answers.groupBy("piece")).applyInArrow(*_cogrouped(
-        _losses(words, model.size, model.n_target, model.scale, model.of_all, model.prior),
+    answers = asked.groupBy("range").cogroup(model.counts.groupBy("range")).applyInArrow(*_cogrouped(_answer(words), _ANSWERED))
+    return dealt.groupBy("piece").cogroup(answers.withColumnRenamed("piece", "asker").groupBy("asker")).applyInArrow(*_cogrouped(
+        _losses(words, model.size, model.sizes, model.prior),
         f"id {kind}, n_words bigint, target_loss double, background_loss double, score double"))
+
+
+def score_documents(docs: DataFrame, model: BigramPair, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``(id, n_words, target_loss, background_loss, score)`` for every row, of
+    whole texts; a text without a word (null too) has losses and score 0. A row
+    that a model counts (a target id, or a sampled row) is scored without its own
+    counts, as far as the model has them; so is each of several rows alike. Repeated rows and null ids stay; no
+    rows: no rows."""
+    return _score(_dealt(_rows(docs, id_col, text_col), model.marks, model.buckets), model)
+
+
+def score_against(docs: DataFrame, target: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """:func:`fit_pair` and :func:`score_documents` on the same documents, which
+    are dealt into pieces once."""
+    model, dealt = _fit(docs, target, id_col, text_col, **{"size": None, "bits": None, "prior": PRIOR, **options})
+    return _score(dealt, model)

@@ -12,8 +12,8 @@ from tierflow.llm.bpe import build_lexicon, decode_ids, encode_texts
 from tierflow.llm.decontam import contaminated
 from tierflow.llm.hard_negatives import hard_negatives
 from tierflow.llm.langid import fit_languages, identify
-from tierflow.llm.lm_score import fit_pair, score_documents
-from tierflow.llm.mixing import mix_sources
+from tierflow.llm.lm_score import score_against
+from tierflow.llm.mixing import NONE, mix_sources
 from tierflow.llm.multi_index import near_vectors
 from tierflow.llm.pii import BASE_KINDS, pii_spans, span_digest, spans_of
 from tierflow.llm.quality import fit_quality, score_quality
@@ -30,7 +30,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def op1_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     target = _table(spark, sf_dir, "labels").filter("quality = 1 and toxic = 0")
-    return score_documents(docs, fit_pair(docs, target)).withColumnRenamed("id", "doc_id")
+    return score_against(docs, target).withColumnRenamed("id", "doc_id")
 
 
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -48,8 +48,8 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= 0.5).cast("int").alias("predicted"), "n_passages", "top_weight")
 
 
-#: Four fifths of the tokens there are; at each level small branches count more
-#: than in proportion; a document is read four times at most.
+#: Four fifths of the tokens there are; without target weights small branches
+#: count more than in proportion; a document is read four times at most.
 MIX_FRACTION, MIX_ALPHA, MIX_EPOCHS = 0.8, 0.7, 4
 
 
@@ -60,12 +60,20 @@ def mix_levels() -> dict[str, Column]:
             "source": F.col("source")}
 
 
-def mixed(docs: DataFrame) -> DataFrame:
-    return mix_sources(docs, mix_levels(), fraction=MIX_FRACTION, alpha=MIX_ALPHA, max_epochs=MIX_EPOCHS)
+def target_weights(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """``(domain, lang, source, weight)`` for every node (lower levels null): its
+    documents that are labelled good, and one."""
+    good = labels.filter("quality = 1 and toxic = 0").select(F.col("doc_id").alias("good")).distinct()
+    nodes = docs.select("doc_id", *[F.coalesce(c.cast("string"), F.lit(NONE)).alias(k) for k, c in mix_levels().items()])
+    nodes = nodes.join(good, nodes["doc_id"] == good["good"], "left").rollup(*mix_levels()).agg(
+        (F.count("good") + 1).cast("double").alias("weight"))
+    return nodes.filter("domain is not null")
 
 
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixed(_table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+    docs = _table(spark, sf_dir, "documents")
+    weights = target_weights(docs, _table(spark, sf_dir, "labels"))
+    return mix_sources(docs, mix_levels(), fraction=MIX_FRACTION, weights=weights, max_epochs=MIX_EPOCHS).withColumnRenamed("id", "doc_id")
 
 
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
