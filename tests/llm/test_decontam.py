@@ -73,6 +73,18 @@ def test_size_class():
         assert 0.68 * n <= size_class(n) <= math.ceil(0.85 * n)
 
 
+def test_windows_of_an_item():
+    for n in range(1, 600):
+        size, at = d.window_size(n), d.offsets(n)
+        assert 1 <= size <= n and at[0] == 0 and at[-1] == n - size and len(at) <= d.STAGGER
+        if n >= 16:
+            assert 0.36 * n <= size <= 0.5 * n
+            # wherever one word changes, some window does not hold it
+            assert all(any(not a <= k < a + size for a in at) for k in range(n))
+            # cut to four fifths at either end, two windows are left whole
+            assert sum(a + size <= 0.8 * n for a in at) >= 2 and sum(a >= 0.2 * n for a in at) >= 2
+
+
 def test_query_finds_what_brute_force_finds(spark):
     docs = {x.doc_id: x.text for x in spark.read.parquet(f"{SF}/documents.parquet").collect()}
     items = {x.item_id: x.text for x in spark.read.parquet(f"{SF}/benchmark.parquet").collect()}
@@ -127,6 +139,36 @@ def test_odd_rows(spark, monkeypatch):
     assert sorted(x.doc_id for x in keep_uncontaminated(df, items).collect()) == [2, 3, 6, 7]
 
 
+def test_windows_reach_the_recall_alone(spark):
+    """Exact copies, copies cut short, and copies with words replaced, inserted
+    or lost throughout, as far as they are similar: what the windows find, of
+    what brute force finds."""
+    prepare(spark)
+    r = random.Random(12)
+    word = lambda: "".join(r.choice("abcdefghij") for _ in range(r.randrange(3, 9)))
+    items = {i: [word() for _ in range(r.choice([30, 60, 100, 160, 260]))] for i in range(80)}
+    docs, kind = {}, {}
+    for i, w in items.items():
+        around = lambda x: [*(word() for _ in range(r.randrange(60))), *x, *(word() for _ in range(r.randrange(60)))]
+        edited = list(w)
+        for _ in range(max(1, len(w) // 45)):
+            at = r.randrange(len(edited))
+            edited[at:at + 1] = r.choice([[], [word()], [word(), word()]])
+        cut = -(-len(w) * 82 // 100)
+        for name, x in (("exact", around(w)), ("cut", r.choice([w[:cut], w[-cut:]])), ("edited", around(edited))):
+            kind[len(docs)] = name
+            docs[len(docs)] = " ".join(x)
+    items = {i: " ".join(w) for i, w in items.items()}
+    want = slow_matches(docs, items)
+    got = {(x.id, m.item_id) for x in contaminated(
+        spark.createDataFrame(list(docs.items()), "doc_id bigint, text string"),
+        spark.createDataFrame(list(items.items()), "item_id bigint, text string")).collect() for m in x.matches}
+    assert got <= want.keys()
+    for name, least in (("exact", 1.0), ("cut", 1.0), ("edited", 0.97)):
+        own = [k for k in want if kind[k[0]] == name]
+        assert len(own) > 50 and sum(k in got for k in own) >= least * len(own), name
+
+
 def test_nothing_similar_is_missed(spark):
     """Documents that are items cut short of their window, and items with one
     word replaced, which lie outside the radius now and then: each is found."""

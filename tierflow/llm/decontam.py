@@ -1,17 +1,19 @@
 """Benchmark decontamination by SimHash over item-sized windows.
 
 Words are runs of letters, digits and underscores, lower-cased; shingles are
-five words. Every benchmark item gives the fingerprints of its first and last
-window of a size class (0.7 to 0.85 of its own size, sizes a fifth apart). Every
-window of that size in every document is fingerprinted too, and a multi-index
-over four 16-bit Hamming blocks finds all item windows at most 13 bits away: if
-the blocks differed in more than 3, 3, 2 and 2 bits it would be 14 or more.
-Similar windows may lie outside the radius, or be cut off by the document's
-edge, so documents that hold one of an item's rarest shingles are candidates
-too: the shingles taken weigh more than a fifth of the item, and a window that
-has none of them is less than 0.8 similar. Every window of the item's own size,
-clipped at the document's edges, is then compared by exact weighted-shingle
-(Jaccard) similarity, best bound first, so nothing similar is missed.
+five words. The windows of an item are ``STAGGER`` stretches of it, spread evenly
+from its beginning to its end, of a size class (sizes a fifth apart) just under
+half of the item, so that one change leaves at least one of them as it was, and
+an item that is cut short at either end still holds some whole. Every window of
+that size in every document is fingerprinted too, and a multi-index over four
+16-bit Hamming blocks finds all item windows at most 13 bits away: if the blocks
+differed in more than 3, 3, 2 and 2 bits it would be 14 or more. These are the
+only candidates. Where an item is 0.8 similar to a place in a document, a ninth
+of the shingles on either side has no match, which turns 9.7 of 64 bits on
+average; of the item's windows some have less than their share of it, and one
+within the radius is enough. Every window of the item's own size, clipped at the
+document's edges, is then compared by exact weighted-shingle (Jaccard)
+similarity, best bound first.
 """
 
 from __future__ import annotations
@@ -22,15 +24,18 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierflow.llm.runtime import map_texts
+from tierflow.llm.runtime import map_texts, written
 from tierflow.llm.words import Piece, sequences
 
 SHINGLE = 5
 SIMILARITY = 0.8
 BLOCK_BITS = (3, 3, 2, 2)
 RADIUS = sum(BLOCK_BITS) + len(BLOCK_BITS) - 1
-#: Items that one pass over the documents searches for; more take more passes.
-ITEMS_A_PASS = 2000
+#: Windows of an item.
+STAGGER = 4
+#: Items, and characters of items, that one pass over the documents searches
+#: for; more take more passes.
+ITEMS_A_PASS, CHARS_A_PASS = 2000, 1 << 24
 #: Windows that one step of the arithmetic takes: their counts stay in cache.
 _ROWS = 2048
 
@@ -46,6 +51,19 @@ def size_class(n: int) -> int:
         size = after
 
 
+def window_size(n: int) -> int:
+    """Words of the windows of an item of ``n`` words: 0.36 to 0.45 of it (to 0.5
+    of few words), but five at least, or all of it."""
+    size = size_class(max(-(-n * 53 // 100), min(n, SHINGLE + 1)))
+    return min(size, n // 2) if n >= 2 * SHINGLE else size
+
+
+def offsets(n: int) -> list[int]:
+    """Where the windows of an item of ``n`` words begin."""
+    last = n - window_size(n)
+    return sorted({last * k // (STAGGER - 1) for k in range(STAGGER)})
+
+
 def shingles(words: np.ndarray) -> np.ndarray:
     """Hashes of all five-word shingles; fewer words: of the whole sequence."""
     return sequences(words, min(SHINGLE, len(words))) if len(words) else words
@@ -132,11 +150,10 @@ class _Class:
 
 class Benchmark:
     """Items to search for. ``weight(h)`` of a shingle: 1 + ln(items / items
-    that have it); one that no item has counts as if one had. ``least``: the
-    lowest similarity that ``find`` may be asked for."""
+    that have it); one that no item has counts as if one had."""
 
-    def __init__(self, ids: list, texts: list[str], shared: dict[int, int], n_items: int, least: float = SIMILARITY):
-        self.ids, self.n_items, self.least = ids, max(1, n_items), least
+    def __init__(self, ids: list, texts: list[str], shared: dict[int, int], n_items: int):
+        self.ids, self.n_items = ids, max(1, n_items)
         known = np.array(sorted(shared), np.uint64)
         self.shared = known, np.array([shared[x] for x in known.tolist()], float)
         p = Piece(texts)
@@ -147,8 +164,8 @@ class Benchmark:
         by: dict[int, list] = {}
         for i, w in enumerate(self.words):
             if len(w):
-                size = size_class(len(w))
-                for offset in {0, len(w) - size}:
+                size = window_size(len(w))
+                for offset in offsets(len(w)):
                     part = shingles(w[offset:offset + size])
                     by.setdefault(size, []).append((_window_prints(_running(part, len(part)), len(part))[0], i, offset))
         self.classes = []
@@ -157,23 +174,6 @@ class Benchmark:
             c.index()
             self.classes.append(c)
         self.distinct = [np.unique(x, return_counts=True) for x in self.shingles]
-        self.rare = {n: self._rare([i for i, w in enumerate(self.words) if min(SHINGLE, len(w)) == n])
-                     for n in {min(SHINGLE, len(w)) for w in self.words if len(w)}}
-
-    def _rare(self, items: list[int]) -> tuple[np.ndarray, np.ndarray]:
-        """Sorted shingles and their items: of each item its rarest ones, as many
-        as weigh more than a window can lack that is ``least`` similar."""
-        h, item = [], []
-        for i in items:
-            own, n = self.distinct[i]
-            w = self.weights(own) * n
-            order = np.argsort(-self.weights(own), kind="stable")
-            some = int(np.searchsorted(np.cumsum(w[order]), (1 - self.least) * w.sum() + 1e-9, side="right")) + 1
-            h.append(own[order[:some]])
-            item.append(np.full(len(h[-1]), i))
-        h, item = np.concatenate(h), np.concatenate(item)
-        order = np.argsort(h, kind="stable")
-        return h[order], item[order]
 
     def weights(self, h: np.ndarray) -> np.ndarray:
         known, count = self.shared
@@ -222,14 +222,12 @@ class Benchmark:
     def find(self, texts: list[str], least: float) -> list[tuple[int, int, float, int]]:
         """(text, item, similarity, first word) of the best window for each
         text and item that reaches ``least``."""
-        assert least >= self.least
         p = Piece(texts)
         h = p.hashes()
         ends = np.cumsum(p.words_per_doc())
         starts = ends - p.words_per_doc()
         most = max((c.size for c in self.classes), default=0)
-        parts = {n: sequences(h, n) for n in {*(min(SHINGLE, c.size) for c in self.classes), *self.rare}}
-        total = {n: _running(parts[n], most) for n in {min(SHINGLE, c.size) for c in self.classes}}
+        total = {n: _running(sequences(h, n), most) for n in {min(SHINGLE, c.size) for c in self.classes}}
         seen: set[tuple[int, int]] = set()
         for c in self.classes:
             n = min(SHINGLE, c.size)
@@ -239,13 +237,6 @@ class Benchmark:
             row, entry = c.search(prints)
             inside = p.doc[row] == p.doc[row + c.size - 1]  # windows do not reach over two texts
             seen.update(zip(p.doc[row[inside]].tolist(), c.item[entry[inside]].tolist()))
-        for n, (rare, item) in self.rare.items():
-            row = np.flatnonzero(rare[np.minimum(np.searchsorted(rare, parts[n]), len(rare) - 1)] == parts[n])
-            row = row[p.doc[row] == p.doc[row + n - 1]]
-            first, last = np.searchsorted(rare, parts[n][row]), np.searchsorted(rare, parts[n][row], side="right")
-            count = last - first
-            at = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count) + np.repeat(first, count)
-            seen.update(zip(np.repeat(p.doc[row], count).tolist(), item[at].tolist()))
         found = ((doc, item, self.best(item, h[starts[doc]:ends[doc]], least)) for doc, item in sorted(seen))
         return [(doc, item, *best) for doc, item, best in found if best]
 
@@ -254,21 +245,26 @@ def _shingles_of(texts, cols):
     p = Piece(texts)
     h, ends = p.hashes(), np.cumsum(p.words_per_doc())
     out = [np.unique(shingles(h[a:z])).view(np.int64) for a, z in zip([0, *ends[:-1].tolist()], ends.tolist())]
-    return {"h": np.concatenate(out) if out else []}
+    return {"h": np.concatenate(out) if out else [], "part": np.repeat(np.array(cols["part"].to_pylist(), np.int64), [len(x) for x in out])}
 
 
-def _passes(items: DataFrame, item_col: str, item_text_col: str, least: float) -> list:
-    """Broadcast indexes that hold all items, ``ITEMS_A_PASS`` or so each."""
+def _passes(items: DataFrame, item_col: str, item_text_col: str) -> list:
+    """Broadcast indexes that hold all items, ``ITEMS_A_PASS`` items of
+    ``CHARS_A_PASS`` characters each on average. What is collected for one is
+    its items and the counts of their own shingles."""
     spark = items.sparkSession
     bench = items.select(F.col(item_col).alias("item_id"), F.col(item_text_col).alias("text")).filter(F.col("text").isNotNull())
-    n_items = bench.count()
-    shared = {r["h"] % (1 << 64): r["n"] for r in map_texts(bench.select("text"), _shingles_of, "h bigint").groupBy("h").agg(
-        F.count("*").alias("n")).filter("n > 1").collect()}
-    passes, out = max(1, -(-n_items // ITEMS_A_PASS)), []
+    n_items, chars = bench.agg(F.count("*"), F.coalesce(F.sum(F.length("text")), F.lit(0))).first()
+    passes, out = max(1, -(-n_items // ITEMS_A_PASS), -(-chars // CHARS_A_PASS)), []
+    part = F.pmod(F.xxhash64("text", "item_id"), F.lit(passes)).cast("int")
+    bench = written(bench.withColumn("part", part), "benchmark")
+    of = written(map_texts(bench.select("text", "part"), _shingles_of, "h bigint, part int"), "item-shingles")
+    often = of.groupBy("h").agg(F.count("*").alias("n")).filter("n > 1")
+    shared = written(of.distinct().join(often, "h"), "shared-shingles")
     for k in range(passes):
-        part = bench.filter(F.pmod(F.xxhash64("text", "item_id"), F.lit(passes)) == k)
-        got = sorted(part.collect(), key=lambda r: (r["item_id"] is not None, r["item_id"], r["text"]))
-        out.append(spark.sparkContext.broadcast(Benchmark([r["item_id"] for r in got], [r["text"] for r in got], shared, n_items, least)))
+        got = sorted(bench.filter(F.col("part") == k).collect(), key=lambda r: (r["item_id"] is not None, r["item_id"], r["text"]))
+        counts = {r["h"] % (1 << 64): r["n"] for r in shared.filter(F.col("part") == k).collect()}
+        out.append(spark.sparkContext.broadcast(Benchmark([r["item_id"] for r in got], [r["text"] for r in got], counts, n_items)))
     return out
 
 
@@ -280,14 +276,15 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
     Every row of ``docs`` that matches gives one row in each pass (repeats
     repeat, null ids stay); matches are ordered by item. Null and empty texts, and items without
     a word, match nothing; repeated items match each under its id. Items are
-    read in passes of ``ITEMS_A_PASS`` by a hash of their text, which bounds what
-    is broadcast; an empty table on either side gives an empty result.
+    read in passes of ``ITEMS_A_PASS`` and ``CHARS_A_PASS`` by a hash of their
+    text, which bounds what is broadcast; an empty table on either side gives an
+    empty result.
     """
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     match = f"array<struct<item_id:{items.schema[item_col].dataType.simpleString()},similarity:double,first_word:int>>"
     out = None
-    for index in _passes(items, item_col, item_text_col, similarity):
+    for index in _passes(items, item_col, item_text_col):
         def search(texts, cols, index=index):
             import pyarrow as pa
             b = index.value
@@ -309,7 +306,7 @@ def keep_uncontaminated(docs: DataFrame, items: DataFrame, text_col: str = "text
     window that ``contaminated`` would report."""
     from pyspark.sql.functions import pandas_udf
     out = docs
-    for index in _passes(items, item_col, item_text_col, similarity):
+    for index in _passes(items, item_col, item_text_col):
         @pandas_udf("boolean")
         def clean(texts, index=index):
             import pandas as pd
