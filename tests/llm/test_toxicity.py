@@ -1,9 +1,12 @@
+import zlib
+from collections import Counter
+
 import numpy as np
 from pyspark.sql import functions as F
 
 from tierflow.llm.queries import LLM_QUERIES
 from tierflow.llm.runtime import prepare
-from tierflow.llm.toxicity import fit_chain, fit_logistic, keep_clean, score_toxicity, sigmoid
+from tierflow.llm.toxicity import MIN_CASES, fit_chain, fit_logistic, keep_clean, score_toxicity, sigmoid
 
 SF = "/root/testdata/sf0.1"
 
@@ -28,7 +31,22 @@ def test_query_on_held_out_labels(spark):
     assert sum(x.toxic for x in cases) / len(cases) > 0.85
     clean = [x for x in held if not labels[x.doc_id]]
     assert sum(x.toxic for x in clean) / len(clean) < 0.005
-    assert {*got[0].categories} == {"toxic", "toxic_en", "toxic_de", "toxic_fr", "toxic_es"}
+    # a category for each language with enough cases to learn from
+    lang = {x.doc_id: x.lang for x in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "lang").collect()}
+    learnt = Counter(lang[k] for k, v in labels.items() if v and lang[k] and zlib.crc32(str(k).encode()) % 3 != 1)
+    assert {*got[0].categories} == {"toxic", *(f"toxic_{g}" for g, n in learnt.items() if n >= MIN_CASES)}
+    assert len(got[0].categories) > 2
+
+
+def test_groups_with_enough_cases_become_categories(spark):
+    """Ten languages, of which one falls short; copies of a text share a fold."""
+    prepare(spark)
+    rows = [(100 * g + i, (f"vile{g} worm " if i % 2 else f"sunny{g} day ") + str(i % 40), f"l{g}") for g in range(10) for i in range(2 * MIN_CASES - (g == 7))]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    labels = spark.createDataFrame([(k, int("vile" in t)) for k, t, _ in rows], "doc_id bigint, toxic int")
+    model = fit_chain(docs, labels)
+    assert {*model.categories} == {"toxic", *(f"toxic_l{g}" for g in range(10) if g != 7)} and model.categories[-1] == "toxic"
+    assert all(x.toxic == (x.id % 2 == 1) for x in score_toxicity(docs, model).collect())
 
 
 def test_odd_rows(spark):

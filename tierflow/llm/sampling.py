@@ -22,3 +22,14 @@ def at_most(df: DataFrame, bound: int, *columns: str) -> DataFrame:
     if n <= bound:
         return df
     return df.filter(chance(*columns) < int(_SCALE * bound / n)).limit(2 * bound)
+
+
+def first_by_hash(df: DataFrame, bound: int, *columns: str) -> DataFrame:
+    """The rows of ``df`` (all, or, beyond ``bound``, about so many of the lowest
+    hashes of ``columns``), of which a value that repeats without end leaves
+    twice the bound: the first by hash, then by ``columns``."""
+    n = df.count()
+    if n <= bound:
+        return df
+    few = df.filter(chance(*columns) < int(_SCALE * bound / n))
+    return few.orderBy(chance(*columns), *columns).limit(2 * bound)

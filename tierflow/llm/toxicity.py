@@ -10,6 +10,7 @@ later model learns how far they can be trusted on new texts.
 
 from __future__ import annotations
 
+import zlib
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -17,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tierflow.llm.runtime import map_texts
-from tierflow.llm.sampling import at_most
+from tierflow.llm.sampling import first_by_hash
 from tierflow.llm.words import Piece
 
 BITS = 20
@@ -28,8 +29,11 @@ FEATURES = 768
 FOLDS = 3
 #: Weight of a case against a clean row.
 CASE_WEIGHT = 3.0
-#: Labelled cases that a group needs to become a category, and groups at most.
-MIN_CASES, MAX_GROUPS = 30, 8
+#: Labelled cases (of the sample) that a group needs to become a category; the
+#: sample bounds the number of categories. Fewer are told by the last category alone.
+MIN_CASES = 30
+#: Features that a category has at least, however many categories there are.
+LEAST_FEATURES = 32
 _PREFIXES = (4, 5, 6, 7, 8)
 
 
@@ -119,12 +123,12 @@ def fit_chain(docs: DataFrame, labels: DataFrame, label: str = "toxic", group: s
     """
     marked = labels.select(F.col(id_col).cast("string").alias("key"), F.col(label).cast("int").alias("label")).filter(
         "key is not null and label is not null")
-    marked = at_most(marked, sample, "key").groupBy("key").agg(F.max("label").alias("label"))
+    marked = first_by_hash(marked, sample, "key").groupBy("key").agg(F.max("label").alias("label"))
     rows = docs.select(F.col(id_col).cast("string").alias("key"), F.col(text_col).alias("text"),
                        F.col(group).cast("string").alias("group")).filter(F.col("text").isNotNull())
     rows = rows.join(F.broadcast(marked), "key")  # at most 2 x sample narrow rows
-    got = map_texts(rows.select("text", "key", "label", "group"), _sample_rows,
-                    "key string, label int, group string, ids binary").limit(2 * sample).collect()
+    rows = first_by_hash(rows.select("text", "key", "label", "group"), 2 * sample, "key", "text")
+    got = map_texts(rows, _sample_rows, "key string, label int, group string, ids binary").collect()
     return fit_rows(got, label, features)
 
 
@@ -134,7 +138,7 @@ def fit_rows(got: list, label: str, features: int = FEATURES) -> ToxicityChain:
     truth = np.array([r["label"] for r in got], np.float32) > 0
     groups = np.array([r["group"] or "" for r in got], dtype=object)
     sizes = {g: int((truth & (groups == g)).sum()) for g in {*groups[truth].tolist()} - {""}}
-    chosen = [g for g, n in sorted(sizes.items(), key=lambda x: (-x[1], x[0])) if n >= MIN_CASES][:MAX_GROUPS]
+    chosen = [g for g, n in sorted(sizes.items(), key=lambda x: (-x[1], x[0])) if n >= MIN_CASES]
     categories = [f"{label}_{g}" for g in chosen] + [label]
     targets = [truth & (groups == g) for g in chosen] + [truth]
 
@@ -148,7 +152,7 @@ def fit_rows(got: list, label: str, features: int = FEATURES) -> ToxicityChain:
         if 0 < share < 1:
             chi = (hit - seen * share) ** 2 * n / np.maximum(seen * (n - seen) * share * (1 - share), 1e-9)
             chi[(seen < 3) | (seen == n)] = 0
-            first = np.lexsort((np.arange(1 << BITS), -chi))[:features // len(targets)]
+            first = np.lexsort((np.arange(1 << BITS), -chi))[:max(LEAST_FEATURES, features // len(targets))]
             top = np.union1d(top, first[chi[first] > 0])
     column = np.full(1 << BITS, -1, np.int64)
     column[top] = np.arange(len(top))
@@ -165,7 +169,8 @@ def fit_rows(got: list, label: str, features: int = FEATURES) -> ToxicityChain:
     row = np.concatenate([doc[at >= 0], rows])
     col = np.concatenate([at[at >= 0], np.full(len(got), len(top))])
     value = np.concatenate([scale[at[at >= 0]], np.ones(len(got))])
-    fold = rows % FOLDS  # rows are in key order
+    # by the text's features, so that copies of a text lie in one fold
+    fold = np.fromiter((zlib.crc32(bytes(r["ids"])) % FOLDS for r in got), np.int64, len(got))
     weight = np.stack([fold != f for f in range(FOLDS)] + [np.ones(len(got), bool)], axis=1).astype(np.float64)
     for k, y in enumerate(targets):
         shape = (len(got), len(top) + 1 + k)
