@@ -82,6 +82,7 @@ class ByteBPE:
             raise ValueError(f"{path}: not a plain byte-level tokenizer")
         self.model = Tokenizer.from_file(path).model
         self.letters = _byte_letters()
+        self.space = chr(self.letters[32])
         self.find = re.compile(pattern).findall
         self.lexicon = Transducer.open(SparkFiles.get(lexicon)) if lexicon else None
         self.special = {t["content"]: t["id"] for t in added} if specials else {}
@@ -92,6 +93,7 @@ class ByteBPE:
         self.spelling = [b""] * (max(spelt) + 1)
         for i, t in spelt.items():  # a character that spells no byte makes the token plain text
             self.spelling[i] = bytes(back[c] for c in t) if all(c in back for c in t) else t.encode()
+        self.bytes = Spelling(self.spelling)
 
     @classmethod
     def of(cls, *args) -> "ByteBPE":
@@ -108,7 +110,7 @@ class ByteBPE:
         """Ids of one word by its merges."""
         if word in self.special:
             return [self.special[word]]
-        spelt = word if word.isascii() and word.isprintable() and " " not in word else \
+        spelt = word.replace(" ", self.space) if word.isascii() and word.isprintable() else \
             word.encode().decode("latin-1").translate(self.letters)
         return [t.id for t in self.model.tokenize(spelt)]
 
@@ -132,20 +134,39 @@ class ByteBPE:
         entry more than texts)."""
         return gather([self.words(t) for t in texts], self.ids_of)
 
-    def decode(self, ids: list[int]) -> str:
-        """Text of ids; ids that the file lacks are passed over, and bytes that
+    def decode(self, texts: list[np.ndarray]) -> list[str]:
+        """Texts of ids; ids that the file lacks are passed over, and bytes that
         are no text become U+FFFD, as the library has it."""
-        s = self.spelling
-        return b"".join([s[i] for i in ids if 0 <= i < len(s)]).decode("utf-8", "replace")
+        ids = np.concatenate([np.zeros(0, np.int64), *texts])
+        known = (ids >= 0) & (ids < len(self.spelling))
+        raw, edge = self.bytes.join(np.where(known, ids, 0), known)
+        cut = edge[np.cumsum([0, *map(len, texts)])].tolist()
+        return [raw[a:z].decode("utf-8", "replace") for a, z in zip(cut, cut[1:])]
+
+
+class Spelling:
+    """The bytes of every id."""
+
+    def __init__(self, spelling: list[bytes]):
+        self.size = np.fromiter(map(len, spelling), np.int64, len(spelling))
+        self.start = np.cumsum(self.size) - self.size
+        self.all = np.frombuffer(b"".join(spelling), np.uint8)
+
+    def join(self, ids: np.ndarray, use: np.ndarray | bool = True) -> tuple[bytes, np.ndarray]:
+        """The bytes of ids one after another, and where each begins (one entry
+        more than ids); ids not in ``use`` have none."""
+        size = self.size[ids] * use
+        return self.all[spread(self.start[ids], size)].tobytes(), np.concatenate([[0], np.cumsum(size)])
 
 
 def gather(words: list[list[str]], ids_of) -> tuple[np.ndarray, np.ndarray]:
     """Ids of texts given as words: ``ids_of`` is asked once for all distinct
     words and answers with how many ids each has, and the ids."""
-    distinct = list(set(chain.from_iterable(words)))
-    number = dict(zip(distinct, range(len(distinct))))
     sizes = np.fromiter(map(len, words), np.int64, len(words))
-    at = np.fromiter(map(number.__getitem__, chain.from_iterable(words)), np.int64, int(sizes.sum()))
+    words = list(chain.from_iterable(words))
+    distinct = list(set(words))
+    number = dict(zip(distinct, range(len(distinct))))
+    at = np.fromiter(map(number.__getitem__, words), np.int64, len(words))
     count, ids = ids_of(distinct)
     start = np.cumsum(count) - count
     of_word = count[at]
@@ -239,7 +260,8 @@ def decode_ids(encoded: DataFrame, path: str, specials: bool = True) -> DataFram
     def run(batches):
         enc = ByteBPE.of(path, pattern, None, specials)
         for b in batches:
-            rows = b.column(1).to_pylist()
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(
-                [enc.decode(np.frombuffer(r or b"", "<u4").tolist()) for r in rows], pa.string())], names=["id", "ids", "text"])
+            rows = [np.frombuffer(r or b"", "<u4").astype(np.int64) for r in b.column(1).to_pylist()]
+            for a, z in pieces(rows):
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(a, z - a), b.column(1).slice(a, z - a),
+                                                  pa.array(enc.decode(rows[a:z]), pa.string())], names=["id", "ids", "text"])
     return encoded.select("id", "ids").mapInArrow(run, f"id {kind}, ids binary, text string")
