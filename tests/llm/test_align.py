@@ -99,6 +99,12 @@ def test_texts(monkeypatch, step):
     compare([])
 
 
+def test_memory_starts_anew(monkeypatch):
+    monkeypatch.setattr(align, "REMEMBERED", 3)
+    for texts in (["a b", "c d"], ["a b c d e"], ["e", "f"], TEXTS):
+        compare(texts)
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.lists(st.text(max_size=30), max_size=4))
 def test_any_text(texts):

@@ -15,13 +15,14 @@ import hashlib
 import os
 import re
 import uuid
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierflow.llm.bpe import ByteBPE, gather, word_pattern
+from tierflow.llm.bpe import ByteBPE, Spelling, word_pattern
 from tierflow.llm.runtime import pieces, written
 from tierflow.llm.transducer import spread
 
@@ -29,6 +30,8 @@ from tierflow.llm.transducer import spread
 PIECE_CHARS, PIECE_DOCS = 4 << 20, 4096
 #: Links that one step expands.
 STEP_LINKS = 1 << 22
+#: Words whose ids a worker remembers; beyond it the memory starts anew.
+REMEMBERED = 300_000
 
 _LOADED: dict[str, "PieceBPE"] = {}
 
@@ -59,7 +62,36 @@ class PieceBPE:
         # the file puts a space before what it encodes, and nothing before nothing
         made = [ids or [self.space] for ids in self.sp.encode([p[1:] for p in parts], num_threads=1)]
         count = np.fromiter(map(len, made), np.int64, len(made))
-        return count, np.fromiter((i for ids in made for i in ids), np.int64, int(count.sum()))
+        return count, np.fromiter(chain.from_iterable(made), np.int64, int(count.sum()))
+
+
+class Words:
+    """Ids of words, which are asked for once as long as they are remembered."""
+
+    def __init__(self, ids_of):
+        self.ids_of = ids_of
+        self.forget()
+
+    def forget(self) -> None:
+        self.number: dict[str, int] = {}
+        self.count = self.start = self.ids = np.zeros(0, np.int64)
+
+    def encode(self, texts: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of texts given as words, one after another, and where each text
+        begins (one entry more than texts)."""
+        sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+        words = list(chain.from_iterable(texts))
+        new = list(set(words).difference(self.number))
+        if len(self.number) + len(new) > REMEMBERED:
+            self.forget()
+            new = list(set(words))
+        count, ids = self.ids_of(new)
+        self.number.update(zip(new, range(len(self.number), len(self.number) + len(new))))
+        self.count, self.ids = np.concatenate([self.count, count]), np.concatenate([self.ids, ids])
+        self.start = np.cumsum(self.count) - self.count
+        at = np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
+        count = self.count[at]
+        return self.ids[spread(self.start[at], count)], np.concatenate([[0], np.cumsum(count)])[np.concatenate([[0], np.cumsum(sizes)])]
 
 
 class Aligner:
@@ -68,25 +100,31 @@ class Aligner:
     def __init__(self, a_path: str, b_path: str, pattern: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.a, self.b = ByteBPE.of(a_path, pattern, None, False), PieceBPE.of(b_path)
-        self.size_a, self.size_b = (np.fromiter(map(len, x.spelling), np.int64, len(x.spelling)) for x in (self.a, self.b))
-        text = lambda n, end: np.array([f"{i}{end}" for i in range(n)], object)
-        self.text_a = [text(len(self.size_a), e) for e in (",", "|")]
-        self.text_b = [text(len(self.size_b), e) for e in (",", ";")]
-
-    def same(self, text: str, ids_a: np.ndarray, ids_b: np.ndarray) -> bool:
-        raw = text.encode()
-        return all(b"".join([x.spelling[i] for i in ids.tolist()]) == raw for x, ids in ((self.a, ids_a), (self.b, ids_b)))
+        self.words_a, self.words_b = Words(self.a.ids_of), Words(self.b.ids_of)
+        self.bytes_a, self.bytes_b = Spelling(self.a.spelling), Spelling(self.b.spelling)
+        self.size_a, self.size_b = self.bytes_a.size, self.bytes_b.size
+        # ids written out: of a inside a group, of a at its end, of b inside, of b at the end
+        self.said = np.array([f"{i}{end}" for n, ends in ((len(self.size_a), ",|"), (len(self.size_b), ",;")) for end in ends for i in range(n)], object)
+
+    def spelt(self, texts: list[str], ids_a, at_a, ids_b, at_b) -> np.ndarray:
+        """Which texts both sides' tokens spell."""
+        raw = [t.encode() for t in texts]
+        good = np.fromiter(map(len, raw), np.int64, len(raw)) > 0
+        for table, ids, at in ((self.bytes_a, ids_a, at_a), (self.bytes_b, ids_b, at_b)):
+            made, edge = table.join(ids)
+            cut = edge[at].tolist()
+            good &= np.fromiter((made[x:y] == r for x, y, r in zip(cut, cut[1:], raw)), bool, len(raw))
+        return good
 
     def align(self, texts: list[str]) -> dict:
         """Per text counts and the digest of its groups, and its linked pairs of
         ids with their links: ``pair`` (a's id above 32 bits of b's), ``links``
         and ``edge``, where each text's pairs begin; pairs of a text ascend."""
         texts = [" " + t if t else "" for t in texts]
-        ids_a, at_a = gather([self.a.words(t) for t in texts], self.a.ids_of)
-        ids_b, at_b = gather([self.b.parts(t) for t in texts], self.b.ids_of)
+        ids_a, at_a = self.words_a.encode([self.a.words(t) for t in texts])
+        ids_b, at_b = self.words_b.encode([self.b.parts(t) for t in texts])
         n = len(texts)
-        good = np.array([bool(t) and self.same(t, ids_a[at_a[i]:at_a[i + 1]], ids_b[at_b[i]:at_b[i + 1]])
-                         for i, t in enumerate(texts)], bool)
+        good = self.spelt(texts, ids_a, at_a, ids_b, at_b)
         n_a, n_b = (np.where(good, np.diff(at), 0) for at in (at_a, at_b))
         ids_a, ids_b = ids_a[np.repeat(good, np.diff(at_a))], ids_b[np.repeat(good, np.diff(at_b))]
 
@@ -127,9 +165,13 @@ class Aligner:
                 m, k = of_a[a:z], of_b[a:z]
                 left = spread(first_a[a:z], m)  # each token of a with all of its group's of b
                 k_of = np.repeat(k, m)
-                p = np.repeat(ids_a[left], k_of) << 32 | ids_b[spread(np.repeat(first_b[a:z], m), k_of)]
-                d, w = np.repeat(doc[a:z], m * k), np.ones(len(p), np.int64)
-            for out, x in zip((docs, pair, links), summed(d, p, w)):
+                # one number for text and both ids: links that are alike are counted by sorting these alone
+                x, y = len(self.size_a), len(self.size_b)
+                one = (np.repeat(doc[a:z], m * k) * x + np.repeat(ids_a[left], k_of)) * y + ids_b[spread(np.repeat(first_b[a:z], m), k_of)]
+                one, w = np.unique(one, return_counts=True)
+                d, p = np.divmod(one, x * y)
+                p = p // y << 32 | p % y
+            for out, x in zip((docs, pair, links), (d, p, w)):
                 out.append(x)
             a = z
         if not docs:
@@ -143,11 +185,10 @@ class Aligner:
         """SHA-256 of every text's groups, written out."""
         last = lambda g: np.append(g[1:] != g[:-1], True) if len(g) else np.zeros(0, bool)
         end_a, end_b = last(g_a), last(g_b)
-        said = np.concatenate([np.where(end_a, self.text_a[1][ids_a], self.text_a[0][ids_a]),
-                               np.where(end_b, self.text_b[1][ids_b], self.text_b[0][ids_b])])
+        word = np.concatenate([ids_a + end_a * len(self.size_a), ids_b + (2 * len(self.size_a) + end_b * len(self.size_b))])
         # by group, a's tokens before b's
         order = np.argsort(np.concatenate([g_a * 2, g_b * 2 + 1]), kind="stable")
-        said = said[order].tolist()
+        said = self.said[word[order]].tolist()
         edge = np.concatenate([[0], np.cumsum(np.bincount(doc_a, minlength=n) + np.bincount(doc_b, minlength=n))]).tolist()
         return [hashlib.sha256("".join(said[edge[i]:edge[i + 1]])[:-1].encode()).hexdigest() if good[i] else "" for i in range(n)]
 
