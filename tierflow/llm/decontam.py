@@ -135,15 +135,15 @@ class _Class:
         parts = prints.view("<u2").reshape(-1, 4)
         rows, entries = [], []
         for b, (some, at, entry) in enumerate(self.tables):
-            hit = np.flatnonzero(some[parts[:, b]])
-            v = parts[hit, b].astype(np.int64)
+            column = np.ascontiguousarray(parts[:, b])
+            hit = np.flatnonzero(some[column]).astype(np.int32)
+            v = column[hit].astype(np.int32)
             n = at[v + 1] - at[v]
-            row = np.repeat(hit, n)
-            first = np.repeat(at[v] - (np.cumsum(n) - n), n)
-            e = entry[first + np.arange(len(row))]
-            ok = np.bitwise_count(prints[row] ^ self.prints[e]) <= RADIUS
-            rows.append(row[ok])
-            entries.append(e[ok])
+            ends = np.cumsum(n, dtype=np.int32)
+            e = entry[np.repeat(at[v] - (ends - n), n) + np.arange(ends[-1] if len(ends) else 0, dtype=np.int32)]
+            near = np.flatnonzero(np.bitwise_count(np.repeat(prints[hit], n) ^ self.prints[e]) <= RADIUS)
+            rows.append(hit[np.searchsorted(ends, near, side="right")].astype(np.int64))
+            entries.append(e[near])
         both = np.unique(np.concatenate(rows) * len(self.prints) + np.concatenate(entries))
         return both // len(self.prints), both % len(self.prints)
 
@@ -174,6 +174,12 @@ class Benchmark:
             c.index()
             self.classes.append(c)
         self.distinct = [np.unique(x, return_counts=True) for x in self.shingles]
+        self.every = np.unique(np.concatenate([np.zeros(0, np.uint64), *self.shingles]))
+
+    def _known(self, h: np.ndarray) -> np.ndarray:
+        if not len(self.every):
+            return np.zeros(len(h), bool)
+        return self.every[np.minimum(np.searchsorted(self.every, h), len(self.every) - 1)] == h
 
     def weights(self, h: np.ndarray) -> np.ndarray:
         known, count = self.shared
@@ -229,14 +235,15 @@ class Benchmark:
         most = max((c.size for c in self.classes), default=0)
         total = {n: _running(sequences(h, n), most) for n in {min(SHINGLE, c.size) for c in self.classes}}
         seen: set[tuple[int, int]] = set()
+        known = {n: np.concatenate([[0], np.cumsum(self._known(sequences(h, n)))]) for n in total}
         for c in self.classes:
             n = min(SHINGLE, c.size)
             prints = _window_prints(total[n], c.size - n + 1)
-            if not len(prints):
-                continue
-            row, entry = c.search(prints)
-            inside = p.doc[row] == p.doc[row + c.size - 1]  # windows do not reach over two texts
-            seen.update(zip(p.doc[row[inside]].tolist(), c.item[entry[inside]].tolist()))
+            # windows in one text; one without a shingle of any item is near it by chance alone, and is not looked up
+            row = np.flatnonzero((p.doc[:len(prints)] == p.doc[c.size - 1:]) & (known[n][c.size - n + 1:] > known[n][:len(prints)]))
+            if len(row):
+                hit, entry = c.search(prints[row])
+                seen.update(zip(p.doc[row[hit]].tolist(), c.item[entry].tolist()))
         found = ((doc, item, self.best(item, h[starts[doc]:ends[doc]], least)) for doc, item in sorted(seen))
         return [(doc, item, *best) for doc, item, best in found if best]
 
