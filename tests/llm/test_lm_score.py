@@ -5,7 +5,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from tierflow.llm.lm_score import bucket, fit_pair, matched, score_against, score_documents, vocabulary
+from tierflow.llm.lm_score import _dealt, _rows, bucket, fit_pair, matched, score_against, score_documents, vocabulary
 from tierflow.llm.queries import LLM_QUERIES
 from tierflow.llm.runtime import prepare
 
@@ -153,6 +153,33 @@ def test_odd_rows(spark):
     assert all(x.score == 0 for x in score_documents(df, fit_pair(df.limit(0), target, bits=16)).collect())
 
 
+def test_pieces_that_tasks_read_in_parts(spark):
+    """Small row groups and splits: a piece lies in several tasks when it is asked
+    for, and its texts come back in any order."""
+    prepare(spark)
+    rows = [(k, f"alpha w{k % 7} beta w{k % 5} " * (k % 9)) for k in range(600)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1)
+    target = spark.createDataFrame([(k,) for k in range(0, 600, 3)], "doc_id bigint")
+    want = sorted(map(tuple, score_against(df, target).collect()))
+    conf = {"spark.sql.files.maxPartitionBytes": "2k", "spark.sql.files.openCostInBytes": "1"}
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    hadoop.set("parquet.block.size", "2048")
+    hadoop.set("parquet.page.size.row.check.min", "10")
+    try:
+        model = fit_pair(df, target)
+        cut = _dealt(_rows(df, "doc_id", "text"), model.marks, model.buckets)
+        assert cut.rdd.getNumPartitions() > 3 and cut.select("piece").distinct().count() == 1
+        got = sorted(map(tuple, score_documents(df, model).collect()))
+        assert len(got) == len(want) and all(a == pytest.approx(b) for a, b in zip(got, want))
+    finally:
+        for k in conf:
+            spark.conf.unset(k)
+        hadoop.unset("parquet.block.size")
+        hadoop.unset("parquet.page.size.row.check.min")
+
+
 def test_every_word_and_bigram_has_its_own_count(spark):
     """More words than the old vocabulary of 65,536, all of which it would have
     taken as one unknown word, and bigrams that share no cell; over pieces and

@@ -276,24 +276,25 @@ def _marked(rows: DataFrame, marks: DataFrame) -> DataFrame:
 
 
 def _deal(batches):
-    """Rows (id, text, side), numbered by piece."""
-    task, number, size = TaskContext.get().partitionId(), 0, 0
+    """Rows (id, text, side), numbered by piece and place in it."""
+    task, number, size, place = TaskContext.get().partitionId(), 0, 0, 0
     for b in batches:
-        at = []
+        at, places = [], []
         for t in b.column(b.schema.get_field_index("text")).to_pylist():
             if size and size + len(t or "") > SCORED_CHARS:
-                number, size = number + 1, 0
+                number, size, place = number + 1, 0, 0
             size += len(t or "") + 64  # a piece of empty texts has a bound too
-            at.append(task << 32 | number)
-        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), *b.columns], names=["piece", *b.schema.names])
+            at.append(task << 32 | number), places.append(place)
+            place += 1
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(places, pa.int32()), *b.columns], names=["piece", "place", *b.schema.names])
 
 
 def _dealt(rows: DataFrame, marks: DataFrame, buckets: tuple[frozenset, frozenset]) -> DataFrame:
-    """``(piece, id, text, side)``, written, so that a piece is the same texts
+    """``(piece, place, id, text, side)``, written, so that a piece is the same texts
     whenever it is read."""
     kind = rows.schema["id"].dataType.simpleString()
     sided = _marked(rows, marks).select("id", "text", _side(buckets, F.col("target")).alias("side"))
-    return written(sided.mapInArrow(_deal, f"piece bigint, id {kind}, text string, side int"), "dealt")
+    return written(sided.mapInArrow(_deal, f"piece bigint, place int, id {kind}, text string, side int"), "dealt")
 
 
 def _fit(docs: DataFrame, target: DataFrame, id_col: str, text_col: str, size: int | None, bits: int | None,
@@ -329,14 +330,16 @@ def fit_pair(docs: DataFrame, target: DataFrame, id_col: str = "doc_id", text_co
     return _fit(docs, target, id_col, text_col, size, bits, prior)[0]
 
 
-_ASKED = "range int, piece bigint, n int, keys binary"
+_ASKED = "range int, piece bigint, first int, n int, keys binary"
 
 
 def _ask(words: _Words):
-    """Rows (piece, text) -> the distinct keys of each piece, by range."""
+    """Rows (piece, place, text) -> the distinct keys of each piece, by range. A
+    piece that a task reads a part of is asked for by parts; ``first`` is the
+    first place of a part."""
     def run(batches):
         held: list = []
-        now = None
+        now, first = None, 0
 
         def rows():
             h = _merged(held)[0]
@@ -344,17 +347,18 @@ def _ask(words: _Words):
             for a in range(0, len(cuts), 64):
                 part = cuts[a:a + 64]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([r for r, *_ in part], pa.int32()), pa.array([now] * len(part), pa.int64()),
+                    [pa.array([r for r, *_ in part], pa.int32()), pa.array([now] * len(part), pa.int64()), pa.array([first] * len(part), pa.int32()),
                      pa.array([j - i for _, i, j in part], pa.int32()),
-                     pa.array([words.pack(r, h[i:j]) for r, i, j in part], pa.binary())], names=["range", "piece", "n", "keys"])
-        for texts, at in _batches(batches, "piece"):
-            at = at.to_numpy()
+                     pa.array([words.pack(r, h[i:j]) for r, i, j in part], pa.binary())], names=["range", "piece", "first", "n", "keys"])
+        for texts, at, place in _batches(batches, "piece", "place"):
+            at, place = at.to_numpy(), place.to_numpy()
             ends = [*(np.flatnonzero(np.diff(at)) + 1).tolist(), len(at)]
             for a, z in zip([0, *ends], ends):
                 if held and at[a] != now:
                     yield from rows()
                     held = []
-                now = int(at[a])
+                if not held:
+                    now, first = int(at[a]), int(place[a])
                 held.append((np.unique(np.concatenate(words.keys(texts[a:z])[1:])),))
         if held:
             yield from rows()
@@ -371,59 +375,67 @@ def _answer(words: _Words):
                 own = words.unpack(r, n, keys), _wide(target, n), _wide(background, n)
         for b in left:
             rows = []
-            for r, piece, n, keys in _columns(b, "range", "piece", "n", "keys"):
+            for r, piece, first, n, keys in _columns(b, "range", "piece", "first", "n", "keys"):
                 found = [np.zeros(n, np.uint64)] * 2
                 if own is not None:
                     h = words.unpack(r, n, keys)
                     at = np.minimum(np.searchsorted(own[0], h), len(own[0]) - 1)
                     there = own[0][at] == h
                     found = [np.where(there, c[at], np.uint64(0)) for c in own[1:]]
-                rows.append((r, piece, n, *(zlib.compress(_narrow(c), 1) for c in found)))
+                rows.append((r, piece, first, n, *(zlib.compress(_narrow(c), 1) for c in found)))
             if rows:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), pa.int64(), pa.int32(), *[pa.binary()] * 2))],
-                    names=["range", "piece", "n", "target", "background"])
+                    [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), pa.int64(), pa.int32(), pa.int32(), *[pa.binary()] * 2))],
+                    names=["range", "piece", "first", "n", "target", "background"])
     return run
 
 
-_ANSWERED = "range int, piece bigint, n int, target binary, background binary"
+_ANSWERED = "range int, piece bigint, first int, n int, target binary, background binary"
 
 
 def _own(doc: np.ndarray, key: np.ndarray, of: np.ndarray) -> np.ndarray:
-    """How often each word's text has its key itself (0 where ``of`` is false)."""
-    out, at = np.zeros(len(doc), np.float64), np.flatnonzero(of)
-    if len(at):
-        order = at[np.lexsort((key[at], doc[at]))]
-        first = np.flatnonzero(np.append(True, (doc[order][1:] != doc[order][:-1]) | (key[order][1:] != key[order][:-1])))
-        n = np.diff(np.append(first, len(order)))
-        out[order] = np.repeat(n, n)
+    """How often each word's text has its key (a small number) itself (0 where
+    ``of`` is false)."""
+    out = np.zeros(len(doc), np.float64)
+    _, at, n = np.unique(doc[of] * (int(key.max(initial=0)) + 1) + key[of], return_inverse=True, return_counts=True)
+    out[of] = n[at]
     return out
 
 
 def _losses(words: _Words, size: int, sizes: tuple[int, int], prior: float):
     """Of one piece, its texts and its counts -> scores."""
+    def score(texts: list[str], ids, side: np.ndarray, rows: list[tuple]):
+        doc, *keys = words.keys(texts)
+        distinct, at = np.unique(np.concatenate(keys), return_inverse=True)  # what was asked for, in this order
+        at = at.reshape(len(keys), -1)
+        n = np.bincount(doc, minlength=len(texts))
+        out = []
+        for k, model, total in ((2, _TARGET, sizes[0]), (3, _BACKGROUND, sizes[1])):
+            c = np.concatenate([np.zeros(0, np.uint64), *(_wide(zlib.decompress(x[k]), x[1]) for x in rows)]).astype(np.float64)
+            assert len(c) == len(distinct)
+            mine = (side == model)[doc]
+            pair, word, history = (np.maximum(c[i] - _own(doc, i, mine), 0) for i in at)
+            unigram = (word + 1) / (np.maximum(total - np.where(side == model, n, 0), 0)[doc] + size + 2)
+            x = -np.log((pair + prior * unigram) / (history + prior))
+            out.append(np.bincount(doc, weights=x, minlength=len(texts)) / np.maximum(n, 1))
+        t, e = out
+        return pa.RecordBatch.from_arrays([ids, pa.array(n, pa.int64()), pa.array(t), pa.array(e), pa.array(t - e)],
+                                          names=["id", "n_words", "target_loss", "background_loss", "score"])
+
     def run(left, right):
-        rows = sorted((x for b in right for x in _columns(b, "range", "n", "target", "background")), key=lambda x: x[0])
-        counts = [np.concatenate([np.zeros(0, np.uint64), *(_wide(zlib.decompress(x[k]), x[1]) for x in rows)]).astype(np.float64) for k in (2, 3)]
-        held = []
-        for b in left:
-            texts = [t or "" for t in b.column(b.schema.get_field_index("text")).to_pylist()]
-            held.append((b.column(b.schema.get_field_index("id")), np.array(b.column(b.schema.get_field_index("side")).to_pylist(), np.int64),
-                         words.keys(texts), len(texts)))
-        known = np.unique(np.concatenate([np.zeros(0, np.uint64), *(k for _, _, (_, *keys), _ in held for k in keys)]))
-        for ids, side, (doc, *keys), rows in held:
-            n = np.bincount(doc, minlength=rows)
-            at = [np.searchsorted(known, k) for k in keys]
-            out = []
-            for model, c, total in zip((_TARGET, _BACKGROUND), counts, sizes):
-                mine = (side == model)[doc]
-                pair, word, history = (np.maximum(c[i] - _own(doc, i, mine), 0) for i in at)
-                unigram = (word + 1) / (np.maximum(total - np.where(side == model, n, 0), 0)[doc] + size + 2)
-                x = -np.log((pair + prior * unigram) / (history + prior))
-                out.append(np.bincount(doc, weights=x, minlength=rows) / np.maximum(n, 1))
-            t, e = out
-            yield pa.RecordBatch.from_arrays([ids, pa.array(n, pa.int64()), pa.array(t), pa.array(e), pa.array(t - e)],
-                                             names=["id", "n_words", "target_loss", "background_loss", "score"])
+        parts: dict[int, list] = {}
+        for b in right:
+            for r, first, *rest in _columns(b, "range", "first", "n", "target", "background"):
+                parts.setdefault(first, []).append((r, *rest))
+        table = pa.Table.from_batches(left)
+        table = table.take(pa.array(np.argsort(table.column("place").to_numpy(), kind="stable")))
+        place = table.column("place").to_numpy()
+        cut = [*np.searchsorted(place, sorted({0, *parts})).tolist(), len(place)]
+        for a, z in zip(cut, cut[1:]):
+            if z > a:
+                some = table.slice(a, z - a)
+                yield score([t or "" for t in some.column("text").to_pylist()], some.column("id").combine_chunks(),
+                            some.column("side").to_numpy(), sorted(parts.get(int(place[a]), []), key=lambda x: x[0]))
     return run
 
 
@@ -441,7 +453,7 @@ def _cogrouped(run, schema: str) -> tuple:
 
 def _score(dealt: DataFrame, model: BigramPair) -> DataFrame:
     kind, words = dealt.schema["id"].dataType.simpleString(), model.words
-    asked = dealt.select("piece", "text").mapInArrow(_ask(words), _ASKED)
+    asked = dealt.select("piece", "place", "text").mapInArrow(_ask(words), _ASKED)
     answers = asked.groupBy("range").cogroup(model.counts.groupBy("range")).applyInArrow(*_cogrouped(_answer(words), _ANSWERED))
     return dealt.groupBy("piece").cogroup(answers.withColumnRenamed("piece", "asker").groupBy("asker")).applyInArrow(*_cogrouped(
         _losses(words, model.size, model.sizes, model.prior),
