@@ -2,7 +2,7 @@
 
 Layers: bronze (verbatim strings + lineage), silver (typed, deduplicated,
 conformed), quarantine (rows failing error rules, with reasons), gold (star
-schema and KPI marts from SQL models); reconciliation checks across layers.
+schema and KPI marts, and SQL model files); reconciliation checks across layers.
 
 The main entry points are importable from the package (resolved lazily):
 

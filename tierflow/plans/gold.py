@@ -82,9 +82,9 @@ def fact_transactions(tx: DataFrame, accounts: DataFrame, *, key: str = "account
                       customer_col: str = "customer_id", select: Sequence | None = None) -> DataFrame:
     """Left join each transaction to its account to resolve the customer.
 
-    Accounts reduce to (key, customer) before the join; the size guard
-    broadcasts them only when the estimate says they fit, otherwise the join
-    is a shuffle on the account key (AQE splits skewed partitions)."""
+    Accounts reduce to (key, customer) before the join, which Spark plans by
+    size: as a broadcast if they fit, otherwise as a shuffle on the account key
+    (AQE splits skewed partitions)."""
     acc = accounts.select(F.col(key).alias("__acc"), F.col(customer_col).alias(customer_col))
     joined = tx.where(F.col(key).isNotNull()).join(acc, F.col(key) == acc["__acc"], "left").drop("__acc")
     # rows without an account need no join, so they are never dealt to one task

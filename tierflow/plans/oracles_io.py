@@ -143,29 +143,29 @@ n AS (SELECT (SELECT COUNT(DISTINCT c_custkey) FROM customer) AS c_b, (SELECT CO
 
 ROWS_SQL = """
 SELECT 'row_conservation_customer' AS name, c_b = c_s + c_q AS ok,
-       printf('bronze distinct c_custkey=%d vs silver=%d + quarantine=%d', c_b, c_s, c_q) AS detail FROM n
+       printf('%d keys (c_custkey) in bronze; silver has %d of them and quarantine %d', c_b, c_s, c_q) AS detail FROM n
 UNION ALL
 SELECT 'row_conservation_orders', o_b = o_s + o_q,
-       printf('bronze distinct o_orderkey=%d vs silver=%d + quarantine=%d', o_b, o_s, o_q) FROM n
+       printf('%d keys (o_orderkey) in bronze; silver has %d of them and quarantine %d', o_b, o_s, o_q) FROM n
 UNION ALL
 SELECT 'row_conservation_lineitem', l_b = l_s + l_q,
-       printf('bronze distinct l_orderkey,l_linenumber=%d vs silver=%d + quarantine=%d', l_b, l_s, l_q) FROM n
+       printf('%d keys (l_orderkey,l_linenumber) in bronze; silver has %d of them and quarantine %d', l_b, l_s, l_q) FROM n
 """
 
 AMOUNT_SQL = f"""
 SELECT 'amount_conservation_fact' AS name, a IS NOT DISTINCT FROM b AS ok,
-       printf('left l_extendedprice=%.2f vs right amount_orig=%.2f', a, b) AS detail
+       printf('l_extendedprice adds up to %.2f before and, as amount_orig, to %.2f after', a, b) AS detail
 FROM (SELECT (SELECT {sum2('l_extendedprice')} FROM l_good) AS a, (SELECT {sum2('amount_orig')} FROM fact) AS b)
 """
 
 ORPHANS_SQL = """
-SELECT 'fact_no_orphans' AS name, n = 0 AS ok, printf('%d rows without customer_id', n) AS detail
+SELECT 'fact_no_orphans' AS name, n = 0 AS ok, printf('customer_id is null in %d rows', n) AS detail
 FROM (SELECT COUNT(*) FILTER (WHERE customer_id IS NULL) AS n FROM fact)
 """
 
 BASELINE_SQL = """
 SELECT 'fraud_rate_baseline' AS name, w <= 1.5 AS ok,
-       printf('max fraud_flag_rate_pct %.2f vs threshold %.2f', w, 1.5) AS detail
+       printf('fraud_flag_rate_pct reaches %.2f where %.2f is allowed', w, 1.5) AS detail
 FROM (SELECT COALESCE(MAX(fraud_flag_rate_pct), 0.0) AS w FROM kpi)
 """
 
@@ -185,9 +185,9 @@ a AS (SELECT COUNT(*) FILTER (WHERE NOT ok) AS n_bad,
              string_agg(CASE WHEN NOT ok THEN detail END, '; ' ORDER BY name, detail) AS all_bad
       FROM rep)
 SELECT CASE WHEN n_bad = 0 THEN 'pass' WHEN n_int > 0 THEN 'fail' ELSE 'pass_with_warnings' END AS verdict,
-       CASE WHEN n_bad = 0 THEN 'all reconciliation checks green'
-            WHEN n_int > 0 THEN 'data-integrity checks failed: ' || integ
-            ELSE 'baseline anomalies to review: ' || all_bad END AS explanation,
+       CASE WHEN n_bad = 0 THEN 'every check holds'
+            WHEN n_int > 0 THEN 'rows or amounts differ between layers: ' || integ
+            ELSE 'figures outside their usual range: ' || all_bad END AS explanation,
        n_bad AS mismatches
 FROM a
 """
@@ -213,18 +213,18 @@ k AS (SELECT (SELECT c_b FROM n) AS c_b, (SELECT o_b FROM n) AS o_b, (SELECT l_b
              (SELECT COUNT(*) FROM fact WHERE customer_id IS NULL) AS orphans),
 rep AS (
 SELECT 'row_conservation_customer' AS name, c_b = c_n AS ok,
-       printf('bronze distinct c_custkey=%d vs silver=%d + quarantine=%d', c_b, c_s, c_n - c_s) AS detail FROM k
+       printf('%d keys (c_custkey) in bronze; silver has %d of them and quarantine %d', c_b, c_s, c_n - c_s) AS detail FROM k
 UNION ALL SELECT 'row_conservation_orders', o_b = o_n,
-       printf('bronze distinct o_orderkey=%d vs silver=%d + quarantine=%d', o_b, o_s, o_n - o_s) FROM k
+       printf('%d keys (o_orderkey) in bronze; silver has %d of them and quarantine %d', o_b, o_s, o_n - o_s) FROM k
 UNION ALL SELECT 'row_conservation_lineitem', l_b = l_n,
-       printf('bronze distinct l_orderkey,l_linenumber=%d vs silver=%d + quarantine=%d', l_b, l_s, l_n - l_s) FROM k
+       printf('%d keys (l_orderkey,l_linenumber) in bronze; silver has %d of them and quarantine %d', l_b, l_s, l_n - l_s) FROM k
 UNION ALL SELECT 'amount_conservation_fact', a IS NOT DISTINCT FROM b,
-       printf('left l_extendedprice=%.2f vs right amount_orig=%.2f', a, b) FROM k
-UNION ALL SELECT 'fact_no_orphans', orphans = 0, printf('%d rows without customer_id', orphans) FROM k)
+       printf('l_extendedprice adds up to %.2f before and, as amount_orig, to %.2f after', a, b) FROM k
+UNION ALL SELECT 'fact_no_orphans', orphans = 0, printf('customer_id is null in %d rows', orphans) FROM k)
 SELECT CASE WHEN COUNT(*) FILTER (WHERE NOT ok) > 0 THEN 'fail' ELSE 'pass' END AS verdict,
-       CASE WHEN COUNT(*) FILTER (WHERE NOT ok) > 0 THEN 'data-integrity checks failed: ' ||
+       CASE WHEN COUNT(*) FILTER (WHERE NOT ok) > 0 THEN 'rows or amounts differ between layers: ' ||
             string_agg(CASE WHEN NOT ok THEN detail END, '; ' ORDER BY name, detail)
-            ELSE 'all reconciliation checks green' END AS explanation,
+            ELSE 'every check holds' END AS explanation,
        COUNT(*) FILTER (WHERE NOT ok) AS mismatches
 FROM rep
 """
