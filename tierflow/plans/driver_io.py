@@ -18,13 +18,14 @@ from tierflow.operators.dedupe import latest_per_key
 from tierflow.operators.quarantine import bad_rows, cascade, good_rows
 from tierflow.plans import gold
 from tierflow.plans import silver as sv
+from tierflow.plans.bronze import ingest_source
 from tierflow.plans.driver import (CASCADE, LOAD_TS, RUN_ID, all_rates, bronze_of, derived_rates, kpi_daily,
                                    silver_customer, silver_orders)
 from tierflow.session import work_dir
 from tierflow.sinks.landing_writer import write_landing
 from tierflow.sinks.store import TableStore, add_lineage
 from tierflow.sources import contracts as ct
-from tierflow.sources.landing import list_landing_files, read_csv, read_json_map, read_ndjson, source_col
+from tierflow.sources.landing import list_landing_files, list_landing_objects, read_csv, read_json_map, read_ndjson, source_col
 from tierflow.sources.tables import TABLES, load
 
 # The events landing contract and the known landing sources.
@@ -63,6 +64,26 @@ def contract_drift(spark: SparkSession, sf: str) -> DataFrame:
                       F.array_join("unexpected", ",").alias("unexpected"))
 
 
+def drift_policies(spark: SparkSession, sf: str) -> DataFrame:
+    """What each drift policy does with the same drifted objects: how
+    many it takes in and passes over, and the rows that bronze has then. A run
+    that is refused has written nothing."""
+    root = events_landing(spark, sf, work_dir(spark, "landing"), drift=True)
+    paths, out = list_landing_objects(spark, root), []
+    for policy in ("raise", "abort", "ingest_aligned", "skip_file"):
+        store = TableStore(spark, work_dir(spark, f"lake-{policy}"))
+        try:
+            done = ingest_source(store, "events", paths, RUN_ID, EVENT_CONTRACT, on_drift=policy, ingested_at=LOAD_TS)
+            outcome = "ingested"
+        except ct.SchemaDriftError:
+            done, outcome = [], "refused"
+        bronze = store.read("bronze", "events") if store.exists("bronze", "events") else spark.range(0)
+        skipped = sum(r.action == "skipped" for r in done)
+        out.append(bronze.agg(F.lit(policy).alias("policy"), F.lit(outcome).alias("outcome"), F.lit(len(done) - skipped).cast("long").alias("objects"),
+                              F.lit(skipped).cast("long").alias("skipped"), F.count(F.lit(1)).alias("rows")))
+    return rc.combine(out)
+
+
 def contract_align(spark: SparkSession, sf: str) -> DataFrame:
     """Drifted objects aligned to the contract (missing -> null, extra dropped)."""
     root = events_landing(spark, sf, work_dir(spark, "landing"), drift=True)
@@ -398,6 +419,7 @@ def odd_amounts(spark: SparkSession, sf: str) -> DataFrame:
 IO_QUERIES = {
     "contract_drift": contract_drift,
     "contract_align": contract_align,
+    "drift_policies": drift_policies,
     "rescued_columns": rescued_columns,
     "json_map_explode": json_map_explode,
     "landing_inventory": landing_inventory,

@@ -23,6 +23,18 @@ SELECT event_id, ts, user_id, event_type, CASE WHEN {WEEKEND} THEN NULL ELSE val
 FROM events
 """
 
+DRIFT_POLICIES = f"""
+WITH o AS (SELECT {EV_FILE} AS file, {WEEKEND} AS drifted, COUNT(*) AS n FROM events GROUP BY 1, 2),
+k AS (SELECT COUNT(*) AS objects, COUNT(*) FILTER (WHERE drifted) AS drifted, CAST(SUM(n) AS BIGINT) AS every,
+             CAST(COALESCE(SUM(n) FILTER (WHERE NOT drifted), 0) AS BIGINT) AS plain FROM o)
+SELECT policy, CASE WHEN drifted > 0 THEN 'refused' ELSE 'ingested' END AS outcome,
+       CASE WHEN drifted > 0 THEN 0 ELSE objects END AS objects, CAST(0 AS BIGINT) AS skipped,
+       CASE WHEN drifted > 0 THEN 0 ELSE every END AS rows
+FROM k, (VALUES ('raise'), ('abort')) p(policy)
+UNION ALL SELECT 'ingest_aligned', 'ingested', objects, 0, every FROM k
+UNION ALL SELECT 'skip_file', 'ingested', objects - drifted, drifted, plain FROM k
+"""
+
 RESCUED_COLUMNS = f"""
 SELECT event_id,
        CASE WHEN {WEEKEND} THEN '{{"amt":"' || CAST(value AS VARCHAR) || '"}}' END AS _rescued_data,
@@ -268,6 +280,7 @@ IO_ORACLES = {
     "bronze_csv_quoted": BRONZE_CSV_QUOTED,
     "contract_drift": CONTRACT_DRIFT,
     "contract_align": CONTRACT_ALIGN,
+    "drift_policies": DRIFT_POLICIES,
     "rescued_columns": RESCUED_COLUMNS,
     "json_map_explode": JSON_MAP_EXPLODE,
     "landing_inventory": LANDING_INVENTORY,
