@@ -68,3 +68,11 @@ def test_odd_rows(spark):
     assert identify(df.limit(0), model).count() == 0
     nothing = fit_languages(learn.limit(0))
     assert {x.lang for x in identify(df, nothing).collect()} == {"und"}
+
+
+def test_a_text_that_repeats_leaves_room_for_other_languages(spark):
+    prepare(spark)
+    rows = [("das ist ein hund und eine katze", "de")] * 900 + [(f"the cat and the dog number {i}", "en") for i in range(20)]
+    df = spark.createDataFrame(rows, "text string, lang string")
+    model = fit_languages(df, per_language=10)
+    assert model.languages == ["de", "en"]

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tierflow.llm.runtime import map_texts
@@ -166,14 +166,19 @@ def fit_languages(docs: DataFrame, text_col: str = "text", lang_col: str = "lang
     for g, n in found.items():
         idf[g] = np.log((1 + total) / (1 + n)) + 1
 
-    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    sizes = {r["lang"]: (r["n"], r["least"]) for r in rows.groupBy("lang").agg(
+        F.count("*").alias("n"), F.min(chance("text")).alias("least")).collect()}
     if not sizes:
         return LanguageModel([], idf, np.zeros((0, SIZE), np.float32), np.zeros(0, int), np.zeros(0))
-    rates = spark.createDataFrame([(k, int(min(1.0, per_language / n) * _SCALE)) for k, n in sizes.items()],
+    # the first text of a language by its hash is always taken, however few texts it has
+    rates = spark.createDataFrame([(k, max(int(min(1.0, per_language / n) * _SCALE), least + 1)) for k, (n, least) in sizes.items()],
                                   "lang string, rate bigint")
-    picked = rows.join(F.broadcast(rates), "lang").withColumn("order", chance("text")).filter("order < rate")
+    picked = rows.join(rates, "lang").withColumn("order", chance("text")).filter("order < rate")
+    # rows that repeat one text without end take no place of another language
+    nth = F.row_number().over(Window.partitionBy("lang").orderBy("order", F.xxhash64("text")))
+    picked = picked.withColumn("nth", nth).filter(F.col("nth") <= 2 * per_language)
     sample = map_texts(picked.select("text", "lang", "order"), _sample_rows,
-                       "lang string, order bigint, ids binary, counts binary").limit(2 * per_language * len(sizes))
+                       "lang string, order bigint, ids binary, counts binary")
     by: dict[str, list] = {}
     for r in sorted(sample.collect(), key=lambda r: (r["lang"], r["order"], bytes(r["ids"]), bytes(r["counts"]))):
         ids = np.frombuffer(r["ids"], "<i4")
