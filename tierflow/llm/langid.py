@@ -173,7 +173,8 @@ def fit_languages(docs: DataFrame, text_col: str = "text", lang_col: str = "lang
     # the first text of a language by its hash is always taken, however few texts it has
     rates = spark.createDataFrame([(k, max(int(min(1.0, per_language / n) * _SCALE), least + 1)) for k, (n, least) in sizes.items()],
                                   "lang string, rate bigint")
-    picked = rows.join(F.broadcast(rates), "lang")  # a row for each language; texts are not dealt by language.withColumn("order", chance("text")).filter("order < rate")
+    # rates have a row for each language; texts are not dealt by language
+    picked = rows.join(F.broadcast(rates), "lang").withColumn("order", chance("text")).filter("order < rate")
     # rows that repeat one text without end take no place of another language
     nth = F.row_number().over(Window.partitionBy("lang").orderBy("order", F.xxhash64("text")))
     picked = picked.withColumn("nth", nth).filter(F.col("nth") <= 2 * per_language)
