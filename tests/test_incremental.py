@@ -145,7 +145,9 @@ def test_five_days_with_gaps(spark):
             days.append({r[4]: r[6] for r in s.ledger if r[3] == "quality"})
         store = TableStore(spark, lake)
         ends.append({t: state(store, t) for t in ("fx_rates", "customers", "accounts", "transactions")})
+        ends[-1]["kpi_daily"] = sorted(map(str, store.read("gold", "kpi_daily").collect()))
         if mode:
+            assert {r[9] for r in s.ledger if r[3:5] == ("gold", "kpi_daily")} != {None}     # not all days
             assert days[0]["transactions"] == 35
             # day 2 brings two rows; the last day of both currencies is now one without rates, so rows that had a fallback lose it
             assert days[1]["transactions"] < 10 and days[1]["customers"] == 0
@@ -167,6 +169,7 @@ def test_a_table_changed_otherwise_is_judged_whole(spark):
     os.rename(os.path.join(landing, "fx_rates_20260701.json"), os.path.join(landing, "fx_rates_20260702.json"))
     s = run_daily(spark, bank_config(), landing, lake, day(2), run_id="b", ingested_at="2026-07-02 06:00:00")
     assert {r[4]: r[6] for r in s.ledger if r[3] == "quality"}["transactions"] == 20
+    assert [r[9] for r in s.ledger if r[3:5] == ("gold", "kpi_daily")] == [None]     # all days
     q = store.read("quarantine", "transactions")
     assert q.count() > 0 and {r["_reject_reason"] for r in q.collect()} == {"account_exists"}
     assert same_key(q, store.read("silver", "transactions"), ["txn_id"], "left_semi").count() == 0

@@ -38,7 +38,10 @@ EVENT_RULES = [
 
 
 def silver_events(spark: SparkSession, sf: str) -> DataFrame:
-    tx = events_as_transactions(load(spark, sf, "events"))
+    return with_event_day(events_as_transactions(load(spark, sf, "events")))
+
+
+def with_event_day(tx: DataFrame) -> DataFrame:
     return (tx.withColumn("event_date", F.to_date("ts"))
               .withColumn("is_late", F.col("event_date") < file_date("_source_file"))
               .drop("_source_file"))

@@ -16,14 +16,14 @@ from tierflow.operators import reconcile as rc
 from tierflow.operators.dedupe import latest_per_key
 from tierflow.operators.rules import Rule, Spec
 from tierflow.plans import gold
-from tierflow.plans.driver import RUN_ID
+from tierflow.plans.driver import EVENT_CHANNELS, EVENT_RULES, RUN_ID, with_event_day
 from tierflow.plans.driver_io import EVENT_CONTRACT, events_landing
 from tierflow.plans.incremental import bronze_keys
 from tierflow.plans.job import JobConfig, SilverStep, run_daily
 from tierflow.session import work_dir
 from tierflow.sinks.landing_writer import write_landing
 from tierflow.sinks.store import TableStore
-from tierflow.sources.tables import load
+from tierflow.sources.tables import events_as_transactions, load
 from tierflow.streaming.bronze_stream import stream_bronze as _stream_bronze
 from tierflow.streaming.bronze_stream import stream_to_store as _stream_to_store
 from tierflow.streaming.bronze_stream import stream_upsert as _stream_upsert
@@ -261,6 +261,58 @@ def sql_model_best_segments(spark: SparkSession, sf: str) -> DataFrame:
     return _sql_models(spark, sf, "best_segments")
 
 
+# -- the daily KPI mart, brought up to date by the days that changed --------------------
+def _build_events(s: TableStore, b: DataFrame) -> DataFrame:
+    latest = latest_per_key(_typed(b, "_ingested_at"), "event_id", ["_ingested_at", "_source_file", "ts", "value"])
+    return with_event_day(events_as_transactions(latest)).withColumnRenamed("txn_id", "event_id")
+
+
+def _events_kpi(s: TableStore) -> DataFrame:
+    return gold.kpi_daily(s.read("silver", "events"), quarantined=s.read("quarantine", "events"), amount_col="amount", channels=EVENT_CHANNELS)
+
+
+def _grow_events_kpi(s: TableStore, days: list) -> DataFrame:
+    return gold.grow_kpi(s.read("gold", "kpi_daily"), s.read("silver", "events"), days, quarantined=s.read("quarantine", "events"),
+                         amount_col="amount", channels=EVENT_CHANNELS)
+
+
+def events_config() -> JobConfig:
+    def checks(s: TableStore) -> DataFrame:
+        known, once = bronze_keys(s, "events", "event_id")
+        return rc.row_conservation("events", known, s.read("silver", "events"), s.read("quarantine", "events"), "event_id", once=once)
+    return JobConfig(contracts={"events": EVENT_CONTRACT}, steps=[SilverStep("events", ["event_id"], _build_events, partition_by="event_date")],
+                     specs={"events": Spec.from_dict({"key": "event_id", "rules": EVENT_RULES})}, gold_models=lambda s: {"kpi_daily": _events_kpi(s)},
+                     checks=checks, grown={"kpi_daily": ("events", "event_date", _grow_events_kpi)})
+
+
+def _kpi_runs(spark: SparkSession, sf: str) -> TableStore:
+    """Three deliveries. The first lacks the fifteenth of every month, and has the
+    even events of the tenth a day late and with another value; the second brings
+    the fifteenth; the third corrects the tenth, so that days lose rows too."""
+    ev, land, root = load(spark, sf, "events"), work_dir(spark, "landing"), work_dir(spark, "lake")
+    wrong = (F.dayofmonth("ts") == 10) & (F.col("event_id") % 2 == 0)
+    first = ev.where(F.dayofmonth("ts") != 15).withColumns({
+        "ts": F.when(wrong, F.col("ts") + F.expr("INTERVAL 1 DAY")).otherwise(F.col("ts")),
+        "value": F.when(wrong, F.col("value") * 3).otherwise(F.col("value"))})
+    days = [TPCH_RUN_DATE + dt.timedelta(days=i) for i in range(3)]
+    for day, rows in zip(days, (first, ev.where(F.dayofmonth("ts") == 15), ev.where(wrong))):
+        write_landing(rows, land, F.lit(f"events_{day:%Y%m%d}.jsonl"), "ndjson")
+        run_daily(spark, events_config(), land, root, day, run_id=f"run-{day:%d}", ingested_at=f"{day} 06:00:00")
+    return TableStore(spark, root)
+
+
+def kpi_incremental(spark: SparkSession, sf: str) -> DataFrame:
+    """A1, A2, M9: the mart after three deliveries, of which the later ones count
+    anew only the days that they change."""
+    return _kpi_runs(spark, sf).read("gold", "kpi_daily")
+
+
+def kpi_days_anew(spark: SparkSession, sf: str) -> DataFrame:
+    """How many days each of these runs counted anew (null: all)."""
+    ledger = _kpi_runs(spark, sf).read("gold", "run_ledger").where("step = 'gold'")
+    return ledger.select("run_id", F.regexp_extract("detail", "^([0-9]+) days", 1).try_cast("bigint").alias("days"))
+
+
 LEDGER_COLS = ["run_id", "seq", "step", "table_name", "status", "rows_in", "rows_out", "quarantined"]
 
 
@@ -370,4 +422,6 @@ JOB_QUERIES = {
     "sql_model_segment_value": sql_model_segment_value,
     "sql_model_best_segments": sql_model_best_segments,
     "run_recovery": run_recovery,
+    "kpi_incremental": kpi_incremental,
+    "kpi_days_anew": kpi_days_anew,
 }

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tierflow.functions.columns import money_avg_round, money_sum_round, pct
+from tierflow.sinks.store import isin_values
 
 # Banking channels counted by the KPI mart (output column -> channel).
 BANK_CHANNELS = {"atm_txns": "ATM", "pos_txns": "POS", "web_txns": "web", "branch_txns": "branch"}
@@ -26,6 +27,14 @@ def kpi_daily(tx: DataFrame, *, quarantined: DataFrame | None, date_col: str = "
 
     One hash aggregate (partial per map task, final per day); the two global
     counts are scalar subqueries, not a cross join."""
+    daily = daily_measures(tx, date_col, amount_col, account_col, flag_col, late_col, channel_col, channels)
+    return _with_quarantine_rate(daily, quarantined, tx.agg(F.count(F.lit(1))).scalar())
+
+
+def daily_measures(tx: DataFrame, date_col: str = "event_date", amount_col: str = "amount_bob", account_col: str = "account_id",
+                   flag_col: str = "is_flagged", late_col: str | None = "is_late", channel_col: str = "channel",
+                   channels: Mapping[str, str] = BANK_CHANNELS) -> DataFrame:
+    """The columns of :func:`kpi_daily` that depend on the rows of their day alone."""
     n = F.count(F.lit(1))
     measures: list[Column] = [
         n.alias("txn_count"),
@@ -38,10 +47,12 @@ def kpi_daily(tx: DataFrame, *, quarantined: DataFrame | None, date_col: str = "
         measures.append(F.count_if(F.col(late_col)).alias("late_txns"))
     for out, value in channels.items():
         measures.append(F.count_if(F.col(channel_col) == F.lit(value)).alias(out))
-    daily = tx.groupBy(F.col(date_col).alias("event_date")).agg(*measures)
+    return tx.groupBy(F.col(date_col).alias("event_date")).agg(*measures)
+
+
+def _with_quarantine_rate(daily: DataFrame, quarantined: DataFrame | None, total: Column) -> DataFrame:
     q = (quarantined.agg(F.count(F.lit(1))).scalar() if quarantined is not None
          else F.lit(0).cast("long"))
-    total = tx.agg(F.count(F.lit(1))).scalar()
     # bind each scalar subquery to a column once: the rate expression uses
     # them several times and must not re-run a subquery per reference
     return (daily.withColumns({"__q": q, "__n": total})
@@ -49,6 +60,21 @@ def kpi_daily(tx: DataFrame, *, quarantined: DataFrame | None, date_col: str = "
             .drop("__q", "__n"))
 
 
+def grow_kpi(kpi: DataFrame, tx: DataFrame, days: Sequence, *, quarantined: DataFrame | None,
+             date_col: str = "event_date", **measures) -> DataFrame:
+    """The mart after the rows of ``days`` alone have changed (come, gone or moved)
+    since ``kpi``: these days are counted anew and the others kept, so that of
+    ``tx``, partitioned by ``date_col``, only their folders are read. None among
+    ``days`` is the day of rows without a date. The quarantine share changes for
+    every day; its total is the sum of the days' counts."""
+    changed = isin_values(F.col("event_date"), days)
+    fresh = daily_measures(tx.where(isin_values(F.col(date_col), days)), date_col, **measures)
+    kept = kpi.where(~F.coalesce(changed, F.lit(False))).drop("quarantine_rate_pct")
+    daily = kept.unionByName(fresh)
+    total = daily.agg(F.coalesce(F.sum("txn_count"), F.lit(0))).scalar()
+    return _with_quarantine_rate(daily, quarantined, total)
+
+
 def dim_date(dates: DataFrame, date_col: str = "event_date") -> DataFrame:
     """Calendar with one row per day between MIN and MAX of ``date_col``
     (no rows when the input is empty). Days without activity are included."""
@@ -103,6 +129,11 @@ def _kpi(store) -> DataFrame:
     return kpi_daily(store.read("silver", "transactions"), quarantined=q)
 
 
+def _grow_kpi(store, days: Sequence) -> DataFrame:
+    q = store.read("quarantine", "transactions") if store.exists("quarantine", "transactions") else None
+    return grow_kpi(store.read("gold", "kpi_daily"), store.read("silver", "transactions"), days, quarantined=q)
+
+
 #: The gold models of the banking lake by name.
 BANK_MODELS = {
     "dim_account": lambda s: dim_account(s.read("silver", "accounts")),
@@ -113,6 +144,10 @@ BANK_MODELS = {
 }
 
 
+#: Models that are brought up to date by some days: (silver table, its day, builder).
+BANK_GROWN = {"kpi_daily": ("transactions", "event_date", _grow_kpi)}
+
+
 def available_models() -> list[str]:
     return sorted(BANK_MODELS)
 

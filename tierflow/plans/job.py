@@ -65,6 +65,9 @@ class JobConfig:
     specs: Mapping[str, Spec]                        # silver table -> rules
     gold_models: Callable[[TableStore], dict[str, DataFrame]] | str   # builders, or a folder of .sql models
     checks: Callable[[TableStore], DataFrame]
+    #: Gold models that a run may bring up to date by the days it changed: model ->
+    #: (silver table, its day column, builder from the store and these days).
+    grown: Mapping[str, tuple[str, str, Callable[[TableStore, list], DataFrame]]] = field(default_factory=dict)
 
 
 @dataclass
@@ -257,6 +260,8 @@ class _Settling:
         self.partly = incremental_run and inc.settled(store, self.rules)
         self.changed: dict[tuple[str, str], DataFrame] = {}   # of parents: values that came or went
         self.remember: dict[str, DataFrame] = {}
+        self.days: dict[tuple[str, str], list | None] = {}    # days of a table that changed; absent: any may have
+        self.grown = {name for name in config.grown if self.partly and inc.model_settled(store, name)}
         self.watched = {(r.ref, r.ref_column) for spec in config.specs.values() for r in spec.rules if r.type == "foreign_key"}
 
     def staged(self, df: DataFrame, name: str) -> DataFrame:
@@ -310,6 +315,9 @@ class _Settling:
             good = frame.where(~flag).select(*data)
             bad = frame.where(flag).select(*data, comp.reason(rs).alias("_reject_reason"), F.localtimestamp().alias("_quarantined_at"))
             moved = self.quarantine(t, key, judged, bad, bool(chosen))
+            for column in {c for name, (table, c, _) in self.config.grown.items() if table == t and name in self.grown}:
+                if rest is not None and parents:
+                    self.days[t, column] = inc.changed_values(judged, old, column)
             target = None if before is None else same_key(store.read_at(before), judged, key, "left_anti")
             new = good if target is None else target.unionByName(good, allowMissingColumns=True)
             store.write("silver", t, new, mode="overwrite", partition_by=[step.partition_by] if step.partition_by else None)
@@ -354,11 +362,20 @@ class _Settling:
         store.write("quarantine", t, same_key(held, gone, key, "left_anti").unionByName(bad, allowMissingColumns=True), mode="overwrite")
         return int(o.get["n"]) if some else 0
 
+    def brought_up(self, name: str, whole: DataFrame) -> tuple[DataFrame, str | None]:
+        """The gold model ``name``: from the days that changed, if they are known
+        and the model is as the last completed run left it, else ``whole``."""
+        table, column, grow = self.config.grown.get(name, (None, None, None))
+        days = self.days.get((table, column)) if name in self.grown else None
+        if days is None or set(whole.columns) != set(self.store.read("gold", name).columns):
+            return whole, None
+        return grow(self.store, days), f"{len(days)} days anew"
+
     def done(self) -> None:
         """Remember what this run ended with (it was completed)."""
         for name, df in self.remember.items():
             self.store.write("gold", name, df, mode="overwrite")
-        inc.write_state(self.store, self.rules)
+        inc.write_state(self.store, self.rules, [n for n in self.config.grown if self.store.exists("gold", n)])
 
 
 def run_daily(spark: SparkSession, config: JobConfig, landing_dir: str, lake_root: str,
@@ -417,11 +434,12 @@ def run_daily(spark: SparkSession, config: JobConfig, landing_dir: str, lake_roo
         gold_models = models.run_folder(store, config.gold_models) if isinstance(config.gold_models, str) \
             else sorted(config.gold_models(store).items())
         for name, df in gold_models:
+            df, detail = settling.brought_up(name, df)
             o = Observation(f"g_{name}_{uuid.uuid4().hex[:6]}")
             store.write("gold", name, df.observe(o, F.count(F.lit(1)).alias("n")), mode="overwrite")
             n = int(o.get["n"])
             summary.gold_rows[name] = n
-            summary.log("gold", name, "ok", rows_out=n)
+            summary.log("gold", name, "ok", rows_out=n, detail=detail)
         rows = config.checks(store).collect()  # one small row per check
         summary.checks = [tuple(r) for r in rows]
         summary.verdict = rc.verdict(spark.createDataFrame(rows, rc.CHECK_SCHEMA)).first()["verdict"]
@@ -503,4 +521,4 @@ def bank_config(fx_fallback: str | None = "last_row") -> JobConfig:
             SilverStep("accounts", ["account_id"], lambda s, b: silver.build_accounts(b)),
             transactions_step(fx_fallback),
         ],
-        specs=specs, gold_models=bank_gold, checks=bank_checks)
+        specs=specs, gold_models=bank_gold, checks=bank_checks, grown=gold.BANK_GROWN)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from tierflow.plans.oracles import KPI_DAILY
 from tierflow.plans.oracles_io import EV_FILE, IO_ORACLES
 
 STREAM_BRONZE = f"""
@@ -24,6 +25,17 @@ SELECT event_id, ts, user_id, event_type, value, props,
 FROM events
 """
 
+# the days that the second and third delivery change: all fifteenths; the tenths, and
+# the days after them that lose their rows
+KPI_DAYS_ANEW = """
+SELECT 'run-01' AS run_id, CAST(NULL AS BIGINT) AS days
+UNION ALL
+SELECT 'run-02', COUNT(DISTINCT CAST(ts AS DATE)) FROM events WHERE day(ts) = 15
+UNION ALL
+SELECT 'run-03', COUNT(DISTINCT d) FROM (
+  SELECT unnest([CAST(ts AS DATE), CAST(ts + INTERVAL 1 DAY AS DATE)]) AS d FROM events WHERE day(ts) = 10 AND event_id % 2 = 0)
+"""
+
 # customer -> orders -> lineitem after one run of the daily job
 JOB_STATE = """
 li AS (SELECT * FROM lineitem
@@ -157,4 +169,6 @@ JOB_ORACLES = {
     "sql_model_segment_value": _ORDERS_OF + "SELECT * REPLACE (CAST(total_value AS DOUBLE) AS total_value) FROM sv",
     "sql_model_best_segments": SQL_MODEL_BEST_SEGMENTS,
     "run_recovery": FINAL_STATE,
+    "kpi_incremental": KPI_DAILY,
+    "kpi_days_anew": KPI_DAYS_ANEW,
 }
