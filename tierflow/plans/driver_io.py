@@ -25,7 +25,8 @@ from tierflow.session import work_dir
 from tierflow.sinks.landing_writer import write_landing
 from tierflow.sinks.store import TableStore, add_lineage
 from tierflow.sources import contracts as ct
-from tierflow.sources.landing import list_landing_files, list_landing_objects, read_csv, read_json_map, read_ndjson, source_col
+from tierflow.sources.csv_blocks import read_csv_blocks
+from tierflow.sources.landing import data_files, list_landing_files, list_landing_objects, read_csv, read_json_map, read_ndjson, source_col
 from tierflow.sources.tables import TABLES, load
 
 # The events landing contract and the known landing sources.
@@ -149,6 +150,16 @@ def bronze_csv_quoted(spark: SparkSession, sf: str) -> DataFrame:
     return read_csv(spark, root).select(F.col("doc_id").try_cast("bigint").alias("doc_id"), "text", "lang", "_source_file")
 
 
+def bronze_csv_blocks(spark: SparkSession, sf: str) -> DataFrame:
+    """S3: the same texts, each file cut into blocks that are read apart."""
+    d = load(spark, sf, "documents")
+    name = F.concat(F.lit("documents_"), F.coalesce("source", F.lit("none")), F.lit(".csv"))
+    columns = ["doc_id", "text", "lang", "source"]
+    root = write_landing(d.select(*columns), work_dir(spark, "landing"), name, "csv")
+    files = [f for p in list_landing_objects(spark, root) for f in data_files(spark, p)]
+    return read_csv_blocks(spark, files, columns).select(F.col("doc_id").try_cast("bigint").alias("doc_id"), "text", "lang", "_source_file")
+
+
 def bronze_json(spark: SparkSession, sf: str) -> DataFrame:
     """NDJSON objects as verbatim text plus lineage columns."""
     root = events_landing(spark, sf, work_dir(spark, "landing"), drift=False)
@@ -426,6 +437,7 @@ IO_QUERIES = {
     "bronze_csv": bronze_csv,
     "bronze_json": bronze_json,
     "bronze_csv_quoted": bronze_csv_quoted,
+    "bronze_csv_blocks": bronze_csv_blocks,
     "bronze_lineage": bronze_lineage,
     "sql_views": sql_views,
     "merge_upsert": merge_upsert,

@@ -278,6 +278,7 @@ SELECT doc_id, text, lang, 'documents_' || COALESCE(source, 'none') || '.csv' AS
 
 IO_ORACLES = {
     "bronze_csv_quoted": BRONZE_CSV_QUOTED,
+    "bronze_csv_blocks": BRONZE_CSV_QUOTED,
     "contract_drift": CONTRACT_DRIFT,
     "contract_align": CONTRACT_ALIGN,
     "drift_policies": DRIFT_POLICIES,

@@ -135,13 +135,19 @@ def csv_options(reader):
 
 def data_files(spark: SparkSession, path: str) -> list[str]:
     """The files of a landing object: itself, or a folder's parts in name order."""
+    return list(data_file_sizes(spark, path))
+
+
+def data_file_sizes(spark: SparkSession, path: str) -> dict[str, int]:
+    """:func:`data_files` with their bytes."""
     jvm = spark._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.getFileStatus(p).isDirectory():
-        return [path]
-    return sorted(str(st.getPath().toString()) for st in fs.listStatus(p)
-                  if st.isFile() and not st.getPath().getName().startswith(("_", ".")))
+    top = fs.getFileStatus(p)
+    if not top.isDirectory():
+        return {path: top.getLen()}
+    return dict(sorted((str(st.getPath().toString()), st.getLen()) for st in fs.listStatus(p)
+                       if st.isFile() and not st.getPath().getName().startswith(("_", "."))))
 
 
 def csv_header(spark: SparkSession, path: str) -> tuple[str, ...]:
