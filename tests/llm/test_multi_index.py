@@ -120,3 +120,21 @@ def test_rare_loose_links_beside_a_large_group(spark, monkeypatch):
     got = {y.id: y.n_links for y in near_vectors(df).collect()}
     assert sum(got[k] >= 1 for k in range(300)) >= 297
     assert got[2399] >= 300 and not any(got[k] for k in range(300, 2399))
+
+
+def test_sql_of_the_query_on_planted_links(spark, tmp_path):
+    import duckdb
+
+    from tierflow.llm.queries import LLM_ORACLES
+    r, rows = np.random.default_rng(8), []
+    for k in range(30):
+        centre = r.normal(size=16)
+        rows += [(len(rows) + j, (centre + r.normal(size=16) * 0.15 * (k % 4)).tolist(), k % 3) for j in range(6)]
+    rows += [(900, [0.0] * 16, 1), (901, None, 1), (902, [float("nan")] * 16, 1), (903, rows[0][1], None), (904, [None] * 16, 2)]
+    table = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, label int")
+    table.write.parquet(str(tmp_path / "embeddings.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM read_parquet('{tmp_path}/embeddings.parquet/*.parquet')")
+    want = sorted(con.execute(LLM_ORACLES["op7_multi_index"]).fetchall())
+    got = LLM_QUERIES["op7_multi_index"](spark, str(tmp_path)).select("vec_id", "n_links", "component_id", "kept")
+    assert sorted(map(tuple, got.collect())) == want and sum(x[1] for x in want) > 100

@@ -190,4 +190,21 @@ FROM positives p JOIN scored s ON s.anchor_id = p.anchor_id AND NOT same
   AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
 QUALIFY row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, vec_id) <= 5
 """
-LLM_ORACLES: dict[str, str] = {"op12_hard_negatives": _OP12_SQL}
+_OP7_SQL = """
+WITH RECURSIVE vectors AS (
+  SELECT vec_id, label, [CAST(x AS DOUBLE) FOR x IN embedding] AS v FROM embeddings
+  WHERE label IS NOT NULL AND len(embedding) > 0
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0 AND len([x FOR x IN embedding IF x <> 0]) > 0),
+units AS (
+  SELECT vec_id, label, [x / sqrt(list_inner_product(v, v)) FOR x IN v] AS u FROM vectors),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM units a JOIN units b ON a.label = b.label AND a.vec_id <> b.vec_id
+  WHERE list_inner_product(a.u, b.u) >= 0.93),
+reach(vec_id, root) AS (
+  SELECT vec_id, vec_id FROM embeddings
+  UNION
+  SELECT b, root FROM reach JOIN links ON vec_id = a AND root < b)
+SELECT e.vec_id, (SELECT count(*) FROM links WHERE a = e.vec_id) AS n_links, c.component_id, e.vec_id = c.component_id AS kept
+FROM embeddings e JOIN (SELECT vec_id, min(root) AS component_id FROM reach GROUP BY vec_id) c USING (vec_id)
+"""
+LLM_ORACLES: dict[str, str] = {"op7_multi_index": _OP7_SQL, "op12_hard_negatives": _OP12_SQL}
