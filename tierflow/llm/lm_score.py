@@ -32,12 +32,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierflow.llm.runtime import pieces, written
+from tierflow.llm.runtime import bucketed, pieces, written
 from tierflow.llm.words import Piece, mix
 
 PRIOR = 5.0
 #: Characters of text for each range of the count table, and for each piece.
 RANGE_CHARS, SCORED_CHARS = 1 << 25, 1 << 22
+#: Files of dealt texts at most: Spark's own bound on buckets.
+MOST_BUCKETS = 100_000
 _FLUSH = 1 << 20
 #: Stand for the unknown word and the beginning of a text.
 _UNKNOWN, _BEGIN = np.uint64(0), np.uint64(1)
@@ -276,7 +278,7 @@ def _marked(rows: DataFrame, marks: DataFrame) -> DataFrame:
 
 
 def _deal(batches):
-    """Rows (id, text, side), numbered by piece and place in it."""
+    """Rows (id, text, bucket), numbered by piece and place in it."""
     task, number, size, place = TaskContext.get().partitionId(), 0, 0, 0
     for b in batches:
         at, places = [], []
@@ -289,12 +291,19 @@ def _deal(batches):
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(places, pa.int32()), *b.columns], names=["piece", "place", *b.schema.names])
 
 
-def _dealt(rows: DataFrame, marks: DataFrame, buckets: tuple[frozenset, frozenset]) -> DataFrame:
-    """``(piece, place, id, text, side)``, written, so that a piece is the same texts
-    whenever it is read."""
+def _dealt(rows: DataFrame, marks: DataFrame, buckets: tuple[frozenset, frozenset], chars: int | None = None) -> DataFrame:
+    """``(piece, place, id, text, side)``: texts dealt into pieces and written, in
+    buckets of pieces, so that a piece is the same texts whenever it is read and
+    no text is shuffled again. Only ids travel to the marks; what they are comes
+    back for each piece. ``chars``: the text there is, if known."""
+    if chars is None:
+        chars = rows.agg(F.sum(F.length("text").cast("bigint"))).first()[0] or 0
     kind = rows.schema["id"].dataType.simpleString()
-    sided = _marked(rows, marks).select("id", "text", _side(buckets, F.col("target")).alias("side"))
-    return written(sided.mapInArrow(_deal, f"piece bigint, place int, id {kind}, text string, side int"), "dealt")
+    dealt = rows.select("id", "text", "bucket").mapInArrow(_deal, f"piece bigint, place int, id {kind}, text string, bucket int")
+    texts = bucketed(dealt, "dealt", min(MOST_BUCKETS, 1 + chars // (2 * SCORED_CHARS)), "piece", "place")
+    side = _marked(texts.select("piece", "place", "id", "bucket"), marks).select("piece", "place", _side(buckets, F.col("target")).alias("side"))
+    sides = written(side.groupBy("piece").agg(F.array_sort(F.collect_list(F.struct("place", "side")))["side"].alias("sides")), "sides")
+    return texts.join(sides, "piece").select("piece", "place", "id", "text", F.get("sides", F.col("place")).alias("side"))
 
 
 def _fit(docs: DataFrame, target: DataFrame, id_col: str, text_col: str, size: int | None, bits: int | None,
@@ -309,7 +318,7 @@ def _fit(docs: DataFrame, target: DataFrame, id_col: str, text_col: str, size: i
     most = max(2, int(-(-total // RANGE_CHARS)).bit_length())
     words = _Words(None if size is None else vocabulary(rows, size), most if bits is None else max(1, min(bits, most)),
                    min(63, max(1, total).bit_length() + 20))
-    dealt = _dealt(rows, marks, buckets)
+    dealt = _dealt(rows, marks, buckets, total)
     counted = dealt.filter(F.col("side") != _NEITHER).select("text", "side").mapInArrow(_count_keys(words), _COUNTS)
     counts = written(counted.repartition(1 << words.bits, "range").mapInArrow(
         _sum_keys(words), f"{_COUNTS}, words bigint, n_target bigint, n_background bigint"), "counts")

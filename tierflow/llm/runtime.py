@@ -5,7 +5,9 @@ intermediate tables in the shared folder."""
 from __future__ import annotations
 
 import os
+import re
 import tempfile
+import uuid
 import zipfile
 from collections.abc import Callable, Iterator
 
@@ -92,6 +94,16 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def bucketed(df: DataFrame, name: str, buckets: int, key: str, *order: str) -> DataFrame:
+    """:func:`written` by the hash of ``key``, in ``order`` within a bucket: what
+    joins or groups the result by ``key`` does not shuffle it again."""
+    spark = df.sparkSession
+    path = work_dir(spark, name)
+    table = "tierflow_" + re.sub("[^0-9a-zA-Z]", "_", path.rsplit("/", 1)[-1]) + "_" + uuid.uuid4().hex
+    df.repartition(buckets, key).write.format("parquet").option("path", path).bucketBy(buckets, key).sortBy(key, *order).saveAsTable(table)
+    return spark.table(table)
+
+
 def in_shared(spark: SparkSession, name: str) -> str:
     """A new folder name below the shared checkpoint folder."""
     return work_dir(spark, name)
