@@ -117,3 +117,19 @@ def test_empty_table(spark):
     prepare(spark)
     made = write_tokens(spark.createDataFrame([], "doc_id bigint, text string"), PATH, 2)
     assert made.shards == [] and made.read(made.locate(made.keys())).count() == 0
+
+
+def test_halves_of_words_outlive_the_words(monkeypatch):
+    from tierflow.llm import tokens
+    monkeypatch.setattr(tokens, "CACHE_WORDS", 10)
+    enc, asked = Encoder(PATH), []
+    model = enc.model
+
+    class Counted:
+        def tokenize(self, piece):
+            asked.append(piece)
+            return model.tokenize(piece)
+    enc.model = Counted()
+    for t in ("aa bb AA BB Aa Bb", "aA bB cc Cc CC"):   # the second has more words than fit
+        assert ids(enc.encode([t])[0]) == plain(t)
+    assert len(enc.known) == 5 and sorted(asked) == ["aa", "bb", "cc"]

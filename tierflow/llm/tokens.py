@@ -25,7 +25,8 @@ from pyspark.sql import functions as F
 from tierflow.llm.perfect_hash import KeyIndex
 from tierflow.llm.runtime import in_shared
 
-#: Words whose ids one worker remembers; beyond it the memory starts anew.
+#: Words whose ids one worker remembers, and as many halves of words; beyond it
+#: either memory starts anew.
 CACHE_WORDS = 300_000
 #: Keys of one index file at most, on average.
 INDEX_KEYS = 1_000_000
@@ -86,11 +87,15 @@ class Encoder:
         return got
 
     def _learn(self, new: list[str]) -> None:
-        odd = []
+        odd, known, halves = [], self.known, self.halves
         for w in new:
+            if w.isascii() and w.isalpha():
+                low = w.lower()
+                known[w] = halves.get(low) or self._half(low)
+                continue
             m = _SIMPLE.fullmatch(w)
             if m:
-                self.known[w] = self._half(m[1].lower()) + self._half(m[2])
+                known[w] = self._half(m[1].lower()) + self._half(m[2])
             else:
                 odd.append(w)
         for a in range(0, len(odd), 4096):
@@ -103,8 +108,9 @@ class Encoder:
         parts = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
         new = {w for p in parts for w in p} - self.known.keys()
         if len(self.known) + len(new) > CACHE_WORDS:
-            self.known, self.halves = {}, {"": b""}
-            new = {w for p in parts for w in p}
+            self.known, new = {}, {w for p in parts for w in p}
+            if len(self.halves) > CACHE_WORDS:
+                self.halves = {"": b""}
         self._learn(list(new))
         known = self.known
         return [b"".join([known[w] for w in p]) for p in parts]
