@@ -188,3 +188,37 @@ def test_stream_rescues_and_lands_in_the_store(spark, tmp_root):
     assert rows["2"]["_rescued_data"] is None and rows["2"]["amount"] == "1e3"
     with pytest.raises(ValueError, match="fed by a stream"):
         store.write("bronze", "tx", store.read("bronze", "tx"))
+
+
+def test_compressed_parts_of_bounded_size(spark, tmp_root):
+    from tierflow.plans.bronze import ingest_source
+    from tierflow.sinks.landing_writer import write_landing
+    from tierflow.sinks.store import TableStore
+    rows = [(str(i), f'say "{i}",\nor {i}') for i in range(50)]
+    df = spark.createDataFrame(rows, "id string, text string").coalesce(1)
+    store = TableStore(spark, f"{tmp_root}/lake")
+    for fmt, name in (("csv", "t_20240101.csv"), ("ndjson", "t_20240102.jsonl")):
+        root = write_landing(df, f"{tmp_root}/landing-{fmt}", F.lit(name), fmt, compression="snappy", rows_per_file=20)
+        objects = [f"{root}/landing={name}"]
+        parts = [f for f in os.listdir(objects[0].removeprefix("file:")) if f.endswith(".snappy")]
+        assert len(parts) == 3
+        got = ingest_source(store, "t", objects, f"run-{fmt}", ["id", "text"])
+        assert [(r.file, r.rows, r.has_drift) for r in got] == [(name, 50, False)]
+    found = store.read("bronze", "t").select("id", "text", "_source_file").collect()
+    assert sorted(map(tuple, found)) == sorted((*r, n) for r in rows for n in ("t_20240101.csv", "t_20240102.jsonl"))
+
+
+def test_records_of_a_kind_are_counted_before_their_keys_are_listed(spark):
+    recs = spark.createDataFrame([('{"a":1,"b":2}', "f"), ('{"a":3,"b":2}', "f"), ('{"b":1,"a":2}', "f"), ("{}", "f"), ("[1]", "f"),
+                                  ("oops", "f"), ('{"c":{"a":1}}', "g")], "value string, file string")
+    found = ct.inspect_records(recs, ["a", "b"])
+    assert sorted(map(tuple, found.collect())) == [("f", 6, [], []), ("g", 1, ["a", "b"], ["c"])]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate") == 2 and plan.index("Generate") < plan.rindex("Aggregate")
+
+
+def test_names_of_landing_objects(spark):
+    from tierflow.sources.landing import landing_name
+    paths = ["file:/x/landing=t_1.csv/part-0.csv", "/x/t_1.csv", "/landing=t_1.csv/deep/part-0", "/x/landing=/p", "t_1.csv", "landing=a/b", "/x/my-landing=a/b", "/x/landing=/landing=é_1/p"]
+    got = [r[0] for r in spark.createDataFrame([(i, p) for i, p in enumerate(paths)], "i int, p string").orderBy("i").select(landing_name(F.col("p"))).collect()]
+    assert got == ["t_1.csv", "t_1.csv", "part-0", "p", "t_1.csv", "b", "b", "é_1"]
