@@ -66,6 +66,16 @@ def test_links_match_brute_force(spark):
     assert got == want and len(want) > 100
 
 
+def test_signatures_are_never_broadcast(spark):
+    # 64 rows for every one that Spark counts: a small estimate says nothing
+    fps = spark.range(1000).select(F.xxhash64("id").alias("fp"))
+    links = near_links(fps)
+    assert links.count() == 0
+    for plan in (links, links.filter("a <> b").distinct()):
+        text = plan._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in text and "Broadcast" not in text
+
+
 def test_too_large_a_radius_is_refused(spark):
     with pytest.raises(ValueError):
         near_links(spark.createDataFrame([(1,)], "fp bigint"), 5)
