@@ -78,6 +78,14 @@ def test_one_of_each_group_stays(spark):
     assert ("1", "other words that are here alone") in got
 
 
+def test_tables_of_a_row_per_document_are_not_broadcast(spark):
+    prepare(spark)
+    df = spark.createDataFrame([(i, f"a b c d {i} {i * i}") for i in range(50)], "doc_id bigint, text string").withColumn("lang", F.lit("x"))
+    for out in (keep_one_each(df), take_mix(df, {"lang": F.col("lang")}, fraction=1.0)):
+        text = out._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in text and "Broadcast" not in text and out.count()
+
+
 def test_mixed_rows_repeat(spark):
     prepare(spark)
     rows = [(1, "a b"), (1, "a b"), (None, "c d"), (None, "c e"), (2, None), (3, "f")]

@@ -213,5 +213,6 @@ def take_mix(docs: DataFrame, levels: Mapping[str, Column], id_col: str = "doc_i
     same = F.col(id_col).eqNullSafe(F.col(read_id))
     for mine, read in zip(own, read_keys):
         same &= F.col(mine) == F.col(read)
-    joined = marked.join(times, same).withColumn(nth, F.explode(F.sequence(F.lit(1).cast("bigint"), F.col(count))))
+    # merged, not broadcast: a twentieth of the table's size in memory is what its file has
+    joined = marked.join(times.hint("merge"), same).withColumn(nth, F.explode(F.sequence(F.lit(1).cast("bigint"), F.col(count))))
     return joined.select(*columns_of(docs))
