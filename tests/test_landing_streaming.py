@@ -222,3 +222,18 @@ def test_names_of_landing_objects(spark):
     paths = ["file:/x/landing=t_1.csv/part-0.csv", "/x/t_1.csv", "/landing=t_1.csv/deep/part-0", "/x/landing=/p", "t_1.csv", "landing=a/b", "/x/my-landing=a/b", "/x/landing=/landing=é_1/p"]
     got = [r[0] for r in spark.createDataFrame([(i, p) for i, p in enumerate(paths)], "i int, p string").orderBy("i").select(landing_name(F.col("p"))).collect()]
     assert got == ["t_1.csv", "t_1.csv", "part-0", "p", "t_1.csv", "b", "b", "é_1"]
+
+
+def test_drops_are_gzipped_at_the_level_asked_for(spark, tmp_root):
+    from tierflow.plans.driver_jobs import _drop
+    from tierflow.sinks.landing_writer import write_landing
+    df = spark.range(2000).select(F.col("id").cast("string").alias("id"), F.sha2(F.col("id").cast("string"), 256).alias("text")).coalesce(1)
+
+    def parts(root):
+        folder = f"{root}/landing=t_20240101.jsonl".removeprefix("file:")
+        return [f"{folder}/{f}" for f in os.listdir(folder) if f.endswith(".gz")]
+    size = {k: sum(map(os.path.getsize, parts(write_landing(df, f"{tmp_root}/{k}", F.lit("t_20240101.jsonl"), "ndjson", compression="gzip", level=k))))
+            for k in ("NO_COMPRESSION", "BEST_SPEED", "BEST_COMPRESSION")}
+    assert size["NO_COMPRESSION"] > size["BEST_SPEED"] > size["BEST_COMPRESSION"] > 0
+    root = _drop(df, f"{tmp_root}/drop", F.lit("t_20240101.jsonl"), "ndjson")
+    assert parts(root) and sorted(map(tuple, read_ndjson(spark, f"{root}/landing=t_20240101.jsonl", schema="id string, text string").select("id", "text").collect())) == sorted(map(tuple, df.collect()))
